@@ -10,18 +10,41 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def cast_or_null(value: Column | str, dtype: str) -> Column:
-    """Cast, giving NULL for text that does not parse (also in ANSI mode)."""
+# Text that cannot be a number is told apart first: a failed conversion costs
+# far more than a match.
+_MAY_BE_NUMBER = r"(?i)[0-9]|nan|inf"
+_WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+
+
+def text_to_double(value: Column | str) -> Column:
+    """A double, or NULL for text that is no number."""
+    col = _column(value)
+    return F.when(col.rlike(_MAY_BE_NUMBER), col.try_cast("double"))
+
+
+def cast_or_null(value: Column | str, dtype: str, text: bool = True) -> Column:
+    """Cast, giving NULL for what does not convert (also in ANSI mode).
+
+    ``text`` says that the value is a string. A whole number may then be
+    written "12.0"; its fraction is cut off.
+    """
     col = _column(value)
+    if not text:
+        return col.try_cast(dtype)
+    if dtype == "string":
+        return col
+    if dtype == "double":
+        return text_to_double(col)
     if dtype in ("int", "bigint"):
-        # a whole number may arrive as "12.0"
-        return F.coalesce(col.try_cast(dtype), col.try_cast("double").try_cast(dtype))
+        return F.when(col.rlike(_WHOLE_NUMBER), col.try_cast(dtype)).otherwise(
+            text_to_double(col).try_cast(dtype)
+        )
     return col.try_cast(dtype)
 
 
 def double_or_default(value: Column | str, missing: str = "zero") -> Column:
-    """A double; text that does not parse becomes 0.0, or NULL with ``missing="null"``."""
-    number = _column(value).try_cast("double")
+    """A double from text; what does not parse becomes 0.0, or NULL with ``missing="null"``."""
+    number = text_to_double(value)
     if missing == "null":
         return number
     if missing != "zero":

@@ -29,28 +29,32 @@ def soft_error(payload: Column | str) -> Column:
     objects are never errors.
     """
     text = F.col(payload) if isinstance(payload, str) else payload
-    body = F.try_parse_json(text)
-    is_object = F.ltrim(text).startswith("{") & body.isNotNull()
-    status = F.get_json_object(text, "$.status")
-    status_is_text = F.schema_of_variant(F.try_variant_get(body, "$.status", "variant")) == "STRING"
-    error_type = F.schema_of_variant(F.try_variant_get(body, "$.error", "variant"))
-    code_type = F.schema_of_variant(F.try_variant_get(body, "$.code", "variant"))
-    code = F.try_variant_get(body, "$.code", "bigint")
-    # a message that is present but null stays null
-    message = F.get_json_object(text, "$.message")
-    has_message = F.schema_of_variant(F.try_variant_get(body, "$.message", "variant")).isNotNull()
-
-    def message_or(default: Column) -> Column:
-        return F.when(has_message, message).otherwise(default)
-
-    by_status = F.coalesce((status == "error") & status_is_text, F.lit(False))
-    by_error = F.coalesce((error_type == "STRING") | error_type.startswith("OBJECT"), F.lit(False))
-    by_code = F.coalesce((code_type == "BIGINT") & (code >= 400), F.lit(False))
-    found = is_object & (by_status | by_error | by_code)
-    text_of = (
-        F.when(~found, F.lit(None))
-        .when(by_status, message_or(F.lit("API returned error status")))
-        .when(by_error, F.get_json_object(text, "$.error"))
-        .otherwise(message_or(F.concat(F.lit("API error code "), code.cast("string"))))
-    )
-    return F.struct(F.coalesce(found, F.lit(False)).alias("has_error"), text_of.alias("message"))
+
+    def classify(body: Column) -> Column:
+        def kind(path: str) -> Column:
+            return F.schema_of_variant(F.try_variant_get(body, path, "variant"))
+
+        def value(path: str) -> Column:
+            return F.try_variant_get(body, path, "string")
+
+        by_status = F.coalesce((kind("$.status") == "STRING") & (value("$.status") == "error"), F.lit(False))
+        error = kind("$.error")
+        by_error = F.coalesce((error == "STRING") | error.startswith("OBJECT"), F.lit(False))
+        code = F.try_variant_get(body, "$.code", "bigint")
+        by_code = F.coalesce((kind("$.code") == "BIGINT") & (code >= 400), F.lit(False))
+
+        def message_or(default: Column) -> Column:
+            # a message that is present but null stays null
+            return F.when(kind("$.message").isNotNull(), value("$.message")).otherwise(default)
+
+        message = (
+            F.when(by_status, message_or(F.lit("API returned error status")))
+            .when(by_error, value("$.error"))
+            .when(by_code, message_or(F.concat(F.lit("API error code "), code.cast("string"))))
+        )
+        return F.struct((by_status | by_error | by_code).alias("has_error"), message.alias("message"))
+
+    # paths below the root exist in objects only, so other bodies are never errors;
+    # the one-element array binds the parsed body once
+    parsed = F.transform(F.array(F.try_parse_json(text)), classify)
+    return F.get(parsed, F.lit(0))

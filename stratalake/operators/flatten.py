@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import cast_or_null, double_or_default, utc_iso
+from ..functions.casting import cast_or_null, double_or_default, text_to_double, utc_iso
 from ..functions.payload import soft_error
 
 
@@ -28,18 +28,29 @@ def _envelope(source: str, dataset: str | Column) -> list[Column]:
     ]
 
 
+def _bodies(raw: DataFrame, schema: str, *parameters: str, keep=None) -> DataFrame:
+    """Parsed responses ``b`` next to their request.
+
+    The one-element explode makes ``b`` a column of its own: conditions and
+    later explodes work on the parsed value, and no rewrite parses twice.
+    """
+    keep = keep or (lambda b: b.isNotNull())
+    parsed = F.filter(F.array(F.from_json("payload", schema)), keep)
+    return raw.select(*parameters, "request_url", "received_at", F.explode(parsed).alias("b"))
+
+
 def _number(field: str, name: str) -> Column:
-    return F.col(field).try_cast("double").alias(name)
+    return text_to_double(field).alias(name)
 
 
 def date_map(raw: DataFrame, source: str = "alphavantage", dataset: str = "time_series_daily",
              missing: str = "zero") -> DataFrame:
     """Bars keyed by date under the first member whose name contains "Time Series". Parameter: symbol."""
     bar = "struct<`1. open`:string,`2. high`:string,`3. low`:string,`4. close`:string,`5. volume`:string>"
-    members = F.from_json("payload", "map<string,string>")
-    series = F.map_values(F.map_filter(members, lambda name, _: name.contains("Time Series")))
+    bodies = _bodies(raw, "map<string,string>", "symbol")
+    series = F.map_values(F.map_filter("b", lambda name, _: name.contains("Time Series")))
     days = F.from_json(F.get(series, F.lit(0)), f"map<string,{bar}>")
-    rows = raw.select("symbol", "request_url", "received_at", F.explode(days).alias("trade_date", "bar"))
+    rows = bodies.select("symbol", "request_url", "received_at", F.explode(days).alias("trade_date", "bar"))
     return rows.select(
         "symbol",
         "trade_date",
@@ -55,13 +66,8 @@ def date_map(raw: DataFrame, source: str = "alphavantage", dataset: str = "time_
 def series(raw: DataFrame, source: str = "alphavantage", dataset: str = "commodity_prices",
            missing: str = "zero") -> DataFrame:
     """A ``data`` list of (date, value) under a head of name, interval and unit. Parameter: symbol."""
-    body = F.from_json(
-        "payload",
-        "name string, `interval` string, unit string, data array<struct<date:string,value:string>>",
-    )
-    rows = raw.select("symbol", "request_url", "received_at", body.alias("b")).select(
-        "*", F.explode("b.data").alias("point")
-    )
+    body = "name string, `interval` string, unit string, data array<struct<date:string,value:string>>"
+    rows = _bodies(raw, body, "symbol").select("*", F.explode("b.data").alias("point"))
     return rows.select(
         F.col("b.name").alias("commodity"),
         "symbol",
@@ -75,9 +81,9 @@ def series(raw: DataFrame, source: str = "alphavantage", dataset: str = "commodi
 
 def nested_map(raw: DataFrame, source: str = "imf", dataset: str = "indicators") -> DataFrame:
     """``values``: indicator -> country -> year -> value."""
-    body = F.from_json("payload", "values map<string,map<string,map<string,double>>>")
     rows = (
-        raw.select("request_url", "received_at", F.explode(body["values"]).alias("indicator", "c"))
+        _bodies(raw, "values map<string,map<string,map<string,double>>>")
+        .select("request_url", "received_at", F.explode("b.values").alias("indicator", "c"))
         .select("request_url", "received_at", "indicator", F.explode("c").alias("country", "y"))
         .select("request_url", "received_at", "indicator", "country", F.explode("y").alias("year", "value"))
     )
@@ -101,12 +107,8 @@ def rate_map(raw: DataFrame, source: str = "metals_dev", dataset: str = "spot_pr
 
     Only responses whose status is "success" give rows; see ``rate_map_failures``.
     """
-    body = F.from_json("payload", _RATES)
-    rows = (
-        raw.select("request_url", "received_at", body.alias("b"))
-        .where(F.col("b.status") == "success")
-        .select("*", F.explode("b.metals").alias("metal", "rate"))
-    )
+    succeeded = _bodies(raw, _RATES, keep=lambda b: b["status"] == "success")
+    rows = succeeded.select("*", F.explode("b.metals").alias("metal", "rate"))
     return rows.select(
         "metal",
         _number("rate", "rate"),
@@ -125,14 +127,11 @@ def rate_map_failures(raw: DataFrame) -> DataFrame:
 
 def values(raw: DataFrame, source: str = "twelvedata", dataset: str = "exchange_rates") -> DataFrame:
     """A ``values`` list of bars under ``meta``; times become ISO UTC text."""
-    body = F.from_json(
-        "payload",
+    rows = _bodies(
+        raw,
         "meta struct<symbol:string,`interval`:string,currency_base:string,currency_quote:string,type:string>, "
         "values array<struct<datetime:string,open:string,high:string,low:string,close:string>>",
-    )
-    rows = raw.select("request_url", "received_at", body.alias("b")).select(
-        "*", F.explode("b.values").alias("bar")
-    )
+    ).select("*", F.explode("b.values").alias("bar"))
     return rows.select(
         F.col("b.meta.symbol").alias("symbol"),
         F.col("b.meta.interval").alias("interval"),
@@ -150,12 +149,11 @@ def values(raw: DataFrame, source: str = "twelvedata", dataset: str = "exchange_
 
 def articles(raw: DataFrame, source: str = "newsapi", dataset: str = "everything") -> DataFrame:
     """An ``articles`` list, each with a nested news source."""
-    body = F.from_json(
-        "payload",
+    rows = _bodies(
+        raw,
         "articles array<struct<url:string,title:string,author:string,"
         "source:struct<id:string,name:string>,description:string,publishedAt:string>>",
-    )
-    rows = raw.select("request_url", "received_at", F.explode(body["articles"]).alias("a"))
+    ).select("request_url", "received_at", F.explode("b.articles").alias("a"))
     return rows.select(
         F.col("a.url").alias("article_url"),
         F.col("a.title").alias("title"),
@@ -177,10 +175,11 @@ def swings(raw: DataFrame, source: str = "indian_stock_api", dataset: str = "52_
     ``high52Week`` points carry the 52-week high, all others the low.
     """
     point = "struct<ticker:string,company:string,price:string,`52_week_high`:string,`52_week_low`:string>"
-    body = F.from_json("payload", f"NSE_52WeekHighLow map<string,array<{point}>>")
-    rows = raw.select(
-        "request_url", "received_at", F.explode(body["NSE_52WeekHighLow"]).alias("swing_type", "points")
-    ).select("request_url", "received_at", "swing_type", F.explode("points").alias("p"))
+    rows = (
+        _bodies(raw, f"NSE_52WeekHighLow map<string,array<{point}>>")
+        .select("request_url", "received_at", F.explode("b.NSE_52WeekHighLow").alias("swing_type", "points"))
+        .select("request_url", "received_at", "swing_type", F.explode("points").alias("p"))
+    )
     price = F.when(F.col("swing_type") == "high52Week", F.col("p.52_week_high")).otherwise(
         F.col("p.52_week_low")
     )
@@ -189,7 +188,7 @@ def swings(raw: DataFrame, source: str = "indian_stock_api", dataset: str = "52_
         F.col("p.company").alias("company"),
         _number("p.price", "price"),
         "swing_type",
-        price.try_cast("double").alias("swing_price"),
+        text_to_double(price).alias("swing_price"),
         *_envelope(source, dataset),
     )
 
@@ -198,9 +197,7 @@ def risk_premium(raw: DataFrame, countries: Sequence[str] = (), source: str = "f
                  dataset: str = "market_risk_premium") -> DataFrame:
     """A list of country premiums, optionally for chosen countries; a missing premium is 0."""
     item = "struct<country:string,continent:string,countryRiskPremium:string,totalEquityRiskPremium:string>"
-    rows = raw.select(
-        "request_url", "received_at", F.explode(F.from_json("payload", f"array<{item}>")).alias("r")
-    )
+    rows = _bodies(raw, f"array<{item}>").select("request_url", "received_at", F.explode("b").alias("r"))
     if countries:
         rows = rows.where(F.col("r.country").isin(list(countries)))
     return rows.select(
@@ -224,9 +221,7 @@ def performance(raw: DataFrame, level: str, mode: str, entities: Sequence[str],
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     item = f"struct<date:string,`{level}`:string,exchange:string,averageChange:string>"
-    rows = raw.select(
-        "request_url", "received_at", F.explode(F.from_json("payload", f"array<{item}>")).alias("r")
-    )
+    rows = _bodies(raw, f"array<{item}>").select("request_url", "received_at", F.explode("b").alias("r"))
     if mode == "snapshot":
         rows = rows.where(F.col(f"r.{level}").isin(list(entities)))
     return rows.select(
@@ -247,7 +242,7 @@ def locations(raw: DataFrame, source: str = "indian_api") -> DataFrame:
     item = "struct<city:string,state:string,name:string,price:string,`change`:string,date:string>"
     part = F.split("request_dataset", "_")
     historical = part[2] == "historical"
-    rows = raw.select(
+    rows = _bodies(raw, f"array<{item}>", "request_dataset", "location").select(
         "request_url",
         "received_at",
         part[0].alias("fuel_type"),
@@ -256,7 +251,7 @@ def locations(raw: DataFrame, source: str = "indian_api") -> DataFrame:
         F.when(historical, F.concat_ws("_", "request_dataset", F.lower("location")))
         .otherwise(F.col("request_dataset"))
         .alias("_dataset"),
-        F.explode(F.from_json("payload", f"array<{item}>")).alias("r"),
+        F.explode("b").alias("r"),
     )
     place = F.coalesce(
         F.nullif(F.col("r.city"), F.lit("")), F.nullif(F.col("r.state"), F.lit("")), F.col("r.name")

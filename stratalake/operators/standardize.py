@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.casting import cast_or_null, year_month
 from ..functions.hashing import record_hash
@@ -27,13 +28,14 @@ def standardize(
     for old, new in (renames or {}).items():
         if old in df.columns and new not in df.columns:
             df = df.withColumnRenamed(old, new)
-    present = set(df.columns)
-    return df.select(
-        *[
-            (cast_or_null(name, dtype) if name in present else F.lit(None).cast(dtype)).alias(name)
-            for name, dtype in types.items()
-        ]
-    )
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def typed(name: str, dtype: str) -> Column:
+        if name not in have:
+            return F.lit(None).cast(dtype)
+        return cast_or_null(name, dtype, text=isinstance(have[name], T.StringType))
+
+    return df.select(*[typed(name, dtype).alias(name) for name, dtype in types.items()])
 
 
 def with_month_partition(df: DataFrame, time_column: str, name: str = "year_month") -> DataFrame:
