@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import save_and_read, scratch_path
+
 NEUTRAL = 50.0
 SALTS = 64
 
@@ -16,15 +18,16 @@ def attach_group_stats(
 ) -> DataFrame:
     """Join one-row-per-group statistics to every row of its group.
 
-    The statistics are broadcast only after counting that they are few.
+    The statistics are stored, then broadcast only if counted to be few.
     Beyond that, rows of a group are spread over salts and the statistics
     repeated per salt, so a group with a third of all rows uses many tasks.
     """
-    stats = stats.persist()
-    if stats.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    stats = save_and_read(stats, scratch_path(df.sparkSession, "group-stats"))
+    if stats.count() <= broadcast_rows:
         return df.join(F.broadcast(stats), list(keys))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-    repeated = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
+    repeated = stats.withColumn("_salt", F.explode(all_salts))
     return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 

@@ -7,12 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import duplicate_keys
 from .merge import scd2_violations
 
-REPORT = "check STRING, violations BIGINT"
-
-
 class GateError(ValueError):
     """A batch or table failed its gate; nothing was published."""
 
@@ -45,30 +41,37 @@ def cast_failed(raw: Column, typed: Column) -> Column:
 # --- reports ---------------------------------------------------------------------
 
 
+def _as_rows(counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    pairs = [F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").alias("violations")) for n in names]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def row_report(df: DataFrame, checks: Mapping[str, Column], non_empty: bool = True) -> DataFrame:
     """One row per check with its number of violating rows, from a single scan."""
     counts = [F.count_if(cond).alias(name) for name, cond in checks.items()]
     if non_empty:
         counts.append((F.count(F.lit(1)) == 0).cast("bigint").alias("not_empty"))
-    names = [*checks, *(["not_empty"] if non_empty else [])]
-    pairs = [
-        F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").alias("violations")) for n in names
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*pairs)))
-
-
-def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return duplicate_keys(df, keys).agg(
-        F.lit("unique_keys").alias("check"), F.count(F.lit(1)).alias("violations")
-    )
+    return _as_rows(df.agg(*counts), [*checks, *(["not_empty"] if non_empty else [])])
 
 
 def quality_report(
     df: DataFrame, keys: Sequence[str], checks: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """Batch report: not empty, keys present, keys unique, and the given row checks."""
+    """Batch report: not empty, keys present, keys unique, and the given row checks.
+
+    One scan: violations are counted per key together with the key's rows
+    (combined on the map side), then added up.
+    """
     rows = {f"{k}_present": F.col(k).isNull() for k in keys} | dict(checks or {})
-    return row_report(df, rows).unionByName(duplicate_report(df, keys))
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(cond).alias(name) for name, cond in rows.items()]
+    )
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in rows],
+        (F.count(F.lit(1)) == 0).cast("bigint").alias("not_empty"),
+        F.count_if(F.col("_rows") > 1).alias("unique_keys"),
+    )
+    return _as_rows(totals, [*rows, "not_empty", "unique_keys"])
 
 
 def history_report(table: DataFrame, keys: Sequence[str]) -> DataFrame:

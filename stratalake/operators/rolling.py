@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+# entity names passed to a scan as literals; more of them become a join
+_LITERALS = 1_000
 # calendar units tried, coarse to fine, when one entity has too many rows for a task
 _UNITS = ("year", "month", "day", "hour", "minute", "second")
 
@@ -68,9 +69,7 @@ def rolling(df: DataFrame, spec: RollingSpec, max_rows: int = 2_000_000) -> Data
     is cut at the coarsest calendar unit that keeps each piece below the
     bound, so a hot entity is spread over many tasks with equal results.
     """
-    if isinstance(df.schema[spec.order].dataType, T.DateType) or (
-        _largest_group(df, [spec.entity]) <= max_rows
-    ):
+    if _largest_group(df, [spec.entity]) <= max_rows:
         return add_rolling(df, spec)
     for unit in _UNITS:
         piece = F.date_trunc(unit, F.col(spec.order))
@@ -114,14 +113,14 @@ def rolling_in_pieces(df: DataFrame, spec: RollingSpec, unit: str) -> DataFrame:
 def calendar_averages(df: DataFrame, spec: RollingSpec) -> DataFrame:
     """Monthly and yearly average of the value, repeated on each row.
 
-    After ``add_rolling`` the rows are already partitioned by entity, which
-    also serves these finer groupings: no further shuffle.
+    Rows partitioned by entity (after ``add_rolling``) or by entity and year
+    serve the finer grouping as they are: no shuffle between the two.
     """
     by_year = [F.col(spec.entity), F.year(spec.order)]
     by_month = [*by_year, F.month(spec.order)]
     return df.withColumn(
-        f"monthly_avg_{spec.value}", F.avg(spec.value).over(Window.partitionBy(*by_month))
-    ).withColumn(f"yearly_avg_{spec.value}", F.avg(spec.value).over(Window.partitionBy(*by_year)))
+        f"yearly_avg_{spec.value}", F.avg(spec.value).over(Window.partitionBy(*by_year))
+    ).withColumn(f"monthly_avg_{spec.value}", F.avg(spec.value).over(Window.partitionBy(*by_month)))
 
 
 def _last_rows(df: DataFrame, spec: RollingSpec) -> DataFrame:
@@ -141,7 +140,8 @@ def refresh_rolling(
     ``since`` is the earliest date of the batch (a literal, so partitions
     prune). The rows needed before it are counted in rows, not days: first the
     last ``lookback_days`` days are read; entities with too few rows there
-    are looked up in the older history, which is read only if there are any.
+    are looked up in the older history, which is read only if there are any,
+    and only for them.
     """
     order = F.col(spec.order)
     start = F.lit(since).cast("date")
@@ -156,7 +156,12 @@ def refresh_rolling(
         .select(spec.entity)
     )
     short = affected.select(spec.entity).distinct().join(enough, spec.entity, "left_anti")
-    older = fact.where(order < near).join(short, spec.entity, "left_semi")
-    if not older.isEmpty():
+    names = [r[0] for r in short.limit(_LITERALS + 1).collect()]
+    if names:
+        older = fact.where(order < near)
+        if len(names) <= _LITERALS:
+            older = older.where(F.col(spec.entity).isin(names))  # reaches the scan
+        else:
+            older = older.join(short, spec.entity, "left_semi")
         context = _last_rows(context.unionByName(_last_rows(older, spec)), spec)
     return add_rolling(context.unionByName(affected), spec).where(order >= start)

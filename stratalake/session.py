@@ -48,6 +48,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/stratalake/{label}-{uuid.uuid4().hex}"
 
 
+def save_and_read(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and read it back: whatever follows starts from the files."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Scratch:
     """Intermediate tables of one job in the shared folder, removed when the job ends.
 
@@ -61,11 +67,8 @@ class Scratch:
         self._saved = 0
 
     def save(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` and read it back: later jobs start from its files."""
         self._saved += 1
-        path = f"{self.path}/{self._saved}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return save_and_read(df, f"{self.path}/{self._saved}")
 
     def __enter__(self) -> Scratch:
         return self

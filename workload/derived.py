@@ -9,6 +9,7 @@ from stratalake.operators.dedup import latest_wins
 from stratalake.operators.merge import scd2_merge
 from stratalake.operators.reports import host_of
 from stratalake.operators.standardize import with_history_columns
+from stratalake.session import save_and_read, scratch_path
 
 from .registry import table
 
@@ -66,7 +67,7 @@ HOURLY = """hourly AS (
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
     line = table(spark, sf, "lineitem").select(
-        "l_partkey", "l_shipdate", "l_extendedprice", "l_linestatus"
+        "l_partkey", "l_shipdate", "l_extendedprice", "l_linenumber"
     )
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand")
     return (
@@ -74,7 +75,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("p_type", "p_brand", F.col("l_shipdate").cast("date").alias("trade_date"))
         .agg(
             F.max("l_extendedprice").alias("value"),
-            F.concat(F.lit("USD/"), F.min("l_linestatus")).alias("unit"),
+            F.min("l_linenumber").alias("lot"),
         )
         .select(
             F.col("p_type").alias("commodity"),
@@ -82,7 +83,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
             F.lit("daily").alias("interval"),
             "trade_date",
             "value",
-            "unit",
+            F.concat(F.lit("USD/"), F.col("lot").cast("string")).alias("unit"),
         )
     )
 
@@ -90,7 +91,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
 PRICES = """prices AS (
   SELECT p_type AS commodity, p_type || '/' || p_brand AS symbol, 'daily' AS "interval",
          CAST(l_shipdate AS DATE) AS trade_date, max(l_extendedprice) AS value,
-         'USD/' || min(l_linestatus) AS unit
+         'USD/' || CAST(min(l_linenumber) AS VARCHAR) AS unit
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type, p_brand, 4)"""
 
 
@@ -127,10 +128,12 @@ def version_batch(spark: SparkSession, sf: str, number: int) -> DataFrame:
 
 
 def versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The versioned table after three runs; every run starts from the stored result of the last."""
     out = version_batch(spark, sf, 0)
     for number in (1, 2):
-        out = scd2_merge(out, version_batch(spark, sf, number), VERSION_KEYS)
-    return out
+        stored = save_and_read(out, scratch_path(spark, "versions"))
+        out = scd2_merge(stored, version_batch(spark, sf, number), VERSION_KEYS)
+    return save_and_read(out, scratch_path(spark, "versions"))
 
 
 VERSIONS = f"""states AS (
