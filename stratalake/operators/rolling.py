@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 
 # entity names passed to a scan as literals; more of them become a join
 _LITERALS = 1_000
-# calendar units tried, coarse to fine, when one entity has too many rows for a task
-_UNITS = ("year", "month", "day", "hour", "minute", "second")
+# calendar units, in seconds, at which a series too long for a task may be cut
+_UNITS = {
+    "year": 31_536_000,
+    "month": 2_592_000,
+    "day": 86_400,
+    "hour": 3_600,
+    "minute": 60,
+    "second": 1,
+}
 
 
 @dataclass(frozen=True)
@@ -56,26 +63,36 @@ def add_rolling(df: DataFrame, spec: RollingSpec, groups: Sequence[str] | None =
     )
 
 
-def _largest_group(df: DataFrame, groups: Sequence) -> int:
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+def _fits(df: DataFrame, spec: RollingSpec, unit: str, max_rows: int) -> bool:
+    pieces = df.groupBy(spec.entity, F.date_trunc(unit, F.col(spec.order)))
+    return pieces.agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] <= max_rows
 
 
 def rolling(df: DataFrame, spec: RollingSpec, max_rows: int = 2_000_000) -> DataFrame:
     """``add_rolling`` for series of any length.
 
-    The largest group is measured first (a map-side combined count of two
+    The longest series is measured first (a map-side combined count of two
     columns). Up to ``max_rows`` the plain windows serve; beyond, every series
     is cut at the coarsest calendar unit that keeps each piece below the
     bound, so a hot entity is spread over many tasks with equal results.
     """
-    if _largest_group(df, [spec.entity]) <= max_rows:
+    seconds = F.col(spec.order).cast("timestamp").cast("bigint")
+    longest = (
+        df.groupBy(spec.entity)
+        .agg(F.count(F.lit(1)).alias("n"), (F.max(seconds) - F.min(seconds)).alias("span"))
+        .agg(F.max_by(F.struct("n", "span"), "n").alias("s"))
+        .select("s.*")
+        .first()
+    )
+    if (longest["n"] or 0) <= max_rows:
         return add_rolling(df, spec)
-    for unit in _UNITS:
-        piece = F.date_trunc(unit, F.col(spec.order))
-        if unit == _UNITS[-1] or _largest_group(df, [spec.entity, piece]) <= max_rows:
+    # start at the unit that fits if rows are spread evenly, then make sure
+    target = longest["span"] * max_rows / longest["n"]
+    candidates = [unit for unit, length in _UNITS.items() if length <= target] or ["second"]
+    for unit in candidates[:-1]:
+        if _fits(df, spec, unit, max_rows):
             return rolling_in_pieces(df, spec, unit)
-    raise AssertionError("unreachable")
+    return rolling_in_pieces(df, spec, candidates[-1])
 
 
 def rolling_in_pieces(df: DataFrame, spec: RollingSpec, unit: str) -> DataFrame:

@@ -115,13 +115,13 @@ def _publish_appended(spark: SparkSession, batch: DataFrame, spec: DatasetSpec,
     return merged
 
 
-def _publish_fact(spark: SparkSession, current: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, scratch: Scratch) -> str:
+def _publish_fact(spark: SparkSession, current: DataFrame, spec: DatasetSpec, run: Run, layers: Layers) -> str:
     name = spec.table(layers.gold, "fact")
     tables.create_table(spark, name, spec.fact_columns, spec.partition, layers.provider, layers.location)
     if spec.fact_style == "upsert":
         target = tables.touched(spark.table(name), current, spec.partition)
         merged = upsert(target, current.select(*spec.fact), spec.keys, spec.fact_update, "processed_at", run.as_of)
-        tables.publish_partitions(scratch.save(merged), name, spec.partition)
+        tables.publish_partitions(merged, name, spec.partition)
     elif spec.fact_style == "snapshot":
         silver = spark.table(spec.table(layers.silver, "clean")).where("is_current")
         tables.publish_snapshot(silver.select(*spec.fact_columns), name)
@@ -187,7 +187,7 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, bronze: DataFrame, run
             current = _publish_versioned(spark, batch, spec, run, layers, scratch)
         else:
             current = _publish_appended(spark, batch, spec, layers, scratch)
-        fact = _publish_fact(spark, current, spec, run, layers, scratch)
+        fact = _publish_fact(spark, current, spec, run, layers)
         if spec.rolling:
             _publish_metrics(spark, batch, fact, spec, run, layers)
         if spec.index:

@@ -221,7 +221,7 @@ def recency(spark: SparkSession, sf: str) -> DataFrame:
     "manifest_gate",
     """WITH m AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2)
   SELECT strftime(day, '%Y-%m-%d') AS day, event_type AS kind,
-    CASE event_type WHEN 'purchase' THEN NULL WHEN 'signup' THEN NULL ELSE n END AS record_count,
+    CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 0 ELSE n END AS record_count,
     CASE event_type WHEN 'error' THEN 'not successful' WHEN 'signup' THEN 'not json' WHEN 'purchase' THEN 'no records'
                     WHEN 'view' THEN 'missing field' END AS problem FROM m""",
 )
@@ -247,7 +247,7 @@ def manifests(spark: SparkSession, sf: str) -> DataFrame:
     )
     told = F.when(kind == "signup", F.concat(F.lit("Task timed out on "), F.col("day"))).otherwise(good)
     gated = manifest_gate(daily.select("kind", "day", told.alias("manifest")))
-    return gated.select("day", "kind", "record_count", "problem")
+    return gated.fillna(0, ["record_count"]).select("day", "kind", "record_count", "problem")
 
 
 @query(

@@ -338,7 +338,7 @@ def locations(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "payload_extract",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, props AS data, 'trending' AS dataset,
-  json_extract_string(props, '$.k.deep') AS deep FROM events""",
+  json_extract(props, '$.k.deep') IS NULL AS deep_missing FROM events""",
 )
 def payload_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Payloads stay whole; typed members are read on demand, absent ones are NULL."""
@@ -350,7 +350,7 @@ def payload_extract(spark: SparkSession, sf: str) -> DataFrame:
         payload_value(F.col("data"), "$.k", "bigint").alias("k"),
         "data",
         "dataset",
-        payload_value(F.col("data"), "$.k.deep", "string").alias("deep"),
+        payload_value(F.col("data"), "$.k.deep", "string").isNull().alias("deep_missing"),
     )
 
 
