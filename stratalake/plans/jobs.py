@@ -50,6 +50,7 @@ class Layers:
     location: str | None = None
 
 
+_QUARANTINE = {"line": "string", "run_id": "string", "dataset": "string"}
 _RUNS = {
     "run_id": "string",
     "dag_id": "string",
@@ -175,6 +176,16 @@ def _log_run(spark: SparkSession, spec: DatasetSpec, run: Run, layers: Layers, b
     tables.append(row, name)
 
 
+def _keep_quarantine(spark: SparkSession, bad: DataFrame, spec: DatasetSpec, run: Run, layers: Layers) -> None:
+    """Store the malformed lines of a permissive scan with the run that met them."""
+    name = f"{layers.ops}.quarantine"
+    tables.create_table(spark, name, _QUARANTINE, "dataset", layers.provider, layers.location)
+    lines = bad.select(
+        F.col(CORRUPT).alias("line"), F.lit(run.run_id).alias("run_id"), F.lit(spec.name).alias("dataset")
+    )
+    tables.append(lines, name)
+
+
 def process_batch(spark: SparkSession, spec: DatasetSpec, bronze: DataFrame, run: Run, layers: Layers = Layers()) -> None:
     """Carry one bronze batch through all layers of its dataset."""
     if spec.style == "raw":
@@ -206,5 +217,6 @@ def run_dataset(
     """Run the job of a dataset over exactly the given bronze objects."""
     bronze = scan_bronze(spark, keys, spec.bronze_columns, spec.scan_mode, base_path)
     if CORRUPT in bronze.columns:
-        bronze, _ = split_corrupt(bronze)
+        bronze, bad = split_corrupt(bronze)
+        _keep_quarantine(spark, bad, spec, run, layers)
     process_batch(spark, spec, bronze, run, layers)

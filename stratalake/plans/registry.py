@@ -129,6 +129,8 @@ FULL_CHANNELS = {
     },
 }
 
+# Dataset identities, columns with their types, keys, fingerprint columns and
+# partitions of the stored tables.
 _MARKET = DatasetSpec(
     name="market_daily",
     domain="american_markets",

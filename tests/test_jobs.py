@@ -110,6 +110,7 @@ def test_macro_job(spark, layers, tmp_path):
     scores = spark.table(spec.table(layers.gold, "scores"))
     assert rows(scores, "country", "year", "macro_resilience_score") == [("IND", 2019, 50.0), ("IND", 2020, 70.0), ("USA", 2020, 30.0)]
     assert spark.table(spec.table(layers.gold, "tvi")).count() == 3
+    assert rows(spark.table(f"{layers.ops}.quarantine"), "run_id", "line") == [("r1", '{"indicator": "LUR", ')]
 
 
 def test_spot_job_has_no_duplicates(spark, layers, tmp_path):

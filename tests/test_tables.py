@@ -132,12 +132,12 @@ def test_manifests(spark):
 
 
 def test_article_arguments(spark):
-    df = spark.createDataFrame([("https://x.org/1", "The Tariff", None, "2024-01-01")], "article_url string, title string, description string, published_at string")
+    df = spark.createDataFrame([("https://x.org/1", "The Copper", None, "2024-01-01")], "article_url string, title string, description string, published_at string")
     df = df.withColumn("published_at", F.col("published_at").cast("timestamp"))
-    assert article_search(df, ["tariff"]).count() == 1
-    assert article_search(df, ["tariff", "india"]).count() == 0
-    assert article_search(df, ["tariff"], search_in=["description"]).count() == 0
-    assert article_search(df, ["tariff"], domains=["x.org"], page=2).count() == 0
+    assert article_search(df, ["copper"]).count() == 1
+    assert article_search(df, ["copper", "india"]).count() == 0
+    assert article_search(df, ["copper"], search_in=["description"]).count() == 0
+    assert article_search(df, ["copper"], domains=["x.org"], page=2).count() == 0
     with pytest.raises(ValueError):
         article_search(df, [])
     with pytest.raises(ValueError):
