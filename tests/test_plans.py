@@ -54,3 +54,11 @@ def test_top_k_is_not_a_sort(spark):
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
     pages = spark.createDataFrame([], "article_url string, title string, description string, published_at timestamp")
     assert "TakeOrderedAndProject" in plan_of(article_search(pages, ["a"], page=3))
+
+
+def test_payloads_are_parsed_once(spark):
+    from stratalake.operators import flatten
+
+    raw = spark.createDataFrame([("{}", "", "", "")], "payload string, request_url string, received_at string, symbol string")
+    for flat in (flatten.rate_map, flatten.series, flatten.values, flatten.articles, flatten.swings, flatten.nested_map):
+        assert plan_of(flat(raw)).count("from_json(") <= 1

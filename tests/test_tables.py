@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.functions.payload import payload_value
 from stratalake.operators.quality import not_recent, outside_domain, outside_range, quality_report, row_report
 from stratalake.plans.manifest import manifest_gate, manifest_reconcile
 from stratalake.session import shared_folder
@@ -60,6 +61,9 @@ def test_per_entity(spark, tmp_path):
     df = spark.createDataFrame([("A", "s", "d"), ("A", "s", "d"), ("B", "s", "d")], "symbol string, source string, dataset string")
     counts = write_per_entity(df, str(tmp_path / "e"), F.col("symbol"), "2024-02-03T04:05:06+00:00")
     assert rows(counts) == [("A", 2), ("B", 1)]
+    deep = spark.createDataFrame([('{"companyProfile": {"exchangeCodeNse": "TITAN"}}', "s", "d")], "data string, source string, dataset string")
+    entity = payload_value(F.col("data"), "$.companyProfile.exchangeCodeNse", "string")
+    assert rows(write_per_entity(deep, str(tmp_path / "g"), entity, "2024-02-03T04:05:06+00:00")) == [("TITAN", 1)]
     with pytest.raises(ValueError, match="no entity"):
         write_per_entity(df.withColumn("symbol", F.lit(None).cast("string")), str(tmp_path / "f"), F.col("symbol"), "2024-02-03")
 

@@ -116,7 +116,8 @@ def zone_scan(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "raw_zone_scan")
     write_raw_zone(_landed_articles(spark, sf), base, INGESTED)
     zone = scan_raw_zone(spark, base, ARTICLE_COLUMNS).where("dataset = 'en'")
-    return zone.select(
+    utc = F.to_utc_timestamp("published_at", F.current_timezone())
+    return zone.withColumn("published_at", utc).select(
         "article_url", "description", moment("published_at"), "source", "dataset", text("ingestion_date")
     )
 
