@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.composite import composite, coverage_ratio, minmax_norm, pivot_norms, weighted_channels
 from ..operators.dedup import append_then_dedup, latest_wins
-from ..operators.merge import scd2_merge, upsert
+from ..operators.merge import scd2_as_of, scd2_merge, upsert
 from ..operators.quality import (
     GateError,
     enforce,
@@ -20,7 +20,7 @@ from ..operators.quality import (
     range_checks,
     row_report,
 )
-from ..operators.rolling import refresh_rolling
+from ..operators.rolling import add_rolling, refresh_rolling
 from ..operators.standardize import standardize, with_history_columns, with_lineage, with_month_partition
 from ..session import Scratch
 from ..sources import tables
@@ -123,45 +123,87 @@ def _publish_fact(spark: SparkSession, current: DataFrame, spec: DatasetSpec, ru
         target = tables.touched(spark.table(name), current, spec.partition)
         merged = upsert(target, current.select(*spec.fact), spec.keys, spec.fact_update, "processed_at", run.as_of)
         tables.publish_partitions(merged, name, spec.partition)
-    elif spec.fact_style == "snapshot":
-        silver = spark.table(spec.table(layers.silver, "clean")).where("is_current")
-        tables.publish_snapshot(silver.select(*spec.fact_columns), name)
     else:
         tables.publish_partitions(current.select(*spec.fact_columns), name, spec.partition)
     return name
 
 
-def _publish_metrics(spark: SparkSession, batch: DataFrame, fact: str, spec: DatasetSpec, run: Run, layers: Layers) -> None:
-    rolling = spec.rolling
-    since = batch.agg(F.min(rolling.order)).first()[0]
-    metrics = refresh_rolling(spark.table(fact), since, rolling).withColumn(
-        "processed_at", F.lit(run.as_of).cast("timestamp")
-    )
+def _stamped(df: DataFrame, as_of: str) -> DataFrame:
+    return df.withColumn("processed_at", F.lit(as_of).cast("timestamp"))
+
+
+def _metrics_table(spark: SparkSession, metrics: DataFrame, spec: DatasetSpec, layers: Layers) -> str:
     name = spec.table(layers.gold, "metrics")
     types = {f.name: f.dataType.simpleString() for f in metrics.schema.fields}
     tables.create_table(spark, name, types, spec.partition, layers.provider, layers.location)
+    return name
+
+
+def _publish_metrics(
+    spark: SparkSession, batch: DataFrame, fact: str, spec: DatasetSpec, run: Run, layers: Layers
+) -> None:
+    """Refresh the metrics from the first date of the batch on."""
+    since = batch.agg(F.min(spec.rolling.order)).first()[0]
+    metrics = _stamped(refresh_rolling(spark.table(fact), since, spec.rolling), run.as_of)
+    name = _metrics_table(spark, metrics, spec, layers)
     tables.publish_partitions(metrics, name, spec.partition)
 
 
-def _publish_index(spark: SparkSession, batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, scratch: Scratch) -> None:
-    """Scores and index of the years in the batch; a year's extremes depend on that year only."""
-    index = spec.index
-    silver = spark.table(spec.table(layers.silver, "clean")).where("is_current")
-    scores = scratch.save(
-        index_scores(tables.touched(silver, batch, "year"), index).withColumn(
-            "processed_at", F.lit(run.as_of).cast("timestamp")
-        )
-    )
-    enforce(row_report(scores, range_checks(scores), non_empty=False), f"{spec.name} scores")
-    entity = {"country": "string", "year": "int"}
-    stamp = {"processed_at": "timestamp"}
-    for suffix, values in (("scores", [*index.channels, "coverage_ratio"]), ("tvi", [index.name])):
+def _index_tables(spark: SparkSession, spec: DatasetSpec, layers: Layers) -> dict[str, list[str]]:
+    """The score and index tables with their columns."""
+    out = {}
+    for suffix, values in (("scores", [*spec.index.channels, "coverage_ratio"]), ("tvi", [spec.index.name])):
+        columns = {"country": "string", "year": "int"} | {v: "double" for v in values} | {"processed_at": "timestamp"}
         name = spec.table(layers.gold, suffix)
-        columns = entity | {v: "double" for v in values} | stamp
         tables.create_table(spark, name, columns, "year", layers.provider, layers.location)
+        out[name] = list(columns)
+    return out
+
+
+def _checked_scores(current: DataFrame, spec: DatasetSpec, as_of: str, scratch: Scratch) -> DataFrame:
+    scores = scratch.save(_stamped(index_scores(current, spec.index), as_of))
+    enforce(row_report(scores, range_checks(scores), non_empty=False), f"{spec.name} scores")
+    return scores
+
+
+def _publish_index(
+    spark: SparkSession, batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, scratch: Scratch
+) -> None:
+    """Scores and index of the years in the batch; a year's extremes depend on that year only."""
+    silver = spark.table(spec.table(layers.silver, "clean")).where("is_current")
+    scores = _checked_scores(tables.touched(silver, batch, "year"), spec, run.as_of, scratch)
+    for name, columns in _index_tables(spark, spec, layers).items():
         tables.publish_partitions(scores.select(*columns), name, "year")
 
 
+def rebuild_gold(spark: SparkSession, spec: DatasetSpec, as_of: str, layers: Layers = Layers()) -> None:
+    """Replace fact, metrics and index as a whole by what current silver gives, for use after a repair."""
+    silver = spark.table(spec.table(layers.silver, "clean"))
+    if spec.style == "scd2":
+        silver = silver.where("is_current")
+    fact = spec.table(layers.gold, "fact")
+    tables.create_table(spark, fact, spec.fact_columns, spec.partition, layers.provider, layers.location)
+    tables.publish_snapshot(silver.select(*spec.fact_columns), fact, spec.partition)
+    if spec.rolling:
+        metrics = _stamped(add_rolling(spark.table(fact), spec.rolling), as_of)
+        tables.publish_snapshot(metrics, _metrics_table(spark, metrics, spec, layers), spec.partition)
+    if spec.index:
+        with Scratch(spark, spec.name) as scratch:
+            scores = _checked_scores(silver, spec, as_of, scratch)
+            for name, columns in _index_tables(spark, spec, layers).items():
+                tables.publish_snapshot(scores.select(*columns), name, "year")
+
+
+def roll_back(spark: SparkSession, spec: DatasetSpec, moment: str, layers: Layers = Layers()) -> None:
+    """Put a versioned table and its gold tables back to the state after the run at ``moment``."""
+    name = spec.table(layers.silver, "clean")
+    with Scratch(spark, spec.name) as scratch:
+        earlier = scratch.save(scd2_as_of(spark.table(name), moment))
+        enforce(history_report(earlier, spec.keys), name)
+        tables.publish_snapshot(earlier, name, spec.partition)
+    rebuild_gold(spark, spec, moment, layers)
+
+
 def _log_run(spark: SparkSession, spec: DatasetSpec, run: Run, layers: Layers, bronze_rows: int, batch_rows: int) -> None:
     name = f"{layers.ops}.dataset_runs"
     tables.create_table(spark, name, _RUNS, None, layers.provider, layers.location)

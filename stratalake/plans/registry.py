@@ -30,7 +30,11 @@ class IndexSpec:
 
 @dataclass(frozen=True)
 class DatasetSpec:
-    """``style`` is scd2, append, or raw (bronze only, no silver table)."""
+    """``style`` is scd2, append, or raw (bronze only, no silver table).
+
+    ``fact_style`` says how the fact follows silver: ``upsert`` merges the current
+    rows by key, ``partitions`` replaces the touched partitions by them.
+    """
 
     name: str
     domain: str
@@ -198,7 +202,7 @@ _MACRO = DatasetSpec(
     required=("indicator", "country", "year", "value", "ingested_at"),
     scan_mode="PERMISSIVE",
     fact=("indicator", "country", "year", "value"),
-    fact_style="snapshot",
+    fact_style="partitions",
     index=MACRO_INDEX,
     schedule="@monthly",
 )
@@ -334,7 +338,7 @@ def problems(spec: DatasetSpec) -> list[str]:
         found.append("partition column of a versioned dataset must be a key column")
     if spec.style == "append" and spec.month_of not in spec.keys:
         found.append("month partition must come from a key column")
-    if spec.fact_style not in ("upsert", "snapshot", "partitions"):
+    if spec.fact_style not in ("upsert", "partitions"):
         found.append(f"unknown fact style {spec.fact_style}")
     if spec.index:
         total = sum(spec.index.weights.values())

@@ -70,13 +70,15 @@ def publish_partitions(df: DataFrame, name: str, partition: str) -> None:
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
     try:
-        _for_table(df, name).hint("rebalance", partition).write.insertInto(name, overwrite=True)
+        _for_table(df.hint("rebalance", partition), name).write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(key, before)
 
 
-def publish_snapshot(df: DataFrame, name: str) -> None:
+def publish_snapshot(df: DataFrame, name: str, partition: str | None = None) -> None:
     """Replace the whole content of a table; ``df`` must not read from it."""
+    if partition:
+        df = df.hint("rebalance", partition)
     spark = df.sparkSession
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stratalake.operators.quality import GateError
 from stratalake.operators.rolling import RollingSpec, add_rolling
 from stratalake.plans import registry
-from stratalake.plans.jobs import Run, run_dataset
+from stratalake.plans.jobs import Run, rebuild_gold, roll_back, run_dataset
 from stratalake.plans.registry import DATASETS, RegistryError, find, load
 from stratalake.streaming.landing import drain_landing
 
@@ -54,6 +54,21 @@ def test_market_job(spark, layers, tmp_path):
     assert rows(runs, "run_id", "bronze_rows", "batch_rows") == [("r1", 29, 29), ("r2", 3, 3), ("r3", 3, 3)]
 
 
+def test_roll_back(spark, layers, tmp_path):
+    spec = DATASETS["market_daily"]
+    silver, fact = spec.table(layers.silver, "clean"), spec.table(layers.gold, "fact")
+    run_dataset(spark, spec, [land(tmp_path, "1", bar("A", "2024-01-01", 1), bar("A", "2024-01-02", 2))], Run("r1", "2024-02-01"), layers)
+    metrics = spec.table(layers.gold, "metrics")
+    shown = ["symbol", "trade_date", "close", "daily_return", "ma_5_close"]
+    before, facts, figures = rows(spark.table(silver)), rows(spark.table(fact), *spec.fact), rows(spark.table(metrics), *shown)
+    run_dataset(spark, spec, [land(tmp_path, "2", bar("A", "2024-01-02", 9), bar("B", "2024-01-05", 1))], Run("r2", "2024-02-02"), layers)
+    assert rows(spark.table(silver)) != before
+    roll_back(spark, spec, "2024-02-01", layers)
+    assert rows(spark.table(silver)) == before
+    assert rows(spark.table(fact), *spec.fact) == facts
+    assert rows(spark.table(metrics), *shown) == figures
+
+
 def test_gates_stop_before_publishing(spark, layers, tmp_path):
     spec = DATASETS["market_daily"]
     run_dataset(spark, spec, [land(tmp_path, "ok", bar("A", "2024-01-01", 1))], Run("r1", "2024-02-01"), layers)
@@ -110,6 +125,10 @@ def test_macro_job(spark, layers, tmp_path):
     scores = spark.table(spec.table(layers.gold, "scores"))
     assert rows(scores, "country", "year", "macro_resilience_score") == [("IND", 2019, 50.0), ("IND", 2020, 70.0), ("USA", 2020, 30.0)]
     assert spark.table(spec.table(layers.gold, "tvi")).count() == 3
+    tvi = spec.table(layers.gold, "tvi")
+    found = rows(spark.table(tvi), "country", "year", "tvi_score")
+    rebuild_gold(spark, spec, "2024-02-03", layers)
+    assert rows(spark.table(tvi), "country", "year", "tvi_score") == found
     assert rows(spark.table(f"{layers.ops}.quarantine"), "run_id", "line") == [("r1", '{"indicator": "LUR", ')]
 
 
