@@ -229,9 +229,12 @@ def _keep_quarantine(spark: SparkSession, bad: DataFrame, spec: DatasetSpec, run
 
 
 def process_batch(spark: SparkSession, spec: DatasetSpec, bronze: DataFrame, run: Run, layers: Layers = Layers()) -> None:
-    """Carry one bronze batch through all layers of its dataset."""
+    """Carry one bronze batch through all layers of its dataset; malformed lines are set aside."""
     if spec.style == "raw":
         raise ValueError(f"{spec.name} ends in the raw zone")
+    if CORRUPT in bronze.columns:
+        bronze, bad = split_corrupt(bronze)
+        _keep_quarantine(spark, bad, spec, run, layers)
     bronze_rows = _gate_bronze(bronze, spec, run)
     with Scratch(spark, spec.name) as scratch:
         batch = scratch.save(latest_wins(standardized(bronze, spec, run), spec.keys))
@@ -258,7 +261,4 @@ def run_dataset(
 ) -> None:
     """Run the job of a dataset over exactly the given bronze objects."""
     bronze = scan_bronze(spark, keys, spec.bronze_columns, spec.scan_mode, base_path)
-    if CORRUPT in bronze.columns:
-        bronze, bad = split_corrupt(bronze)
-        _keep_quarantine(spark, bad, spec, run, layers)
     process_batch(spark, spec, bronze, run, layers)

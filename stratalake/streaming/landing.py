@@ -10,6 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from ..plans.jobs import Layers, Run, process_batch
 from ..plans.registry import DatasetSpec
+from ..sources.bronze import CORRUPT
 
 
 def drain_landing(
@@ -23,14 +24,21 @@ def drain_landing(
 ) -> StreamingQuery:
     """Run the dataset's batch job over all new files below ``landing``, then stop.
 
-    The stream's checkpoint remembers which objects were read. A batch that is
-    replayed after a failure merges to the same tables.
+    ``landing`` is a folder of files or a raw zone, whose ``name=value`` folders
+    become columns. The stream's checkpoint remembers which objects were read.
+    A batch that is replayed after a failure merges to the same tables.
     """
-    fields = [T.StructField(c, T.StringType()) for c in spec.bronze_columns]
-    reader = spark.readStream.schema(T.StructType(fields)).option("mode", spec.scan_mode)
+    columns = spec.bronze_columns
+    if spec.scan_mode == "PERMISSIVE":
+        columns = [*columns, CORRUPT]
+    reader = (
+        spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        .option("mode", spec.scan_mode)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.option("recursiveFileLookup", "true").json(landing)
+    lines = reader.json(landing)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():

@@ -8,6 +8,7 @@ from stratalake.operators.rolling import RollingSpec, add_rolling
 from stratalake.plans import registry
 from stratalake.plans.jobs import Run, rebuild_gold, roll_back, run_dataset
 from stratalake.plans.registry import DATASETS, RegistryError, find, load
+from stratalake.sources.bronze import write_raw_zone
 from stratalake.streaming.landing import drain_landing
 
 from .conftest import rows
@@ -170,6 +171,24 @@ def test_landing_reads_each_object_once(spark, layers, tmp_path):
     assert spark.table(f"{layers.ops}.dataset_runs").count() == 2
 
 
+def test_landing_from_a_raw_zone(spark, layers, tmp_path):
+    spec = DATASETS["macro_indicators"]
+    base = str(tmp_path / "zone")
+    data = [("LUR", "IND", "2020", "4"), ("LUR", "USA", "2020", "8")]
+    df = spark.createDataFrame(data, "indicator string, country string, year string, value string").withColumns(
+        {"source": F.lit("imf"), "dataset": F.lit("indicators")}
+    )
+    write_raw_zone(df, base, "2024-02-03T04:05:06+00:00")
+    folder = tmp_path / "zone" / "source=imf" / "dataset=indicators" / "ingestion_date=2024-02-03"
+    (folder / "bad.json").write_text('{"indicator": \n')
+    drain_landing(spark, spec, base, str(tmp_path / "cp"), layers, "2024-02-04").awaitTermination()
+    silver = spark.table(spec.table(layers.silver, "clean"))
+    assert rows(silver, "country", "value", "source", "dataset") == [
+        ("IND", 4.0, "imf", "indicators"), ("USA", 8.0, "imf", "indicators"),
+    ]
+    assert rows(spark.table(f"{layers.ops}.quarantine"), "line") == [('{"indicator": ',)]
+
+
 def test_registry():
     assert len(DATASETS) == 17
     assert find("american_markets", "alphavantage", "time_series_daily").name == "market_daily"

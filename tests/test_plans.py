@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import latest_wins
 from stratalake.operators.merge import scd2_merge
-from stratalake.operators.rolling import RollingSpec, add_rolling, calendar_averages
+from stratalake.operators.rolling import RollingSpec, add_rolling, calendar_averages, refresh_rolling
 from stratalake.operators.reports import article_search, average_by, most_recent
 from stratalake.operators.standardize import with_history_columns
 
@@ -41,6 +41,17 @@ def test_rolling_and_calendar_windows_share_one_shuffle(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_refresh_prunes_date_partitions(spark, tmp_path):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").select(
+        F.col("l_suppkey").alias("symbol"), F.date_trunc("month", "l_shipdate").cast("date").alias("trade_date"), F.col("l_tax").alias("close")
+    )
+    lines.dropDuplicates(["symbol", "trade_date"]).write.partitionBy("trade_date").parquet(str(tmp_path / "f"))
+    fact = spark.read.schema("symbol long, close double, trade_date date").parquet(str(tmp_path / "f"))
+    plan = plan_of(refresh_rolling(fact, "2000-06-01", RollingSpec(), 1000))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("trade_date" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
     plan = plan_of(average_by(events, "event_type", "value", ["view", "click"]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.payload import payload_value
 from stratalake.operators.quality import not_recent, outside_domain, outside_range, quality_report, row_report
 from stratalake.plans.manifest import manifest_gate, manifest_reconcile
-from stratalake.session import shared_folder
+from stratalake.session import settings_for, shared_folder
 from stratalake.sources import tables
 from stratalake.sources.bronze import scan_bronze, scan_raw_zone, split_corrupt, write_per_entity, write_raw_zone
 from stratalake.operators.reports import article_search, default_rollup
@@ -153,3 +153,10 @@ def test_article_arguments(spark):
 def test_shared_folder_follows_the_session(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == before or before is None
+
+
+def test_settings_follow_the_input():
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert settings_for(1)[key] == "200"
+    assert settings_for(1 << 40)[key] == "4096"
+    assert settings_for(100 << 40)[key] == "50000"
