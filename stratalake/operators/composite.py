@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import save_and_read, scratch_path
+from .joins import null_safe_join
 
 NEUTRAL = 50.0
 SALTS = 64
@@ -24,11 +25,11 @@ def attach_group_stats(
     """
     stats = save_and_read(stats, scratch_path(df.sparkSession, "group-stats"))
     if stats.count() <= broadcast_rows:
-        return df.join(F.broadcast(stats), list(keys))
+        return null_safe_join(df, F.broadcast(stats), keys, "left")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
     all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
     repeated = stats.withColumn("_salt", F.explode(all_salts))
-    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
+    return null_safe_join(salted, repeated, [*keys, "_salt"], "left").drop("_salt")
 
 
 def minmax_norm(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import null_safe_join
+
 
 def _full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join of whole rows as structs ``t`` and ``s``; NULL keys match each other.
@@ -83,7 +85,7 @@ def scd2_current(table: DataFrame) -> DataFrame:
 def scd2_history(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every version of the keys that changed at least once, found by their closed rows."""
     changed = table.where(~F.col("is_current")).select(*keys).distinct()
-    return table.join(changed, list(keys), "left_semi")
+    return null_safe_join(table, changed, keys, "left_semi")
 
 
 def scd2_reopen(table: DataFrame, condition: Column, effective_from: str) -> DataFrame:

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import is_one_of, null_safe_join
+
 # entity names passed to a scan as literals; more of them become a join
 _LITERALS = 1_000
 # calendar units, in seconds, at which a series too long for a task may be cut
@@ -172,13 +174,13 @@ def refresh_rolling(
         .where(F.col("n") >= spec.lookback)
         .select(spec.entity)
     )
-    short = affected.select(spec.entity).distinct().join(enough, spec.entity, "left_anti")
+    short = null_safe_join(affected.select(spec.entity).distinct(), enough, [spec.entity], "left_anti")
     names = [r[0] for r in short.limit(_LITERALS + 1).collect()]
     if names:
         older = fact.where(order < near)
         if len(names) <= _LITERALS:
-            older = older.where(F.col(spec.entity).isin(names))  # reaches the scan
+            older = older.where(is_one_of(spec.entity, names))  # reaches the scan
         else:
-            older = older.join(short, spec.entity, "left_semi")
+            older = null_safe_join(older, short, [spec.entity], "left_semi")
         context = _last_rows(context.unionByName(_last_rows(older, spec)), spec)
     return add_rolling(context.unionByName(affected), spec).where(order >= start)

@@ -96,7 +96,9 @@ def _gate_bronze(bronze: DataFrame, spec: DatasetSpec, run: Run) -> int:
     return rows
 
 
-def _publish_versioned(spark: SparkSession, batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, scratch: Scratch) -> DataFrame:
+def _publish_versioned(
+    spark: SparkSession, batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, scratch: Scratch
+) -> DataFrame:
     name = spec.table(layers.silver, "clean")
     tables.create_table(spark, name, spec.silver_columns, spec.partition, layers.provider, layers.location)
     target = tables.touched(spark.table(name), batch, spec.partition)
@@ -106,7 +108,9 @@ def _publish_versioned(spark: SparkSession, batch: DataFrame, spec: DatasetSpec,
     return merged.where("is_current")
 
 
-def _publish_appended(spark: SparkSession, batch: DataFrame, spec: DatasetSpec, layers: Layers, scratch: Scratch) -> DataFrame:
+def _publish_appended(
+    spark: SparkSession, batch: DataFrame, spec: DatasetSpec, layers: Layers, scratch: Scratch
+) -> DataFrame:
     name = spec.table(layers.silver, "clean")
     tables.create_table(spark, name, spec.silver_columns, spec.partition, layers.provider, layers.location)
     target = tables.touched(spark.table(name), batch, spec.partition)

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_one_of, null_safe_join
+
 
 def create_table(
     spark: SparkSession, name: str, columns: Mapping[str, str], partition: str | None,
@@ -49,14 +51,10 @@ def touched(
     the scan; more than that is left to a semi join.
     """
     distinct = batch.select(partition).distinct()
-    seen = distinct.limit(max_values + 1).collect()
+    seen = [r[0] for r in distinct.limit(max_values + 1).collect()]
     if len(seen) > max_values:
-        return table.join(distinct, partition, "left_semi")
-    known = [r[0] for r in seen if r[0] is not None]
-    keep = F.col(partition).isin(known)
-    if len(known) < len(seen):
-        keep = keep | F.col(partition).isNull()
-    return table.where(keep)
+        return null_safe_join(table, distinct, [partition], "left_semi")
+    return table.where(is_one_of(partition, seen))
 
 
 def publish_partitions(df: DataFrame, name: str, partition: str) -> None:

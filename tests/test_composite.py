@@ -13,7 +13,7 @@ DATA = [
     ("LUR", "IND", 2022, 4.0), ("LUR", "USA", 2022, None),  # constant, one NULL
     ("LUR", "IND", 2023, None),  # nothing known
     ("BCA_NGDPD", "IND", 2020, -1.0), ("BCA_NGDPD", "USA", 2020, 1.0),
-    ("OTHER", "XXX", 2020, 1.0),
+    ("OTHER", "XXX", 2020, 1.0), ("OTHER", "XXX", None, 1.0), ("OTHER", "YYY", None, 3.0),
 ]
 
 
@@ -29,6 +29,7 @@ def test_norms(data):
     assert got[("LUR", "IND", 2021)] == 50.0
     assert got[("LUR", "USA", 2022)] == 50.0
     assert got[("LUR", "IND", 2023)] is None
+    assert got[("OTHER", "YYY", None)] == 100.0 and len(got) == len(DATA)
 
 
 def test_salted_join_gives_the_same(data):

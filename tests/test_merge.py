@@ -69,6 +69,8 @@ def test_null_keys_match_themselves(spark):
     table = batch(spark, [(None, 1, 1.0)], "2024-01-01")
     merged = scd2_merge(table, batch(spark, [(None, 1, 1.0)], "2024-01-02"), KEYS)
     assert merged.count() == 1
+    changed = scd2_merge(table, batch(spark, [(None, 1, 2.0)], "2024-01-02"), KEYS)
+    assert scd2_history(changed, KEYS).count() == 2
 
 
 def test_null_position_changes_the_hash(spark):

@@ -227,10 +227,12 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "flatten_swings",
-    f"""SELECT c_name AS ticker, c_mktsegment AS company, c_acctbal AS price, swing AS swing_type,
-  CASE WHEN swing = 'high52Week' THEN c_acctbal * 2 ELSE c_acctbal / 2 END AS swing_price,
-  'indian_stock_api' AS source, '52_week_high_low_data' AS dataset, '/hld?' || CAST(c_custkey AS VARCHAR) AS request_url,
-  {_NOTE} FROM customer CROSS JOIN (VALUES ('high52Week'), ('low52Week')) AS v(swing)""",
+    " UNION ALL ".join(
+        f"""SELECT c_name AS ticker, c_mktsegment AS company, c_acctbal AS price, '{swing}' AS swing_type,
+  {price} AS swing_price, 'indian_stock_api' AS source, '52_week_high_low_data' AS dataset,
+  '/hld?' || CAST(c_custkey AS VARCHAR) AS request_url, {_NOTE} FROM customer"""
+        for swing, price in (("high52Week", "c_acctbal * 2"), ("low52Week", "c_acctbal / 2"))
+    ),
 )
 def swings(spark: SparkSession, sf: str) -> DataFrame:
     """Each response has a high and a low list; the other exchange is ignored."""
