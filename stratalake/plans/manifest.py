@@ -37,10 +37,15 @@ def manifest_gate(df: DataFrame, column: str = "manifest") -> DataFrame:
 
 def manifest_reconcile(manifests: DataFrame, rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """Announced against counted records per group; ``difference`` is 0 where they agree."""
-    announced = manifests.groupBy(*by).agg(F.sum("record_count").alias("announced"))
-    counted = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("counted"))
-    both = announced.join(counted, list(by), "full_outer").fillna(0, ["announced", "counted"])
-    return both.withColumn("difference", F.col("counted") - F.col("announced"))
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    announced = manifests.select(*by, F.col("record_count").alias("announced"), none.alias("counted"))
+    counted = rows.select(*by, none.alias("announced"), one.alias("counted"))
+    return (
+        announced.unionByName(counted)
+        .groupBy(*by)
+        .agg(F.sum("announced").alias("announced"), F.sum("counted").alias("counted"))
+        .withColumn("difference", F.col("counted") - F.col("announced"))
+    )
 
 
 def run_history(versions: DataFrame) -> DataFrame:
