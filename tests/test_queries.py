@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload import ORACLE, QUERIES
 
 from .oracle import connect, differences
 
@@ -14,13 +15,13 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert differences(queries()[name](spark, SMALL), con, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
