@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,15 +10,22 @@ from pyspark.sql import functions as F
 
 from stratalake.session import scratch_path
 
-from . import packing, token_file
+from . import language, neighbours, ngram_join, packing, pieces, repeats, sharding, similar_vectors, token_file
+
+from .store import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,3 +49,52 @@ def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-file")
     token_file.write(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return token_file.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op2_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = pieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.array_max("ends"), F.lit(0)).cast("long").alias("n_bytes"),
+    )
+
+
+@query
+def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    placed = sharding.shard(docs, 16, F.col("size"), F.xxhash64("text"), F.col("doc_id"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op8_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@query
+def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = language.classify(docs.select("doc_id", "text"), language.fit(docs))
+    return judged.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "second", "rejected")
+
+
+@query
+def op3_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))

@@ -7,11 +7,13 @@ outlive executors. Its folder stays until the session's owner clears
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.session import save_and_read, scratch_path
 
@@ -19,6 +21,18 @@ from stratalake.session import save_and_read, scratch_path
 SLICE_BYTES = 4 << 20
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For workers on machines that have the same path; elsewhere the package is installed or sent
+    with ``--py-files``, and this changes nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     return save_and_read(df, scratch_path(df.sparkSession, label))
