@@ -13,6 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.session import save_and_read, scratch_path
@@ -44,7 +45,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLIC
         if batch.num_rows == 0:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
         ends = np.cumsum(sizes, dtype=np.int64)
         lo = 0
         while lo < batch.num_rows:
