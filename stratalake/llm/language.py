@@ -1,6 +1,7 @@
 """Language identification by compression.
 
-A language is a zstandard dictionary of raw text: ``passages`` random passages of ``passage_chars``
+Texts are judged by their letters alone: lower-cased, with one space for whatever stands between words. A
+language is a zstandard dictionary of raw text: ``passages`` random passages of ``passage_chars``
 characters of its labelled documents (a bounded sample, drawn by a hash over all of them). A
 text is cut into blocks, every block is compressed with each language's dictionary, and the
 language with the smallest total is chosen. Blocks keep the text from teaching the
@@ -9,7 +10,7 @@ compressor itself, so long texts are judged as short ones are.
 ``score`` is the share of the chosen language when lengths are read as probabilities:
 ``1 / sum(2 ** -(bytes - least))`` over the languages. A document is rejected where nothing can
 be told (no text, no letter), or where the runner-up needs hardly more bytes:
-``(second - least) < margin * least``; texts of fewer than ``judged`` bytes are too short to
+``(second - least) < margin * least``; texts with fewer than ``judged`` bytes of letters are too short to
 be rejected for that.
 """
 
@@ -28,15 +29,20 @@ from . import words
 from .store import column, text_slices, with_columns
 
 #: Parameters: the sample of each language, the blocks, the level of compression, the margin.
-PASSAGES = 256
-PASSAGE_CHARS = 384
+PASSAGES = 512
+PASSAGE_CHARS = 256
 BLOCK = 2048
-LEVEL = 3
+LEVEL = 6
 MARGIN = 0.005
 JUDGED = 400
 UNKNOWN = "und"
 
 
+def letters(text: str) -> Column:
+    """The words of a text in lower case, one space before, between and after them; nothing if there is no letter."""
+    return F.regexp_replace(F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")), r"[^\p{L}]+", " ")
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", passages: int = PASSAGES, passage_chars: int = PASSAGE_CHARS) -> dict[str, bytes]:
     """The dictionary of each non-null value of ``lang``: at most ``passages * passage_chars`` characters.
 
@@ -44,14 +50,14 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     documents with the smallest hashes are taken; documents with no chance (about four times as many
     as needed pass) don't get that far, and each task sends at most ``passages`` rows of a language.
     """
-    known = labelled.where(F.col(lang).isNotNull() & (F.length(F.trim(text)) > 0))
+    known = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in known.groupBy(lang).agg(F.count("*")).collect()}
     if not counts:
         return {}
     chance = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4.0 * passages / n))])[F.col(lang)]
     draw = F.xxhash64(F.col(key), F.lit(7)).alias("draw")
     drawn = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw, chance.alias("chance"))
-    drawn = drawn.where((F.col("draw") / F.lit(2.0**64) + 0.5) < F.col("chance"))
+    drawn = drawn.where((F.col("draw") / F.lit(2.0**64) + 0.5) < F.col("chance")).withColumn("text", letters("text"))
     room = F.greatest(F.length("text") - passage_chars, F.lit(0))
     begin = F.pmod(F.shiftright(F.col("draw"), 7), F.greatest(room + 1, F.lit(1)).cast("long")) + 1
     drawn = drawn.select("lang", "draw", F.substr("text", begin.cast("int"), F.lit(passage_chars)).alias("passage"))
@@ -84,31 +90,30 @@ class Classifier:
 
 
 def classify(
-    docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", margin: float = MARGIN, judged: int = JUDGED, level: int = LEVEL, block: int = BLOCK
+    docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", margin: float = MARGIN, judged: int = JUDGED, level: int = LEVEL, block: int = BLOCK, carry: list[str] | None = None
 ) -> DataFrame:
-    """All columns, and ``lang_pred``, ``score``, ``second`` (the runner-up) and ``rejected``.
+    """All columns (or those in ``carry``), and ``lang_pred``, ``score``, ``second`` (the runner-up) and ``rejected``.
 
     Null texts and texts without a letter get ``und`` with score 0 and are rejected; so is everything if
     no language was learned. Ties go to the language that comes first by name, and
     are rejected unless the text is short. Columns of the input with these names are replaced.
     """
     made = {"lang_pred": "string", "score": "double", "second": "string", "rejected": "boolean"}
-    keep = [f for f in docs.schema.fields if f.name not in made]
+    keep = [f for f in docs.schema.fields if f.name not in made and (carry is None or f.name in carry)]
     names = [f.name for f in keep]
     schema = T.StructType([*keep, *T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in made.items())).fields])
-    flag = "_has_letter"
-    while flag in names:
-        flag += "_"
+    plain = "_letters"
+    while plain in names:
+        plain += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Classifier(dictionaries, level, block)
-        for batch in text_slices(batches, text):
-            data, starts = words.text_bytes(column(batch, text))
+        for batch in text_slices(batches, plain):
+            data, starts = words.text_bytes(column(batch, plain))
             raw = data.tobytes()
-            letters = column(batch, flag).to_pylist()
             out = []
-            for lo, hi, letter in zip(starts[:-1].tolist(), starts[1:].tolist(), letters, strict=True):
-                if not letter or not own.languages:
+            for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                if hi - lo < 2 or not own.languages:
                     out.append((UNKNOWN, 0.0, None, True))
                     continue
                 sizes = own.sizes(raw[lo:hi])
@@ -121,8 +126,7 @@ def classify(
             made_columns = {n: pa.array([x[i] for x in out], t) for i, (n, t) in enumerate(zip(made, (pa.string(), pa.float64(), pa.string(), pa.bool_()), strict=True))}
             yield with_columns(batch, names, made_columns)
 
-    letter: Column = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(flag)
-    return docs.select(*names, letter).mapInArrow(run, schema)
+    return docs.select(*names, letters(text).alias(plain)).mapInArrow(run, schema)
 
 
 def held_out(key: str = "doc_id", folds: int = 5) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.session import scratch_path
 
-from . import language, neighbours, ngram_join, packing, pieces, repeats, sharding, similar_vectors, token_file
+from . import language, licenses, neighbours, ngram_join, packing, pieces, repeats, sharding, similar_vectors, token_file
 
 from .store import reachable
 
@@ -86,7 +86,7 @@ def op8_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    judged = language.classify(docs.select("doc_id", "text"), language.fit(docs))
+    judged = language.classify(docs, language.fit(docs), carry=["doc_id"])
     return judged.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "second", "rejected")
 
 
@@ -98,3 +98,8 @@ def op3_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
