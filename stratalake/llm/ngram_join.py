@@ -14,8 +14,9 @@ element among the first ``size - ceil(t * size) + 1`` of each.
   link can change the result.
 * Length filter: sizes within the threshold. Positional filter: the elements that two prefixes share, and all
   that can follow, reach the overlap that is needed. Suffix filter: sets are cut into ranges of
-  hashes, and the difference of the counts in each bounds the overlap.
-* What is left is verified once per pair, on the sets themselves.
+  hashes, and the smaller of the counts in each bounds the overlap.
+* What is left is verified once per pair, on the sets themselves. They are made again from the texts of the few
+  documents that have a candidate, and meet in groups of one document and at most about ``GROUP`` others.
 
 Shingles are compared by 64-bit hashes. Null and empty texts have no set and are linked with nothing;
 fewer than ``n`` words make one shingle. Rows without an id have a size and no component. Rows with the
@@ -34,13 +35,14 @@ from pyspark.sql import functions as F
 
 from . import words
 from .components import components
-from .store import binaries, column, ragged, spread, stored, text_slices
+from .store import binaries, column, join_few, ragged, spread, stored, text_slices
 
 SHINGLE = 5
 THRESHOLD = 75
 COUNTERS = 1 << 20
 KEYS, AGREE = 8, 3
 RANGES = 64
+GROUP = 64
 _BLOCK = 1 << 12
 _TURNS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, KEYS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -274,7 +276,7 @@ def _met(lists: DataFrame, threshold: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """(``k1``, ``size``, ``set``: ascending hashes, ``ranges``: how many of them lie in each range) of leaders' texts.
+    """(``k1``, ``set``: ascending hashes) of leaders' texts.
 
     Rows whose text has another set (an id that occurs twice) are left out.
     """
@@ -282,53 +284,46 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             grams, counts = sets_of(column(batch, "text"), n)
-            text = np.repeat(np.arange(len(counts)), counts)
-            top = (grams >> np.uint64(58)).astype(np.int64)
-            ranges = np.bincount(text * RANGES + top, minlength=len(counts) * RANGES).astype(np.uint32)
-            out = pa.RecordBatch.from_arrays(
-                [column(batch, "k1"), pa.array(counts, pa.int64()), binaries(grams, counts), binaries(ranges, np.full(len(counts), RANGES))],
-                names=["k1", "size", "set", "ranges"],
-            )
+            out = pa.RecordBatch.from_arrays([column(batch, "k1"), binaries(grams, counts)], names=["k1", "set"])
             yield out.filter(pa.array(column(batch, "k1").to_numpy() == _class_keys(grams, counts)))
 
-    return docs.select("k1", "text").mapInArrow(run, "k1 long, size long, set binary, ranges binary")
+    return docs.select("k1", "text").mapInArrow(run, "k1 long, set binary")
 
 
-def _by_ranges(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Suffix filter: pairs whose counts in the ranges of hashes leave enough room for the overlap."""
-    small = sets.select(F.col("k1"), "size", "ranges")
-    joined = pairs.select("a", "b").join(small.withColumnsRenamed({"k1": "a", "size": "na", "ranges": "ra"}), "a")
-    joined = joined.join(small.withColumnsRenamed({"k1": "b", "size": "nb", "ranges": "rb"}), "b")
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """Suffix filter: the most that two sets can share, by their counts in the ranges of hashes."""
+    counts = [np.diff(np.searchsorted(x, _EDGES), append=len(x)) for x in (a, b)]
+    return int(np.minimum(*counts).sum())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ra, rb = (np.frombuffer(b"".join(column(batch, c).to_pylist()), dtype=np.uint32).reshape(-1, RANGES).astype(np.int64) for c in ("ra", "rb"))
-            na, nb = (column(batch, c).to_numpy() for c in ("na", "nb"))
-            most = np.minimum(ra, rb).sum(axis=1)
-            yield batch.filter(pa.array(most >= needed(na, nb, threshold))).select(["a", "b"])
 
-    return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+_EDGES = np.arange(RANGES, dtype=np.uint64) << np.uint64(58)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs that are linked, by their sets."""
-    whole = sets.select("k1", "set")
-    joined = pairs.join(whole.withColumnsRenamed({"k1": "a", "set": "sa"}), "a").join(whole.withColumnsRenamed({"k1": "b", "set": "sb"}), "b")
+def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
+    least = -(-threshold * (len(a) + len(b)) // (100 + threshold))
+    if min(len(a), len(b)) < least or overlap_bound(a, b) < least:
+        return False
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum()) >= least
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(column(batch, "sa"), column(batch, "sb"), strict=True):
-                sa, sb = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = np.concatenate([sa, sb])
-                both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= threshold * (len(sa) + len(sb) - shared))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, n: int, threshold: int) -> DataFrame:
+    """The pairs (``a``, ``b``) that are linked, by the sets of their texts."""
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("salts"))
+    dealt = pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
+    dealt = stored(dealt, "ngram-pairs")
+    need = dealt.select(F.col("b").alias("k1"), "a", "salt").union(dealt.select(F.col("a").alias("k1"), "a", "salt").distinct())
+    wanted = need.select("k1").distinct().join(named, "k1").select(F.col("leader").alias("id"), "k1")
+    sets = _sets(join_few(rows, wanted, ["id"]), n)
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        hub, names = key[0].as_py(), table.column("k1").to_pylist()
+        own = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("set")]
+        found = [k for k, x in zip(names, own, strict=True) if k != hub and hub in names and linked(own[names.index(hub)], x, threshold)]
+        return pa.table({"a": pa.array([hub] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
+
+    return sets.join(need, "k1").groupBy("a", "salt").applyInArrow(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -344,15 +339,13 @@ def join(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD, id_colum
     classes = stored(classes, "ngram-classes")
 
     lists = stored(_shared(_prefixes(rows.where("id is not null"), n, threshold, levels)), "ngram-lists")
-    near = lists.select("k1").distinct().join(classes.select("k1", "leader"), "k1")
-    near = near.withColumnRenamed("leader", "id").join(rows, "id")
-    sets = stored(_sets(near, n), "ngram-sets")
+    named = classes.select("k1", "leader")
 
     # near copies: each class with the smallest one of those that share a minimum hash
-    keyed = classes.join(sets.select("k1"), "k1", "left_semi").select("k1", "leader", F.posexplode("keys").alias("place", "key"))
+    keyed = classes.join(lists.select("k1").distinct(), "k1").select("k1", "leader", F.posexplode("keys").alias("place", "key"))
     hubs = keyed.groupBy("place", "key").agg(F.min_by("k1", "leader").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     agree = keyed.join(hubs, ["place", "key"]).where("k1 <> hub").groupBy(F.col("hub").alias("a"), F.col("k1").alias("b")).count().where(f"count >= {AGREE}")
-    links = stored(_verified(_by_ranges(agree, sets, threshold), sets, threshold), "ngram-links")
+    links = stored(_verified(agree.select("a", "b"), rows, named, n, threshold), "ngram-links")
     parts = components(links, "ngram-groups")
 
     # all pairs between different components
@@ -362,10 +355,9 @@ def join(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD, id_colum
     rest = F.floor((threshold * F.greatest("na", "nb") + 99) / 100) - 1
     wanted = F.floor((threshold * (F.col("na") + F.col("nb")) + 99 + threshold) / (100 + threshold))
     met = met.where(F.col("n") + rest >= wanted)
-    more = stored(_verified(_by_ranges(met, sets, threshold), sets, threshold), "ngram-more")
+    more = stored(_verified(met.select("a", "b"), rows, named, n, threshold), "ngram-more")
 
     # from classes to ids; rows with one id and different texts are one node
-    named = classes.select("k1", "leader")
     edges = links.union(more).join(named.withColumnsRenamed({"k1": "a", "leader": "la"}), "a").join(named.withColumnsRenamed({"k1": "b", "leader": "lb"}), "b")
     edges = edges.select(F.col("la").alias("a"), F.col("lb").alias("b"))
     placed = own.select("id", "size", "k1", "k2").join(classes.select("k1", "k2", "size", "leader"), ["k1", "k2", "size"], "left")

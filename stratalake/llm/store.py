@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.session import save_and_read, scratch_path
 
@@ -39,6 +40,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return save_and_read(df, scratch_path(df.sparkSession, label))
 
 
+#: Words of 64 bits in the bitmap that thins out rows before a join: a fixed size, whatever the input's.
+BITMAP_WORDS = 1 << 17
+
+
+def join_few(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` joined (inner) with ``few`` on columns ``on``, where most rows of the wide ``rows`` have no partner.
+
+    A bitmap of hashes of the wanted keys, of a fixed size, goes to all tasks and keeps most other rows from being
+    shuffled. It may keep rows too many, which the join drops; with very many keys it keeps all.
+    """
+    place = F.xxhash64(*on)
+    word, bit = F.pmod(place, F.lit(BITMAP_WORDS)), F.pmod(F.shiftright(place, 40), F.lit(64)).cast("int")
+    bits = few.select(word.alias("_word"), F.expr("1L").alias("_one"), bit.alias("_bit"))
+    bits = bits.groupBy("_word").agg(F.bit_or(F.call_function("shiftleft", "_one", "_bit")).alias("_bits"))
+    marked = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word")  # at most BITMAP_WORDS rows
+    there = F.call_function("shiftrightunsigned", "_bits", "_bit").bitwiseAND(F.lit(1)) == 1
+    return marked.where(there).drop("_word", "_bit", "_bits").join(few, on)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose texts have about ``most`` bytes (one longer text makes a slice)."""
     for batch in batches:
