@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .store import column, ragged, spread, stored, text_slices, with_columns
+from .store import column, join_few, ragged, spread, stored, text_slices, with_columns
 
 WINDOW = 50
 PHRASE = 8
@@ -231,7 +231,7 @@ def find(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_column:
     leaders = scan.select(_KEY, _MARK, "f1", "f2", "n_words", "anchors").join(classes, ["f1", "f2", "n_words"]).where(F.col(_KEY) == F.col("leader"))
     own = leaders.select(_KEY, _MARK, F.explode(F.array_distinct("anchors")).alias("anchor")).join(recurring, "anchor")
     own = own.groupBy(_KEY, _MARK).agg(F.collect_set("anchor").alias("anchors"))  # no more than the document's words
-    near = stored(_windows(rows.join(own, [_KEY, _MARK]), window, phrase), "repeats-windows")
+    near = stored(_windows(join_few(rows, own, [_KEY, _MARK]), window, phrase), "repeats-windows")
     near = near.where(F.size("hashes") > 0)
 
     # confirmed windows, each with its owner
