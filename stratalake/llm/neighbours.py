@@ -5,10 +5,11 @@ its sign (iterative quantisation); ``bits`` signs, from as many rotations as tha
 the code. For the largest inner product, a vector first gets one more coordinate that gives all
 vectors the same length, so that nearness of direction is nearness by inner product.
 
-Search. Codes are split into eight-bit substrings, each with a table from value to rows. Within radius
+Search. Codes are split into eight-bit substrings, each with a table from value to (a bitmap of) rows. Within radius
 ``r`` of a query, by the pigeonhole principle, at least one substring differs in few bits:
 with ``m`` substrings and ``r = m * t + a``, in at most ``t`` bits for one of the first ``a + 1``, or
-``t - 1`` for one of the others. Probing those values finds every code within the radius; their
+``t - 1`` for one of the others. Probing those values (their bitmaps are joined once for each table, since
+there are few values) finds every code within the radius; their
 vectors are compared in double precision. A query that finds fewer than ``k`` is asked
 again with a larger radius, up to all bits, so no query gets fewer than there are. (Fewer than
 ``ENOUGH * k`` codes count as too few: among so few the nearest may lie just outside.)
@@ -20,8 +21,6 @@ of a given set of queries against all rows.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,8 +37,6 @@ ROUNDS = 20
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
 
-_NEAR = [np.array([sum(1 << b for b in c) for t in range(d + 1) for c in combinations(range(8), t)], dtype=np.uint8) for d in range(9)]
-
 
 def usable(vector: str) -> Column:
     """Whether a vector takes part: not null, no null or non-finite component, not empty, not all zero."""
@@ -71,32 +68,38 @@ def codes(vectors: np.ndarray, turn: np.ndarray) -> np.ndarray:
 
 
 class Tables:
-    """For each substring, the rows in the order of its value, and where each value begins."""
+    """For each substring and value, the rows that have it, as a bitmap; and those within some flips of it."""
 
     def __init__(self, own: np.ndarray):
         self.codes = own
-        self.wide = own.view(np.uint64) if own.shape[1] % 8 == 0 else None
-        self.order = [np.argsort(own[:, j], kind="stable").astype(np.int32) for j in range(own.shape[1])]
-        self.first = [np.concatenate([[0], np.cumsum(np.bincount(own[:, j], minlength=256))]) for j in range(own.shape[1])]
+        words = np.pad(own, ((0, 0), (0, -own.shape[1] % 8)))
+        self.words = np.ascontiguousarray(words.view(np.uint64).T)  # one row per 64 bits of all codes
+        self._within: dict[int, np.ndarray] = {}
+        values = np.arange(256)
+        self._within[0] = np.stack([np.packbits(own[:, j] == values[:, None], axis=1) for j in range(own.shape[1])])
+
+    def _near(self, flips: int) -> np.ndarray:
+        """Bitmaps by substring and value of the rows whose substring differs from it in at most so many bits."""
+        if flips not in self._within:
+            before = self._near(flips - 1)
+            after = before.copy()
+            for bit in range(8):
+                after |= before[:, np.arange(256) ^ (1 << bit)]
+            self._within[flips] = after
+        return self._within[flips]
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """All rows whose code is within the radius of a code."""
         m = self.codes.shape[1]
         t, a = divmod(min(radius, 8 * m), m)
-        met = np.zeros(len(self.codes), dtype=bool)
-        for j in range(m):
-            flips = t if j <= a else t - 1
-            if flips < 0:
-                continue
-            order, first = self.order[j], self.first[j]
-            for value in (_NEAR[min(flips, 8)] ^ code[j]).tolist():
-                met[order[first[value] : first[value + 1]]] = True
-        found = np.flatnonzero(met)
-        if self.wide is not None:
-            away = np.bitwise_count(self.wide[found] ^ code.view(np.uint64)).sum(axis=1, dtype=np.int64)
-        else:
-            away = np.bitwise_count(self.codes[found] ^ code).sum(axis=1, dtype=np.int64)
-        return found[away <= radius]
+        met = np.bitwise_or.reduce(self._near(min(t, 8))[np.arange(a + 1), code[: a + 1]], axis=0)
+        if t > 0 and a + 1 < m:
+            met |= np.bitwise_or.reduce(self._near(t - 1)[np.arange(a + 1, m), code[a + 1 :]], axis=0)
+        own = np.pad(code, (0, -m % 8)).view(np.uint64)
+        away = np.zeros(len(self.codes), dtype=np.uint16)
+        for word, bits in zip(self.words, own, strict=True):
+            away += np.bitwise_count(word ^ bits)
+        return np.flatnonzero((away <= radius) & np.unpackbits(met, count=len(self.codes)).view(bool))
 
 
 def search(
