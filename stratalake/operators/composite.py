@@ -7,29 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import save_and_read, scratch_path
 from .joins import null_safe_join
 
 NEUTRAL = 50.0
-SALTS = 64
-
-
-def attach_group_stats(
-    df: DataFrame, stats: DataFrame, keys: Sequence[str], broadcast_rows: int = 200_000
-) -> DataFrame:
-    """Join one-row-per-group statistics to every row of its group.
-
-    The statistics are stored, then broadcast only if counted to be few.
-    Beyond that, rows of a group are spread over salts and the statistics
-    repeated per salt, so a group with a third of all rows uses many tasks.
-    """
-    stats = save_and_read(stats, scratch_path(df.sparkSession, "group-stats"))
-    if stats.count() <= broadcast_rows:
-        return null_safe_join(df, F.broadcast(stats), keys, "left")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-    all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
-    repeated = stats.withColumn("_salt", F.explode(all_salts))
-    return null_safe_join(salted, repeated, [*keys, "_salt"], "left").drop("_salt")
 
 
 def minmax_norm(
@@ -37,18 +17,18 @@ def minmax_norm(
     groups: Sequence[str] = ("indicator", "year"),
     value: str = "value",
     directions: Mapping[str, int] | None = None,
-    broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """Add ``min_v``, ``max_v`` and ``norm``: the value scaled to 0..100 within its group.
 
     A group whose values are all equal is neutral (50), also for a NULL
     value; a group without values stays NULL. ``directions`` maps indicators
     where more is worse to -1; the default keeps every indicator as it is.
-    Group extremes come from a map-side combined aggregate, so no group is
-    gathered in one task.
+    Group extremes come from a map-side combined aggregate joined back, so no group is
+    gathered in one task; adaptive execution broadcasts them where they are small when the
+    join runs, and splits a group too large for one task.
     """
     stats = df.groupBy(*groups).agg(F.min(value).alias("min_v"), F.max(value).alias("max_v"))
-    rows = attach_group_stats(df, stats, groups, broadcast_rows)
+    rows = null_safe_join(df, stats, groups, "left")
     span = F.col("max_v") - F.col("min_v")
     norm = F.when(F.col("max_v") == F.col("min_v"), F.lit(NEUTRAL)).otherwise(
         F.try_divide(F.col(value) - F.col("min_v"), span) * 100

@@ -1,21 +1,33 @@
-"""Raw API payloads to flat rows.
+"""Raw API payloads to flat rows, element by element.
 
 Every function takes one row per response: ``payload`` (JSON text),
 ``request_url``, ``received_at`` and the request parameters named in its
-docstring, and explodes it with schema-bound JSON parsing. Fields of the
-response head are repeated on each row; a response without its data part
-gives no rows.
+docstring. A payload is parsed once, its elements are found by type, and each
+is converted by itself: an element of an unexpected kind costs that element and
+nothing else. Fields of the response head are repeated on each row.
+
+Whatever gives no row is in ``rejected``: responses that are no JSON, report an
+error, did not succeed or lack their data part, and elements that are not what
+the format has there, each with its place and its text. An empty list is a
+valid response without rows.
+
+The parser refuses objects that name a member twice, and payloads beyond its
+size limit (16 MB); both are rejected as "not json".
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import cast_or_null, double_or_default, text_to_double, utc_iso
-from ..functions.payload import soft_error
+from ..functions.payload import classify, soft_error
+
+# an element on its way down: where it is, the member names on the way, the value, why it is unusable
+_NODE = "struct<path:string,keys:array<string>,item:variant,reason:string>"
 
 
 def _envelope(source: str, dataset: str | Column) -> list[Column]:
@@ -28,145 +40,305 @@ def _envelope(source: str, dataset: str | Column) -> list[Column]:
     ]
 
 
-def _bodies(raw: DataFrame, schema: str, *parameters: str, keep=None) -> DataFrame:
-    """Parsed responses ``b`` next to their request.
+def _get(value: Column, path: str, dtype: str = "string") -> Column:
+    return F.try_variant_get(value, path, dtype)
+
+
+def _text(name: str, of: str = "item") -> Column:
+    """A member of the element (or of the response, ``b``) as text."""
+    return _get(F.col(of), f"$['{name}']")
+
+
+def _number(name: str, alias: str, of: str = "item") -> Column:
+    return text_to_double(_text(name, of)).alias(alias)
+
+
+def _node(path: Column, keys: Column, item: Column, reason: Column | None = None) -> Column:
+    reason = F.lit(None).cast("string") if reason is None else reason
+    return F.struct(path.alias("path"), keys.alias("keys"), item.alias("item"), reason.alias("reason"))
+
+
+def _root(item: Column, path: str = "$") -> Column:
+    """The data part as the only node, or NULL where the response has none."""
+    only = F.array(_node(F.lit(path), F.array().cast("array<string>"), item))
+    return F.when(item.isNotNull(), only)
+
+
+def _member(name: str) -> Column:
+    return _root(_get(F.col("b"), f"$.{name}", "variant"), f"$.{name}")
+
+
+def _open(nodes: Column, expand: Callable[[Column], Column]) -> Column:
+    """Replace each sound node by what is in it."""
+    return F.flatten(
+        F.transform(nodes, lambda n: F.when(n["reason"].isNotNull(), F.array(n)).otherwise(expand(n)))
+    )
+
+
+def _members(nodes: Column) -> Column:
+    """The members of each object."""
+
+    def expand(n: Column) -> Column:
+        found = _get(n["item"], "$", "map<string,variant>")
+        each = F.transform(
+            F.map_entries(found),
+            lambda e: _node(F.concat(n["path"], F.lit("."), e["key"]), F.array_append(n["keys"], e["key"]), e["value"]),
+        )
+        return F.when(found.isNull(), F.array(_broken(n, "not an object"))).otherwise(each)
+
+    return _open(nodes, expand)
+
+
+def _elements(nodes: Column) -> Column:
+    """The elements of each list."""
+
+    def expand(n: Column) -> Column:
+        found = _get(n["item"], "$", "array<variant>")
+        each = F.transform(
+            found,
+            lambda x, i: _node(F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")), n["keys"], x),
+        )
+        return F.when(found.isNull(), F.array(_broken(n, "not a list"))).otherwise(each)
+
+    return _open(nodes, expand)
+
+
+def _broken(n: Column, reason: str) -> Column:
+    return _node(n["path"], n["keys"], n["item"], F.lit(reason))
 
-    The one-element explode makes ``b`` a column of its own: conditions and
-    later explodes work on the parsed value, and no rewrite parses twice.
+
+def _is_object(item: Column) -> Column:
+    return F.when(~F.schema_of_variant(item).startswith("OBJECT"), "not an object")
+
+
+def _is_number(item: Column) -> Column:
+    """JSON null counts as a number that is not known."""
+    unknown = F.schema_of_variant(item) == "VOID"
+    return F.when(~unknown & text_to_double(_get(item, "$")).isNull(), "not a number")
+
+
+def _opened(
+    raw: DataFrame,
+    nodes: Column,
+    parameters: Sequence[str] = (),
+    check: Callable[[Column], Column] = _is_object,
+    failed: Column | None = None,
+) -> DataFrame:
+    """Every element and every unusable response, with ``problem`` (NULL for sound elements).
+
+    The one-element explode makes the parsed payload ``b`` a column of its own, so
+    that no rewrite parses twice.
     """
-    keep = keep or (lambda b: b.isNotNull())
-    parsed = F.filter(F.array(F.from_json("payload", schema)), keep)
-    return raw.select(*parameters, "request_url", "received_at", F.explode(parsed).alias("b"))
+    bodies = raw.select(
+        *parameters, "request_url", "received_at", "payload", F.explode(F.array(F.try_parse_json("payload"))).alias("b")
+    )
+    error = classify(F.col("b"))
+    bodies = bodies.select("*", error.alias("_error"), nodes.cast(f"array<{_NODE}>").alias("_nodes"))
+    problem = F.when(F.col("b").isNull(), "not json").when(
+        F.col("_error.has_error"), F.concat(F.lit("error: "), F.coalesce("_error.message", F.lit("")))
+    )
+    if failed is not None:
+        problem = problem.when(failed.isNotNull(), failed)
+    problem = problem.when(F.col("_nodes").isNull(), "no data")
+    found = bodies.withColumn("_problem", problem)
+    # an empty list gives neither rows nor a problem
+    whole = _node(F.lit("$"), F.array().cast("array<string>"), F.col("b"), F.col("_problem"))
+    nodes = F.when(F.col("_problem").isNotNull(), F.array(whole)).otherwise(F.col("_nodes"))
+    rows = found.select(*parameters, "request_url", "received_at", "payload", "b", F.explode(nodes).alias("n"))
+    return rows.select(
+        *parameters, "request_url", "received_at", "payload", "b",
+        F.col("n.path").alias("path"), F.col("n.keys").alias("keys"), F.col("n.item").alias("item"),
+        F.coalesce("n.reason", check(F.col("n.item"))).alias("problem"),
+    )
+
+
+@dataclass(frozen=True)
+class Flattener:
+    """``opened`` finds the elements of responses, ``convert`` makes rows of the sound ones."""
+
+    opened: Callable[[DataFrame], DataFrame]
+    convert: Callable[[DataFrame], DataFrame]
 
+    def rows(self, raw: DataFrame) -> DataFrame:
+        return self.convert(self.opened(raw).where("problem IS NULL"))
 
-def _number(field: str, name: str) -> Column:
-    return text_to_double(field).alias(name)
+    def rejected(self, raw: DataFrame) -> DataFrame:
+        """(``request_url``, ``received_at``, ``path``, ``problem``, ``raw``) of all that gives no row."""
+        return self.rejected_of(self.opened(raw))
+
+    @staticmethod
+    def rejected_of(opened: DataFrame) -> DataFrame:
+        """``rejected`` of what ``opened`` has found."""
+        text = F.when(F.col("path") == "$", F.col("payload")).otherwise(F.to_json("item"))
+        bad = opened.where("problem IS NOT NULL")
+        return bad.select("request_url", "received_at", "path", "problem", text.alias("raw"))
+
+
+def rejected(flattener: str, raw: DataFrame, **options) -> DataFrame:
+    """What the named flattener makes no rows of; see ``Flattener.rejected``."""
+    return FLATTENERS[flattener](**options).rejected(raw)
+
+
+def _date_map(source: str = "alphavantage", dataset: str = "time_series_daily", missing: str = "zero") -> Flattener:
+    members = F.filter(
+        F.map_entries(_get(F.col("b"), "$", "map<string,variant>")), lambda e: e["key"].contains("Time Series")
+    )
+    series = F.get(members, F.lit(0))["value"]
+
+    def convert(days: DataFrame) -> DataFrame:
+        return days.select(
+            "symbol",
+            F.get("keys", F.lit(0)).alias("trade_date"),
+            double_or_default(_text("1. open"), missing).alias("open"),
+            double_or_default(_text("2. high"), missing).alias("high"),
+            double_or_default(_text("3. low"), missing).alias("low"),
+            double_or_default(_text("4. close"), missing).alias("close"),
+            cast_or_null(_text("5. volume"), "bigint").alias("volume"),
+            *_envelope(source, dataset),
+        )
+
+    return Flattener(lambda raw: _opened(raw, _members(_root(series, "$.series")), ["symbol"]), convert)
 
 
 def date_map(raw: DataFrame, source: str = "alphavantage", dataset: str = "time_series_daily",
              missing: str = "zero") -> DataFrame:
     """Bars keyed by date under the first member whose name contains "Time Series". Parameter: symbol."""
-    bar = "struct<`1. open`:string,`2. high`:string,`3. low`:string,`4. close`:string,`5. volume`:string>"
-    bodies = _bodies(raw, "map<string,string>", "symbol")
-    series = F.map_values(F.map_filter("b", lambda name, _: name.contains("Time Series")))
-    days = F.from_json(F.get(series, F.lit(0)), f"map<string,{bar}>")
-    rows = bodies.select("symbol", "request_url", "received_at", F.explode(days).alias("trade_date", "bar"))
-    return rows.select(
-        "symbol",
-        "trade_date",
-        double_or_default(F.col("bar")["1. open"], missing).alias("open"),
-        double_or_default(F.col("bar")["2. high"], missing).alias("high"),
-        double_or_default(F.col("bar")["3. low"], missing).alias("low"),
-        double_or_default(F.col("bar")["4. close"], missing).alias("close"),
-        cast_or_null(F.col("bar")["5. volume"], "bigint").alias("volume"),
-        *_envelope(source, dataset),
-    )
+    return _date_map(source, dataset, missing).rows(raw)
+
+
+def _series(source: str = "alphavantage", dataset: str = "commodity_prices", missing: str = "zero") -> Flattener:
+    def convert(points: DataFrame) -> DataFrame:
+        return points.select(
+            _text("name", "b").alias("commodity"),
+            "symbol",
+            _text("interval", "b").alias("interval"),
+            _text("date").alias("date"),
+            double_or_default(_text("value"), missing).alias("value"),
+            _text("unit", "b").alias("unit"),
+            *_envelope(source, dataset),
+        )
+
+    return Flattener(lambda raw: _opened(raw, _elements(_member("data")), ["symbol"]), convert)
 
 
 def series(raw: DataFrame, source: str = "alphavantage", dataset: str = "commodity_prices",
            missing: str = "zero") -> DataFrame:
     """A ``data`` list of (date, value) under a head of name, interval and unit. Parameter: symbol."""
-    body = "name string, `interval` string, unit string, data array<struct<date:string,value:string>>"
-    rows = _bodies(raw, body, "symbol").select("*", F.explode("b.data").alias("point"))
-    return rows.select(
-        F.col("b.name").alias("commodity"),
-        "symbol",
-        F.col("b.interval").alias("interval"),
-        F.col("point.date").alias("date"),
-        double_or_default("point.value", missing).alias("value"),
-        F.col("b.unit").alias("unit"),
-        *_envelope(source, dataset),
-    )
+    return _series(source, dataset, missing).rows(raw)
+
+
+def _nested_map(source: str = "imf", dataset: str = "indicators") -> Flattener:
+    def convert(cells: DataFrame) -> DataFrame:
+        return cells.select(
+            F.get("keys", F.lit(0)).alias("indicator"),
+            F.get("keys", F.lit(1)).alias("country"),
+            cast_or_null(F.get("keys", F.lit(2)), "int").alias("year"),
+            text_to_double(_get(F.col("item"), "$")).alias("value"),
+            *_envelope(source, dataset),
+        )
+
+    cells = _members(_members(_members(_member("values"))))
+    return Flattener(lambda raw: _opened(raw, cells, check=_is_number), convert)
 
 
 def nested_map(raw: DataFrame, source: str = "imf", dataset: str = "indicators") -> DataFrame:
-    """``values``: indicator -> country -> year -> value."""
-    rows = (
-        _bodies(raw, "values map<string,map<string,map<string,double>>>")
-        .select("request_url", "received_at", F.explode("b.values").alias("indicator", "c"))
-        .select("request_url", "received_at", "indicator", F.explode("c").alias("country", "y"))
-        .select("request_url", "received_at", "indicator", "country", F.explode("y").alias("year", "value"))
-    )
-    return rows.select(
-        "indicator",
-        "country",
-        cast_or_null("year", "int").alias("year"),
-        "value",
-        *_envelope(source, dataset),
-    )
+    """``values``: indicator -> country -> year -> value; a JSON null is a row without value."""
+    return _nested_map(source, dataset).rows(raw)
+
 
+def _rate_map(source: str = "metals_dev", dataset: str = "spot_prices") -> Flattener:
+    def convert(rates: DataFrame) -> DataFrame:
+        return rates.select(
+            F.get("keys", F.lit(0)).alias("metal"),
+            text_to_double(_get(F.col("item"), "$")).alias("rate"),
+            _text("currency", "b").alias("currency"),
+            _text("unit", "b").alias("unit"),
+            _get(F.col("b"), "$.timestamps.metal").alias("market_time"),
+            *_envelope(source, dataset),
+        )
 
-_RATES = (
-    "status string, currency string, unit string, metals map<string,string>, "
-    "timestamps struct<metal:string>"
-)
+    status = _get(F.col("b"), "$.status")
+    failed = F.when(~status.eqNullSafe("success"), F.concat(F.lit("status: "), F.coalesce(status, F.lit("none"))))
+    return Flattener(lambda raw: _opened(raw, _members(_member("metals")), check=_is_number, failed=failed), convert)
 
 
 def rate_map(raw: DataFrame, source: str = "metals_dev", dataset: str = "spot_prices") -> DataFrame:
     """``metals``: name -> rate, with currency, unit and time in the head.
 
-    Only responses whose status is "success" give rows; see ``rate_map_failures``.
+    Only responses whose status is "success" give rows; the others are rejected.
     """
-    succeeded = _bodies(raw, _RATES, keep=lambda b: b["status"] == "success")
-    rows = succeeded.select("*", F.explode("b.metals").alias("metal", "rate"))
-    return rows.select(
-        "metal",
-        _number("rate", "rate"),
-        F.col("b.currency").alias("currency"),
-        F.col("b.unit").alias("unit"),
-        F.col("b.timestamps.metal").alias("market_time"),
-        *_envelope(source, dataset),
-    )
+    return _rate_map(source, dataset).rows(raw)
 
 
 def rate_map_failures(raw: DataFrame) -> DataFrame:
-    """Responses ``rate_map`` leaves out, with their status."""
-    status = F.from_json("payload", _RATES)["status"]
+    """Responses without success, with their status."""
+    status = F.try_variant_get(F.try_parse_json("payload"), "$.status", "string")
     return raw.withColumn("status", status).where(~F.col("status").eqNullSafe("success"))
 
 
+def _values(source: str = "twelvedata", dataset: str = "exchange_rates") -> Flattener:
+    def meta(name: str) -> Column:
+        return _get(F.col("b"), f"$.meta.{name}").alias(name)
+
+    def convert(bars: DataFrame) -> DataFrame:
+        return bars.select(
+            *[meta(n) for n in ("symbol", "interval", "currency_base", "currency_quote", "type")],
+            utc_iso(_text("datetime")).alias("market_time"),
+            *[_number(n, n) for n in ("open", "high", "low", "close")],
+            *_envelope(source, dataset),
+        )
+
+    return Flattener(lambda raw: _opened(raw, _elements(_member("values"))), convert)
+
+
 def values(raw: DataFrame, source: str = "twelvedata", dataset: str = "exchange_rates") -> DataFrame:
     """A ``values`` list of bars under ``meta``; times become ISO UTC text."""
-    rows = _bodies(
-        raw,
-        "meta struct<symbol:string,`interval`:string,currency_base:string,currency_quote:string,type:string>, "
-        "values array<struct<datetime:string,open:string,high:string,low:string,close:string>>",
-    ).select("*", F.explode("b.values").alias("bar"))
-    return rows.select(
-        F.col("b.meta.symbol").alias("symbol"),
-        F.col("b.meta.interval").alias("interval"),
-        F.col("b.meta.currency_base").alias("currency_base"),
-        F.col("b.meta.currency_quote").alias("currency_quote"),
-        F.col("b.meta.type").alias("type"),
-        utc_iso("bar.datetime").alias("market_time"),
-        _number("bar.open", "open"),
-        _number("bar.high", "high"),
-        _number("bar.low", "low"),
-        _number("bar.close", "close"),
-        *_envelope(source, dataset),
-    )
+    return _values(source, dataset).rows(raw)
+
+
+def _articles(source: str = "newsapi", dataset: str = "everything", language: bool = False) -> Flattener:
+    def convert(found: DataFrame) -> DataFrame:
+        return found.select(
+            _text("url").alias("article_url"),
+            _text("title").alias("title"),
+            _text("author").alias("author"),
+            _get(F.col("item"), "$.source.name").alias("source_news"),
+            _get(F.col("item"), "$.source.id").alias("source_id"),
+            _text("description").alias("description"),
+            _text("publishedAt").alias("published_at"),
+            *(["language"] if language else []),
+            F.lit(source).alias("source_api"),
+            F.lit(dataset).alias("dataset"),
+            "request_url",
+            "received_at",
+        )
+
+    asked = ["language"] if language else []
+    return Flattener(lambda raw: _opened(raw, _elements(_member("articles")), asked), convert)
+
+
+def articles(raw: DataFrame, source: str = "newsapi", dataset: str = "everything", language: bool = False) -> DataFrame:
+    """An ``articles`` list, each with a nested news source.
+
+    With ``language`` the request parameter of that name is kept on each article.
+    """
+    return _articles(source, dataset, language).rows(raw)
 
 
-def articles(raw: DataFrame, source: str = "newsapi", dataset: str = "everything") -> DataFrame:
-    """An ``articles`` list, each with a nested news source."""
-    rows = _bodies(
-        raw,
-        "articles array<struct<url:string,title:string,author:string,"
-        "source:struct<id:string,name:string>,description:string,publishedAt:string>>",
-    ).select("request_url", "received_at", F.explode("b.articles").alias("a"))
-    return rows.select(
-        F.col("a.url").alias("article_url"),
-        F.col("a.title").alias("title"),
-        F.col("a.author").alias("author"),
-        F.col("a.source.name").alias("source_news"),
-        F.col("a.source.id").alias("source_id"),
-        F.col("a.description").alias("description"),
-        F.col("a.publishedAt").alias("published_at"),
-        F.lit(source).alias("source_api"),
-        F.lit(dataset).alias("dataset"),
-        "request_url",
-        "received_at",
-    )
+def _swings(source: str = "indian_stock_api", dataset: str = "52_week_high_low_data") -> Flattener:
+    def convert(points: DataFrame) -> DataFrame:
+        swing = F.get("keys", F.lit(0))
+        price = F.when(swing == "high52Week", _text("52_week_high")).otherwise(_text("52_week_low"))
+        return points.select(
+            _text("ticker").alias("ticker"),
+            _text("company").alias("company"),
+            _number("price", "price"),
+            swing.alias("swing_type"),
+            text_to_double(price).alias("swing_price"),
+            *_envelope(source, dataset),
+        )
+
+    return Flattener(lambda raw: _opened(raw, _elements(_members(_member("NSE_52WeekHighLow")))), convert)
 
 
 def swings(raw: DataFrame, source: str = "indian_stock_api", dataset: str = "52_week_high_low_data") -> DataFrame:
@@ -174,63 +346,81 @@ def swings(raw: DataFrame, source: str = "indian_stock_api", dataset: str = "52_
 
     ``high52Week`` points carry the 52-week high, all others the low.
     """
-    point = "struct<ticker:string,company:string,price:string,`52_week_high`:string,`52_week_low`:string>"
-    rows = (
-        _bodies(raw, f"NSE_52WeekHighLow map<string,array<{point}>>")
-        .select("request_url", "received_at", F.explode("b.NSE_52WeekHighLow").alias("swing_type", "points"))
-        .select("request_url", "received_at", "swing_type", F.explode("points").alias("p"))
-    )
-    price = F.when(F.col("swing_type") == "high52Week", F.col("p.52_week_high")).otherwise(
-        F.col("p.52_week_low")
-    )
-    return rows.select(
-        F.col("p.ticker").alias("ticker"),
-        F.col("p.company").alias("company"),
-        _number("p.price", "price"),
-        "swing_type",
-        text_to_double(price).alias("swing_price"),
-        *_envelope(source, dataset),
-    )
+    return _swings(source, dataset).rows(raw)
+
+
+def _risk_premium(countries: Sequence[str] = (), source: str = "financial_modeling_prep",
+                  dataset: str = "market_risk_premium") -> Flattener:
+    def convert(found: DataFrame) -> DataFrame:
+        if countries:
+            found = found.where(_text("country").isin(list(countries)))
+        return found.select(
+            _text("country").alias("country"),
+            _text("continent").alias("continent"),
+            double_or_default(_text("countryRiskPremium")).alias("country_risk_premium"),
+            double_or_default(_text("totalEquityRiskPremium")).alias("total_equity_risk_premium"),
+            *_envelope(source, dataset),
+        )
+
+    return Flattener(lambda raw: _opened(raw, _elements(_root(F.col("b")))), convert)
 
 
 def risk_premium(raw: DataFrame, countries: Sequence[str] = (), source: str = "financial_modeling_prep",
                  dataset: str = "market_risk_premium") -> DataFrame:
     """A list of country premiums, optionally for chosen countries; a missing premium is 0."""
-    item = "struct<country:string,continent:string,countryRiskPremium:string,totalEquityRiskPremium:string>"
-    rows = _bodies(raw, f"array<{item}>").select("request_url", "received_at", F.explode("b").alias("r"))
-    if countries:
-        rows = rows.where(F.col("r.country").isin(list(countries)))
-    return rows.select(
-        F.col("r.country").alias("country"),
-        F.col("r.continent").alias("continent"),
-        double_or_default("r.countryRiskPremium").alias("country_risk_premium"),
-        double_or_default("r.totalEquityRiskPremium").alias("total_equity_risk_premium"),
-        *_envelope(source, dataset),
-    )
+    return _risk_premium(countries, source, dataset).rows(raw)
 
 
 LEVELS = ("sector", "industry")
 MODES = ("snapshot", "historical")
 
 
-def performance(raw: DataFrame, level: str, mode: str, entities: Sequence[str],
-                source: str = "financial_modeling_prep") -> DataFrame:
-    """Sector or industry performance; snapshots are cut to the requested entities."""
+def _performance(level: str, mode: str, entities: Sequence[str] = (), source: str = "financial_modeling_prep") -> Flattener:
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}")
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    item = f"struct<date:string,`{level}`:string,exchange:string,averageChange:string>"
-    rows = _bodies(raw, f"array<{item}>").select("request_url", "received_at", F.explode("b").alias("r"))
-    if mode == "snapshot":
-        rows = rows.where(F.col(f"r.{level}").isin(list(entities)))
-    return rows.select(
-        F.col("r.date").alias("date"),
-        F.col(f"r.{level}").alias(level),
-        F.col("r.exchange").alias("exchange"),
-        double_or_default("r.averageChange").alias("average_change"),
-        *_envelope(source, f"{level}_{mode}"),
-    )
+
+    def convert(found: DataFrame) -> DataFrame:
+        if mode == "snapshot":
+            found = found.where(_text(level).isin(list(entities)))
+        return found.select(
+            _text("date").alias("date"),
+            _text(level).alias(level),
+            _text("exchange").alias("exchange"),
+            double_or_default(_text("averageChange")).alias("average_change"),
+            *_envelope(source, f"{level}_{mode}"),
+        )
+
+    return Flattener(lambda raw: _opened(raw, _elements(_root(F.col("b")))), convert)
+
+
+def performance(raw: DataFrame, level: str, mode: str, entities: Sequence[str],
+                source: str = "financial_modeling_prep") -> DataFrame:
+    """Sector or industry performance; snapshots are cut to the requested entities."""
+    return _performance(level, mode, entities, source).rows(raw)
+
+
+def _locations(source: str = "indian_api") -> Flattener:
+    def convert(found: DataFrame) -> DataFrame:
+        part = F.split("request_dataset", "_")
+        historical = part[2] == "historical"
+        dataset = F.when(historical, F.concat_ws("_", "request_dataset", F.lower("location"))).otherwise(
+            F.col("request_dataset")
+        )
+        place = F.coalesce(F.nullif(_text("city"), F.lit("")), F.nullif(_text("state"), F.lit("")), _text("name"))
+        return found.select(
+            part[0].alias("fuel_type"),
+            part[1].alias("location_type"),
+            _number("price", "price"),
+            _number("change", "change"),
+            place.alias("location"),
+            F.when(historical, _text("date")).alias("date"),
+            *_envelope(source, dataset),
+        )
+
+    asked = ["request_dataset", "location"]
+    return Flattener(lambda raw: _opened(raw, _elements(_root(F.col("b"))), asked), convert)
 
 
 def locations(raw: DataFrame, source: str = "indian_api") -> DataFrame:
@@ -239,32 +429,17 @@ def locations(raw: DataFrame, source: str = "indian_api") -> DataFrame:
     The place is the first non-empty of city, state and name. Historical rows
     carry a date, and their dataset ends in the requested place.
     """
-    item = "struct<city:string,state:string,name:string,price:string,`change`:string,date:string>"
-    part = F.split("request_dataset", "_")
-    historical = part[2] == "historical"
-    rows = _bodies(raw, f"array<{item}>", "request_dataset", "location").select(
-        "request_url",
-        "received_at",
-        part[0].alias("fuel_type"),
-        part[1].alias("location_type"),
-        historical.alias("historical"),
-        F.when(historical, F.concat_ws("_", "request_dataset", F.lower("location")))
-        .otherwise(F.col("request_dataset"))
-        .alias("_dataset"),
-        F.explode("b").alias("r"),
-    )
-    place = F.coalesce(
-        F.nullif(F.col("r.city"), F.lit("")), F.nullif(F.col("r.state"), F.lit("")), F.col("r.name")
-    )
-    return rows.select(
-        "fuel_type",
-        "location_type",
-        _number("r.price", "price"),
-        _number("r.change", "change"),
-        place.alias("location"),
-        F.when(F.col("historical"), F.col("r.date")).alias("date"),
-        *_envelope(source, F.col("_dataset")),
-    )
+    return _locations(source).rows(raw)
+
+
+def _whole_payload(dataset: str, parameters: Sequence[str] = (), source: str = "indian_stock_api") -> Flattener:
+    def convert(found: DataFrame) -> DataFrame:
+        return found.select(*parameters, F.col("payload").alias("data"), *_envelope(source, dataset))
+
+    def opened(raw: DataFrame) -> DataFrame:
+        return _opened(raw, _root(F.col("b")), parameters, check=lambda item: F.lit(None).cast("string"))
+
+    return Flattener(opened, convert)
 
 
 def whole_payload(raw: DataFrame, dataset: str, parameters: Sequence[str] = (),
@@ -273,6 +448,22 @@ def whole_payload(raw: DataFrame, dataset: str, parameters: Sequence[str] = (),
     return raw.select(*parameters, F.col("payload").alias("data"), *_envelope(source, dataset))
 
 
+#: By name, what makes a ``Flattener`` from the options of the function of that name.
+FLATTENERS: dict[str, Callable[..., Flattener]] = {
+    "date_map": _date_map,
+    "series": _series,
+    "nested_map": _nested_map,
+    "rate_map": _rate_map,
+    "values": _values,
+    "articles": _articles,
+    "swings": _swings,
+    "risk_premium": _risk_premium,
+    "performance": _performance,
+    "locations": _locations,
+    "whole_payload": _whole_payload,
+}
+
+
 def with_soft_errors(raw: DataFrame) -> DataFrame:
     """Add ``has_error`` and ``error_message`` of 2xx bodies that report a failure."""
     return raw.withColumn("_e", soft_error("payload")).select(

@@ -36,10 +36,11 @@ def scd2_merge(
     ``effective_from`` and opens the new row in the same pass. Unchanged keys
     and closed rows stay as they are, so replaying a batch changes nothing.
     With ``require_newer`` a batch row not newer than the current row is ignored.
-    Closed rows bypass the join, hence they are never shuffled.
+    Closed rows bypass the join, hence they are never shuffled; a row whose flag is
+    NULL counts as closed.
     """
     columns = target.columns
-    closed = target.where(~F.col("is_current"))
+    closed = target.where(~F.coalesce("is_current", F.lit(False)))
     pairs = _full_join(target.where("is_current"), incoming.select(*columns), keys)
 
     t, s = F.col("t"), F.col("s")
@@ -84,13 +85,13 @@ def scd2_current(table: DataFrame) -> DataFrame:
 
 def scd2_history(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every version of the keys that changed at least once, found by their closed rows."""
-    changed = table.where(~F.col("is_current")).select(*keys).distinct()
+    changed = table.where(~F.coalesce("is_current", F.lit(False))).select(*keys).distinct()
     return null_safe_join(table, changed, keys, "left_semi")
 
 
 def scd2_reopen(table: DataFrame, condition: Column, effective_from: str) -> DataFrame:
     """Point repair: closed rows that satisfy ``condition`` become current from a given time."""
-    hit = condition & ~F.col("is_current")
+    hit = condition & ~F.coalesce("is_current", F.lit(False))
     return table.withColumns(
         {
             "effective_from": F.when(hit, F.lit(effective_from).cast("timestamp")).otherwise(

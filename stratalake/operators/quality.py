@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .merge import scd2_violations
@@ -84,18 +84,37 @@ def history_report(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def interval_report(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Versions that end before they start, that overlap the next version of their key, or whose flag doesn't
+    fit their end. A key has as many versions as runs that changed it."""
+    along = Window.partitionBy(*keys).orderBy("effective_from", F.col("effective_to").asc_nulls_last())
+    start, end = F.col("effective_from"), F.col("effective_to")
+    checks = {
+        "backward_interval": end < start,
+        "overlapping_versions": F.coalesce(end, F.lit("9999-12-31").cast("timestamp")) > F.col("_next"),
+        "flag_and_end": F.col("is_current").isNull() | (F.col("is_current") != end.isNull()),
+    }
+    return row_report(table.withColumn("_next", F.lead("effective_from").over(along)), checks, non_empty=False)
+
+
 def range_checks(df: DataFrame, suffix: str = "_score", low: float = 0, high: float = 100) -> dict[str, Column]:
     """A range check for every column with the suffix."""
     return {c: outside_range(c, low, high) for c in df.columns if c.endswith(suffix)}
 
 
-def missing_columns(df: DataFrame, required: Sequence[str]) -> tuple[int, list[str]]:
-    """Row count, and the required columns no row carries (absent or NULL throughout)."""
-    present = [c for c in required if c in df.columns]
-    seen = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(c) for c in present]
-    ).first()
-    return seen["_rows"], [c for c in required if c not in present or seen[c] == 0]
+def missing_columns(df: DataFrame, required: Sequence[str], members: str | None = None) -> tuple[int, list[str]]:
+    """Row count, and the required columns that no row has.
+
+    Presence goes by names: those in the list column ``members`` where a row has one, else the columns of
+    ``df``. A column that is there but NULL throughout is present.
+    """
+    if members is None:
+        return df.count(), [c for c in required if c not in df.columns]
+    found = [
+        F.count_if(F.col(members).isNull() | F.array_contains(members, c)).alias(c) for c in required
+    ]
+    seen = df.agg(F.count(F.lit(1)).alias("_rows"), *found).first()
+    return seen["_rows"], [c for c in required if seen["_rows"] and seen[c] == 0]
 
 
 def enforce(report: DataFrame, what: str) -> None:

@@ -66,8 +66,9 @@ def default_rollup(df: DataFrame, summarize: Mapping[str, str], by: Sequence[str
 
 def most_recent(df: DataFrame, symbol: str, columns: Sequence[str], limit: int = 10,
                 entity: str = "symbol", time: str = "trade_date") -> DataFrame:
-    """The latest rows of one symbol; a top-k, not a full sort."""
-    return df.where(F.col(entity) == symbol).orderBy(F.desc(time)).limit(limit).select(*columns)
+    """The latest rows of one symbol, ties by the remaining columns; a top-k, not a full sort."""
+    ties = [c for c, kind in df.dtypes if c not in (entity, time) and not kind.startswith(("map", "variant"))]
+    return df.where(F.col(entity) == symbol).orderBy(F.desc(time), *ties).limit(limit).select(*columns)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

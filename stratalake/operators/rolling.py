@@ -8,19 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import is_one_of, null_safe_join
-
-# entity names passed to a scan as literals; more of them become a join
-_LITERALS = 1_000
-# calendar units, in seconds, at which a series too long for a task may be cut
-_UNITS = {
-    "year": 31_536_000,
-    "month": 2_592_000,
-    "day": 86_400,
-    "hour": 3_600,
-    "minute": 60,
-    "second": 1,
-}
+from ..session import save_and_read, scratch_path
+from .joins import null_safe_join
 
 
 @dataclass(frozen=True)
@@ -50,7 +39,7 @@ def add_rolling(df: DataFrame, spec: RollingSpec, groups: Sequence[str] | None =
     A zero or missing previous value gives a NULL return. Frames at the start
     of a series hold the rows there are. Everything shares one shuffle by
     entity. A date-ordered frame with one row per entity and date has at most
-    one row per calendar day in a group; for finer series use ``rolling``.
+    one row per calendar day in a group; for finer series use ``rolling_in_pieces``.
     """
     series = Window.partitionBy(*(groups or [spec.entity])).orderBy(*spec.sort)
     previous = F.lag(spec.value).over(series)
@@ -65,122 +54,121 @@ def add_rolling(df: DataFrame, spec: RollingSpec, groups: Sequence[str] | None =
     )
 
 
-def _fits(df: DataFrame, spec: RollingSpec, unit: str, max_rows: int) -> bool:
-    pieces = df.groupBy(spec.entity, F.date_trunc(unit, F.col(spec.order)))
-    return pieces.agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] <= max_rows
-
-
-def rolling(df: DataFrame, spec: RollingSpec, max_rows: int = 2_000_000) -> DataFrame:
-    """``add_rolling`` for series of any length.
+def rolling_in_pieces(df: DataFrame, spec: RollingSpec) -> DataFrame:
+    """``add_rolling`` for series of any length and skew: no task holds more than a piece.
 
-    The longest series is measured first (a map-side combined count of two
-    columns). Up to ``max_rows`` the plain windows serve; beyond, every series
-    is cut at the coarsest calendar unit that keeps each piece below the
-    bound, so a hot entity is spread over many tasks with equal results.
-    """
-    seconds = F.col(spec.order).cast("timestamp").cast("bigint")
-    longest = (
-        df.groupBy(spec.entity)
-        .agg(F.count(F.lit(1)).alias("n"), (F.max(seconds) - F.min(seconds)).alias("span"))
-        .agg(F.max_by(F.struct("n", "span"), "n").alias("s"))
-        .select("s.*")
-        .first()
-    )
-    if (longest["n"] or 0) <= max_rows:
-        return add_rolling(df, spec)
-    # start at the unit that fits if rows are spread evenly, then make sure
-    target = longest["span"] * max_rows / longest["n"]
-    candidates = [unit for unit, length in _UNITS.items() if length <= target] or ["second"]
-    for unit in candidates[:-1]:
-        if _fits(df, spec, unit, max_rows):
-            return rolling_in_pieces(df, spec, unit)
-    return rolling_in_pieces(df, spec, candidates[-1])
-
-
-def rolling_in_pieces(df: DataFrame, spec: RollingSpec, unit: str) -> DataFrame:
-    """Compute each (entity, calendar unit) on its own, led in by the rows before it.
-
-    The last ``lookback`` rows of every piece are enough to rebuild the rows
-    that precede any later piece, however sparse the series is.
+    Rows are range-partitioned by entity and time (``spec.sort`` must tell the rows of
+    an entity apart) and stored with the number of their piece. A series that crosses
+    into a later piece hands it the ``lookback`` rows before the border. Only the last
+    entity of a piece can do so, so what is handed on is a few rows for each piece,
+    passed on where pieces are shorter than that. Rows without an entity are a series of
+    their own.
     """
-    columns = df.columns
-    pieces = df.withColumn("_piece", F.date_trunc(unit, F.col(spec.order)))
-
-    from_end = Window.partitionBy(spec.entity, "_piece").orderBy(
-        *[F.col(c).desc() for c in spec.sort]
-    )
-    ends = pieces.withColumn("_back", F.row_number().over(from_end)).where(
-        F.col("_back") <= spec.lookback
-    )
+    spark, columns = df.sparkSession, df.columns
+    order = [F.col(spec.entity), *[F.col(c) for c in spec.sort]]
+    dealt = df.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id())
+    pieces = save_and_read(dealt, scratch_path(spark, "pieces"))
+
+    # the entity with which each piece ends; NULL sorts first, so it is last only if it is alone
+    last = pieces.groupBy("_piece").agg(F.max(spec.entity).alias(spec.entity))
+    last = last.withColumn("_next", F.lead("_piece").over(Window.orderBy("_piece")))  # one row per piece
+    from_end = Window.partitionBy("_piece").orderBy(*[F.col(c).desc() for c in spec.sort])
+    ends = null_safe_join(pieces, last, [spec.entity, "_piece"], "inner")
+    ends = ends.withColumn("_back", F.row_number().over(from_end)).where(F.col("_back") <= spec.lookback)
+
+    # a few rows per piece are left: the rows before each border, in time order over all pieces
     along = Window.partitionBy(spec.entity).orderBy(*spec.sort)
-    lead_in = (
-        ends.withColumn(
-            "_rows",
-            F.collect_list(F.struct(*columns)).over(along.rowsBetween(1 - spec.lookback, 0)),
-        )
-        .where("_back = 1")
-        .withColumn("_next", F.lead("_piece").over(along))
-        .where("_next IS NOT NULL")
-        .select(F.inline("_rows"), F.col("_next").alias("_piece"))
-    )
-    both = pieces.withColumn("_own", F.lit(True)).unionByName(
-        lead_in.withColumn("_own", F.lit(False))
-    )
-    return add_rolling(both, spec, [spec.entity, "_piece"]).where("_own").drop("_own", "_piece")
+    before = ends.withColumn(
+        "_rows", F.collect_list(F.struct(*columns)).over(along.rowsBetween(1 - spec.lookback, 0))
+    ).where("_back = 1 AND _next IS NOT NULL")
+    lead_in = before.select(F.inline("_rows"), F.col("_next").alias("_piece"))
+    both = pieces.withColumn("_own", F.lit(True)).unionByName(lead_in.withColumn("_own", F.lit(False)))
+    return add_rolling(both, spec, ["_piece", spec.entity]).where("_own").drop("_own", "_piece")
 
 
 def calendar_averages(df: DataFrame, spec: RollingSpec) -> DataFrame:
     """Monthly and yearly average of the value, repeated on each row.
 
-    Rows partitioned by entity (after ``add_rolling``) or by entity and year
-    serve the finer grouping as they are: no shuffle between the two.
+    The averages come from one map-side combined aggregate by month (a year is made of
+    its months), joined back: no entity is gathered in one task.
     """
-    by_year = [F.col(spec.entity), F.year(spec.order)]
-    by_month = [*by_year, F.month(spec.order)]
-    return df.withColumn(
-        f"yearly_avg_{spec.value}", F.avg(spec.value).over(Window.partitionBy(*by_year))
-    ).withColumn(f"monthly_avg_{spec.value}", F.avg(spec.value).over(Window.partitionBy(*by_month)))
+    dated = df.withColumns({"_year": F.year(spec.order), "_month": F.month(spec.order)})
+    by_month = dated.groupBy(spec.entity, "_year", "_month").agg(
+        F.sum(spec.value).alias("_sum"), F.count(spec.value).alias("_n")
+    )
+    months = Window.partitionBy(spec.entity, "_year")  # at most twelve rows
+    averages = by_month.select(
+        spec.entity,
+        "_year",
+        "_month",
+        F.try_divide(F.sum("_sum").over(months), F.sum("_n").over(months)).alias(f"yearly_avg_{spec.value}"),
+        F.try_divide("_sum", "_n").alias(f"monthly_avg_{spec.value}"),
+    )
+    return null_safe_join(dated, averages, [spec.entity, "_year", "_month"], "left").drop("_year", "_month")
 
 
-def _last_rows(df: DataFrame, spec: RollingSpec) -> DataFrame:
+def _last_rows(df: DataFrame, spec: RollingSpec, rows: int | None = None) -> DataFrame:
     back = Window.partitionBy(spec.entity).orderBy(*[F.col(c).desc() for c in spec.sort])
     return (
         df.withColumn("_back", F.row_number().over(back))
-        .where(F.col("_back") <= spec.lookback)
+        .where(F.col("_back") <= (rows or spec.lookback))
         .drop("_back")
     )
 
 
-def refresh_rolling(
-    fact: DataFrame, since, spec: RollingSpec, lookback_days: int = 60
-) -> DataFrame:
+def refresh_rolling(fact: DataFrame, since, spec: RollingSpec) -> DataFrame:
     """Metrics of all rows dated ``since`` or later, equal to a full recompute.
 
-    ``since`` is the earliest date of the batch (a literal, so partitions
-    prune). The rows needed before it are counted in rows, not days: first the
-    last ``lookback_days`` days are read; entities with too few rows there
-    are looked up in the older history, which is read only if there are any,
-    and only for them.
+    ``since`` is a literal, so partitions prune. The rows needed before it are counted in
+    rows, not days, and only entities that have later rows are looked up; the map side keeps
+    the last rows of each.
     """
     order = F.col(spec.order)
     start = F.lit(since).cast("date")
-    near = F.date_sub(start, lookback_days)
     affected = fact.where(order >= start)
-    context = _last_rows(fact.where((order >= near) & (order < start)), spec)
+    older = null_safe_join(fact.where(order < start), affected.select(spec.entity).distinct(), [spec.entity], "left_semi")
+    return add_rolling(_last_rows(older, spec).unionByName(affected), spec).where(order >= start)
 
-    enough = (
-        context.groupBy(spec.entity)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= spec.lookback)
-        .select(spec.entity)
-    )
-    short = null_safe_join(affected.select(spec.entity).distinct(), enough, [spec.entity], "left_anti")
-    names = [r[0] for r in short.limit(_LITERALS + 1).collect()]
-    if names:
-        older = fact.where(order < near)
-        if len(names) <= _LITERALS:
-            older = older.where(is_one_of(spec.entity, names))  # reaches the scan
-        else:
-            older = null_safe_join(older, short, [spec.entity], "left_semi")
-        context = _last_rows(context.unionByName(_last_rows(older, spec)), spec)
-    return add_rolling(context.unionByName(affected), spec).where(order >= start)
+
+def refresh_changed(
+    fact: DataFrame, changed: DataFrame, spec: RollingSpec, tails: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(metrics to replace, new tails) after rows named by (entity, order) in ``changed`` came, went or changed.
+
+    Of each changed entity, the rows from its first changed one to ``lookback`` rows after its
+    last changed one get new metrics; other entities and later rows keep theirs. ``tails`` has the last
+    ``2 * lookback`` rows of every entity before the change (all of them, if there are fewer). Where
+    they reach far enough back before the first change they are the only history that is read; only
+    entities with an earlier change are looked up in the older rows of ``fact``. An entity that
+    ``tails`` doesn't name is new.
+    """
+    key, order, keep = spec.entity, F.col(spec.order), 2 * spec.lookback
+    spans = changed.groupBy(key).agg(F.min(spec.order).alias("_first"), F.max(spec.order).alias("_last"))
+    since = changed.agg(F.min(spec.order)).first()[0]
+    if since is None:
+        raise ValueError("no changed rows")
+    columns = fact.columns
+    recent = null_safe_join(fact.where(order >= F.lit(since)), spans, [key], "inner").where(order >= F.col("_first"))
+    recent = recent.select(*columns, "_last")
+
+    late, context = spans.select(key, "_first"), []
+    if tails is not None:
+        held = null_safe_join(tails.select(*columns), spans, [key], "inner")
+        reach = held.groupBy(key).agg(
+            F.first("_first").alias("_first"), F.count(F.lit(1)).alias("_all"), F.count_if(order < F.col("_first")).alias("_before")
+        )
+        late = reach.where((F.col("_all") >= keep) & (F.col("_before") < spec.lookback)).select(key, "_first")
+        known = null_safe_join(held.where(order < F.col("_first")).select(*columns), late, [key], "left_anti")
+        context.append(known)
+    if tails is None or not late.isEmpty():
+        older = null_safe_join(fact, late, [key], "inner").where(order < F.col("_first"))
+        context.append(_last_rows(older.select(*columns), spec, keep))
+    before = context[0] if len(context) == 1 else context[0].unionByName(context[1])
+
+    # the rows after the last changed one that still look back on it
+    along = Window.partitionBy(key).orderBy(*spec.sort)
+    before = before.withColumn("_last", F.lit(None).cast(fact.schema[spec.order].dataType)).withColumn("_own", F.lit(False))
+    both = before.unionByName(recent.withColumn("_own", F.lit(True)))
+    past = F.count_if(F.col("_own") & (order > F.col("_last"))).over(along)
+    metrics = add_rolling(both.withColumn("_past", past), spec).where(F.col("_own") & (F.col("_past") <= spec.lookback))
+    return metrics.drop("_own", "_last", "_past"), _last_rows(both.select(*columns), spec, keep)

@@ -19,8 +19,9 @@ def standardize(
     df: DataFrame,
     types: Mapping[str, str],
     renames: Mapping[str, str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Rename, then select exactly the typed columns, in order, in one projection.
+    """Rename, then select exactly the typed columns, in order, in one projection, and behind them those in ``keep``.
 
     Columns the batch lacks come out as typed NULLs; the required-column gate
     decides whether that is acceptable.
@@ -35,7 +36,7 @@ def standardize(
             return F.lit(None).cast(dtype)
         return cast_or_null(name, dtype, text=isinstance(have[name], T.StringType))
 
-    return df.select(*[typed(name, dtype).alias(name) for name, dtype in types.items()])
+    return df.select(*[typed(name, dtype).alias(name) for name, dtype in types.items()], *keep)
 
 
 def with_month_partition(df: DataFrame, time_column: str, name: str = "year_month") -> DataFrame:

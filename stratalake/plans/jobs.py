@@ -1,31 +1,30 @@
-"""The job of one batch: bronze -> silver -> gold, gates before every publish."""
+"""The job of one batch: bronze -> silver -> gold.
+
+Everything a run would change is computed and stored aside first, then all gates are held against
+it, and only then the tables are replaced, one after the other. A run that a gate
+refuses leaves silver and gold as they were. A replay of a run changes nothing.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.composite import composite, coverage_ratio, minmax_norm, pivot_norms, weighted_channels
 from ..operators.dedup import append_then_dedup, latest_wins
+from ..operators.joins import null_safe_join
 from ..operators.merge import scd2_as_of, scd2_merge, upsert
-from ..operators.quality import (
-    GateError,
-    enforce,
-    history_report,
-    missing_columns,
-    quality_report,
-    range_checks,
-    row_report,
-)
-from ..operators.rolling import add_rolling, refresh_rolling
+from ..operators.quality import GateError, enforce, history_report, interval_report, range_checks, row_report
+from ..operators.rolling import add_rolling, refresh_changed
 from ..operators.standardize import standardize, with_history_columns, with_lineage, with_month_partition
 from ..session import Scratch
 from ..sources import tables
-from ..sources.bronze import CORRUPT, scan_bronze, split_corrupt
-from .registry import METADATA, DatasetSpec, IndexSpec
+from ..sources.bronze import CORRUPT, MEMBERS, scan_bronze
+from .manifest import manifest_gate
+from .registry import METADATA, DatasetSpec, IndexSpec, find
 
 
 @dataclass(frozen=True)
@@ -50,25 +49,85 @@ class Layers:
     location: str | None = None
 
 
-_QUARANTINE = {"line": "string", "run_id": "string", "dataset": "string"}
+# ``run`` is dataset@run_id, the partition that a replay replaces
+_QUARANTINE = {"line": "string", "run_id": "string", "dataset": "string", "run": "string"}
 _RUNS = {
     "run_id": "string",
     "dag_id": "string",
     "dataset": "string",
     "as_of": "timestamp",
+    "status": "string",
+    "problem": "string",
+    "keys": "array<string>",
     "bronze_rows": "bigint",
+    "quarantined": "bigint",
     "batch_rows": "bigint",
+    "cast_failures": "map<string,bigint>",
+    "run": "string",
 }
 
 
-def standardized(bronze: DataFrame, spec: DatasetSpec, run: Run) -> DataFrame:
-    """Typed silver rows of a batch, not yet deduplicated."""
-    df = standardize(bronze, {**spec.columns, **METADATA}, spec.renames)
+@dataclass
+class Outcome:
+    """What a run found, for the log."""
+
+    keys: Sequence[str] = ()
+    bronze_rows: int = 0
+    quarantined: int = 0
+    batch_rows: int = 0
+    cast_failures: dict[str, int] = field(default_factory=dict)
+
+
+class Publications:
+    """Stored results that wait until all gates are passed."""
+
+    def __init__(self, spark: SparkSession, scratch: Scratch, layers: Layers):
+        self.spark, self.scratch, self.layers = spark, scratch, layers
+        self.waiting: list[tuple[str, DataFrame, str, list]] = []
+
+    def table(self, name: str, columns: dict[str, str], partition: str | None) -> DataFrame:
+        tables.create_table(self.spark, name, columns, partition, self.layers.provider, self.layers.location)
+        return self.spark.table(name)
+
+    def replace(self, name: str, rows: DataFrame, partition: str, gone: list | None = None) -> None:
+        """``rows`` (stored) will replace their partitions of a table; partitions ``gone`` have no rows any more."""
+        self.waiting.append((name, rows, partition, gone or []))
+
+    def after(self, name: str, rows: DataFrame, partition: str, gone: DataFrame | None = None) -> DataFrame:
+        """The table as it will be: the partitions of ``rows`` (and those in ``gone``) from there, the others as they are."""
+        seen = rows.select(partition).distinct()
+        if gone is not None:
+            seen = seen.union(gone.select(partition)).distinct()
+        old = self.spark.table(name)
+        return null_safe_join(old, seen, [partition], "left_anti").unionByName(rows.select(*old.columns))
+
+    def publish(self) -> None:
+        for name, rows, partition, gone in self.waiting:
+            tables.publish_partitions(rows, name, partition)
+            tables.drop_partitions(self.spark, name, partition, gone)
+        self.waiting = []
+
+
+# --- from bronze to a batch ------------------------------------------------------------------------
+
+
+def _finite(number: Column) -> Column:
+    """The number, or NULL where it is none or has no end."""
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
+
+
+def standardized(bronze: DataFrame, spec: DatasetSpec, run: Run, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed silver rows of a batch, not yet deduplicated, and columns to ``keep`` behind them.
+
+    Numbers that are not finite become NULL, as other values that don't convert.
+    """
+    df = standardize(bronze, {**spec.columns, **METADATA}, spec.renames, keep)
+    df = df.withColumns({c: _finite(F.col(c)) for c, dtype in spec.columns.items() if dtype == "double"})
     if spec.month_of:
         df = with_month_partition(df, spec.month_of)
     if spec.style == "scd2":
         df = with_history_columns(df, spec.hash_columns, run.as_of)
-    return with_lineage(df, run.dag_id, run.run_id, run.as_of).select(*spec.silver_columns)
+    return with_lineage(df, run.dag_id, run.run_id, run.as_of).select(*spec.silver_columns, *keep)
 
 
 def index_scores(current: DataFrame, index: IndexSpec) -> DataFrame:
@@ -83,186 +142,340 @@ def index_scores(current: DataFrame, index: IndexSpec) -> DataFrame:
     )
 
 
-def _gate_bronze(bronze: DataFrame, spec: DatasetSpec, run: Run) -> int:
-    """Row count of the batch, if it is not empty, complete and has its columns."""
+_RAW = "_raw_"
+
+
+def _staged_bronze(bronze: DataFrame, spec: DatasetSpec, run: Run, scratch: Scratch) -> tuple[DataFrame, dict]:
+    """Typed rows and malformed lines, stored by one pass that also counts what the gates ask for."""
     back = {new: old for old, new in spec.renames.items()}
-    rows, absent = missing_columns(bronze, [back.get(c, c) for c in spec.required])
-    if rows == 0:
+    kept = [c for c in (CORRUPT, MEMBERS) if c in bronze.columns]
+    told = {c: back[c] if back.get(c) in bronze.columns else c for c in spec.columns}
+    told = {c: old for c, old in told.items() if old in bronze.columns}
+    raw = {c: f"{_RAW}{c}" for c in told}
+    carried = bronze.select("*", *[F.col(told[c]).alias(raw[c]) for c in told])
+    rows = standardized(carried, spec, run, [*kept, *raw.values()])
+
+    good = F.col(CORRUPT).isNull() if CORRUPT in kept else F.lit(True)
+    counts = [F.count_if(good).alias("good"), F.count_if(~good).alias("bad")]
+    counts += [F.count_if(good & F.col(k).isNull()).alias(f"null {k}") for k in spec.keys]
+    counts += [F.count_if(good & F.col(raw[c]).isNotNull() & F.col(c).isNull()).alias(f"failed {c}") for c in told]
+    required = [back.get(c, c) for c in spec.required]
+    named = [c for c in required if c not in bronze.columns or c in spec.bronze_columns] if MEMBERS in kept else []
+    counts += [F.count_if(good & (F.col(MEMBERS).isNull() | F.array_contains(MEMBERS, c))).alias(f"has {c}") for c in named]
+
+    observed = Observation(f"bronze of {spec.name}")
+    stored = scratch.save(rows.observe(observed, *counts).drop(*raw.values()))
+    found = dict(observed.get)
+    if MEMBERS in kept:
+        # folders above the objects give columns too; their values are in the rows
+        folders = [c for c in named if found[f"has {c}"] == 0 and c in METADATA and c in bronze.columns]
+        present = {c for c in folders if not stored.where(F.col(c).isNotNull()).isEmpty()}
+        found["absent"] = [c for c in named if found[f"has {c}"] == 0 and c not in present]
+    else:
+        found["absent"] = [c for c in required if c not in bronze.columns and spec.renames.get(c, c) not in bronze.columns]
+    return stored, found
+
+
+def _gate_bronze(found: dict, spec: DatasetSpec, run: Run) -> None:
+    """The batch is not empty, as complete as announced, has its columns and keys."""
+    if found["good"] == 0:
         raise GateError(f"{spec.name}: no records")
-    if run.record_count is not None and rows != run.record_count:
-        raise GateError(f"{spec.name}: manifest announced {run.record_count} records, found {rows}")
-    if absent:
-        raise GateError(f"{spec.name}: missing columns {sorted(absent)}")
-    return rows
+    total = found["good"] + found["bad"]
+    if run.record_count is not None and total != run.record_count:
+        raise GateError(f"{spec.name}: manifest announced {run.record_count} records, found {total}")
+    if found["absent"]:
+        raise GateError(f"{spec.name}: missing columns {sorted(found['absent'])}")
+    unknown = {f"{k}_present": found[f"null {k}"] for k in spec.keys if found[f"null {k}"]}
+    if unknown:
+        raise GateError(f"{spec.name} batch: {unknown}")
 
 
-def _publish_versioned(
-    spark: SparkSession, batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, scratch: Scratch
-) -> DataFrame:
-    name = spec.table(layers.silver, "clean")
-    tables.create_table(spark, name, spec.silver_columns, spec.partition, layers.provider, layers.location)
-    target = tables.touched(spark.table(name), batch, spec.partition)
-    merged = scratch.save(scd2_merge(target, batch, spec.keys, run.require_newer))
-    enforce(history_report(merged, spec.keys), name)
-    tables.publish_partitions(merged, name, spec.partition)
-    return merged.where("is_current")
+# --- staging ------------------------------------------------------------------------------------------
 
 
-def _publish_appended(
-    spark: SparkSession, batch: DataFrame, spec: DatasetSpec, layers: Layers, scratch: Scratch
-) -> DataFrame:
+def _stage_silver(batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, out: Publications) -> DataFrame:
+    """The partitions of the silver table that the batch touches, as they will be."""
     name = spec.table(layers.silver, "clean")
-    tables.create_table(spark, name, spec.silver_columns, spec.partition, layers.provider, layers.location)
-    target = tables.touched(spark.table(name), batch, spec.partition)
-    merged = scratch.save(append_then_dedup(target, batch, spec.keys))
-    enforce(quality_report(merged, spec.keys), name)
-    tables.publish_partitions(merged, name, spec.partition)
+    stored = out.table(name, spec.silver_columns, spec.partition)
+    target = tables.touched(stored, batch, spec.partition)
+    if spec.style == "append":
+        merged = out.scratch.save(append_then_dedup(target, batch, spec.keys))
+    else:
+        at = F.lit(run.as_of).cast("timestamp")
+        later = target.where(F.greatest("effective_from", "effective_to") > at)
+        if not later.limit(1).isEmpty():
+            raise GateError(f"{name}: the run's time {run.as_of} is before that of a stored version")
+        merged = out.scratch.save(scd2_merge(target, batch, spec.keys, run.require_newer))
+        enforce(history_report(merged, spec.keys), name)
+        enforce(interval_report(merged, spec.keys), name)
+    out.replace(name, merged, spec.partition)
     return merged
 
 
-def _publish_fact(spark: SparkSession, current: DataFrame, spec: DatasetSpec, run: Run, layers: Layers) -> str:
+def _stage_fact(merged: DataFrame, batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, out: Publications) -> DataFrame:
+    """The touched partitions of the fact: upserted with the rows of the batch's keys, or made of silver anew."""
     name = spec.table(layers.gold, "fact")
-    tables.create_table(spark, name, spec.fact_columns, spec.partition, layers.provider, layers.location)
+    stored = out.table(name, spec.fact_columns, spec.partition)
+    current = merged.where("is_current") if spec.style == "scd2" else merged
     if spec.fact_style == "upsert":
-        target = tables.touched(spark.table(name), current, spec.partition)
-        merged = upsert(target, current.select(*spec.fact), spec.keys, spec.fact_update, "processed_at", run.as_of)
-        tables.publish_partitions(merged, name, spec.partition)
+        target = tables.touched(stored, batch, spec.partition)
+        changed = null_safe_join(current, batch.select(*spec.keys), spec.keys, "left_semi")
+        rows = upsert(target, changed.select(*spec.fact), spec.keys, spec.fact_update, "processed_at", run.as_of)
     else:
-        tables.publish_partitions(current.select(*spec.fact_columns), name, spec.partition)
-    return name
+        rows = current.select(*spec.fact_columns)
+    rows = out.scratch.save(rows.select(*spec.fact_columns))
+    out.replace(name, rows, spec.partition)
+    return out.after(name, rows, spec.partition)
 
 
 def _stamped(df: DataFrame, as_of: str) -> DataFrame:
     return df.withColumn("processed_at", F.lit(as_of).cast("timestamp"))
 
 
-def _metrics_table(spark: SparkSession, metrics: DataFrame, spec: DatasetSpec, layers: Layers) -> str:
-    name = spec.table(layers.gold, "metrics")
-    types = {f.name: f.dataType.simpleString() for f in metrics.schema.fields}
-    tables.create_table(spark, name, types, spec.partition, layers.provider, layers.location)
-    return name
+def _metric_columns(spec: DatasetSpec) -> dict[str, str]:
+    own = ["daily_return", *[f"ma_{n}_{spec.rolling.value}" for n in spec.rolling.means], f"volatility_{spec.rolling.volatility}"]
+    return spec.fact_columns | dict.fromkeys(own, "double")
 
 
-def _publish_metrics(
-    spark: SparkSession, batch: DataFrame, fact: str, spec: DatasetSpec, run: Run, layers: Layers
-) -> None:
-    """Refresh the metrics from the first date of the batch on."""
-    since = batch.agg(F.min(spec.rolling.order)).first()[0]
-    metrics = _stamped(refresh_rolling(spark.table(fact), since, spec.rolling), run.as_of)
-    name = _metrics_table(spark, metrics, spec, layers)
-    tables.publish_partitions(metrics, name, spec.partition)
+_ALL = "all"
 
 
-def _index_tables(spark: SparkSession, spec: DatasetSpec, layers: Layers) -> dict[str, list[str]]:
-    """The score and index tables with their columns."""
-    out = {}
+def _stage_metrics(
+    changed: DataFrame, fact: DataFrame, spec: DatasetSpec, as_of: str, layers: Layers, out: Publications, know_tails: bool = True
+) -> None:
+    """Metrics of the rows that depend on changed ones; all others of their partitions are carried over.
+
+    The tail table keeps the last rows of each entity, so that a run at the end of the series
+    reads no older partition.
+    """
+    rolling, name, tail_name = spec.rolling, spec.table(layers.gold, "metrics"), spec.table(layers.gold, "tail")
+    columns = _metric_columns(spec)
+    stored = out.table(name, columns, spec.partition)
+    tails = out.table(tail_name, spec.fact_columns | {"part": "string"}, "part").drop("part")
+    if not know_tails or tails.isEmpty():
+        tails = None
+    metrics, ends = refresh_changed(fact, changed, rolling, tails)
+    metrics = out.scratch.save(_stamped(metrics, as_of).select(*columns))
+    touched = metrics.select(spec.partition).union(changed.select(spec.partition)).distinct()
+    # rows whose metrics stay: neither recomputed nor gone
+    others = null_safe_join(tables.touched(stored, touched, spec.partition), metrics, [rolling.entity, *rolling.sort], "left_anti")
+    there = null_safe_join(fact, touched, [spec.partition], "left_semi")
+    others = null_safe_join(others, there, [rolling.entity, *rolling.sort], "left_semi")
+    rows = out.scratch.save(metrics.unionByName(others.select(*columns)))
+    empty = null_safe_join(touched, rows, [spec.partition], "left_anti")
+    out.replace(name, rows, spec.partition, [r[0] for r in empty.collect()])
+
+    # the entities of the batch get new tails, all others keep theirs
+    old = out.spark.table(tail_name).drop("part")
+    kept = null_safe_join(old, changed.select(rolling.entity).distinct(), [rolling.entity], "left_anti")
+    new = out.scratch.save(kept.unionByName(ends.select(*old.columns)).withColumn("part", F.lit(_ALL)))
+    out.replace(tail_name, new, "part")
+
+
+def _stage_index(silver: DataFrame, years: DataFrame, spec: DatasetSpec, as_of: str, layers: Layers, out: Publications) -> None:
+    """Scores and index of the given years; a year's extremes depend on that year only."""
+    current = null_safe_join(silver.where("is_current"), years, ["year"], "left_semi")
+    scores = out.scratch.save(_stamped(index_scores(current, spec.index), as_of))
+    enforce(row_report(scores, range_checks(scores), non_empty=False), f"{spec.name} scores")
+    gone = [r[0] for r in null_safe_join(years, scores, ["year"], "left_anti").collect()]
     for suffix, values in (("scores", [*spec.index.channels, "coverage_ratio"]), ("tvi", [spec.index.name])):
-        columns = {"country": "string", "year": "int"} | {v: "double" for v in values} | {"processed_at": "timestamp"}
+        columns = {"country": "string", "year": "int"} | dict.fromkeys(values, "double") | {"processed_at": "timestamp"}
         name = spec.table(layers.gold, suffix)
-        tables.create_table(spark, name, columns, "year", layers.provider, layers.location)
-        out[name] = list(columns)
-    return out
+        out.table(name, columns, "year")
+        out.replace(name, scores.select(*columns), "year", gone)
 
 
-def _checked_scores(current: DataFrame, spec: DatasetSpec, as_of: str, scratch: Scratch) -> DataFrame:
-    scores = scratch.save(_stamped(index_scores(current, spec.index), as_of))
-    enforce(row_report(scores, range_checks(scores), non_empty=False), f"{spec.name} scores")
-    return scores
+# --- runs ------------------------------------------------------------------------------------------------
 
 
-def _publish_index(
-    spark: SparkSession, batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, scratch: Scratch
+def process_batch(
+    spark: SparkSession, spec: DatasetSpec, bronze: DataFrame, run: Run, layers: Layers = Layers(), keys: Sequence[str] = ()
 ) -> None:
-    """Scores and index of the years in the batch; a year's extremes depend on that year only."""
-    silver = spark.table(spec.table(layers.silver, "clean")).where("is_current")
-    scores = _checked_scores(tables.touched(silver, batch, "year"), spec, run.as_of, scratch)
-    for name, columns in _index_tables(spark, spec, layers).items():
-        tables.publish_partitions(scores.select(*columns), name, "year")
-
+    """Carry one bronze batch through all layers of its dataset; malformed lines are set aside.
 
-def rebuild_gold(spark: SparkSession, spec: DatasetSpec, as_of: str, layers: Layers = Layers()) -> None:
-    """Replace fact, metrics and index as a whole by what current silver gives, for use after a repair."""
-    silver = spark.table(spec.table(layers.silver, "clean"))
-    if spec.style == "scd2":
-        silver = silver.where("is_current")
-    fact = spec.table(layers.gold, "fact")
-    tables.create_table(spark, fact, spec.fact_columns, spec.partition, layers.provider, layers.location)
-    tables.publish_snapshot(silver.select(*spec.fact_columns), fact, spec.partition)
-    if spec.rolling:
-        metrics = _stamped(add_rolling(spark.table(fact), spec.rolling), as_of)
-        tables.publish_snapshot(metrics, _metrics_table(spark, metrics, spec, layers), spec.partition)
-    if spec.index:
+    The run is logged, also one that a gate refuses.
+    """
+    if spec.style == "raw":
+        raise ValueError(f"{spec.name} ends in the raw zone")
+    outcome = Outcome(keys)
+    try:
         with Scratch(spark, spec.name) as scratch:
-            scores = _checked_scores(silver, spec, as_of, scratch)
-            for name, columns in _index_tables(spark, spec, layers).items():
-                tables.publish_snapshot(scores.select(*columns), name, "year")
+            out = Publications(spark, scratch, layers)
+            stored, found = _staged_bronze(bronze, spec, run, scratch)
+            outcome.bronze_rows, outcome.quarantined = found["good"], found["bad"]
+            outcome.cast_failures = {k.removeprefix("failed "): n for k, n in found.items() if k.startswith("failed ") and n}
+            _gate_bronze(found, spec, run)
+            good = stored.where(F.col(CORRUPT).isNull()) if CORRUPT in stored.columns else stored
+            counted = Observation(f"batch of {spec.name}")
+            latest = latest_wins(good.select(*spec.silver_columns), spec.keys)
+            batch = scratch.save(latest.observe(counted, F.count(F.lit(1)).alias("n")))
+            outcome.batch_rows = counted.get["n"]
+            merged = _stage_silver(batch, spec, run, layers, out)
+            fact = _stage_fact(merged, batch, spec, run, layers, out)
+            if spec.rolling:
+                _stage_metrics(batch.select(*spec.keys), fact, spec, run.as_of, layers, out)
+            if spec.index:
+                silver = out.after(spec.table(layers.silver, "clean"), merged, spec.partition)
+                _stage_index(silver, batch.select("year").distinct(), spec, run.as_of, layers, out)
+            if found["bad"]:
+                _stage_quarantine(stored, spec, run, out)
+            out.publish()
+    except GateError as refused:
+        _log_run(spark, spec, run, layers, outcome, "refused", str(refused))
+        raise
+    _log_run(spark, spec, run, layers, outcome, "done")
 
 
-def roll_back(spark: SparkSession, spec: DatasetSpec, moment: str, layers: Layers = Layers()) -> None:
-    """Put a versioned table and its gold tables back to the state after the run at ``moment``."""
-    name = spec.table(layers.silver, "clean")
-    with Scratch(spark, spec.name) as scratch:
-        earlier = scratch.save(scd2_as_of(spark.table(name), moment))
-        enforce(history_report(earlier, spec.keys), name)
-        tables.publish_snapshot(earlier, name, spec.partition)
-    rebuild_gold(spark, spec, moment, layers)
+def run_dataset(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    keys: Sequence[str],
+    run: Run,
+    layers: Layers = Layers(),
+    base_path: str | None = None,
+) -> None:
+    """Run the job of a dataset over exactly the given bronze objects."""
+    bronze = scan_bronze(spark, keys, spec.bronze_columns, spec.scan_mode, base_path, members=True)
+    process_batch(spark, spec, bronze, run, layers, keys)
 
 
-def _log_run(spark: SparkSession, spec: DatasetSpec, run: Run, layers: Layers, bronze_rows: int, batch_rows: int) -> None:
-    name = f"{layers.ops}.dataset_runs"
-    tables.create_table(spark, name, _RUNS, None, layers.provider, layers.location)
-    row = spark.range(1).select(
+def run_manifest(
+    spark: SparkSession,
+    manifest: str,
+    run_id: str,
+    as_of: str,
+    layers: Layers = Layers(),
+    dag_id: str = "",
+    base_path: str | None = None,
+) -> None:
+    """Run the dataset that a manifest (JSON text) names over the objects it names, if the manifest is sound."""
+    row = manifest_gate(spark.range(1).select(F.lit(manifest).alias("manifest"))).first()
+    if row["problem"]:
+        raise GateError(f"manifest: {row['problem']}")
+    spec = find(row["domain"], row["source"], row["dataset"])
+    run = Run(run_id, as_of, dag_id, row["record_count"])
+    run_dataset(spark, spec, row["keys"], run, layers, base_path)
+
+
+def _key(spec: DatasetSpec, run: Run) -> str:
+    return f"{spec.name}@{run.run_id}"
+
+
+def _stage_quarantine(stored: DataFrame, spec: DatasetSpec, run: Run, out: Publications) -> None:
+    """The malformed lines of a permissive scan with the run that met them; a replay replaces its own."""
+    name = f"{out.layers.ops}.quarantine"
+    out.table(name, _QUARANTINE, "run")
+    lines = stored.where(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("line"),
         F.lit(run.run_id).alias("run_id"),
-        F.lit(run.dag_id).alias("dag_id"),
         F.lit(spec.name).alias("dataset"),
-        F.lit(run.as_of).cast("timestamp").alias("as_of"),
-        F.lit(bronze_rows).cast("bigint").alias("bronze_rows"),
-        F.lit(batch_rows).cast("bigint").alias("batch_rows"),
+        F.lit(_key(spec, run)).alias("run"),
     )
-    tables.append(row, name)
+    out.replace(name, lines, "run")
 
 
-def _keep_quarantine(spark: SparkSession, bad: DataFrame, spec: DatasetSpec, run: Run, layers: Layers) -> None:
-    """Store the malformed lines of a permissive scan with the run that met them."""
-    name = f"{layers.ops}.quarantine"
-    tables.create_table(spark, name, _QUARANTINE, "dataset", layers.provider, layers.location)
-    lines = bad.select(
-        F.col(CORRUPT).alias("line"), F.lit(run.run_id).alias("run_id"), F.lit(spec.name).alias("dataset")
-    )
-    tables.append(lines, name)
+def _log_run(
+    spark: SparkSession, spec: DatasetSpec, run: Run, layers: Layers, outcome: Outcome, status: str, problem: str | None = None
+) -> None:
+    """One row per run of a dataset; a replay replaces its own."""
+    name = f"{layers.ops}.dataset_runs"
+    tables.create_table(spark, name, _RUNS, "run", layers.provider, layers.location)
+    failures = [F.lit(x) for item in outcome.cast_failures.items() for x in item]
+    values = {
+        "run_id": F.lit(run.run_id),
+        "dag_id": F.lit(run.dag_id),
+        "dataset": F.lit(spec.name),
+        "as_of": F.lit(run.as_of),
+        "status": F.lit(status),
+        "problem": F.lit(problem),
+        "keys": F.array(*map(F.lit, outcome.keys)),
+        "bronze_rows": F.lit(outcome.bronze_rows),
+        "quarantined": F.lit(outcome.quarantined),
+        "batch_rows": F.lit(outcome.batch_rows),
+        "cast_failures": F.create_map(*failures),
+        "run": F.lit(_key(spec, run)),
+    }
+    row = spark.range(1).select(*[value.cast(_RUNS[c]).alias(c) for c, value in values.items()])
+    tables.publish_partitions(row, name, "run")
+
+
+# --- repair -----------------------------------------------------------------------------------------------
+
+
+def _fact_of(silver: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The fact that silver gives: current rows, with insert-only columns from the first version of their key."""
+    if spec.style != "scd2":
+        return silver.select(*spec.fact_columns)
+    current = silver.where("is_current")
+    fixed = [c for c in spec.fact if c not in spec.keys and c not in spec.fact_update]
+    if spec.fact_style != "upsert" or not fixed:
+        return current.select(*spec.fact_columns)
+    first = silver.groupBy(*spec.keys).agg(F.min_by(F.struct(*fixed), "effective_from").alias("_first"))
+    joined = null_safe_join(current.drop(*fixed), first, spec.keys, "left").select("*", "_first.*")
+    return joined.select(*spec.fact_columns)
 
 
-def process_batch(spark: SparkSession, spec: DatasetSpec, bronze: DataFrame, run: Run, layers: Layers = Layers()) -> None:
-    """Carry one bronze batch through all layers of its dataset; malformed lines are set aside."""
-    if spec.style == "raw":
-        raise ValueError(f"{spec.name} ends in the raw zone")
-    if CORRUPT in bronze.columns:
-        bronze, bad = split_corrupt(bronze)
-        _keep_quarantine(spark, bad, spec, run, layers)
-    bronze_rows = _gate_bronze(bronze, spec, run)
+def rebuild_gold(spark: SparkSession, spec: DatasetSpec, as_of: str, layers: Layers = Layers()) -> None:
+    """Replace fact, metrics and index as a whole by what current silver gives, for use after a repair by hand."""
+    silver = spark.table(spec.table(layers.silver, "clean"))
     with Scratch(spark, spec.name) as scratch:
-        batch = scratch.save(latest_wins(standardized(bronze, spec, run), spec.keys))
-        enforce(quality_report(batch, spec.keys), f"{spec.name} batch")
-        if spec.style == "scd2":
-            current = _publish_versioned(spark, batch, spec, run, layers, scratch)
-        else:
-            current = _publish_appended(spark, batch, spec, layers, scratch)
-        fact = _publish_fact(spark, current, spec, run, layers)
+        out = Publications(spark, scratch, layers)
+        fact = spec.table(layers.gold, "fact")
+        out.table(fact, spec.fact_columns, spec.partition)
+        whole = scratch.save(_fact_of(silver, spec))
+        snapshots = [(fact, whole, spec.partition)]
         if spec.rolling:
-            _publish_metrics(spark, batch, fact, spec, run, layers)
+            columns, name, tail = _metric_columns(spec), spec.table(layers.gold, "metrics"), spec.table(layers.gold, "tail")
+            out.table(name, columns, spec.partition)
+            out.table(tail, spec.fact_columns | {"part": "string"}, "part")
+            snapshots.append((name, scratch.save(_stamped(add_rolling(whole, spec.rolling), as_of).select(*columns)), spec.partition))
+            _, ends = refresh_changed(whole, whole, spec.rolling)
+            snapshots.append((tail, scratch.save(ends.withColumn("part", F.lit(_ALL))), "part"))
         if spec.index:
-            _publish_index(spark, batch, spec, run, layers, scratch)
-        _log_run(spark, spec, run, layers, bronze_rows, batch.count())
-
-
-def run_dataset(
-    spark: SparkSession,
-    spec: DatasetSpec,
-    keys: Sequence[str],
-    run: Run,
-    layers: Layers = Layers(),
-    base_path: str | None = None,
-) -> None:
-    """Run the job of a dataset over exactly the given bronze objects."""
-    bronze = scan_bronze(spark, keys, spec.bronze_columns, spec.scan_mode, base_path)
-    process_batch(spark, spec, bronze, run, layers)
+            years = silver.where("is_current").select("year").distinct()
+            _stage_index(silver, years, spec, as_of, layers, out)
+            snapshots += [(name, rows, partition) for name, rows, partition, _ in out.waiting]
+        for name, rows, partition in snapshots:
+            tables.publish_snapshot(rows, name, partition)
+
+
+def roll_back(spark: SparkSession, spec: DatasetSpec, moment: str, layers: Layers = Layers(), run_id: str = "roll back") -> None:
+    """Put a versioned table and its gold tables back to the state after the run at ``moment``.
+
+    Only partitions with versions that were opened or closed later are read and written, and of the
+    metrics and the index what depends on them. Insert-only columns of the fact come from the first
+    version of each key. ``processed_at`` of rows that change is ``moment``. The roll back is logged.
+    """
+    if spec.style != "scd2":
+        raise ValueError(f"{spec.name} keeps no versions, so it can't be rolled back")
+    name = spec.table(layers.silver, "clean")
+    at = F.lit(moment).cast("timestamp")
+    run = Run(run_id, moment)
+    with Scratch(spark, spec.name) as scratch:
+        out = Publications(spark, scratch, layers)
+        silver = spark.table(name)
+        later = (F.col("effective_from") > at) | (F.col("effective_to") > at)
+        changed = scratch.save(silver.where(later).select(*spec.keys).distinct())
+        if changed.isEmpty():
+            _log_run(spark, spec, run, layers, Outcome(), "rolled back")
+            return
+        partitions = changed.select(spec.partition).distinct()
+        earlier = scratch.save(scd2_as_of(tables.touched(silver, changed, spec.partition), moment))
+        enforce(history_report(earlier, spec.keys), name)
+        out.replace(name, earlier, spec.partition, [r[0] for r in null_safe_join(partitions, earlier, [spec.partition], "left_anti").collect()])
+
+        fact_name = spec.table(layers.gold, "fact")
+        stored = out.table(fact_name, spec.fact_columns, spec.partition)
+        keep = null_safe_join(tables.touched(stored, changed, spec.partition), changed, spec.keys, "left_anti")
+        restored = null_safe_join(_stamped(_fact_of(earlier, spec), moment), changed, spec.keys, "left_semi")
+        fact = scratch.save(keep.unionByName(restored.select(*stored.columns)))
+        gone = [r[0] for r in null_safe_join(partitions, fact, [spec.partition], "left_anti").collect()]
+        out.replace(fact_name, fact, spec.partition, gone)
+        if spec.rolling:
+            view = out.after(fact_name, fact, spec.partition, partitions)
+            _stage_metrics(changed, view, spec, moment, layers, out, know_tails=False)
+        if spec.index:
+            after = out.after(name, earlier, spec.partition, partitions)
+            _stage_index(after, changed.select("year").distinct(), spec, moment, layers, out)
+        out.publish()
+        _log_run(spark, spec, run, layers, Outcome(batch_rows=changed.count()), "rolled back")

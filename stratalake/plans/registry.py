@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import inspect
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from ..operators import flatten
@@ -56,6 +57,9 @@ class DatasetSpec:
     rolling: RollingSpec | None = None
     index: IndexSpec | None = None
     schedule: str = "@daily"
+    # how the flattener is called, and which values a request parameter may have
+    options: Mapping[str, object] = field(default_factory=dict)
+    allowed: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     def table(self, layer: str, suffix: str) -> str:
         return f"{layer}.{self.domain}_{self.source}_{self.dataset}_{suffix}"
@@ -133,6 +137,15 @@ FULL_CHANNELS = {
     },
 }
 
+# What a request may ask for.
+INTERVALS = ("daily", "weekly", "monthly")
+PERIODS = ("1m", "6m", "1yr", "3yr", "5yr", "10yr", "max")
+FILTERS = ("default", "price", "pe", "sm", "evebitda", "ptb", "mcs")
+STATS = (
+    "quarter_results", "yoy_results", "balancesheet", "cashflow", "ratios",
+    "shareholding_pattern_quarterly", "shareholding_pattern_yearly",
+)
+
 # Dataset identities, columns with their types, keys, fingerprint columns and
 # partitions of the stored tables.
 _MARKET = DatasetSpec(
@@ -186,6 +199,7 @@ _COMMODITY = DatasetSpec(
     fact=("commodity", "symbol", "interval", "trade_date", "value", "unit"),
     fact_update=("value", "unit"),
     schedule="@weekly",
+    allowed={"interval": INTERVALS},
 )
 
 _MACRO = DatasetSpec(
@@ -263,26 +277,51 @@ _FX = DatasetSpec(
 )
 
 
-def _raw(name: str, domain: str, source: str, dataset: str, flattener: str, schedule: str) -> DatasetSpec:
+def _raw(name: str, domain: str, source: str, dataset: str, flattener: str, schedule: str, **more) -> DatasetSpec:
     return DatasetSpec(
-        name=name, domain=domain, source=source, dataset=dataset, flattener=flattener, schedule=schedule
+        name=name, domain=domain, source=source, dataset=dataset, flattener=flattener, schedule=schedule, **more
+    )
+
+
+def _whole(name: str, dataset: str, schedule: str, parameters: Sequence[str] = (), **allowed) -> DatasetSpec:
+    """A dataset whose payloads stay whole."""
+    options = {"dataset": dataset, "parameters": tuple(parameters)}
+    return _raw(name, "indian_markets", "indian_stock_api", dataset, "whole_payload", schedule, options=options, allowed=allowed)
+
+
+def _performance(level: str, mode: str) -> DatasetSpec:
+    return _raw(
+        f"{level}_{mode}", "financial_markets", "financial_modeling_prep", f"{level}_{mode}", "performance", "@daily",
+        options={"level": level, "mode": mode},
     )
 
 
-# datasets that end in the raw zone
+# Identities and schedules of the datasets that end in the raw zone.
 _RAW = [
     _raw("risk_premium", "financial_markets", "financial_modeling_prep", "market_risk_premium", "risk_premium", "@weekly"),
     _raw("petrol_state", "energy", "indian_api", "petrol_state_live", "locations", "@daily"),
     _raw("diesel_state", "energy", "indian_api", "diesel_state_live", "locations", "@daily"),
-    _raw("stock_metadata", "indian_markets", "indian_stock_api", "stock", "whole_payload", "@weekly"),
-    _raw("historical_data", "indian_markets", "indian_stock_api", "historical_data", "whole_payload", "@daily"),
-    _raw("historical_stats", "indian_markets", "indian_stock_api", "historical_stats", "whole_payload", "@monthly"),
-    _raw("trending", "indian_markets", "indian_stock_api", "trending", "whole_payload", "@daily"),
-    _raw("most_active", "indian_markets", "indian_stock_api", "nse_most_active", "whole_payload", "@daily"),
-    _raw("price_shockers", "indian_markets", "indian_stock_api", "price_shockers", "whole_payload", "@daily"),
+    _whole("stock_metadata", "stock", "@weekly", ["stock_name"]),
+    _whole("historical_data", "historical_data", "@daily", ["stock_name", "period", "filter"], period=PERIODS, filter=FILTERS),
+    _whole("historical_stats", "historical_stats", "@monthly", ["stock_name", "stats_type"], stats_type=STATS),
+    _whole("trending", "trending", "@daily"),
+    _whole("most_active", "nse_most_active", "@daily"),
+    _whole("price_shockers", "price_shockers", "@daily"),
     _raw("swings", "indian_markets", "indian_stock_api", "52_week_high_low_data", "swings", "@daily"),
-    _raw("news_headlines", "news", "newsapi", "top_headlines", "articles", "@daily"),
-    _raw("news_everything", "news", "newsapi", "everything", "articles", "@daily"),
+    _raw("news_headlines", "news", "newsapi", "top_headlines", "articles", "@daily", options={"dataset": "top_headlines"}),
+    _raw("news_everything", "news", "newsapi", "everything", "articles", "@daily", options={"dataset": "everything"}),
+]
+
+# Datasets that can be requested beside the scheduled ones.
+_MORE = [
+    *[_performance(level, mode) for level in ("sector", "industry") for mode in ("snapshot", "historical")],
+    *[
+        _raw(f"{fuel}_{place}_{mode}", "energy", "indian_api", f"{fuel}_{place}_{mode}", "locations", "@daily")
+        for fuel in ("petrol", "diesel")
+        for place in ("state", "city")
+        for mode in ("live", "historical")
+        if (place, mode) != ("state", "live")
+    ],
 ]
 
 # The raw-zone article table.
@@ -300,14 +339,15 @@ ARTICLE_COLUMNS = {
     "ingested_at": "timestamp",
 }
 
-# What a request may ask for.
-INTERVALS = ("daily", "weekly", "monthly")
-PERIODS = ("1m", "6m", "1yr", "3yr", "5yr", "10yr", "max")
-FILTERS = ("default", "price", "pe", "sm", "evebitda", "ptb", "mcs")
-STATS = (
-    "quarter_results", "yoy_results", "balancesheet", "cashflow", "ratios",
-    "shareholding_pattern_quarterly", "shareholding_pattern_yearly",
-)
+
+
+def checked_parameters(spec: DatasetSpec, parameters: Mapping[str, object]) -> dict[str, object]:
+    """The options of the dataset's flattener, with those of a request, which must be allowed values."""
+    for name, value in parameters.items():
+        if name in spec.allowed and value not in spec.allowed[name]:
+            raise RegistryError(f"{spec.name}: {name} must be one of {list(spec.allowed[name])}, not {value!r}")
+    ours = {k: v for k, v in parameters.items() if k in ("countries", "entities", "missing", "language")}
+    return dict(spec.options) | ours
 
 
 def problems(spec: DatasetSpec) -> list[str]:
@@ -316,8 +356,13 @@ def problems(spec: DatasetSpec) -> list[str]:
     for part in ("name", "domain", "source", "dataset"):
         if not getattr(spec, part):
             found.append(f"{part} is empty")
-    if not callable(getattr(flatten, spec.flattener, None)):
+    if spec.flattener not in flatten.FLATTENERS:
         found.append(f"no flattener {spec.flattener}")
+    else:
+        try:
+            inspect.signature(flatten.FLATTENERS[spec.flattener]).bind(**spec.options)
+        except TypeError as wrong:
+            found.append(f"flattener {spec.flattener}: {wrong}")
     if spec.style not in ("raw", "scd2", "append"):
         found.append(f"unknown style {spec.style}")
     if spec.style == "raw":
@@ -363,11 +408,13 @@ def load(specs: Iterable[DatasetSpec]) -> dict[str, DatasetSpec]:
 
 
 DATASETS = load([_MARKET, _COMMODITY, _MACRO, _METALS, _FX, *_RAW])
+#: Those and the datasets that are requested on demand.
+ALL_DATASETS = load([*DATASETS.values(), *_MORE])
 
 
 def find(domain: str, source: str, dataset: str) -> DatasetSpec:
     """The entry a run request names."""
-    for spec in DATASETS.values():
+    for spec in ALL_DATASETS.values():
         if (spec.domain, spec.source, spec.dataset) == (domain, source, dataset):
             return spec
     raise RegistryError(f"no dataset {domain}/{source}/{dataset}")

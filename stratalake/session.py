@@ -26,29 +26,6 @@ def local_session(cores: int | str = 8, name: str = "stratalake") -> SparkSessio
     return spark
 
 
-MOST_PARTITIONS = 50_000
-
-
-def settings_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Session settings for a job that reads and shuffles about ``input_bytes``.
-
-    Partitions are near ``partition_bytes``, or larger where there would be
-    more than ``MOST_PARTITIONS`` of them: the driver tracks every pair of map
-    and reduce task. Adaptive execution merges small partitions and splits
-    skewed ones; sorts and windows spill.
-    """
-    size = max(partition_bytes, -(-input_bytes // MOST_PARTITIONS))
-    partitions = max(200, -(-input_bytes // size))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(size),
-        "spark.sql.session.timeZone": "UTC",
-    }
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.casting import cast_or_null
 
 CORRUPT = "_corrupt_record"
+MEMBERS = "_members"
 ZONE_PARTITIONS = ("source", "dataset", "ingestion_date")
 
 
@@ -24,29 +25,35 @@ def scan_bronze(
     columns: Sequence[str],
     mode: str = "FAILFAST",
     base_path: str | None = None,
+    members: bool = False,
 ) -> DataFrame:
     """Read exactly the given objects.
 
     All values arrive as text and are typed afterwards, so one odd number
-    cannot change a column's type. FAILFAST aborts on a malformed line;
-    PERMISSIVE keeps it in ``_corrupt_record``. With ``base_path`` the
-    ``name=value`` folders above an object become columns.
+    cannot change a column's type. A line holds an object, or a list of objects, which are
+    a row each. FAILFAST aborts on a malformed line; PERMISSIVE keeps it whole in
+    ``_corrupt_record``. With ``base_path`` the ``name=value`` folders above an object become
+    columns. With ``members`` the member names of each line's object are kept in ``_members``
+    (NULL for a list).
     """
     if not keys:
         raise ValueError("no object keys given")
     if mode not in ("FAILFAST", "PERMISSIVE"):
         raise ValueError("mode must be FAILFAST or PERMISSIVE")
     reader = spark.read.option("basePath", base_path) if base_path else spark.read
-    if mode == "FAILFAST":
-        return reader.schema(_text_schema(columns)).option("mode", mode).json(list(keys))
     lines = reader.text(list(keys)).where("trim(value) <> ''")
     folders = [c for c in lines.columns if c != "value"]
-    row = F.from_json(
-        "value",
-        _text_schema([*(c for c in columns if c not in folders), CORRUPT]),
-        {"mode": mode, "columnNameOfCorruptRecord": CORRUPT},
-    )
-    return lines.select(row.alias("_row"), *folders).select("_row.*", *folders)
+    inside = [c for c in columns if c not in folders]
+    parsed = F.from_json("value", T.ArrayType(_text_schema(inside)), {"mode": mode})
+    bound = lines.select("value", *folders, F.explode(F.array(parsed)).alias("_rows"))
+    # a line that can't be parsed stays as one row; an empty list is none
+    rows = bound.where("_rows IS NULL OR size(_rows) > 0").select("*", F.explode_outer("_rows").alias("_row"))
+    out = [F.col("_row")[c].alias(c) for c in inside]
+    if mode == "PERMISSIVE":
+        out.append(F.when(F.col("_row").isNull(), F.col("value")).alias(CORRUPT))
+    if members:
+        out.append(F.json_object_keys("value").alias(MEMBERS))
+    return rows.select(*out, *folders)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,16 +68,21 @@ def scan_raw_zone(spark: SparkSession, base: str, types: Mapping[str, str]) -> D
     Partitions are discovered from the folders and prune on filters. Member
     names match in any case; a malformed line gives a row of NULLs.
     """
-    # the columns stay text whatever the folder names look like
+    # the columns stay text whatever the folder names look like; of members that differ in case alone the
+    # first counts
+    entries = F.map_entries(F.from_json("value", "map<string,string>"))
+    lowered = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.transform(lowered, lambda e: e["key"])
     lines = (
         spark.read.schema("value STRING, source STRING, dataset STRING, ingestion_date DATE")
         .text(base)
-        .withColumn("_members", F.map_entries(F.from_json("value", "map<string,string>")))
+        .withColumn("_lowered", lowered)
+        .withColumn("_names", names)
     )
 
     def member(name: str) -> Column:
-        same = F.filter("_members", lambda e: F.lower(e["key"]) == name.lower())
-        return F.get(same, F.lit(0))["value"]
+        place = F.array_position("_names", name.lower()).cast("int")
+        return F.when(place > 0, F.get("_lowered", place - 1)["value"])
 
     return lines.select(
         *[cast_or_null(member(name), dtype).alias(name) for name, dtype in types.items()],
@@ -86,9 +98,14 @@ def stamp(df: DataFrame, ingested_at: str) -> DataFrame:
 
 
 def write_raw_zone(df: DataFrame, base: str, ingested_at: str, max_records_per_file: int = 5_000_000) -> None:
-    """Append JSON Lines below ``base/source=/dataset=/ingestion_date=``."""
+    """Append JSON Lines below ``base/source=/dataset=/ingestion_date=``.
+
+    Rebalancing gathers the rows of a folder into few files and splits a folder too
+    large for one task.
+    """
     (
         stamp(df, ingested_at)
+        .hint("rebalance", *ZONE_PARTITIONS)
         .write.mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*ZONE_PARTITIONS)

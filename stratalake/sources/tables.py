@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import threading
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import is_one_of, null_safe_join
+from ..operators.joins import null_safe_join
 
 
 def create_table(
@@ -38,23 +39,42 @@ def _for_table(df: DataFrame, name: str) -> DataFrame:
     return df.select(*df.sparkSession.table(name).columns)
 
 
-def append(df: DataFrame, name: str) -> None:
+def append(df: DataFrame, name: str, partition: str | None = None) -> None:
+    """Add rows; with ``partition``, gathered into few files of each."""
+    if partition:
+        df = df.hint("rebalance", partition)
     _for_table(df, name).write.insertInto(name)
 
 
-def touched(
-    table: DataFrame, batch: DataFrame, partition: str, max_values: int = 10_000
-) -> DataFrame:
+def touched(table: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
     """The rows of ``table`` in partitions that occur in ``batch``.
 
-    Up to ``max_values`` partition values become a literal filter that prunes
-    the scan; more than that is left to a semi join.
+    The smallest and largest value of the batch are literals in the filter, so the scan reads no
+    partition outside them; a semi join leaves those between that the batch doesn't have.
     """
-    distinct = batch.select(partition).distinct()
-    seen = [r[0] for r in distinct.limit(max_values + 1).collect()]
-    if len(seen) > max_values:
-        return null_safe_join(table, distinct, [partition], "left_semi")
-    return table.where(is_one_of(partition, seen))
+    low, high, unknown = batch.agg(
+        F.min(partition), F.max(partition), F.count_if(F.col(partition).isNull())
+    ).first()
+    near = F.lit(False) if low is None else F.col(partition).between(low, high)
+    if unknown or low is None:
+        near = near | F.col(partition).isNull()
+    return null_safe_join(table.where(near), batch.select(partition).distinct(), [partition], "left_semi")
+
+
+#: Publishing changes a setting of the session for the moment; two threads must not do so at once.
+_PUBLISHING = threading.RLock()
+
+
+def _insert(df: DataFrame, name: str, mode: str) -> None:
+    spark = df.sparkSession
+    key = "spark.sql.sources.partitionOverwriteMode"
+    with _PUBLISHING:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            _for_table(df, name).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
 
 
 def publish_partitions(df: DataFrame, name: str, partition: str) -> None:
@@ -63,28 +83,19 @@ def publish_partitions(df: DataFrame, name: str, partition: str) -> None:
     Rebalancing gathers the rows of a partition into few files and splits a
     partition too large for one task.
     """
-    spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        _for_table(df.hint("rebalance", partition), name).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    _insert(df.hint("rebalance", partition), name, "dynamic")
 
 
 def publish_snapshot(df: DataFrame, name: str, partition: str | None = None) -> None:
     """Replace the whole content of a table; ``df`` must not read from it."""
-    if partition:
-        df = df.hint("rebalance", partition)
-    spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "static")
-    try:
-        _for_table(df, name).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    _insert(df.hint("rebalance", partition) if partition else df, name, "static")
+
+
+def drop_partitions(spark: SparkSession, name: str, partition: str, values: Sequence) -> None:
+    """Remove partitions with all their rows."""
+    for value in values:
+        told = "NULL" if value is None else f"'{str(value).replace(chr(39), chr(92) + chr(39))}'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition}` = {told})")
 
 
 def overwrite_partitions_at(df: DataFrame, path: str, partition: str) -> None:
@@ -104,7 +115,7 @@ def overwrite_snapshot_at(df: DataFrame, path: str) -> None:
 
 
 def append_at(df: DataFrame, path: str, partition: str) -> None:
-    df.write.mode("append").partitionBy(partition).parquet(path)
+    df.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:

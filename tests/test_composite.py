@@ -32,8 +32,15 @@ def test_norms(data):
     assert got[("OTHER", "YYY", None)] == 100.0 and len(got) == len(DATA)
 
 
-def test_salted_join_gives_the_same(data):
-    assert rows(minmax_norm(data, broadcast_rows=0)) == rows(minmax_norm(data))
+def test_norms_are_one_lazy_plan(spark, data):
+    """Nothing runs while the plan is built."""
+    tracker, group = spark.sparkContext.statusTracker(), "plan of norms"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        weighted_channels(pivot_norms(minmax_norm(data), MACRO_INDEX.indicators), MACRO_INDEX.channels, 50.0)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_direction(data):

@@ -173,3 +173,44 @@ def test_utc_iso(spark):
     assert [r[0] for r in df.select(utc_iso(F.col("t"))).collect()] == [
         "2024-01-02T03:04:05+00:00", "2024-01-02", "2024-13-02 03:04:05", None,
     ]
+
+
+def test_one_bad_element_costs_nothing_else(spark):
+    """Elements of other kinds are told apart; the rows beside them stay."""
+    meta = {"symbol": "X"}
+    bodies = {
+        "date_map": ({"Time Series (Daily)": {"2024-01-01": BAR, "a": "n/a", "b": [1], "c": None}}, 1, ["not an object"] * 3),
+        "series": ({"data": [{"date": "2024-01-01", "value": "1"}, "x", 3, None]}, 1, ["not an object"] * 3),
+        "nested_map": ({"values": {"A": {"X": {"2020": 1, "2021": "n/a", "2022": [1], "2023": "2.5", "2024": None}}, "B": 3, "C": {"X": "n/a"}}}, 3, ["not a number"] * 2 + ["not an object"] * 2),
+        "rate_map": ({"status": "success", "metals": {"gold": 1, "tin": {"bid": 1}, "lead": "n/a"}}, 1, ["not a number"] * 2),
+        "values": ({"meta": meta, "values": [{"datetime": "2024-01-01"}, 5]}, 1, ["not an object"]),
+        "articles": ({"articles": [{"url": "u", "source": "plain"}, "ad", []]}, 1, ["not an object"] * 2),
+        "swings": ({"NSE_52WeekHighLow": {"high52Week": [{"ticker": "A"}, 1], "note": "closed", "low52Week": [{"ticker": "B"}]}}, 2, ["not a list", "not an object"]),
+        "risk_premium": ([{"country": "India"}, "x"], 1, ["not an object"]),
+        "locations": ([{"city": "Goa"}, 1.5], 1, ["not an object"]),
+    }
+    for name, (body, kept, problems) in bodies.items():
+        source = raw(spark, body, "{", {"error": "quota"}, {"nothing": 1} if name not in ("risk_premium", "locations") else {"a": 1}, symbol="S", request_dataset="petrol_state_live", location=None)
+        assert getattr(flatten, name)(source).count() == kept, name
+        found = flatten.rejected(name, source).collect()
+        odd = {"rate_map": "status: none", "risk_premium": "not a list", "locations": "not a list"}.get(name, "no data")
+        assert sorted(r["problem"] for r in found) == sorted([*problems, "not json", "error: quota", odd]), name
+        assert all(r["raw"] and r["path"].startswith("$") for r in found)
+
+
+def test_empty_lists_are_no_problem(spark):
+    source = raw(spark, {"data": []}, {"data": "x"}, {"data": None}, symbol="S")
+    assert flatten.series(source).count() == 0
+    assert sorted(r["problem"] for r in flatten.rejected("series", source).collect()) == ["not a list", "not a list"]
+
+
+def test_whole_payloads_reject_errors_only(spark):
+    source = raw(spark, [1], {"a": 1}, "5", "{", {"status": "error", "message": "m"})
+    made = flatten.FLATTENERS["whole_payload"]("trending")
+    assert made.rows(source).count() == 3
+    assert sorted(r["problem"] for r in made.rejected(source).collect()) == ["error: m", "not json"]
+
+
+def test_articles_keep_the_language(spark):
+    body = {"articles": [{"url": "u"}]}
+    assert rows(flatten.articles(raw(spark, body, language="en"), language=True), "article_url", "language") == [("u", "en")]

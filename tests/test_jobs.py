@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from stratalake.operators.quality import GateError
 from stratalake.operators.rolling import RollingSpec, add_rolling
 from stratalake.plans import registry
-from stratalake.plans.jobs import Run, rebuild_gold, roll_back, run_dataset
-from stratalake.plans.registry import DATASETS, RegistryError, find, load
+from stratalake.plans.ingest import ingest
+from stratalake.plans.jobs import Run, rebuild_gold, roll_back, run_dataset, run_manifest
+from stratalake.plans.registry import ALL_DATASETS, DATASETS, RegistryError, find, load
 from stratalake.sources.bronze import write_raw_zone
 from stratalake.streaming.landing import drain_landing
 
@@ -190,7 +191,8 @@ def test_landing_from_a_raw_zone(spark, layers, tmp_path):
 
 
 def test_registry():
-    assert len(DATASETS) == 17
+    assert len(DATASETS) == 17 and set(DATASETS) < set(ALL_DATASETS)
+    assert find("financial_markets", "financial_modeling_prep", "industry_historical").options["level"] == "industry"
     assert find("american_markets", "alphavantage", "time_series_daily").name == "market_daily"
     with pytest.raises(RegistryError):
         find("a", "b", "c")
@@ -210,3 +212,178 @@ def test_registry():
         from stratalake.plans.jobs import process_batch
 
         process_batch(None, DATASETS["trending"], None, Run("r", "2024-01-01"))
+
+
+def contents(spark, layers):
+    """The rows of every silver and gold table, but their processing times."""
+    out = {}
+    for db in (layers.silver, layers.gold):
+        if spark.catalog.databaseExists(db):
+            for t in spark.catalog.listTables(db):
+                df = spark.table(f"{db}.{t.name}")
+                out[t.name] = rows(df, *[c for c in df.columns if c != "processed_at"])
+    return out
+
+
+def test_a_refused_run_changes_no_table(spark, layers, tmp_path, monkeypatch):
+    """Whatever gate refuses, silver and gold stay; the log tells why."""
+    from stratalake.plans import jobs
+
+    spec = DATASETS["macro_indicators"]
+
+    def cell(indicator, country, year, value):
+        return {"indicator": indicator, "country": country, "year": year, "value": value}
+
+    run_dataset(spark, spec, [land(tmp_path, "1", cell("LUR", "IND", 2020, 4), cell("LUR", "USA", 2020, 8))], Run("r1", "2024-02-01"), layers)
+    before = contents(spark, layers)
+    assert len(before) == 4
+    key = land(tmp_path, "2", cell("LUR", "USA", 2020, 2), cell("PCPIPCH", "USA", 2021, 1))
+
+    def refused(match, run):
+        with pytest.raises(GateError, match=match):
+            run_dataset(spark, spec, [key], run, layers)
+        assert contents(spark, layers) == before
+
+    refused("announced 7", Run("r2", "2024-02-02", record_count=7))
+    refused("before that of a stored version", Run("r3", "2024-01-31"))
+    real = jobs.index_scores
+    monkeypatch.setattr(jobs, "index_scores", lambda df, index: real(df, index).withColumn("macro_resilience_score", F.lit(101.0)))
+    refused("scores", Run("r4", "2024-02-02"))
+    monkeypatch.undo()
+    log = spark.table(f"{layers.ops}.dataset_runs").where("run_id <> 'r1'")
+    assert rows(log, "run_id", "status", "bronze_rows") == [("r2", "refused", 2), ("r3", "refused", 2), ("r4", "refused", 2)]
+    assert log.where("problem IS NULL").isEmpty()
+    run_dataset(spark, spec, [key], Run("r5", "2024-02-02"), layers)
+    assert contents(spark, layers) != before
+
+
+def test_values_that_do_not_convert_are_counted(spark, layers, tmp_path):
+    spec = DATASETS["market_daily"]
+    key = land(tmp_path, "1", bar("A", "2024-01-01", "NaN"), bar("A", "2024-01-02", "x"), bar("A", "2024-01-03", 3, volume="many"), bar("A", "2024-01-04", "Infinity"))
+    run_dataset(spark, spec, [key], Run("r1", "2024-02-01"), layers)
+    assert rows(spark.table(spec.table(layers.gold, "fact")), "close", "volume") == [(3.0, None), (None, 10), (None, 10), (None, 10)]
+    log = spark.table(f"{layers.ops}.dataset_runs").first()
+    assert log["cast_failures"] == {"close": 3, "volume": 1} and log["keys"] == [key] and log["status"] == "done"
+
+
+def test_permissive_counts_and_replays(spark, layers, tmp_path):
+    """Malformed lines count as announced records, and a replay stores them once."""
+    spec = DATASETS["macro_indicators"]
+    key = land(tmp_path, "1", {"indicator": "LUR", "country": "IND", "year": 2020, "value": None})
+    with open(key, "a") as f:
+        f.write('[{"indicator": "LUR", "country": "USA", "year": 2020, "value": 5}, {"indicator": "LUR", "country": "FRA", "year": 2020, "value": 6}]\n{"cut": \n')
+    with pytest.raises(GateError, match="announced 9"):
+        run_dataset(spark, spec, [key], Run("r1", "2024-02-01", record_count=9), layers)
+    for _ in range(2):
+        run_dataset(spark, spec, [key], Run("r1", "2024-02-01", record_count=4), layers)
+    assert rows(spark.table(f"{layers.ops}.quarantine"), "run_id", "line") == [("r1", '{"cut": ')]
+    assert rows(spark.table(f"{layers.ops}.dataset_runs"), "run_id", "status", "bronze_rows", "quarantined") == [("r1", "done", 3, 1)]
+    assert spark.table(spec.table(layers.gold, "fact")).count() == 3
+
+
+def test_a_batch_of_nulls_is_valid(spark, layers, tmp_path):
+    spec = DATASETS["macro_indicators"]
+    key = land(tmp_path, "1", {"indicator": "LUR", "country": "IND", "year": 2020, "value": None})
+    run_dataset(spark, spec, [key], Run("r1", "2024-02-01"), layers)
+    assert rows(spark.table(spec.table(layers.gold, "fact")), "country", "value") == [("IND", None)]
+
+
+BATCHES = {
+    "market_daily": [
+        [bar("A", d, i) for i, d in enumerate(days(28))] + [bar("B", "2024-01-02", 5)],
+        [bar("A", "2024-01-05", 50), bar("B", "2024-01-30", 6)],
+        [bar("A", "2024-01-01", 7), bar("A", "2024-01-31", 7), bar("C", "2024-01-03", 1), bar("B", "2024-01-30", 9)],
+    ],
+    "commodity_prices": [
+        [{"commodity": n, "symbol": "WTI", "interval": i, "date": d, "value": v, "unit": u} for n, i, d, v, u in batch]
+        for batch in (
+            [("Crude", "daily", "2024-01-01", 70, "USD"), ("Crude", "daily", "2024-01-02", 1, "USD")],
+            [("Oil", "weekly", "2024-01-01", 71, "EUR")],
+            [("Later", "x", "2024-01-01", 72, "INR"), ("New", "y", "2024-01-09", 3, "USD")],
+        )
+    ],
+    "macro_indicators": [
+        [{"indicator": n, "country": c, "year": y, "value": v} for n, c, y, v in batch]
+        for batch in (
+            [("LUR", "IND", 2020, 4), ("LUR", "USA", 2020, 8)],
+            [("LUR", "IND", 2020, 5), ("PCPIPCH", "IND", 2021, 1)],
+            [("LUR", "FRA", 2020, 1), ("NGDP_RPCH", "USA", 2022, 3), ("LUR", "IND", 2020, 6)],
+        )
+    ],
+}
+
+
+@pytest.mark.parametrize("name", list(BATCHES))
+def test_roll_back_is_the_state_after_that_run(spark, layers, tmp_path, name):
+    spec, states = DATASETS[name], []
+    for n, batch in enumerate(BATCHES[name], 1):
+        run_dataset(spark, spec, [land(tmp_path, str(n), *batch)], Run(f"r{n}", f"2024-03-0{n} 00:00:00"), layers)
+        states.append(contents(spark, layers))
+    for n in (2, 1):
+        roll_back(spark, spec, f"2024-03-0{n} 00:00:00", layers, f"back to {n}")
+        assert contents(spark, layers) == states[n - 1]
+    roll_back(spark, spec, "2024-03-05 00:00:00", layers, "nothing later")
+    assert contents(spark, layers) == states[0]
+    assert rows(spark.table(f"{layers.ops}.dataset_runs").where("status = 'rolled back'"), "run_id") == [("back to 1",), ("back to 2",), ("nothing later",)]
+    # the next run goes on from there
+    run_dataset(spark, spec, [land(tmp_path, "again", *BATCHES[name][1])], Run("r2", "2024-03-02 00:00:00"), layers)
+    again = contents(spark, layers)
+    assert {k: v for k, v in again.items() if not k.endswith("clean")} == {k: v for k, v in states[1].items() if not k.endswith("clean")}
+
+
+def test_append_tables_cannot_be_rolled_back(spark, layers):
+    with pytest.raises(ValueError, match="keeps no versions"):
+        roll_back(spark, DATASETS["spot_prices"], "2024-01-01", layers)
+
+
+def responses(spark, *bodies, url="https://x/api?apikey=secret&q=1", **parameters):
+    data = [(json.dumps(b) if not isinstance(b, str) else b, url, "2024-01-31T00:00:00+00:00", *parameters.values()) for b in bodies]
+    return spark.createDataFrame(data, ", ".join(["payload string, request_url string, received_at string", *[f"{p} string" for p in parameters]]))
+
+
+def test_from_payloads_to_metrics(spark, layers, tmp_path):
+    spec, base = DATASETS["market_daily"], str(tmp_path / "zone")
+    day = {f"{i}. {n}": str(v) for i, (n, v) in enumerate({"open": 1, "high": 2, "low": 1, "close": 1.5, "volume": 10}.items(), 1)}
+    body = {"Time Series (Daily)": {"2024-01-01": day, "2024-01-02": day, "2024-01-03": "closed"}}
+    raw = responses(spark, body, {"error": "quota"}, "{", symbol="AAPL")
+    done = ingest(spark, spec, raw, base, "2024-02-01T00:00:00+00:00", layers)
+    assert (done.record_count, done.rejected) == (2, 3) and all("source=alphavantage" in k for k in done.keys)
+    run_manifest(spark, done.manifest, "r1", "2024-02-01 06:00:00", layers, base_path=base)
+    assert rows(spark.table(spec.table(layers.gold, "metrics")), "symbol", "close", "ma_5_close") == [("AAPL", 1.5, 1.5)] * 2
+    silver = spark.table(spec.table(layers.silver, "clean"))
+    assert {r[0] for r in silver.select("request_url").collect()} == {"https://x/api?apikey=REDACTED&q=1"}
+    bad = spark.table(f"{layers.ops}.rejected")
+    assert rows(bad, "problem") == [("error: quota",), ("not an object",), ("not json",)] and bad.where("request_url LIKE '%secret%'").isEmpty()
+    # a second ingestion of the day names its own objects only
+    again = ingest(spark, spec, raw, base, "2024-02-01T09:00:00+00:00", layers)
+    assert again.keys and not set(again.keys) & set(done.keys)
+    apart = ingest(spark, spec, raw, f"{base}-entities", "2024-02-01T09:00:00+00:00", layers, entity="symbol")
+    assert apart.keys and all("entity=AAPL" in k for k in apart.keys)
+    with pytest.raises(GateError, match="not successful"):
+        run_manifest(spark, again.manifest.replace("SUCCESS", "FAILED"), "r2", "2024-02-02", layers)
+    with pytest.raises(GateError, match="no records"):
+        ingest(spark, spec, raw.where("payload = '{'"), base, "2024-02-02T00:00:00+00:00", layers)
+
+
+def test_every_dataset_can_be_ingested(spark, layers, tmp_path):
+    point = {"ticker": "A", "price": 1, "52_week_high": 2}
+    bodies = {
+        "date_map": {"Time Series (Daily)": {"2024-01-01": {}}},
+        "series": {"data": [{"date": "2024-01-01", "value": 1}]},
+        "nested_map": {"values": {"LUR": {"IND": {"2020": 1}}}},
+        "rate_map": {"status": "success", "metals": {"gold": 1}},
+        "values": {"meta": {"symbol": "X"}, "values": [{"datetime": "2024-01-01"}]},
+        "articles": {"articles": [{"url": "u"}]},
+        "swings": {"NSE_52WeekHighLow": {"high52Week": [point]}},
+        "risk_premium": [{"country": "India"}],
+        "performance": [{"sector": "Energy", "industry": "Energy"}],
+        "locations": [{"city": "Goa", "price": 1, "date": "2024-01-01"}],
+        "whole_payload": {"anything": 1},
+    }
+    for spec in ALL_DATASETS.values():
+        raw = responses(spark, bodies[spec.flattener], symbol="S", request_dataset=spec.dataset, location="Goa", stock_name="X", period="1m", filter="pe", stats_type="ratios")
+        parameters = {"entities": ["Energy"]} if spec.flattener == "performance" else {}
+        done = ingest(spark, spec, raw, str(tmp_path / spec.name), "2024-02-01T00:00:00+00:00", layers, parameters)
+        assert (done.record_count, done.rejected, len(done.keys)) == (1, 0, 1), spec.name
+    with pytest.raises(RegistryError, match="period must be one of"):
+        ingest(spark, DATASETS["historical_data"], raw, str(tmp_path), "2024-02-01T00:00:00+00:00", layers, {"period": "2h"})

@@ -90,5 +90,5 @@ def test_rolling(spark, seed, density, cut):
             for a, b in zip(got[key], expected[key]):
                 assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9), key
 
-    check(rolling_in_pieces(df, RollingSpec(), "month"), set(expected))
-    check(refresh_rolling(df, since, RollingSpec(), 30), {k for k in expected if k[1] >= since})
+    check(rolling_in_pieces(df, RollingSpec()), set(expected))
+    check(refresh_rolling(df, since, RollingSpec()), {k for k in expected if k[1] >= since})

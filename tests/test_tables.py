@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.payload import payload_value
 from stratalake.operators.quality import not_recent, outside_domain, outside_range, quality_report, row_report
 from stratalake.plans.manifest import manifest_gate, manifest_reconcile
-from stratalake.session import settings_for, shared_folder
+from stratalake.session import shared_folder
 from stratalake.sources import tables
 from stratalake.sources.bronze import scan_bronze, scan_raw_zone, split_corrupt, write_per_entity, write_raw_zone
 from stratalake.operators.reports import article_search, default_rollup
@@ -86,7 +86,7 @@ def test_tables(spark, layers):
     again = tables.touched(spark.table(name), frame(("d2", 0, "x")), "day").withColumn("k", F.col("k") + 1)
     tables.publish_partitions(again, name, "day")
     assert rows(spark.table(name)) == [(1, "a", "d1"), (10, "z", "d2"), (4, "n", "d3")]
-    by_join = tables.touched(spark.table(name), frame(("d1", 0, ""), ("d3", 0, "")), "day", max_values=1)
+    by_join = tables.touched(spark.table(name), frame(("d1", 0, ""), ("d3", 0, "")), "day")
     assert rows(by_join, "k") == [(1,), (4,)]
     tables.register_partitions(spark, name)
     tables.publish_snapshot(frame(("d7", 7, "s")), name)
@@ -102,7 +102,7 @@ def test_touched_partitions_prune(spark, layers):
     tables.append(df, name)
     part = tables.touched(spark.table(name), df.where("k < 2"), "day")
     assert part.count() == 2
-    assert "PartitionFilters: [day" in part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in part._jdf.queryExecution().executedPlan().toString()
 
 
 def test_quality(spark):
@@ -155,8 +155,45 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == before or before is None
 
 
-def test_settings_follow_the_input():
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert settings_for(1)[key] == "200"
-    assert settings_for(1 << 40)[key] == "4096"
-    assert settings_for(100 << 40)[key] == "50000"
+def test_lists_of_objects_are_rows_in_both_modes(spark, tmp_path):
+    key = lines(tmp_path / "x.jsonl", [{"a": 1}, {"a": 2}], {"a": 3}, [])
+    assert rows(scan_bronze(spark, [key], ["a"])) == [("1",), ("2",), ("3",)]
+    good, bad = split_corrupt(scan_bronze(spark, [key], ["a"], "PERMISSIVE"))
+    assert rows(good) == [("1",), ("2",), ("3",)] and bad.count() == 0
+
+
+def test_member_names(spark, tmp_path):
+    from stratalake.operators.quality import missing_columns
+
+    key = lines(tmp_path / "x.jsonl", {"a": None, "b": 1}, {"b": 2})
+    read = scan_bronze(spark, [key], ["a", "b", "c"], members=True)
+    assert missing_columns(read, ["a", "b", "c"], "_members") == (2, ["c"])
+    assert missing_columns(read.drop("c"), ["a", "c"]) == (2, ["c"])
+
+
+def test_publishing_from_two_threads(spark, layers):
+    """Static and dynamic overwrites at the same time don't mix."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    for t in ("s", "d"):
+        tables.create_table(spark, f"{layers.silver}.{t}", {"k": "int", "day": "string"}, "day", location=layers.location)
+        tables.append(spark.range(4).selectExpr("cast(id as int) k", "cast(id as string) day"), f"{layers.silver}.{t}", "day")
+    one = spark.createDataFrame([(9, "1")], "k int, day string")
+    with ThreadPoolExecutor(4) as pool:
+        jobs = []
+        for _ in range(3):
+            jobs.append(pool.submit(tables.publish_partitions, one, f"{layers.silver}.d", "day"))
+            jobs.append(pool.submit(tables.publish_snapshot, one, f"{layers.silver}.s", "day"))
+        for job in jobs:
+            job.result()
+    assert rows(spark.table(f"{layers.silver}.d")) == [(0, "0"), (2, "2"), (3, "3"), (9, "1")]
+    assert rows(spark.table(f"{layers.silver}.s")) == [(9, "1")]
+    tables.drop_partitions(spark, f"{layers.silver}.d", "day", ["0", "no such"])
+    assert spark.table(f"{layers.silver}.d").count() == 3
+
+
+def test_ties_of_the_latest_rows(spark):
+    from stratalake.operators.reports import most_recent
+
+    df = spark.createDataFrame([("A", "d1", i) for i in range(9)], "symbol string, trade_date string, v int")
+    assert [r["v"] for r in most_recent(df.repartition(5), "A", ["v"], 3).collect()] == [0, 1, 2]

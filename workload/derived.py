@@ -113,12 +113,12 @@ def order_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def version_batch(spark: SparkSession, sf: str, number: int) -> DataFrame:
-    """The newest order state per key among the orders of one period."""
-    low = BATCH_TIMES[number - 1] if number else "0001-01-01 00:00:00"
-    rows = order_state(spark, sf).where(
-        (F.col("ingested_at") >= F.lit(low).cast("timestamp_ntz"))
-        & (F.col("ingested_at") < F.lit(BATCH_TIMES[number]).cast("timestamp_ntz"))
-    )
+    """The newest order state per key among the orders of one period; the last takes all later ones, and undated ones."""
+    period = F.lit(len(BATCH_TIMES) - 1)
+    for i in reversed(range(len(BATCH_TIMES) - 1)):
+        before = F.col("ingested_at") < F.lit(BATCH_TIMES[i]).cast("timestamp_ntz")
+        period = F.when(before, i).otherwise(period)
+    rows = order_state(spark, sf).where(period == number)
     newest = latest_wins(rows, VERSION_KEYS, "ingested_at", ["orderkey"])
     return with_history_columns(
         newest.select(*VERSION_KEYS, "status", "ingested_at"),

@@ -152,7 +152,7 @@ def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     old = newest(orders.where(F.col("ingested_at") < cut)).withColumn(
         "processed_at", F.lit("1998-04-01 00:00:00").cast("timestamp")
     )
-    return old, newest(orders.where(F.col("ingested_at") >= cut))
+    return old, newest(orders.where(~F.coalesce(F.col("ingested_at") < cut, F.lit(False))))
 
 
 def _upsert_sql(status: str) -> str:

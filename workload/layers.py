@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.quality import (
+    GateError,
     cast_failed,
+    missing_columns,
     not_recent,
     outside_domain,
     outside_range,
     quality_report,
     row_report,
 )
-from stratalake.plans.jobs import Layers, Run, run_dataset
+from stratalake.plans.ingest import ingest
+from stratalake.plans.jobs import Layers, Run, roll_back, run_dataset, run_manifest
 from stratalake.plans.manifest import manifest_gate, manifest_reconcile
-from stratalake.plans.registry import ARTICLE_COLUMNS, DATASETS
+from stratalake.plans.registry import ALL_DATASETS, ARTICLE_COLUMNS, DATASETS
 from stratalake.functions.casting import cast_or_null
 from stratalake.session import scratch_path
 from stratalake.sources.bronze import (
@@ -27,6 +30,8 @@ from stratalake.sources.bronze import (
     write_per_entity,
     write_raw_zone,
 )
+from stratalake.operators.reports import preview
+from stratalake.sources import tables
 from stratalake.sources.tables import layer_counts
 
 from .derived import (
@@ -35,14 +40,17 @@ from .derived import (
     LATEST_LINES,
     LINE_KEYS,
     NORMS,
+    PRICES,
     SCORES,
     WIDE,
     bars,
     hourly,
     indicators,
     latest_lines,
+    prices,
 )
 from .market import _METRICS
+from .payloads import _REJECTING, _date_map_raw
 from .registry import moment, query, rounded, table, text, whole
 
 INGESTED = "2024-02-01T00:00:00+00:00"
@@ -296,7 +304,7 @@ def market_job(spark: SparkSession, sf: str) -> DataFrame:
     early = lines.where("trade_date < '2024-01-26'").withColumn(
         "close", F.when(F.col("trade_date") >= "2024-01-24", F.col("close") + 1).otherwise(F.col("close"))
     )
-    late = lines.where("trade_date >= '2024-01-24'")
+    late = lines.where("NOT coalesce(trade_date < '2024-01-24', false)")
     run_dataset(spark, spec, [_land(early, "land")], Run("run-1", "2024-01-26 06:00:00"), layers)
     run_dataset(spark, spec, [_land(late, "land")], Run("run-2", "2024-01-31 06:00:00"), layers)
     metrics = spark.table(spec.table(layers.gold, "metrics"))
@@ -319,7 +327,7 @@ def macro_job(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("/api").alias("request_url"), F.lit(INGESTED).alias("received_at"),
     )
     run_dataset(spark, spec, [_land(lines.where("year < 1999"), "land")], Run("run-1", "1999-01-01 00:00:00"), layers)
-    run_dataset(spark, spec, [_land(lines.where("year >= 1999"), "land")], Run("run-2", "2002-01-01 00:00:00"), layers)
+    run_dataset(spark, spec, [_land(lines.where("NOT coalesce(year < 1999, false)"), "land")], Run("run-2", "2002-01-01 00:00:00"), layers)
     return spark.table(spec.table(layers.gold, "tvi")).select("country", whole("year"), rounded("tvi_score"))
 
 
@@ -345,3 +353,202 @@ def exchange_rate_job(spark: SparkSession, sf: str) -> DataFrame:
     run_dataset(spark, spec, [path], Run("run-2", "2024-02-01 00:00:00"), layers)
     fact = spark.table(spec.table(layers.gold, "fact"))
     return fact.select("symbol", moment("market_time"), "year_month", "open", "high", "low", "close")
+
+
+# --- ingestion ---------------------------------------------------------------------------------------
+
+
+@query(
+    "ingest_manifest",
+    f"""WITH {BARS} SELECT 'SUCCESS' AS status, 'american_markets' AS domain, 'alphavantage' AS source,
+  'time_series_daily' AS dataset, count(*) AS record_count, true AS has_keys,
+  2 * (SELECT count(*) FROM (SELECT DISTINCT symbol, strftime(trade_date, '%Y-%m') FROM bars)) + 2 * (SELECT count(*) FROM region)
+    AS rejected FROM bars""",
+)
+def ingestion(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw payloads with bad elements and failed responses become objects; the manifest counts the rows."""
+    layers = _own_layers(spark, "ingest_manifest")
+    base = scratch_path(spark, "ingest_zone")
+    done = ingest(spark, DATASETS["market_daily"], _date_map_raw(spark, sf), base, INGESTED, layers)
+    gated = manifest_gate(spark.range(1).select(F.lit(done.manifest).alias("manifest"))).where("problem IS NULL")
+    kept = spark.table(f"{layers.ops}.rejected").agg(F.count(F.lit(1)).alias("rejected"))
+    return gated.crossJoin(F.broadcast(kept)).select(  # one row each
+        "status", "domain", "source", "dataset", "record_count", (F.size("keys") > 0).alias("has_keys"), "rejected"
+    )
+
+
+@query(
+    "job_ingest_market",
+    f"""WITH {BARS}, zeroed AS (SELECT * REPLACE (CASE WHEN volume = 1 THEN 0.0 ELSE low END AS low) FROM bars), {_METRICS}
+  SELECT m.symbol, strftime(m.trade_date, '%Y-%m-%d') AS trade_date, m.open, m.high, z.low, m.close, CAST(m.volume AS BIGINT) AS volume,
+         round(daily_return, 6) AS daily_return, round(ma_5_close, 6) AS ma_5_close, round(ma_20_close, 6) AS ma_20_close,
+         round(volatility_20, 6) AS volatility_20 FROM metrics m JOIN zeroed z USING (symbol, trade_date)""",
+)
+def ingested_market(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw payloads to metrics: ingest, then the run that the manifest asks for."""
+    spec, layers = DATASETS["market_daily"], _own_layers(spark, "job_ingest_market")
+    base = scratch_path(spark, "ingest_zone")
+    done = ingest(spark, spec, _date_map_raw(spark, sf), base, INGESTED, layers)
+    run_manifest(spark, done.manifest, "run-1", "2024-02-01 06:00:00", layers, base_path=base)
+    metrics = spark.table(spec.table(layers.gold, "metrics"))
+    return metrics.select(
+        "symbol", text("trade_date"), "open", "high", "low", "close", "volume", rounded("daily_return"),
+        rounded("ma_5_close"), rounded("ma_20_close"), rounded("volatility_20"),
+    )
+
+
+_ZONE_SETS = {"risk_premium": "supplier", "swings": "customer", "news_everything": "documents", "sector_historical": "customer"}
+
+
+@query(
+    "ingest_raw_datasets",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, CAST(count(*) * {2 if name == 'swings' else 1} AS BIGINT) AS record_count FROM {source}"
+        for name, source in _ZONE_SETS.items()
+    )
+    + " UNION ALL SELECT 'trending', count(*) FROM events",
+)
+def raw_ingestion(spark: SparkSession, sf: str) -> DataFrame:
+    """Datasets that end in the raw zone, by the registry's flatteners; counted in the zone."""
+    layers, found = _own_layers(spark, "ingest_raw"), None
+    base = scratch_path(spark, "ingest_zone")
+    sources = {
+        "risk_premium": _REJECTING["risk_premium"][1](spark, sf),
+        "swings": _REJECTING["swings"][1](spark, sf),
+        "news_everything": _REJECTING["articles"][1](spark, sf),
+        "sector_historical": _REJECTING["performance"][1](spark, sf),
+        "trending": table(spark, sf, "events").select(
+            F.col("props").alias("payload"), F.lit("/trending?key=secret").alias("request_url"), F.lit(INGESTED).alias("received_at")
+        ),
+    }
+    for name, raw in sources.items():
+        spec = ALL_DATASETS[name]
+        ingest(spark, spec, raw, base, INGESTED, layers)
+        zone = spark.read.schema("request_url STRING, source STRING, dataset STRING, ingestion_date DATE").json(base)
+        own = zone.where((F.col("source") == spec.source) & (F.col("dataset") == spec.dataset) & ~F.col("request_url").contains("secret"))
+        one = own.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("record_count"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+# --- what a refused run leaves, and what a roll back brings back ----------------------------------------
+
+
+@query(
+    "job_gate_report",
+    f"""WITH {BARS}, early AS (SELECT * FROM bars WHERE trade_date < DATE '2024-01-20')
+  SELECT 'run-1' AS run_id, 'done' AS status, count(*) AS bronze_rows, count(*) AS batch_rows, 0 AS low_failures, count(*) AS facts FROM early
+  UNION ALL SELECT 'run-2', 'refused', (SELECT count(*) FROM bars WHERE trade_date >= DATE '2024-01-20'), 0,
+    (SELECT count(*) FROM bars WHERE trade_date >= DATE '2024-01-20' AND volume = 1), count(*) FROM early
+  UNION ALL SELECT 'run-3', 'done', (SELECT count(*) FROM bars WHERE trade_date >= DATE '2024-01-20'),
+    (SELECT count(*) FROM bars WHERE trade_date >= DATE '2024-01-20'),
+    (SELECT count(*) FROM bars WHERE trade_date >= DATE '2024-01-20' AND volume = 1), count(*) FROM bars""",
+)
+def gates(spark: SparkSession, sf: str) -> DataFrame:
+    """A run announced with a wrong count is refused and changes nothing; values that don't convert are counted."""
+    spec, layers = DATASETS["market_daily"], _own_layers(spark, "job_gate_report")
+    lines = _bronze_bars(spark, sf)
+    late = lines.where("trade_date >= '2024-01-20'").withColumn(
+        "low", F.when(F.col("volume") == 1, F.lit("NaN")).otherwise(F.col("low").cast("string"))
+    )
+    early, later = _land(lines.where("trade_date < '2024-01-20'"), "land"), _land(late, "land")
+    facts = {}
+
+    def run(run_id: str, key: str, as_of: str, count: int | None = None) -> None:
+        try:
+            run_dataset(spark, spec, [key], Run(run_id, as_of, record_count=count), layers)
+        except GateError:
+            pass
+        facts[run_id] = spark.table(spec.table(layers.gold, "fact")).count()
+
+    run("run-1", early, "2024-01-20 06:00:00")
+    run("run-2", later, "2024-01-31 06:00:00", count=-1)
+    run("run-3", later, "2024-01-31 06:00:00")
+    counted = F.create_map(*[F.lit(x) for item in facts.items() for x in item])[F.col("run_id")]
+    return spark.table(f"{layers.ops}.dataset_runs").select(
+        "run_id", "status", "bronze_rows", "batch_rows",
+        F.coalesce(F.col("cast_failures")["low"], F.lit(0)).alias("low_failures"), counted.cast("bigint").alias("facts"),
+    )
+
+
+@query(
+    "job_roll_back",
+    f"""WITH {PRICES}
+  SELECT commodity, symbol, 'daily' AS "interval", strftime(trade_date, '%Y-%m-%d') AS trade_date,
+         CASE WHEN year(trade_date) = 1998 AND month(trade_date) = 2 THEN value + 1 ELSE value END AS value,
+         CASE WHEN year(trade_date) = 1998 AND month(trade_date) = 2 THEN 'EUR' ELSE unit END AS unit
+  FROM prices WHERE trade_date >= DATE '1998-01-01' AND trade_date < DATE '1998-03-01'""",
+)
+def rolled_back(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs of the commodity job, the last rolled back: the fact is that of the second, with the first descriptions."""
+    spec, layers = DATASETS["commodity_prices"], _own_layers(spark, "job_roll_back")
+    lines = prices(spark, sf).where("trade_date >= date'1998-01-01' AND trade_date < date'1998-04-01'").select(
+        "commodity", "symbol", "interval", F.col("trade_date").cast("string").alias("date"), "value", "unit",
+        F.lit("alphavantage").alias("source"), F.lit("commodity_prices").alias("dataset"),
+        F.lit("/query").alias("request_url"), F.lit(INGESTED).alias("received_at"),
+    )
+    first = lines.where("date < '1998-03-01'")
+    second = lines.where("date >= '1998-02-01' AND date < '1998-03-01'").withColumns(
+        {"value": F.col("value") + 1, "unit": F.lit("EUR"), "commodity": F.lit("renamed"), "interval": F.lit("weekly")}
+    )
+    third = lines.where("date >= '1998-01-20'").withColumns({"value": F.col("value") + 2, "commodity": F.lit("again")})
+    for n, batch in enumerate((first, second, third), 1):
+        run_dataset(spark, spec, [_land(batch, "land")], Run(f"run-{n}", f"1998-0{n + 3}-01 00:00:00"), layers)
+    roll_back(spark, spec, "1998-05-01 00:00:00", layers)
+    fact = spark.table(spec.table(layers.gold, "fact"))
+    return fact.select("commodity", "symbol", "interval", text("trade_date"), "value", "unit")
+
+
+# --- catalog, columns, registry, preview ------------------------------------------------------------------
+
+
+@query(
+    "catalog_tables",
+    """SELECT 'created' AS step, 0 AS n UNION ALL SELECT 'unregistered', 0
+  UNION ALL SELECT 'registered', (SELECT count(*) FROM orders) UNION ALL SELECT 'dropped', 0""",
+)
+def catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """A table is created, its folders are written beside the catalog, registered, and the table is dropped."""
+    layers = _own_layers(spark, "catalog_tables")
+    name = f"{layers.silver}.orders_by_status"
+    columns = {"o_orderkey": "bigint", "o_orderstatus": "string"}
+    tables.create_table(spark, name, columns, "o_orderstatus", location=layers.location)
+    steps = {"created": spark.table(name).count()}
+    path = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    table(spark, sf, "orders").select(*columns).write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    steps["unregistered"] = spark.table(name).count()
+    tables.register_partitions(spark, name)
+    spark.catalog.refreshTable(name)
+    steps["registered"] = spark.table(name).count()
+    tables.drop_table(spark, name)
+    steps["dropped"] = int(spark.catalog.tableExists(name))
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("step"), F.lit(n).cast("bigint").alias("n")) for k, n in steps.items()]))
+    return spark.range(1).select(rows.alias("r")).select("r.*")
+
+
+@query(
+    "required_columns",
+    """SELECT 'rows' AS what, count(*) AS n FROM events UNION ALL SELECT 'absent', 1 UNION ALL SELECT 'present', 2""",
+)
+def column_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Names decide: a column that is NULL throughout is there, one that no line names is absent."""
+    path = scratch_path(spark, "required_columns")
+    lines = table(spark, sf, "events").select(F.to_json(F.struct("event_id", F.lit(None).cast("string").alias("note")), {"ignoreNullFields": "false"}))
+    lines.write.text(path)
+    read = scan_bronze(spark, [path], ["event_id", "note", "price"], members=True)
+    n, absent = missing_columns(read, ["event_id", "note", "price"], "_members")
+    found = {"rows": n, "absent": len(absent), "present": 3 - len(absent)}
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("what"), F.lit(v).cast("bigint").alias("n")) for k, v in found.items()]))
+    return spark.range(1).select(rows.alias("r")).select("r.*")
+
+
+@query(
+    "preview",
+    """SELECT least(count(*), 5) AS n, true AS subset FROM nation""",
+)
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Which rows a preview shows is open; that they are rows of the table is not."""
+    nation = table(spark, sf, "nation")
+    shown = preview(nation, 5)
+    known = shown.join(nation.select(F.col("n_nationkey").alias("k")), F.col("n_nationkey") == F.col("k"), "left")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.every(F.col("k").isNotNull()).alias("subset"))

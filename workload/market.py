@@ -12,6 +12,7 @@ from stratalake.operators.rolling import (
     RollingSpec,
     add_rolling,
     calendar_averages,
+    refresh_changed,
     refresh_rolling,
     rolling_in_pieces,
 )
@@ -137,7 +138,7 @@ def append_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")
     cut = F.lit("1998-07-01 00:00:00").cast("timestamp_ntz")
     append_at(lines.where(F.col("l_shipdate") < cut), path, "l_linenumber")
-    batch = lines.where(F.col("l_shipdate") >= cut)
+    batch = lines.where(~F.coalesce(F.col("l_shipdate") < cut, F.lit(False)))
     stored = spark.read.schema(lines.schema).parquet(path)
     target = touched(stored, batch, "l_linenumber")
     overwrite_partitions_at(
@@ -244,12 +245,12 @@ def calendar_avg(spark: SparkSession, sf: str) -> DataFrame:
   FROM returns""",
 )
 def rolling_ticks(spark: SparkSession, sf: str) -> DataFrame:
-    """Five series however large the data: each is cut by hour and computed in many tasks."""
+    """Five series however large the data: they are cut into pieces of equal size, computed in many tasks."""
     ticks = table(spark, sf, "events").select(
         "event_id", F.col("event_type").alias("symbol"), "ts", "value"
     )
     spec = RollingSpec(order="ts", value="value", ties=("event_id",))
-    return rolling_in_pieces(ticks, spec, "hour").select(
+    return rolling_in_pieces(ticks, spec).select(
         "event_id", "symbol", rounded("daily_return"), rounded("ma_5_value"), rounded("ma_20_value"),
         rounded("volatility_20"),
     )
@@ -273,13 +274,43 @@ def incremental_window(spark: SparkSession, sf: str) -> DataFrame:
     )
     since = batch.agg(F.min(F.col("ts").cast("date"))).first()[0]
     stored = spark.read.schema(fact.schema).parquet(path)
-    metrics = refresh_rolling(stored, since, RollingSpec(), lookback_days=14)
+    return _shown(refresh_rolling(stored, since, RollingSpec()))
+
+
+def _shown(metrics: DataFrame) -> DataFrame:
     return metrics.select(
         "symbol", text("trade_date"), "close", rounded("daily_return"), rounded("ma_5_close"),
         rounded("ma_20_close"), rounded("volatility_20"),
     )
 
 
+# changed rows of each symbol: one late one near the start, and the last one
+_CHANGED = """changed AS (
+  SELECT symbol, CASE WHEN k = 0 THEN min(trade_date) ELSE max(trade_date) END AS trade_date
+  FROM bars, (SELECT unnest([0, 1]) AS k) WHERE symbol LIKE '%3' OR (symbol LIKE '%4' AND k = 1) GROUP BY symbol, k),
+spans AS (SELECT symbol, min(trade_date) AS low, max(trade_date) AS high FROM changed GROUP BY symbol)"""
+
+
+@query(
+    "refresh_changed",
+    f"""WITH {BARS}, {_METRICS}, {_CHANGED}
+  SELECT m.symbol, strftime(m.trade_date, '%Y-%m-%d') AS trade_date, close, round(daily_return, 6) AS daily_return,
+         round(ma_5_close, 6) AS ma_5_close, round(ma_20_close, 6) AS ma_20_close, round(volatility_20, 6) AS volatility_20
+  FROM metrics m JOIN spans s ON m.symbol = s.symbol AND m.trade_date >= s.low
+  QUALIFY count(*) FILTER (m.trade_date > s.high) OVER (PARTITION BY m.symbol ORDER BY m.trade_date) <= 20""",
+)
+def refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the symbols of a batch, from their first changed row on; an old late row doesn't touch the others."""
+    path = scratch_path(spark, "refresh_changed")
+    fact = bars(spark, sf).drop("ingested_at")
+    overwrite_partitions_at(fact, path, "trade_date")
+    stored = spark.read.schema(fact.schema).parquet(path)
+    ends = fact.groupBy("symbol").agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high"))
+    late = ends.where("symbol LIKE '%3'").select("symbol", F.explode(F.array("low", "high")).alias("trade_date"))
+    last = ends.where("symbol LIKE '%4'").select("symbol", F.col("high").alias("trade_date"))
+    return _shown(refresh_changed(stored, late.unionByName(last), RollingSpec())[0])
+
+
 @query(
     "topk_recent",
     f"""WITH {BARS}, {_METRICS}

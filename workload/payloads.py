@@ -28,6 +28,21 @@ def _raw(df: DataFrame, payload: Column, url: Column, *parameters: str) -> DataF
     )
 
 
+def _spoiled(payload: Column, after: str, extra: str) -> Column:
+    """The payload with more elements, of other kinds than the format has, behind a place in it."""
+    place = F.instr(payload, after) + (len(after) - 1)
+    return F.concat(F.substring(payload, F.lit(1), place), F.lit(extra), F.substr(payload, place + 1))
+
+
+def _with_failures(spark: SparkSession, sf: str, raw: DataFrame) -> DataFrame:
+    """And two responses per region without data: a reported error, and a text that is no JSON."""
+    body = F.explode(F.array(F.lit('{"error":"quota"}'), F.lit('{"cut": [1, ')))
+    failed = table(spark, sf, "region").select(
+        body.alias("payload"), F.concat(F.lit("/failed?"), F.col("r_name")).alias("request_url"), F.lit(RECEIVED).alias("received_at")
+    )
+    return raw.unionByName(failed, allowMissingColumns=True)
+
+
 def _url(path: str, *parts: str) -> Column:
     return F.concat(F.lit(path), F.concat_ws("-", *[F.col(p).cast("string") for p in parts]))
 
@@ -44,6 +59,10 @@ def _url(path: str, *parts: str) -> Column:
 )
 def date_map(spark: SparkSession, sf: str) -> DataFrame:
     """One response per symbol and month (at most 31 bars); a price that is no number becomes 0."""
+    return flatten.date_map(_date_map_raw(spark, sf))
+
+
+def _date_map_raw(spark: SparkSession, sf: str) -> DataFrame:
     entry = F.struct(
         F.col("trade_date").cast("string"),
         F.struct(
@@ -61,7 +80,8 @@ def date_map(spark: SparkSession, sf: str) -> DataFrame:
     )
     head = F.create_map(F.lit("2. Symbol"), F.col("symbol"))
     payload = F.to_json(F.struct(head.alias("Meta Data"), F.col("days").alias("Time Series (Daily)")))
-    return flatten.date_map(_raw(monthly, payload, _url("/query?", "symbol", "month"), "symbol"))
+    payload = _spoiled(payload, '"Time Series (Daily)":{', '"holiday":"closed","early":[1],')
+    return _with_failures(spark, sf, _raw(monthly, payload, _url("/query?", "symbol", "month"), "symbol"))
 
 
 # --- list under a head -----------------------------------------------------------------------
@@ -76,6 +96,10 @@ def date_map(spark: SparkSession, sf: str) -> DataFrame:
 )
 def series(spark: SparkSession, sf: str) -> DataFrame:
     """One response per symbol and year (at most 366 points); "." stands for a missing value."""
+    return flatten.series(_series_raw(spark, sf))
+
+
+def _series_raw(spark: SparkSession, sf: str) -> DataFrame:
     point = F.struct(
         F.col("trade_date").cast("string").alias("date"),
         F.when(F.col("value") > 90000, ".").otherwise(F.col("value").cast("string")).alias("value"),
@@ -93,7 +117,8 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
             F.col("data"),
         )
     )
-    return flatten.series(_raw(yearly, payload, _url("/query?", "symbol", "year"), "symbol"))
+    payload = _spoiled(payload, '"data":[', '"none",7,')
+    return _with_failures(spark, sf, _raw(yearly, payload, _url("/query?", "symbol", "year"), "symbol"))
 
 
 # --- nested maps -------------------------------------------------------------------------------
@@ -106,6 +131,11 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
 )
 def nested_map(spark: SparkSession, sf: str) -> DataFrame:
     """One response per country: its indicators (five) by year."""
+    flat = flatten.nested_map(_nested_map_raw(spark, sf))
+    return flat.withColumn("year", F.col("year").cast("bigint"))
+
+
+def _nested_map_raw(spark: SparkSession, sf: str) -> DataFrame:
     years = (
         indicators(spark, sf)
         .groupBy("country", "indicator")
@@ -121,8 +151,8 @@ def nested_map(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("values")
     )
     payload = F.to_json(F.struct("values"))
-    flat = flatten.nested_map(_raw(whole_country, payload, _url("/api/", "country")))
-    return flat.withColumn("year", F.col("year").cast("bigint"))
+    payload = _spoiled(payload, '"values":{', '"GONE":5,"HALF":{"X":"n/a"},"CELL":{"X":{"2000":"n/a"}},')
+    return _with_failures(spark, sf, _raw(whole_country, payload, _url("/api/", "country")))
 
 
 # --- map of rates ----------------------------------------------------------------------------------
@@ -147,6 +177,10 @@ _METALS = {
 )
 def rate_map(spark: SparkSession, sf: str) -> DataFrame:
     """Returned lines stand for failed responses; only successful ones give rows."""
+    return flatten.rate_map(_rate_map_raw(spark, sf))
+
+
+def _rate_map_raw(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").withColumn("day", F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     payload = F.to_json(
         F.struct(
@@ -157,7 +191,8 @@ def rate_map(spark: SparkSession, sf: str) -> DataFrame:
             F.struct(F.col("day").alias("metal")).alias("timestamps"),
         )
     )
-    return flatten.rate_map(_raw(lines, payload, _url("/latest/", "l_orderkey", "l_linenumber")))
+    payload = _spoiled(payload, '"metals":{', '"tin":{"bid":1},')
+    return _with_failures(spark, sf, _raw(lines, payload, _url("/latest/", "l_orderkey", "l_linenumber")))
 
 
 # --- bars under meta -------------------------------------------------------------------------------
@@ -173,6 +208,10 @@ def rate_map(spark: SparkSession, sf: str) -> DataFrame:
 )
 def values(spark: SparkSession, sf: str) -> DataFrame:
     """Times with a time of day become ISO UTC text, plain dates stay."""
+    return flatten.values(_values_raw(spark, sf))
+
+
+def _values_raw(spark: SparkSession, sf: str) -> DataFrame:
     bar = F.struct(
         F.when(F.col("volume") > 1, F.concat(F.col("trade_date").cast("string"), F.lit(" 00:00:00")))
         .otherwise(F.col("trade_date").cast("string"))
@@ -192,7 +231,8 @@ def values(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Physical Currency").alias("type"),
     )
     payload = F.to_json(F.struct(meta.alias("meta"), F.col("values")))
-    return flatten.values(_raw(monthly, payload, _url("/time_series?", "symbol", "month")))
+    payload = _spoiled(payload, '"values":[', 'null,')
+    return _with_failures(spark, sf, _raw(monthly, payload, _url("/time_series?", "symbol", "month")))
 
 
 # --- articles --------------------------------------------------------------------------------------
@@ -207,6 +247,10 @@ def values(spark: SparkSession, sf: str) -> DataFrame:
   '/v2/everything?' || CAST(doc_id AS VARCHAR) AS request_url, {_NOTE} FROM documents""",
 )
 def articles(spark: SparkSession, sf: str) -> DataFrame:
+    return flatten.articles(_articles_raw(spark, sf))
+
+
+def _articles_raw(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     article = F.struct(
         _url("https://news.example.com/", "doc_id").alias("url"),
@@ -219,7 +263,9 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("2024-01-15T08:30:00Z").alias("publishedAt"),
     )
     payload = F.to_json(F.struct(F.lit("ok").alias("status"), F.array(article).alias("articles")))
-    return flatten.articles(_raw(docs, payload, _url("/v2/everything?", "doc_id")))
+    payload = _spoiled(payload, '"articles":[', '"advert",')
+    asked = docs.withColumn("language", F.col("lang"))
+    return _with_failures(spark, sf, _raw(asked, payload, _url("/v2/everything?", "doc_id"), "language"))
 
 
 # --- swings ------------------------------------------------------------------------------------------
@@ -236,13 +282,18 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 )
 def swings(spark: SparkSession, sf: str) -> DataFrame:
     """Each response has a high and a low list; the other exchange is ignored."""
+    return flatten.swings(_swings_raw(spark, sf))
+
+
+def _swings_raw(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer")
     base = [F.col("c_name").alias("ticker"), F.col("c_mktsegment").alias("company"), F.col("c_acctbal").alias("price")]
     high = F.struct(*base, (F.col("c_acctbal") * 2).alias("52_week_high"))
     low = F.struct(*base, (F.col("c_acctbal") / 2).alias("52_week_low"))
     lists = F.struct(F.array(high).alias("high52Week"), F.array(low).alias("low52Week"))
     payload = F.to_json(F.struct(lists.alias("BSE_52WeekHighLow"), lists.alias("NSE_52WeekHighLow")))
-    return flatten.swings(_raw(customers, payload, _url("/hld?", "c_custkey")))
+    payload = _spoiled(payload, '"NSE_52WeekHighLow":{', '"note":"half day",')
+    return _with_failures(spark, sf, _raw(customers, payload, _url("/hld?", "c_custkey")))
 
 
 # --- performance, premiums, places ----------------------------------------------------------------------
@@ -250,7 +301,7 @@ def swings(spark: SparkSession, sf: str) -> DataFrame:
 _SECTORS = ("BUILDING", "MACHINERY")
 
 
-def _performance(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+def _performance_raw(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer")
     item = F.struct(
         F.lit("2024-01-31").alias("date"),
@@ -258,9 +309,12 @@ def _performance(spark: SparkSession, sf: str, mode: str) -> DataFrame:
         F.lit("NASDAQ").alias("exchange"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("averageChange"),
     )
-    payload = F.to_json(F.array(item))
-    raw = _raw(customers, payload, _url("/performance?", "c_custkey"))
-    return flatten.performance(raw, "sector", mode, _SECTORS)
+    payload = _spoiled(F.to_json(F.array(item)), "[", '"page 1",')
+    return _with_failures(spark, sf, _raw(customers, payload, _url("/performance?", "c_custkey")))
+
+
+def _performance(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    return flatten.performance(_performance_raw(spark, sf), "sector", mode, _SECTORS)
 
 
 def _performance_sql(mode: str, where: str) -> str:
@@ -292,6 +346,10 @@ _COUNTRIES = ("NATION_2", "NATION_5", "NATION_11")
 )
 def risk_premium(spark: SparkSession, sf: str) -> DataFrame:
     """Premiums of the allowed countries; a missing premium is 0."""
+    return flatten.risk_premium(_risk_premium_raw(spark, sf), _COUNTRIES)
+
+
+def _risk_premium_raw(spark: SparkSession, sf: str) -> DataFrame:
     supplier, nation, region = (table(spark, sf, t) for t in ("supplier", "nation", "region"))
     rows = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).join(
         region, nation.n_regionkey == region.r_regionkey
@@ -301,8 +359,8 @@ def risk_premium(spark: SparkSession, sf: str) -> DataFrame:
         F.col("r_name").alias("continent"),
         F.col("s_acctbal").alias("countryRiskPremium"),
     )
-    raw = _raw(rows, F.to_json(F.array(item)), _url("/risk?", "s_suppkey"))
-    return flatten.risk_premium(raw, _COUNTRIES)
+    payload = _spoiled(F.to_json(F.array(item)), "[", "[],")
+    return _with_failures(spark, sf, _raw(rows, payload, _url("/risk?", "s_suppkey")))
 
 
 @query(
@@ -316,6 +374,10 @@ def risk_premium(spark: SparkSession, sf: str) -> DataFrame:
 )
 def locations(spark: SparkSession, sf: str) -> DataFrame:
     """Places come from city, state or name, whichever is first not empty."""
+    return flatten.locations(_locations_raw(spark, sf))
+
+
+def _locations_raw(spark: SparkSession, sf: str) -> DataFrame:
     low = F.col("s_acctbal") < 5000
     suppliers = (
         table(spark, sf, "supplier")
@@ -330,8 +392,45 @@ def locations(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("0.5").alias("change"),
         F.lit("2024-01-31").alias("date"),
     )
-    raw = _raw(suppliers, F.to_json(F.array(item)), _url("/fuel?", "s_suppkey"), "request_dataset", "location")
-    return flatten.locations(raw)
+    payload = _spoiled(F.to_json(F.array(item)), "[", "99.5,")
+    return _with_failures(spark, sf, _raw(suppliers, payload, _url("/fuel?", "s_suppkey"), "request_dataset", "location"))
+
+
+# --- what no row was made of ----------------------------------------------------------------------------------
+
+_MONTHLY = "(SELECT DISTINCT symbol, strftime(trade_date, '%Y-%m') FROM bars)"
+_YEARLY = "(SELECT DISTINCT symbol, year(trade_date) FROM prices)"
+# flattener, options, its responses, and how many elements of each kind a response has too much
+_REJECTING = {
+    "date_map": ({}, _date_map_raw, _MONTHLY, {"not an object": 2}),
+    "series": ({}, _series_raw, _YEARLY, {"not an object": 2}),
+    "nested_map": ({}, _nested_map_raw, "(SELECT DISTINCT country FROM ind)", {"not an object": 2, "not a number": 1}),
+    "rate_map": ({}, _rate_map_raw, "lineitem WHERE l_returnflag <> 'R'", {"not a number": 1}),
+    "values": ({}, _values_raw, _MONTHLY, {"not an object": 1}),
+    "articles": ({}, _articles_raw, "documents", {"not an object": 1}),
+    "swings": ({}, _swings_raw, "customer", {"not a list": 1}),
+    "performance": ({"level": "sector", "mode": "historical"}, _performance_raw, "customer", {"not an object": 1}),
+    "risk_premium": ({}, _risk_premium_raw, "supplier", {"not an object": 1}),
+    "locations": ({}, _locations_raw, "supplier", {"not an object": 1}),
+}
+
+
+def _rejected_sql() -> str:
+    parts = ["SELECT 'rate_map' AS flattener, 'status: failure' AS problem, count(*) AS n FROM lineitem WHERE l_returnflag = 'R'"]
+    for name, (_, _, responses, extra) in _REJECTING.items():
+        parts += [f"SELECT '{name}', '{problem}', {times} * count(*) FROM {responses}" for problem, times in extra.items()]
+        parts += [f"SELECT '{name}', '{problem}', count(*) FROM region" for problem in ("error: quota", "not json")]
+    return f"WITH {BARS}, {PRICES}, {INDICATORS} " + " UNION ALL ".join(parts)
+
+
+@query("flatten_quarantine", _rejected_sql())
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Every element and response that the flatteners left out, counted by the reason."""
+    found = None
+    for name, (options, raw, _, _) in _REJECTING.items():
+        one = flatten.rejected(name, raw(spark, sf), **options).select(F.lit(name).alias("flattener"), "problem")
+        found = one if found is None else found.unionByName(one)
+    return found.groupBy("flattener", "problem").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- whole payloads and text helpers -----------------------------------------------------------------------
