@@ -11,14 +11,50 @@ from pyspark.sql import functions as F
 from stratalake.session import scratch_path
 
 from . import language, licenses, neighbours, ngram_join, packing, pieces, repeats, sharding, similar_vectors, token_file
-
 from .store import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+
+#: What SQL can say. Tokens, compression and sampled boundaries are tested against brute force; a search that may miss
+#: neighbours has a recall.
+ORACLE: dict[str, str] = {
+    "op3_repeated_phrases": r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM w),
+win AS (SELECT doc_id, pos, CASE WHEN pos + 49 <= len(words) THEN array_to_string(words[pos:pos + 49], ' ') END AS win, words[pos] AS word FROM p),
+own AS (SELECT win, min(doc_id) AS owner FROM win WHERE win IS NOT NULL GROUP BY win),
+hit AS (SELECT a.doc_id, a.pos, a.word, CASE WHEN own.owner < a.doc_id THEN 1 ELSE 0 END AS hit FROM win a LEFT JOIN own ON a.win = own.win),
+cov AS (SELECT doc_id, pos, word, max(hit) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM hit),
+done AS (SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept FROM cov GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN done USING (doc_id)""",
+    "op8_rotated_codes": r"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM edges GROUP BY x)
+SELECT t.vec_id, coalesce(n.n, 0) AS n_links, least(t.vec_id, coalesce(low.y, t.vec_id)) AS component_id,
+       t.vec_id = least(t.vec_id, coalesce(low.y, t.vec_id)) AS kept
+FROM embeddings t LEFT JOIN n ON n.x = t.vec_id LEFT JOIN low ON low.x = t.vec_id""",
+    "op9_ngram_jaccard": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[pos:pos + 4], ' ') AS gram
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 75 * (p.size + q.size - shared)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(size, 0) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.x = d.doc_id""",
+}
 
 
 def query(fn):
+    """Register a query; its SQL, where there is one, is that of the same name in ``ORACLE``."""
+
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         reachable(spark)
