@@ -13,7 +13,8 @@ element among the first ``size - ceil(t * size) + 1`` of each.
   that class and connected. The join then looks for pairs between different components only: within a component no
   link can change the result.
 * Length filter: sizes within the threshold. Positional filter: the elements that two prefixes share, and all
-  that can follow, reach the overlap that is needed. Suffix filter: sets are cut into ranges of
+  that can follow, reach the overlap that is needed; and so do the elements of either that are not known, from its
+  prefix, to be in no other set. Suffix filter: sets are cut into ranges of
   hashes, and the smaller of the counts in each bounds the overlap.
 * What is left is verified once per pair, on the sets themselves. They are made again from the texts of the few
   documents that have a candidate, and meet in groups of one document and at most about ``GROUP`` others.
@@ -33,6 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import Scratch
+
 from . import words
 from .components import components
 from .store import binaries, column, join_few, ragged, spread, stored, text_slices
@@ -156,7 +159,8 @@ def _levels(scan: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, threshold: int, levels: np.ndarray) -> DataFrame:
-    """(``token``, ``k1``, ``size``) for the prefix of each set; a task sends each set once."""
+    """(``token``, ``k1``, ``size``) for the prefix of each set, ``size`` negative with its last element; a task sends
+    each set once."""
     shift = np.uint64(64 - COUNTERS.bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,16 +182,31 @@ def _prefixes(docs: DataFrame, n: int, threshold: int, levels: np.ndarray) -> Da
             for lo, m, few in zip(starts.tolist(), size.tolist(), length.tolist(), strict=True):
                 first.append(lo + np.argsort(key[lo : lo + m], kind="stable")[:few])
             first = np.concatenate(first)
+            told = np.repeat(size, length)
+            told[np.cumsum(length) - 1] *= -1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words.signed(grams[first])), pa.array(np.repeat(k1[new], length)), pa.array(np.repeat(size, length), pa.int32())],
+                [pa.array(words.signed(grams[first])), pa.array(np.repeat(k1[new], length)), pa.array(told, pa.int32())],
                 names=["token", "k1", "size"],
             )
 
     return docs.mapInArrow(run, "token long, k1 long, size int")
 
 
-def _shared(prefixes: DataFrame) -> DataFrame:
-    """The rows of tokens that more than one set has, each set once. Streams partitions sorted by token."""
+def _shared(prefixes: DataFrame, levels: np.ndarray) -> DataFrame:
+    """The rows of tokens that more than one prefix has, each set once, and the last row of each prefix.
+
+    ``alone`` tells a last row whose token nothing shares; ``end`` is the rank of a last row's token, else -1.
+    Streams partitions sorted by token.
+    """
+    shift = np.uint64(64 - COUNTERS.bit_length() + 1)
+    names = ["token", "k1", "size", "alone", "end"]
+
+    def told(token: np.ndarray, k1: np.ndarray, size: np.ndarray, alone: np.ndarray) -> pa.RecordBatch:
+        gram = words.unsigned(token)
+        rank = levels[(gram >> shift).astype(np.int64)].astype(np.int64) << 55 | (gram >> np.uint64(9)).astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token), pa.array(k1), pa.array(np.abs(size), pa.int32()), pa.array(alone), pa.array(np.where(size < 0, rank, -1))], names=names
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the last row waits for what follows it
@@ -195,42 +214,48 @@ def _shared(prefixes: DataFrame) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             token, k1, size = (column(batch, c).to_numpy() for c in ("token", "k1", "size"))
+            joins = False
             if last is not None:
-                token, k1, size = (np.concatenate([[x], y]) for x, y in zip(last[:3], (token, k1, size), strict=True))
-            repeated = np.zeros(len(token), dtype=bool)
-            repeated[1:] = (token[1:] == token[:-1]) & (k1[1:] == k1[:-1])
-            joins = last is not None and last[3]  # whether the waiting row's token was seen before it
-            token, k1, size = token[~repeated], k1[~repeated], size[~repeated]
-            before = np.zeros(len(token), dtype=bool)
-            before[1:] = token[1:] == token[:-1]
-            before[0] = joins
-            after = np.zeros(len(token), dtype=bool)
-            after[:-1] = token[1:] == token[:-1]
-            keep = (before | after)[:-1]
-            last = (token[-1], k1[-1], size[-1], bool(before[-1]))
+                token, k1, size = (np.concatenate([x, y]) for x, y in zip(last[:3], (token, k1, size), strict=True))
+                joins = last[3]  # whether the waiting row's token was seen before it
+            same = token[1:] == token[:-1]
+            new = np.r_[True, ~same | (k1[1:] != k1[:-1])]
+            token, k1, size = token[new], k1[new], size[new]
+            same = token[1:] == token[:-1]
+            shared = np.r_[joins, same] | np.r_[same, False]
+            keep = (shared | (size < 0))[:-1]
+            last = token[-1:], k1[-1:], size[-1:], bool(shared[-1])
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(token[:-1][keep]), pa.array(k1[:-1][keep]), pa.array(size[:-1][keep].astype(np.int32))], names=["token", "k1", "size"])
-        if last is not None and last[3]:
-            yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int64()), pa.array([last[2]], pa.int32())], names=["token", "k1", "size"])
+                yield told(token[:-1][keep], k1[:-1][keep], size[:-1][keep], ~shared[:-1][keep])
+        if last is not None and (last[3] or last[2][0] < 0):
+            yield told(*last[:3], np.array([not last[3]]))
 
-    return prefixes.repartition("token").sortWithinPartitions("token", "k1").mapInArrow(run, "token long, k1 long, size int")
+    dealt = prefixes.repartition("token").sortWithinPartitions("token", "k1")
+    return dealt.mapInArrow(run, "token long, k1 long, size int, alone boolean, end long")
 
 
 def _met(lists: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of sets of different components that share a token, by length filter: once per token that they share."""
+    """Pairs of sets of different components that share a token: once per token that they share.
 
-    def fitting(size: np.ndarray, part: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    Of two sets, let x be the one whose prefix ends first in the order. An element of x's prefix that the other set has
+    is in the other's prefix too, so those that no other prefix has are not in it: ``most``, the size of x without
+    them, bounds the overlap. ``end`` is where a prefix ends.
+    """
+
+    def fitting(size: np.ndarray, part: np.ndarray, most: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         low, high = np.minimum(size[a], size[b]).astype(np.int64), np.maximum(size[a], size[b]).astype(np.int64)
         keep = (part[a] != part[b]) & (100 * low >= threshold * high)
+        first = np.where(end[a] < end[b], most[a], np.where(end[a] > end[b], most[b], np.maximum(most[a], most[b])))
+        keep &= first >= needed(low, high, threshold)
         return a[keep], b[keep]
 
-    def pairs(size: np.ndarray, part: np.ndarray, firsts: np.ndarray, m: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(size: np.ndarray, part: np.ndarray, most: np.ndarray, end: np.ndarray, firsts: np.ndarray, m: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if m <= 256:  # many lists of m rows at once
             i, j = np.triu_indices(m, 1)
             step = max(1, (1 << 18) // len(i))
             for at in range(0, len(firsts), step):
                 base = firsts[at : at + step, None]
-                yield fitting(size, part, (base + i).ravel(), (base + j).ravel())
+                yield fitting(size, part, most, end, (base + i).ravel(), (base + j).ravel())
             return
         for first in firsts.tolist():  # one list, row by row
             own = part[first : first + m]
@@ -238,7 +263,7 @@ def _met(lists: DataFrame, threshold: int) -> DataFrame:
                 continue
             got: list = []
             for x in range(first, first + m - 1):
-                got.append(fitting(size, part, np.full(first + m - x - 1, x), np.arange(x + 1, first + m)))
+                got.append(fitting(size, part, most, end, np.full(first + m - x - 1, x), np.arange(x + 1, first + m)))
                 if len(got) == 256:
                     yield tuple(np.concatenate(side) for side in zip(*got, strict=True))
                     got = []
@@ -246,11 +271,11 @@ def _met(lists: DataFrame, threshold: int) -> DataFrame:
                 yield tuple(np.concatenate(side) for side in zip(*got, strict=True))
 
     def emit(held: list) -> Iterator[pa.RecordBatch]:
-        token, k1, size, part = (np.concatenate([h[i] for h in held]) for i in range(4))
+        token, k1, size, part, most, end = (np.concatenate([h[i] for h in held]) for i in range(6))
         firsts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         lengths = np.diff(np.r_[firsts, len(token)])
         for m in np.unique(lengths[lengths > 1]).tolist():
-            for a, b in pairs(size, part, firsts[lengths == m], m):
+            for a, b in pairs(size, part, most, end, firsts[lengths == m], m):
                 if len(a):
                     x, y = np.where(k1[a] < k1[b], a, b), np.where(k1[a] < k1[b], b, a)
                     yield pa.RecordBatch.from_arrays([pa.array(k1[x]), pa.array(k1[y]), pa.array(size[x]), pa.array(size[y])], names=["a", "b", "na", "nb"])
@@ -260,7 +285,7 @@ def _met(lists: DataFrame, threshold: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            own = [column(batch, c).to_numpy() for c in ("token", "k1", "size", "part")]
+            own = [column(batch, c).to_numpy() for c in ("token", "k1", "size", "part", "most", "end")]
             # the last token may go on in the next batch
             cut = int(np.searchsorted(own[0], own[0][-1], side="left"))
             if cut:
@@ -272,7 +297,7 @@ def _met(lists: DataFrame, threshold: int) -> DataFrame:
             yield from emit(held)
 
     sorted_lists = lists.repartition("token").sortWithinPartitions("token", "k1")
-    return sorted_lists.select("token", "k1", "size", "part").mapInArrow(run, "a long, b long, na int, nb int")
+    return sorted_lists.select("token", "k1", "size", "part", "most", "end").mapInArrow(run, "a long, b long, na int, nb int")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -308,11 +333,11 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return int((both[1:] == both[:-1]).sum()) >= least
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, n: int, threshold: int) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, n: int, threshold: int, scratch: Scratch) -> DataFrame:
     """The pairs (``a``, ``b``) that are linked, by the sets of their texts."""
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("salts"))
     dealt = pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
-    dealt = stored(dealt, "ngram-pairs")
+    dealt = scratch.save(dealt)
     need = dealt.select(F.col("b").alias("k1"), "a", "salt").union(dealt.select(F.col("a").alias("k1"), "a", "salt").distinct())
     wanted = need.select("k1").distinct().join(named, "k1").select(F.col("leader").alias("id"), "k1")
     sets = _sets(join_few(rows, wanted, ["id"]), n)
@@ -328,34 +353,45 @@ def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, n: int, thres
 
 def join(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: the id, ``n_shingles`` (size of its set) and ``component_id`` (smallest id reachable by links)."""
+    with Scratch(docs.sparkSession, "ngram") as scratch:
+        return stored(_join(docs, n, threshold, id_column, text_column, scratch), "ngram")
+
+
+def _join(docs: DataFrame, n: int, threshold: int, id_column: str, text_column: str, scratch: Scratch) -> DataFrame:
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    scan = stored(_scan(rows, n), "ngram-scan")
+    scan = scratch.save(_scan(rows, n))
     own = scan.where("kind = 0").select("id", "size", "k1", "k2", "keys")
     levels = _levels(scan)
 
     # classes of equal sets, and the document that stands for each
     some = own.where("size > 0 and id is not null")
     classes = some.groupBy("k1", "k2", "size").agg(F.min("id").alias("leader"), F.any_value("keys").alias("keys"))
-    classes = stored(classes, "ngram-classes")
+    classes = scratch.save(classes)
 
-    lists = stored(_shared(_prefixes(rows.where("id is not null"), n, threshold, levels)), "ngram-lists")
+    lists = scratch.save(_shared(_prefixes(rows.where("id is not null"), n, threshold, levels), levels))
     named = classes.select("k1", "leader")
 
     # near copies: each class with the smallest one of those that share a minimum hash
-    keyed = classes.join(lists.select("k1").distinct(), "k1").select("k1", "leader", F.posexplode("keys").alias("place", "key"))
+    keyed = classes.join(lists.where("not alone").select("k1").distinct(), "k1").select("k1", "leader", F.posexplode("keys").alias("place", "key"))
     hubs = keyed.groupBy("place", "key").agg(F.min_by("k1", "leader").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     agree = keyed.join(hubs, ["place", "key"]).where("k1 <> hub").groupBy(F.col("hub").alias("a"), F.col("k1").alias("b")).count().where(f"count >= {AGREE}")
-    links = stored(_verified(agree.select("a", "b"), rows, named, n, threshold), "ngram-links")
-    parts = components(links, "ngram-groups")
+    links = scratch.save(_verified(agree.select("a", "b"), rows, named, n, threshold, scratch))
+    parts = components(links, scratch)
 
     # all pairs between different components
-    whole = lists.join(parts.withColumnsRenamed({"node": "k1", "component": "part"}), "k1", "left").withColumn("part", F.coalesce("part", "k1"))
+    # per set: its component, its size without the elements of its prefix that nothing shares, the end of its prefix
+    shared, end = F.count_if(~F.col("alone")).alias("shared"), F.max("end").alias("end")
+    known = lists.groupBy("k1").agg(shared, end, F.first("size").alias("size"))
+    known = known.join(parts.withColumnsRenamed({"node": "k1", "component": "part"}), "k1", "left")
+    most = F.floor((threshold * F.col("size") + 99) / 100) - 1 + F.col("shared")
+    known = known.select("k1", F.coalesce("part", "k1").alias("part"), most.cast("int").alias("most"), "end")
+    whole = lists.where("not alone").drop("end").join(known, "k1")
     met = _met(whole, threshold).groupBy("a", "b").agg(F.count("*").alias("n"), F.first("na").cast("long").alias("na"), F.first("nb").cast("long").alias("nb"))
     # beyond its prefix a set has ceil(t * size) - 1 elements
     rest = F.floor((threshold * F.greatest("na", "nb") + 99) / 100) - 1
     wanted = F.floor((threshold * (F.col("na") + F.col("nb")) + 99 + threshold) / (100 + threshold))
     met = met.where(F.col("n") + rest >= wanted)
-    more = stored(_verified(met.select("a", "b"), rows, named, n, threshold), "ngram-more")
+    more = scratch.save(_verified(met.select("a", "b"), rows, named, n, threshold, scratch))
 
     # from classes to ids; rows with one id and different texts are one node
     edges = links.union(more).join(named.withColumnsRenamed({"k1": "a", "leader": "la"}), "a").join(named.withColumnsRenamed({"k1": "b", "leader": "lb"}), "b")
@@ -364,6 +400,6 @@ def join(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD, id_colum
     placed = placed.select("id", F.col("size").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.col("leader")).alias("leader"))
     twice = placed.where("leader is not null").groupBy("id").agg(F.min("leader").alias("a"), F.max("leader").alias("b")).where("a <> b")
     twice = twice.join(placed.where("leader is not null"), "id").select("a", F.col("leader").alias("b"))
-    found = components(edges.union(twice), "ngram")
+    found = components(edges.union(twice), scratch)
     out = placed.join(found.withColumnsRenamed({"node": "leader"}), "leader", "left")
     return out.select(F.col("id").alias(id_column), "n_shingles", F.coalesce("component", "leader", "id").alias("component_id"))
