@@ -10,19 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from stratalake.session import Scratch
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(``node``, ``component``) for every node of ``edges`` (longs ``a``, ``b``): the smallest node reachable.
 
-    Loops and repeated edges are allowed; null ends are dropped.
+    Loops and repeated edges are allowed; null ends are dropped. The result is read from ``scratch``.
     """
     ends = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null")
-    nodes = stored(ends.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{label}-nodes")
+    nodes = scratch.save(ends.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     # pairs (u, v) with u > v
     pairs = ends.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    pairs = stored(pairs, f"{label}-edges")
+    pairs = scratch.save(pairs)
     before = None
     while True:
         both = pairs.select("u", "v").union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -33,7 +33,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        pairs = stored(small.where("u <> v").distinct(), f"{label}-edges")
+        pairs = scratch.save(small.where("u <> v").distinct())
         state = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if before == (state["n"], state["h"]):
             break

@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.session import Scratch
+
 from . import words
 from .store import column, join_few, ragged, spread, stored, text_slices, with_columns
 
@@ -222,8 +224,13 @@ def find(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_column:
     """Per row: the id, ``text_hash``, ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept words joined by one space)
     and the removed ranges of words, ``begins`` (inclusive) and ``ends`` (exclusive).
     """
+    with Scratch(docs.sparkSession, "repeats") as scratch:
+        return stored(_find(docs, window, phrase, id_column, text_column, bucket_bytes, scratch), "repeats")
+
+
+def _find(docs: DataFrame, window: int, phrase: int, id_column: str, text_column: str, bucket_bytes: int, scratch: Scratch) -> DataFrame:
     rows = docs.select(F.col(id_column).cast("long").alias(_KEY), F.xxhash64(text_column).alias(_MARK), F.col(text_column).alias("text"))
-    scan = stored(_scan(rows, window, phrase), "repeats-scan")
+    scan = scratch.save(_scan(rows, window, phrase))
     classes = scan.where(f"{_KEY} is not null and n_words >= {window}").groupBy("f1", "f2", "n_words").agg(F.min(_KEY).alias("leader"))
     # two kinds of documents share an anchor if two hashes of their words do
     met = scan.where(f"{_KEY} is not null").select("f1", F.explode("anchors").alias("anchor"))
@@ -231,14 +238,14 @@ def find(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_column:
     leaders = scan.select(_KEY, _MARK, "f1", "f2", "n_words", "anchors").join(classes, ["f1", "f2", "n_words"]).where(F.col(_KEY) == F.col("leader"))
     own = leaders.select(_KEY, _MARK, F.explode(F.array_distinct("anchors")).alias("anchor")).join(recurring, "anchor")
     own = own.groupBy(_KEY, _MARK).agg(F.collect_set("anchor").alias("anchors"))  # no more than the document's words
-    near = stored(_windows(join_few(rows, own, [_KEY, _MARK]), window, phrase), "repeats-windows")
+    near = scratch.save(_windows(join_few(rows, own, [_KEY, _MARK]), window, phrase))
     near = near.where(F.size("hashes") > 0)
 
     # confirmed windows, each with its owner
     met = near.select(_KEY, F.explode("hashes").alias("hash"))
-    confirmed = stored(met.groupBy("hash").agg(F.min(_KEY).alias("owner"), F.max(_KEY).alias("last")).where("owner < last").select("hash", "owner"), "repeats-confirmed")
+    confirmed = scratch.save(met.groupBy("hash").agg(F.min(_KEY).alias("owner"), F.max(_KEY).alias("last")).where("owner < last").select("hash", "owner"))
     owned = confirmed.groupBy(F.col("owner").alias(_KEY)).agg(F.collect_list("hash").alias("owned"))
-    passages = stored(_passages(owned.join(near, _KEY), window), "repeats-passages")
+    passages = scratch.save(_passages(owned.join(near, _KEY), window))
 
     buckets = max(1, -(-(near.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes))
     bucket = F.pmod(F.xxhash64(_KEY, F.lit(17)), F.lit(buckets)).cast("int").alias("bucket")
@@ -247,7 +254,7 @@ def find(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_column:
     sent = passages.select("owner", "begin", "text").join(wanted, ["owner", "begin"])
     found = near.select(_KEY, _MARK, "text", bucket).groupBy("bucket").cogroup(sent.groupBy("bucket"))
     removed = found.applyInArrow(_locate(window), f"{_KEY} long, {_MARK} long, n_removed long, kept_sha256 string, begins array<int>, ends array<int>")
-    removed = stored(removed.dropDuplicates([_KEY, _MARK]), "repeats-removed")
+    removed = scratch.save(removed.dropDuplicates([_KEY, _MARK]))
 
     # rows whose words a smaller id has too lose every window
     full = scan.drop("anchors").join(classes, ["f1", "f2", "n_words"], "left").join(removed, [_KEY, _MARK], "left")

@@ -1,6 +1,6 @@
 """Sharding by sampled splitters, in DataFrame operations only.
 
-1. A narrow table of (key, size) is stored; the key is a hash of the text, so equal texts have equal keys.
+1. A narrow table of (key, size) is stored for the while; the key is a hash of the text, so equal texts have equal keys.
 2. A sample is drawn in which a row's chance grows with its size, and its quantiles are
    the splitters: they cut the keys into ranges of nearly equal bytes.
 3. Every record is placed into its range (a binary search over the splitters), and the ranges are
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .store import stored
+from stratalake.session import Scratch
 
 #: Ranges for each shard at least and at most, between them one for so many bytes; sampled rows for each range;
 #: the largest part of a shard that one range may be.
@@ -72,26 +72,27 @@ def shard(docs: DataFrame, shards: int, size: Column, key: Column, tie: Column,
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")))
     own = {"_key": F.coalesce(key, F.lit(0)), "_tie": F.coalesce(F.xxhash64(tie, F.lit(3)), F.lit(0)), "_size": F.coalesce(size, F.lit(0)).cast("long")}
     keyed = docs.withColumns(own)
-    narrow = stored(keyed.select(F.col("_key").alias("key"), F.col("_tie").alias("tie"), F.col("_size").alias("size")), "sizes")
-    total = narrow.agg(F.sum("size")).first()[0] or 0
-    ranges = min(MOST_RANGES, max(ranges, total // (shards * RANGE_BYTES)))
-    bounds = splitters(narrow, total, shards * ranges)
-    ranged = narrow.withColumn("range", _range_of(bounds, "key"))
-    whole = {r["range"]: r["size"] for r in ranged.groupBy("range").agg(F.sum("size").alias("size")).collect()}
-    most = max(1, int(total / shards * share))
-    half = max(1, total // (2 * shards))
-
-    # an overfull range is cut at its keys; a key that fills more than half a shard, by the ties
-    parts = {r: min(-(-n // most) * 2, 1 << 16) for r, n in whole.items() if n > most}
-    pieces = F.coalesce(_lookup(parts, "range"), F.lit(1))
-    ranged = ranged.withColumn("part", F.pmod(F.xxhash64("key", F.lit(5)), pieces).cast("int"))
-    heavy: dict[int, int] = {}
-    if parts:
-        large = ranged.where(F.col("range").isin(list(parts))).groupBy("key").agg(F.sum("size").alias("size")).where(F.col("size") > half)
-        heavy = {r["key"]: min(-(-r["size"] // most), 1 << 16) for r in large.collect()}  # fewer than two for each shard
-    salts = F.coalesce(_lookup(heavy, "key"), F.lit(1))
-    ranged = ranged.withColumn("salt", F.when(salts > 1, 1 + F.pmod(F.xxhash64("tie", F.lit(13)), salts)).otherwise(0).cast("int"))
-    measured = ranged.groupBy("range", "part", "salt").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    with Scratch(docs.sparkSession, "sharding") as scratch:
+        narrow = scratch.save(keyed.select(F.col("_key").alias("key"), F.col("_tie").alias("tie"), F.col("_size").alias("size")))
+        total = narrow.agg(F.sum("size")).first()[0] or 0
+        ranges = min(MOST_RANGES, max(ranges, total // (shards * RANGE_BYTES)))
+        bounds = splitters(narrow, total, shards * ranges)
+        ranged = narrow.withColumn("range", _range_of(bounds, "key"))
+        whole = {r["range"]: r["size"] for r in ranged.groupBy("range").agg(F.sum("size").alias("size")).collect()}
+        most = max(1, int(total / shards * share))
+        half = max(1, total // (2 * shards))
+
+        # an overfull range is cut at its keys; a key that fills more than half a shard, by the ties
+        parts = {r: min(-(-n // most) * 2, 1 << 16) for r, n in whole.items() if n > most}
+        pieces = F.coalesce(_lookup(parts, "range"), F.lit(1))
+        ranged = ranged.withColumn("part", F.pmod(F.xxhash64("key", F.lit(5)), pieces).cast("int"))
+        heavy: dict[int, int] = {}
+        if parts:
+            large = ranged.where(F.col("range").isin(list(parts))).groupBy("key").agg(F.sum("size").alias("size")).where(F.col("size") > half)
+            heavy = {r["key"]: min(-(-r["size"] // most), 1 << 16) for r in large.collect()}  # fewer than two for each shard
+        salts = F.coalesce(_lookup(heavy, "key"), F.lit(1))
+        ranged = ranged.withColumn("salt", F.when(salts > 1, 1 + F.pmod(F.xxhash64("tie", F.lit(13)), salts)).otherwise(0).cast("int"))
+        measured = ranged.groupBy("range", "part", "salt").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
 
     place, load, rows = {}, [(0, 0, s) for s in range(shards)], [0] * shards
     heapq.heapify(load)

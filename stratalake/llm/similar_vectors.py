@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import Scratch
+
 from .components import components
 from .neighbours import usable
 from .store import stored
@@ -114,10 +116,15 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.9, id_column: str = "v
     most, are linked with nothing. Rows with equal ids count as one vector (that with the smallest
     hash); a null id is one row without component, not kept. An empty table gives an empty result.
     """
+    with Scratch(rows.sparkSession, "vectors") as scratch:
+        return stored(_near_duplicates(rows, threshold, id_column, vector, block_rows, epsilon, scratch), "vectors")
+
+
+def _near_duplicates(rows: DataFrame, threshold: float, id_column: str, vector: str, block_rows: int, epsilon: float, scratch: Scratch) -> DataFrame:
     all_ids = rows.select(F.col(id_column).cast("long").alias("id")).distinct()
     own = rows.where(usable(vector) & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     own = own.groupBy("id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
-    own = stored(own, "vectors")
+    own = scratch.save(own)
     common = own.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
     if common is None:
         return all_ids.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
@@ -142,8 +149,8 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.9, id_column: str = "v
         some = n > 0
         return pa.table({"id": ids[some], "n": n[some].astype(np.int64), "root": root[some]})
 
-    found = stored(dealt.groupBy("gi", "gj").applyInArrow(group, "id long, n long, root long"), "links")
-    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vectors")
+    found = scratch.save(dealt.groupBy("gi", "gj").applyInArrow(group, "id long, n long, root long"))
+    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch)
     counts = found.groupBy(F.col("id").alias("node")).agg(F.sum("n").alias("n"))
     linked = counts.join(classes, "node").select(F.col("node").alias("id"), "n", "component")
     out = all_ids.join(linked, "id", "left")

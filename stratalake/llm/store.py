@@ -1,8 +1,9 @@
 """Intermediate tables in the shared folder of the cluster, and slices of Arrow batches.
 
 A stored table cuts the lineage: whatever follows starts from files that
-outlive executors. Its folder stays until the session's owner clears
-``spark.checkpoint.dir``, since results are read from it lazily.
+outlive executors. Operators keep their own tables in a ``Scratch`` folder, which goes when their
+result is stored; the folder of a result stays until the session's owner clears
+``spark.checkpoint.dir``, since it is read lazily.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ import pytest
 
 from stratalake.llm import components, ngram_join
 from stratalake.llm.queries import QUERIES
+from stratalake.session import Scratch
 
 from .brute import Union, jaccard_components, shingles
 from .conftest import SMALL
@@ -99,6 +100,7 @@ def test_components(spark, seed):
     union = Union()
     for a, b in edges:
         union.join(a, b)
-    got = components.components(spark.createDataFrame([*edges, (None, 1)], "a long, b long"))
-    assert {(r["node"], r["component"]) for r in got.collect()} == {(x, union.find(x)) for e in edges for x in e}
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    with Scratch(spark, "test") as scratch:
+        got = components.components(spark.createDataFrame([*edges, (None, 1)], "a long, b long"), scratch)
+        assert {(r["node"], r["component"]) for r in got.collect()} == {(x, union.find(x)) for e in edges for x in e}
+        assert components.components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
