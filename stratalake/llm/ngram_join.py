@@ -16,6 +16,8 @@ element among the first ``size - ceil(t * size) + 1`` of each.
   that can follow, reach the overlap that is needed; and so do the elements of either that are not known, from its
   prefix, to be in no other set. Suffix filter: sets are cut into ranges of
   hashes, and the smaller of the counts in each bounds the overlap.
+* In a list of more than ``LONG`` sets, pairs are counted by a product of 0/1 matrices of the sets' tokens of such lists, so
+  they don't leave the task once for each of those tokens.
 * What is left is verified once per pair, on the sets themselves. They are made again from the texts of the few
   documents that have a candidate, and meet in groups of one document and at most about ``GROUP`` others.
 
@@ -46,6 +48,7 @@ COUNTERS = 1 << 20
 KEYS, AGREE = 8, 3
 RANGES = 64
 GROUP = 64
+LONG = 64
 _BLOCK = 1 << 12
 _TURNS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, KEYS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -234,85 +237,126 @@ def _shared(prefixes: DataFrame, levels: np.ndarray) -> DataFrame:
     return dealt.mapInArrow(run, "token long, k1 long, size int, alone boolean, end long")
 
 
-def _met(lists: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of sets of different components that share a token: once per token that they share.
+def _fits(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether sets at places a and b may be a pair: of different components, by length, and by what they can share.
 
     Of two sets, let x be the one whose prefix ends first in the order. An element of x's prefix that the other set has
     is in the other's prefix too, so those that no other prefix has are not in it: ``most``, the size of x without
     them, bounds the overlap. ``end`` is where a prefix ends.
     """
+    size, most, end = rows["size"], rows["most"], rows["end"]
+    low, high = np.minimum(size[a], size[b]).astype(np.int64), np.maximum(size[a], size[b]).astype(np.int64)
+    first = np.where(end[a] < end[b], most[a], np.where(end[a] > end[b], most[b], np.maximum(most[a], most[b])))
+    return (rows["part"][a] != rows["part"][b]) & (100 * low >= threshold * high) & (first >= needed(low, high, threshold))
+
+
+def _pairs(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, shared: np.ndarray) -> pa.RecordBatch:
+    k1, size = rows["k1"], rows["size"]
+    x, y = np.where(k1[a] < k1[b], a, b), np.where(k1[a] < k1[b], b, a)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(k1[x]), pa.array(k1[y]), pa.array(size[x], pa.int32()), pa.array(size[y], pa.int32()), pa.array(shared, pa.int32())],
+        names=["a", "b", "na", "nb", "shared"],
+    )
+
+
+_PAIRS = "a long, b long, na int, nb int, shared int"
+_KNOWN = ["token", "k1", "size", "part", "most", "end"]
 
-    def fitting(size: np.ndarray, part: np.ndarray, most: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low, high = np.minimum(size[a], size[b]).astype(np.int64), np.maximum(size[a], size[b]).astype(np.int64)
-        keep = (part[a] != part[b]) & (100 * low >= threshold * high)
-        first = np.where(end[a] < end[b], most[a], np.where(end[a] > end[b], most[b], np.maximum(most[a], most[b])))
-        keep &= first >= needed(low, high, threshold)
-        return a[keep], b[keep]
-
-    def pairs(size: np.ndarray, part: np.ndarray, most: np.ndarray, end: np.ndarray, firsts: np.ndarray, m: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if m <= 256:  # many lists of m rows at once
-            i, j = np.triu_indices(m, 1)
-            step = max(1, (1 << 18) // len(i))
-            for at in range(0, len(firsts), step):
-                base = firsts[at : at + step, None]
-                yield fitting(size, part, most, end, (base + i).ravel(), (base + j).ravel())
+
+def _lists(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Whole lists of a partition sorted by token, some at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        token = column(batch, "token").to_numpy()
+        cut = int(np.searchsorted(token, token[-1], side="left"))  # the last one may go on in the next batch
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).select(names)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).select(names)
+
+
+def _met(lists: DataFrame, threshold: int) -> DataFrame:
+    """Of lists of up to ``LONG`` sets: the pairs that fit, once per token that they share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _lists(batches, _KNOWN):
+            rows = {c: table.column(c).to_numpy() for c in _KNOWN}
+            token = rows["token"]
+            firsts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            lengths = np.diff(np.r_[firsts, len(token)])
+            for m in np.unique(lengths[(lengths > 1) & (lengths <= LONG)]).tolist():
+                own = firsts[lengths == m]
+                i, j = np.triu_indices(m, 1)
+                step = max(1, (1 << 18) // len(i))
+                for at in range(0, len(own), step):
+                    a, b = (own[at : at + step, None] + i).ravel(), (own[at : at + step, None] + j).ravel()
+                    keep = _fits(rows, a, b, threshold)
+                    if keep.any():
+                        yield _pairs(rows, a[keep], b[keep], np.ones(int(keep.sum())))
+
+    return lists.repartition("token").sortWithinPartitions("token", "k1").select(*_KNOWN).mapInArrow(run, _PAIRS)
+
+
+def _met_in_long(lists: DataFrame, threshold: int) -> DataFrame:
+    """Of longer lists: the pairs that fit, each once, with how many such tokens they share.
+
+    Every row has the tokens of its set's prefix that lie in long lists (``tokens``; a prefix bounds them). The
+    numbers that pairs share are one product of 0/1 matrices; a pair belongs to the first token that it shares. It
+    is dropped here if what it shares, and at most could share in shorter lists and beyond the prefixes, is too little.
+    """
+    names = [*_KNOWN, "others", "tokens"]
+
+    def of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = {c: table.column(c).to_numpy() for c in names[:-1]}
+        if (rows["part"] == rows["part"][0]).all():
             return
-        for first in firsts.tolist():  # one list, row by row
-            own = part[first : first + m]
-            if (own == own[0]).all():
-                continue
-            got: list = []
-            for x in range(first, first + m - 1):
-                got.append(fitting(size, part, most, end, np.full(first + m - x - 1, x), np.arange(x + 1, first + m)))
-                if len(got) == 256:
-                    yield tuple(np.concatenate(side) for side in zip(*got, strict=True))
-                    got = []
-            if got:
-                yield tuple(np.concatenate(side) for side in zip(*got, strict=True))
-
-    def emit(held: list) -> Iterator[pa.RecordBatch]:
-        token, k1, size, part, most, end = (np.concatenate([h[i] for h in held]) for i in range(6))
-        firsts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        lengths = np.diff(np.r_[firsts, len(token)])
-        for m in np.unique(lengths[lengths > 1]).tolist():
-            for a, b in pairs(size, part, most, end, firsts[lengths == m], m):
-                if len(a):
-                    x, y = np.where(k1[a] < k1[b], a, b), np.where(k1[a] < k1[b], b, a)
-                    yield pa.RecordBatch.from_arrays([pa.array(k1[x]), pa.array(k1[y]), pa.array(size[x]), pa.array(size[y])], names=["a", "b", "na", "nb"])
+        tokens = table.column("tokens").combine_chunks()
+        counts = np.diff(tokens.offsets.to_numpy())
+        known, place = np.unique(tokens.flatten().to_numpy(), return_inverse=True)
+        has = np.zeros((len(counts), len(known)), dtype=np.float32)
+        has[np.repeat(np.arange(len(counts)), counts), place] = 1
+        before = has[:, known < rows["token"][0]]
+        rest = -(-threshold * rows["size"].astype(np.int64) // 100) - 1
+        for lo in range(0, len(counts), 256):
+            hi = min(lo + 256, len(counts))
+            shared, earlier = has[lo:hi] @ has[lo:].T, before[lo:hi] @ before[lo:].T
+            i, j = np.nonzero(np.triu(earlier == 0, 1))
+            a, b = i + lo, j + lo
+            keep = _fits(rows, a, b, threshold)
+            a, b, c = a[keep], b[keep], shared[i[keep], j[keep]].astype(np.int64)
+            first = np.where(rows["end"][a] < rows["end"][b], rest[a], np.where(rows["end"][a] > rows["end"][b], rest[b], np.maximum(rest[a], rest[b])))
+            enough = c + np.minimum(rows["others"][a], rows["others"][b]) + first >= needed(rows["size"][a].astype(np.int64), rows["size"][b].astype(np.int64), threshold)
+            if enough.any():
+                yield _pairs(rows, a[enough], b[enough], c[enough])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            own = [column(batch, c).to_numpy() for c in ("token", "k1", "size", "part", "most", "end")]
-            # the last token may go on in the next batch
-            cut = int(np.searchsorted(own[0], own[0][-1], side="left"))
-            if cut:
-                held.append([x[:cut] for x in own])
-                yield from emit(held)
-                held = []
-            held.append([x[cut:] for x in own])
-        if held:
-            yield from emit(held)
+        for table in _lists(batches, names):
+            token = table.column("token").to_numpy()
+            firsts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            for lo, hi in zip(firsts.tolist(), [*firsts[1:].tolist(), len(token)], strict=True):
+                yield from of(table.slice(lo, hi - lo))
 
-    sorted_lists = lists.repartition("token").sortWithinPartitions("token", "k1")
-    return sorted_lists.select("token", "k1", "size", "part", "most", "end").mapInArrow(run, "a long, b long, na int, nb int")
+    return lists.repartition("token").sortWithinPartitions("token", "k1").select(*names).mapInArrow(run, _PAIRS)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """(``k1``, ``set``: ascending hashes) of leaders' texts.
+    """(``k1``, ``a``, ``salt``, ``set``: ascending hashes) of leaders' texts.
 
     Rows whose text has another set (an id that occurs twice) are left out.
     """
+    names = ["k1", "a", "salt", "set"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             grams, counts = sets_of(column(batch, "text"), n)
-            out = pa.RecordBatch.from_arrays([column(batch, "k1"), binaries(grams, counts)], names=["k1", "set"])
+            out = pa.RecordBatch.from_arrays([*(column(batch, c) for c in names[:3]), binaries(grams, counts)], names=names)
             yield out.filter(pa.array(column(batch, "k1").to_numpy() == _class_keys(grams, counts)))
 
-    return docs.select("k1", "text").mapInArrow(run, "k1 long, set binary")
+    return docs.select(*names[:3], "text").mapInArrow(run, "k1 long, a long, salt int, set binary")
 
 
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
@@ -339,7 +383,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, n: int, thres
     dealt = pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
     dealt = scratch.save(dealt)
     need = dealt.select(F.col("b").alias("k1"), "a", "salt").union(dealt.select(F.col("a").alias("k1"), "a", "salt").distinct())
-    wanted = need.select("k1").distinct().join(named, "k1").select(F.col("leader").alias("id"), "k1")
+    wanted = need.join(named, "k1").select(F.col("leader").alias("id"), "k1", "a", "salt")
     sets = _sets(join_few(rows, wanted, ["id"]), n)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -348,7 +392,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, n: int, thres
         found = [k for k, x in zip(names, own, strict=True) if k != hub and hub in names and linked(own[names.index(hub)], x, threshold)]
         return pa.table({"a": pa.array([hub] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
-    return sets.join(need, "k1").groupBy("a", "salt").applyInArrow(run, "a long, b long").distinct()
+    return sets.groupBy("a", "salt").applyInArrow(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -384,9 +428,16 @@ def _join(docs: DataFrame, n: int, threshold: int, id_column: str, text_column:
     known = lists.groupBy("k1").agg(shared, end, F.first("size").alias("size"))
     known = known.join(parts.withColumnsRenamed({"node": "k1", "component": "part"}), "k1", "left")
     most = F.floor((threshold * F.col("size") + 99) / 100) - 1 + F.col("shared")
-    known = known.select("k1", F.coalesce("part", "k1").alias("part"), most.cast("int").alias("most"), "end")
-    whole = lists.where("not alone").drop("end").join(known, "k1")
-    met = _met(whole, threshold).groupBy("a", "b").agg(F.count("*").alias("n"), F.first("na").cast("long").alias("na"), F.first("nb").cast("long").alias("nb"))
+    known = known.select("k1", F.coalesce("part", "k1").alias("part"), most.cast("int").alias("most"), "end", "shared")
+    common = lists.where("not alone")
+    long = common.groupBy("token").count().where(f"count > {LONG}").select("token")
+    whole = common.drop("end").join(known, "k1")
+    apart = scratch.save(common.drop("end").join(long, "token").join(known, "k1"))  # the rows of long lists
+    held = apart.groupBy("k1").agg(F.collect_list("token").alias("tokens"))  # no more than a prefix has
+    apart = apart.join(held, "k1").withColumn("others", (F.col("shared") - F.size("tokens")).cast("int"))
+
+    met = _met(whole, threshold).union(_met_in_long(apart, threshold))
+    met = met.groupBy("a", "b").agg(F.sum("shared").alias("n"), F.first("na").cast("long").alias("na"), F.first("nb").cast("long").alias("nb"))
     # beyond its prefix a set has ceil(t * size) - 1 elements
     rest = F.floor((threshold * F.greatest("na", "nb") + 99) / 100) - 1
     wanted = F.floor((threshold * (F.col("na") + F.col("nb")) + 99 + threshold) / (100 + threshold))
