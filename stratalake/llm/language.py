@@ -48,7 +48,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
     A passage starts at a place that the hash of ``key`` chooses, anywhere in the text. The
     documents with the smallest hashes are taken; documents with no chance (about four times as many
-    as needed pass) don't get that far, and each task sends at most ``passages`` rows of a language.
+    as needed pass) don't get that far, and each task sends at most ``passages`` rows of a language. Languages with
+    more documents come first.
     """
     known = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in known.groupBy(lang).agg(F.count("*")).collect()}
@@ -66,7 +67,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     out: dict[str, list[tuple]] = {}
     for r in best.collect():
         out.setdefault(r["lang"], []).append((r["draw"], r["passage"]))
-    return {k: "\n".join(p for _, p in sorted(v)).encode() for k, v in sorted(out.items())}
+    ranked = sorted(out.items(), key=lambda item: (-counts[item[0]], item[0]))
+    return {k: "\n".join(p for _, p in sorted(v)).encode() for k, v in ranked}
 
 
 class Classifier:
@@ -95,8 +97,8 @@ def classify(
     """All columns (or those in ``carry``), and ``lang_pred``, ``score``, ``second`` (the runner-up) and ``rejected``.
 
     Null texts and texts without a letter get ``und`` with score 0 and are rejected; so is everything if
-    no language was learned. Ties go to the language that comes first by name, and
-    are rejected unless the text is short. Columns of the input with these names are replaced.
+    no language was learned. Ties, as very short texts have them, go to the language that comes first in
+    ``dictionaries``, and are rejected unless the text is short. Columns of the input with these names are replaced.
     """
     made = {"lang_pred": "string", "score": "double", "second": "string", "rejected": "boolean"}
     keep = [f for f in docs.schema.fields if f.name not in made and (carry is None or f.name in carry)]
