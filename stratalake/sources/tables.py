@@ -91,11 +91,16 @@ def publish_snapshot(df: DataFrame, name: str, partition: str | None = None) ->
     _insert(df.hint("rebalance", partition) if partition else df, name, "static")
 
 
+#: Partitions that one statement names.
+_DROPPED_AT_ONCE = 500
+
+
 def drop_partitions(spark: SparkSession, name: str, partition: str, values: Sequence) -> None:
     """Remove partitions with all their rows."""
-    for value in values:
-        told = "NULL" if value is None else f"'{str(value).replace(chr(39), chr(92) + chr(39))}'"
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition}` = {told})")
+    told = ["NULL" if v is None else f"'{str(v).replace(chr(39), chr(92) + chr(39))}'" for v in values]
+    for i in range(0, len(told), _DROPPED_AT_ONCE):
+        named = ", ".join(f"PARTITION (`{partition}` = {v})" for v in told[i : i + _DROPPED_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {named}")
 
 
 def overwrite_partitions_at(df: DataFrame, path: str, partition: str) -> None:

@@ -480,9 +480,14 @@ def gates(spark: SparkSession, sf: str) -> DataFrame:
   FROM prices WHERE trade_date >= DATE '1998-01-01' AND trade_date < DATE '1998-03-01'""",
 )
 def rolled_back(spark: SparkSession, sf: str) -> DataFrame:
-    """Three runs of the commodity job, the last rolled back: the fact is that of the second, with the first descriptions."""
+    """The dates that the SQL names, of the whole fact that the roll back leaves."""
+    return rolled_back_fact(spark, sf).where("trade_date >= '1998-01-01' AND trade_date < '1998-03-01'")
+
+
+def rolled_back_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs of the commodity job over all prices, the last rolled back: the fact is that of the second, with the first descriptions."""
     spec, layers = DATASETS["commodity_prices"], _own_layers(spark, "job_roll_back")
-    lines = prices(spark, sf).where("trade_date >= date'1998-01-01' AND trade_date < date'1998-04-01'").select(
+    lines = prices(spark, sf).select(
         "commodity", "symbol", "interval", F.col("trade_date").cast("string").alias("date"), "value", "unit",
         F.lit("alphavantage").alias("source"), F.lit("commodity_prices").alias("dataset"),
         F.lit("/query").alias("request_url"), F.lit(INGESTED).alias("received_at"),
