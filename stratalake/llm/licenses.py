@@ -12,6 +12,10 @@ form one candidate; each candidate is aligned (edits of words, within the band),
 matched words and the span of the document that they lie in. Several occurrences of one template in
 one document are several rows. Fingerprints that many templates share vote for each of them.
 
+Some licenses differ from others by a word or two. Such words (``TELLING``, and the version where it is part of the
+license's name) are not subject to the coverage: a span that has one the template doesn't have, or lacks one that it
+has, is no occurrence.
+
 Null, empty and wordless texts have no rows. Repeated rows are scanned as they are.
 """
 
@@ -56,8 +60,22 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "LGPL": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "AGPL": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
     "CC-BY-NC": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-short": "Licensed under CC BY 4.0.",
     "CC-BY": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
@@ -71,6 +89,14 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: By names of templates: words that tell these licenses from others with nearly the same words.
+TELLING = (
+    (("CC-",), "nc nd sa noncommercial commercial noderivatives noderivs derivatives derivs sharealike alike"),
+    (("GPL", "LGPL", "AGPL"), "lesser library affero"),
+)
+#: Templates whose name has the version that their digits are; others take any digits.
+VERSIONED = ("Apache-2.0-header", "MPL-2.0")
+
 _KEEP = np.full(256, 0x20, dtype=np.uint8)
 for _b in b"0123456789abcdefghijklmnopqrstuvwxyz":
     _KEEP[_b] = _b
@@ -78,12 +104,13 @@ for _b in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ":
     _KEEP[_b] = _b + 32
 
 
-def tokens(texts: pa.Array) -> words.Words:
-    """Words of letters and digits of all texts, with their byte places; each digit reads as 0."""
+def tokens(texts: pa.Array, versions: bool = False) -> words.Words:
+    """Words of letters and digits of all texts, with their byte places; each digit reads as 0, except with ``versions``."""
     data, starts = words.text_bytes(texts)
     plain = _KEEP[data]
     digit = (plain >= 0x30) & (plain <= 0x39)
-    plain[digit] = 0x30
+    if not versions:
+        plain[digit] = 0x30
     column_ = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(np.ascontiguousarray(starts)), pa.py_buffer(plain)])
     return words.words_of(column_)
 
@@ -111,6 +138,15 @@ def fingerprints(hashes: np.ndarray, first: np.ndarray, gram: int = GRAM, span:
 class Template:
     name: str
     hashes: np.ndarray
+    telling: np.ndarray  # ascending hashes of the words that its spans must share with it
+    own: np.ndarray  # those of them that it has
+    digits: np.ndarray | None  # hashes of its words, digits as they are, where the version counts
+
+    def is_it(self, folded: np.ndarray, plain: np.ndarray, number: np.ndarray) -> bool:
+        """Whether a span's telling words (and numbers, ``plain`` where ``number``) are those of the template."""
+        if len(self.telling) and not np.array_equal(np.unique(folded[np.isin(folded, self.telling)]), self.own):
+            return False
+        return self.digits is None or bool(np.isin(plain[number], self.digits).all())
 
 
 class Index:
@@ -120,7 +156,14 @@ class Index:
         names = sorted(templates)
         found = tokens(pa.array([templates[n] for n in names], pa.string()))
         self.gram, self.span = gram, span
-        self.templates = [Template(n, found.hash[found.first[i] : found.first[i + 1]]) for i, n in enumerate(names)]
+        plain = tokens(pa.array([templates[n] for n in names], pa.string()), versions=True)
+        self.templates = []
+        for i, n in enumerate(names):
+            lo, hi = found.first[i], found.first[i + 1]
+            told = " ".join(w for names_, w in TELLING if n.startswith(names_))
+            telling = np.unique(tokens(pa.array([told], pa.string())).hash)
+            own = np.intersect1d(telling, found.hash[lo:hi])
+            self.templates.append(Template(n, found.hash[lo:hi], telling, own, plain.hash[lo:hi] if n in VERSIONED else None))
         prints = [fingerprints(t.hashes, np.array([0, len(t.hashes)]), gram, span) for t in self.templates]
         values = np.concatenate([v for _, v in prints])
         owner = np.repeat(np.arange(len(names)), [len(v) for _, v in prints])
@@ -200,11 +243,17 @@ def scan(
         index = Index(chosen)
         for batch in text_slices(batches, text_column):
             found = tokens(column(batch, text_column))
-            starts = words.text_bytes(column(batch, text_column))[1]
+            plain = tokens(column(batch, text_column), versions=True).hash
+            raw, starts = words.text_bytes(column(batch, text_column))
             places, values = fingerprints(found.hash, found.first, index.gram, index.span)
             owner, place, other = index.votes(places, values)
             text = np.searchsorted(found.first, place, side="right") - 1
             rows: dict[str, list] = {n: [] for n in schema.names}
+
+            def told(t: int, b: int, e: int) -> bool:
+                lead = raw[found.begin[b:e]]
+                return index.templates[t].is_it(found.hash[b:e], plain[b:e], (lead >= 0x30) & (lead <= 0x39))
+
             for i in np.unique(text).tolist():
                 own = text == i
                 lo, hi = int(found.first[i]), int(found.first[i + 1])
@@ -213,7 +262,7 @@ def scan(
                 for t, diagonal in candidates(owner[own], place[own] - lo, other[own], [len(x.hashes) for x in index.templates], band):
                     template = index.templates[t].hashes
                     matched, b, e = align(document, template, diagonal, band)
-                    if matched and matched >= coverage * len(template):
+                    if matched and matched >= coverage * len(template) and told(t, lo + b, lo + e):
                         kept.setdefault(t, []).append((-matched, b, e))
                 for t, spans in sorted(kept.items()):
                     taken: list[tuple[int, int]] = []

@@ -31,6 +31,40 @@ def test_numbers_match(spark):
     assert [x[1] for x in scan(spark, ["Licensed under the Apache License, Version 1.1."])] == ["Apache-2.0"]
 
 
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC"]),
+        ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA"]),
+        ("Licensed under CC BY 4.0.", ["CC-BY-short"]),
+        ("This work is licensed under the GNU General Public License, version 3.", ["GPL"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL"]),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL"]),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ["MPL-2.0"]),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", []),
+        (licenses.TEMPLATES["LGPL-header"], ["LGPL-header"]),
+        (licenses.TEMPLATES["GPL-header"], ["GPL-header"]),
+    ],
+)
+def test_exact_labels(spark, text, names):
+    assert [x[1] for x in scan(spark, [f"before it {text} after it"])] == names
+
+
+def test_query_labels_exactly(spark, documents):
+    """A text whose only word of licenses is one known notice has that label and no other."""
+    found = {}
+    for r in QUERIES["op6_license_scan"](spark, SMALL).collect():
+        found.setdefault(r["doc_id"], set()).add(r["license"])
+    n = 0
+    for doc_id, text in zip(documents["doc_id"].to_pylist(), documents["text"].to_pylist(), strict=True):
+        planted = NOTICE.findall(text or "")
+        if planted and len(re.findall("licen|software", text, re.I)) == len(re.findall("licen", " ".join(planted), re.I)):
+            n += 1
+            assert found[doc_id] == {next(v for k, v in NAMES.items() if m.startswith(k)) for m in planted}
+    assert n > 0
+
+
 def test_several_occurrences(spark):
     rng = random.Random(1)
     filler = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
