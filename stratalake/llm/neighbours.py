@@ -3,7 +3,8 @@
 Codes. On a bounded sample, rotations are learned that lose least when each coordinate is replaced by
 its sign (iterative quantisation); ``bits`` signs, from as many rotations as that takes, make
 the code. For the largest inner product, a vector first gets one more coordinate that gives all
-vectors the same length, so that nearness of direction is nearness by inner product.
+vectors of a range of similar lengths the same length, so that nearness of direction is nearness by inner product.
+Each range is searched for itself, so a few long vectors don't shorten the others; a range of few rows is compared whole.
 
 Search. Codes are split into eight-bit substrings, each with a table from value to (a bitmap of) rows. Within radius
 ``r`` of a query, by the pigeonhole principle, at least one substring differs in few bits:
@@ -27,12 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Bits of a code, radius of the first search, by how much it grows, how many codes per wanted row are enough; rows that the rotations are learned from, size of the blocks.
+#: Bits of a code, radius of the first search, by how much it grows, how many codes per wanted row are enough; rows that the rotations are learned from, ranges of lengths between a length and its double, size of the blocks.
 BITS = 128
 RADIUS = 56
 STEP = 4
 ENOUGH = 10
 SAMPLE = 4096
+RANGES = 4
 ROUNDS = 20
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
@@ -62,6 +64,25 @@ def rotations(sample: np.ndarray, bits: int, rounds: int = ROUNDS, seed: int = 1
     return np.concatenate(made, axis=1)[:, :bits]
 
 
+def ranges(length: np.ndarray) -> list[np.ndarray]:
+    """Places of the vectors of each range of lengths (a range's longest is at most ``2 ** (1 / RANGES)`` times its shortest)."""
+    step = np.rint(np.log2(length) * RANGES)
+    order = np.argsort(step, kind="stable")
+    return [np.sort(x) for x in np.split(order, np.flatnonzero(np.diff(step[order])) + 1)]
+
+
+def lifted(x: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Vectors of one range with one more coordinate, all of length 1."""
+    share = length / length.max()
+    return np.concatenate([x / length.max(), np.sqrt(np.maximum(1 - share * share, 0.0))[:, None]], axis=1)
+
+
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Lengths of vectors that are not all zero; neither very large nor very small components are lost."""
+    top = np.abs(x).max(axis=1)
+    return top * np.sqrt(((x / top[:, None]) ** 2).sum(axis=1))
+
+
 def codes(vectors: np.ndarray, turn: np.ndarray) -> np.ndarray:
     """One row of bytes per vector."""
     return np.packbits(vectors @ turn >= 0, axis=1)
@@ -125,8 +146,7 @@ def search(
         return df.where(usable(vector) & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
 
     rows, queries = narrow(rows), narrow(queries)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    told = rows.agg(F.count("*").alias("n"), F.max(norm).alias("length")).first()
+    told = rows.agg(F.count("*").alias("n")).first()
     asked = queries.count()
     drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()  # a bounded sample, for the rotations only
     result = "query_id long, rank int, " + f"`{id_column}` long, score double"
@@ -134,13 +154,9 @@ def search(
         return rows.sparkSession.createDataFrame([], result)
     sizes = [len(r["v"]) for r in drawn]
     dims = max(set(sizes), key=lambda d: (sizes.count(d), -d))
-    longest = float(told["length"])
-
-    def lifted(x: np.ndarray) -> np.ndarray:
-        rest = np.maximum(longest * longest - (x * x).sum(axis=1), 0.0)
-        return np.concatenate([x, np.sqrt(rest)[:, None]], axis=1)
-
-    turn = rotations(lifted(np.array([r["v"] for r in drawn if len(r["v"]) == dims])), bits)
+    taken = np.array([r["v"] for r in drawn if len(r["v"]) == dims])
+    length = lengths(taken)
+    turn = rotations(np.concatenate([lifted(taken[own], length[own]) for own in ranges(length)]), bits)
     row_blocks, query_blocks = -(-told["n"] // block_rows), -(-asked // block_queries)
     ok = F.size("v") == dims
     left = rows.where(ok).withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(row_blocks))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
@@ -157,16 +173,24 @@ def search(
         ids, x = matrix(own)
         names, q = matrix(asks)
         zero = np.zeros((len(q), 1))
-        tables, q_codes = Tables(codes(lifted(x), turn)), codes(np.concatenate([q, zero], axis=1), turn)
-        out_q, out_i, out_s = [], [], []
-        for i in range(len(q)):
+        length = lengths(x)
+        parts = [(own, Tables(codes(lifted(x[own], length[own]), turn)) if len(own) > ENOUGH * k else None) for own in ranges(length)]
+        q_codes = codes(np.concatenate([q, zero], axis=1), turn)
+
+        def met_in(places: np.ndarray, tables: Tables | None, i: int) -> np.ndarray:
             reach = radius
-            while True:
-                found = tables.within(q_codes[i], reach)
+            others = places[ids[places] != names[i]]
+            while tables is not None:
+                found = places[tables.within(q_codes[i], reach)]
                 found = found[ids[found] != names[i]]
-                if len(found) >= min(ENOUGH * k, len(ids) - 1) or reach >= bits:
-                    break
+                if len(found) >= min(ENOUGH * k, len(others)) or reach >= bits:
+                    return found
                 reach = min(bits, reach + STEP) if len(found) else bits
+            return others
+
+        out_q, out_i, out_s = [], [], []
+        for i in range(len(q)):
+            found = np.sort(np.concatenate([met_in(places, tables, i) for places, tables in parts]))
             score = x[found] @ q[i]
             if len(found) > k:
                 edge = np.partition(score, len(score) - k)[len(score) - k]

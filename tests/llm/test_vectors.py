@@ -176,3 +176,23 @@ def test_estimates_are_unbiased_and_bounded():
 
 def test_usable(odd_vectors):
     assert sorted(r["vec_id"] for r in odd_vectors.where(neighbours.usable("embedding") & F.col("vec_id").isNotNull()).collect()) == [7, 8, 9, 9, 10, 11, 12]
+
+
+@pytest.mark.parametrize("every, times", [(2000, 2.0), (100, 2.0), (2000, 50.0)])
+def test_recall_with_long_vectors(spark, every, times):
+    """A few long vectors don't cost the others their neighbours."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").toPandas()
+    x = np.stack(table["embedding"].to_numpy()).astype(float)
+    x[::every] *= times
+    ids = table["vec_id"].to_numpy()
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(rows, rows.where("vec_id % 20 = 0"), k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = []
+    for at in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[at]
+        score[at] = -np.inf
+        hits.append(len(set(ids[np.argsort(-score)[:20]].tolist()) & got[int(ids[at])]) / 20)
+    print("recall", every, times, np.mean(hits))
+    assert np.mean(hits) >= 0.9
