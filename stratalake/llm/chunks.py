@@ -13,8 +13,6 @@ only, and the rest is gathered with numpy. Chunks are told apart by 64-bit hashe
 
 from __future__ import annotations
 
-from itertools import repeat
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,8 +24,8 @@ from .store import spread
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[0x21:0x7F] = 1
 _KIND[[*range(65, 91), *range(97, 123)]] = 3
-#: A process forgets its chunks beyond so many, which bounds its memory.
-MOST_CHUNKS = 1_500_000
+#: A process forgets its chunks when they take more bytes than this; one slice of texts may come on top.
+MOST_BYTES = 32 << 20
 
 
 def cut(data: np.ndarray, starts: np.ndarray, whole: tuple[bytes, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,33 +66,44 @@ _BYTE_LEVEL = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not
 
 
 class ChunkEncoder:
-    """Ids of texts through ``encode_chunks``, which gets a list of (string, opens a text) pairs."""
+    """Ids of texts through ``encode_chunks``, which gets a list of (string, opens a text) pairs.
+
+    What was learned lies in arrays sorted by the chunks' hashes: some 30 bytes a chunk. Beyond ``MOST_BYTES`` all is forgotten.
+    """
 
     def __init__(self, encode_chunks, first_differs: bool, whole: tuple[bytes, ...] = ()):
         self.encode_chunks, self.first_differs, self.whole = encode_chunks, first_differs, whole
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
-        self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.count = np.zeros(1 << 14, dtype=np.int64)
-
-    def _learn(self, keys: list[int], texts: list[tuple[str, bool]]) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.start = np.zeros(0, dtype=np.uint32)
+        self.count = np.zeros(0, dtype=np.uint32)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def held(self) -> int:
+        """Bytes of what was learned."""
+        return self.keys.nbytes + self.start.nbytes + self.count.nbytes + self.ids.nbytes
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key lies among the known ones, -1 if it doesn't."""
+        if len(self.keys) == 0:
+            return np.full(len(keys), -1, dtype=np.int64)
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def _learn(self, keys: np.ndarray, texts: list[tuple[str, bool]]) -> None:
         got = self.encode_chunks(texts)
-        n = len(self.known)
         lengths = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
         flat = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(lengths.sum()))
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(got) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.start[n : n + len(got)] = self.used + np.cumsum(lengths) - lengths
-        self.count[n : n + len(got)] = lengths
-        self.used += len(flat)
-        self.known.update(zip(keys, range(n, n + len(got)), strict=True))
+        starts = len(self.ids) + np.cumsum(lengths) - lengths
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.start = np.insert(self.start, at, starts[order].astype(np.uint32))
+        self.count = np.insert(self.count, at, lengths[order].astype(np.uint32))
+        self.ids = np.concatenate([self.ids, flat])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and the number of ids of each text; null counts as empty."""
@@ -109,23 +118,21 @@ class ChunkEncoder:
         if self.first_differs:
             keys = np.where(opens, words.mix(keys + np.uint64(1)), keys)
         codes, unique = pd.factorize(keys)
-        if len(self.known) + len(unique) > MOST_CHUNKS:
-            self._forget()
-        where = np.empty(len(unique), dtype=np.int64)
-        where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        named = unique.tolist()
-        place = np.fromiter(map(self.known.get, named, repeat(-1)), dtype=np.int64, count=len(named))
+        place = self._place(unique)
         new = np.flatnonzero(place < 0)
         if len(new):
-            raw = data.tobytes()
+            if self.held() > MOST_BYTES:
+                self._forget()
+                new = np.arange(len(unique))
+            where = np.empty(len(unique), dtype=np.int64)
+            where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
             at = where[new]
-            chunks = [(raw[b:e].decode("utf-8"), o) for b, e, o in zip(begin[at].tolist(), end[at].tolist(), opens[at].tolist(), strict=True)]
-            known = len(self.known)
-            self._learn([named[i] for i in new.tolist()], chunks)
-            place[new] = np.arange(known, known + len(new))
+            raw = data.tobytes()
+            self._learn(unique[new], [(raw[b:e].decode("utf-8"), o) for b, e, o in zip(begin[at].tolist(), end[at].tolist(), opens[at].tolist(), strict=True)])
+            place = self._place(unique)
         slot = place[codes]
-        counts = self.count[slot]
-        ids = self.ids[spread(self.start[slot], counts)]
+        counts = self.count[slot].astype(np.int64)
+        ids = self.ids[spread(self.start[slot].astype(np.int64), counts)]
         return ids, np.bincount(text, weights=counts, minlength=n).astype(np.int64)
 
 
