@@ -10,8 +10,9 @@ compressor itself, so long texts are judged as short ones are.
 ``score`` is the share of the chosen language when lengths are read as probabilities:
 ``1 / sum(2 ** -(bytes - least))`` over the languages. A document is rejected where nothing can
 be told (no text, no letter), or where the runner-up needs hardly more bytes:
-``(second - least) < margin * least``; texts with fewer than ``judged`` bytes of letters are too short to
-be rejected for that.
+``second - least <= margin * least``. One rule holds for every length, so a tie is always rejected.
+
+Repeated rows get the same answer each; long texts are judged whole, block by block.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ PASSAGE_CHARS = 256
 BLOCK = 2048
 LEVEL = 6
 MARGIN = 0.005
-JUDGED = 400
 UNKNOWN = "und"
 
 
@@ -92,13 +92,13 @@ class Classifier:
 
 
 def classify(
-    docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", margin: float = MARGIN, judged: int = JUDGED, level: int = LEVEL, block: int = BLOCK, carry: list[str] | None = None
+    docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", margin: float = MARGIN, level: int = LEVEL, block: int = BLOCK, carry: list[str] | None = None
 ) -> DataFrame:
     """All columns (or those in ``carry``), and ``lang_pred``, ``score``, ``second`` (the runner-up) and ``rejected``.
 
     Null texts and texts without a letter get ``und`` with score 0 and are rejected; so is everything if
-    no language was learned. Ties, as very short texts have them, go to the language that comes first in
-    ``dictionaries``, and are rejected unless the text is short. Columns of the input with these names are replaced.
+    no language was learned. Ties, as very short texts have them, name the language that comes first in
+    ``dictionaries`` and are rejected. Columns of the input with these names are replaced.
     """
     made = {"lang_pred": "string", "score": "double", "second": "string", "rejected": "boolean"}
     keep = [f for f in docs.schema.fields if f.name not in made and (carry is None or f.name in carry)]
@@ -123,7 +123,7 @@ def classify(
                 least = sizes[best]
                 score = 1.0 / float(np.sum(np.exp2(-np.minimum(np.array(sizes) - least, 1000.0))))
                 second = sizes[rest[0]] if rest else None
-                narrow = second is not None and hi - lo >= judged and second - least < margin * least
+                narrow = second is not None and second - least <= margin * least
                 out.append((own.languages[best], score, own.languages[rest[0]] if rest else None, narrow))
             made_columns = {n: pa.array([x[i] for x in out], t) for i, (n, t) in enumerate(zip(made, (pa.string(), pa.float64(), pa.string(), pa.bool_()), strict=True))}
             yield with_columns(batch, names, made_columns)

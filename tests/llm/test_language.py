@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from stratalake.llm import language
@@ -61,10 +62,41 @@ def test_narrow_margins_are_rejected(spark, two):
     docs = spark.createDataFrame([(1, two["a"].decode()[:900], "x"), (2, mixed, "x"), (3, "fox", "x"), (4, "igel", "x")], "doc_id int, text string, score string")
     rows = {r["doc_id"]: r for r in language.classify(docs, two, margin=0.5).collect()}
     assert (rows[1]["lang_pred"], rows[1]["rejected"], rows[1]["second"]) == ("a", False, "b")
-    assert rows[2]["rejected"] and not rows[3]["rejected"]
+    assert rows[2]["rejected"]
     assert isinstance(rows[1]["score"], float) and "text" in rows[1].asDict()
 
 
+def test_ties_are_rejected_at_any_length(spark, two):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(("q", "qq zz", "xyzzy " * 500, "the quick brown fox jumps over", "igel laufen durch den wald"))], "doc_id int, text string")
+    same = {"a": two["a"], "c": two["a"]}
+    assert {r["rejected"] for r in language.classify(docs, same).collect()} == {True}
+    told = {r["doc_id"]: (r["lang_pred"], r["rejected"]) for r in language.classify(docs, two).collect()}
+    assert told[3] == ("a", False) and told[4] == ("b", False)
+
+
+def test_against_one_compression_a_block(spark, odd):
+    """Sizes, choice, runner-up, score and rejection of every document, recomputed one by one."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text", "lang")
+    learned = language.fit(docs)
+    docs = docs.unionByName(odd.select("doc_id", "text", "lang"))
+    rows = language.classify(docs.withColumn("plain", language.letters("text")), learned).collect()
+    assert len(rows) == docs.count()
+    kept = {k: zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for k, v in learned.items()}
+    for r in rows:
+        raw = r["plain"].encode()
+        if not raw.strip():
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        sizes = {}
+        for name, dictionary in kept.items():
+            coder = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[name] = sum(len(coder.compress(raw[at : at + language.BLOCK])) for at in range(0, len(raw), language.BLOCK))
+        (first, least), (second, more), *_ = sorted(sizes.items(), key=lambda item: item[1])
+        assert (r["lang_pred"], r["second"]) == (first, second)
+        assert r["rejected"] == (more - least <= language.MARGIN * least)
+        assert r["score"] == pytest.approx(1 / sum(2.0 ** (least - s) for s in sizes.values()))
+
+
 def test_no_language_learned(spark, odd):
     assert language.fit(odd.withColumn("lang", F.lit(None).cast("string"))) == {}
     rows = language.classify(odd, {}).collect()
