@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.session import scratch_path
 
-from . import language, licenses, neighbours, ngram_join, packing, pieces, repeats, sharding, similar_vectors, token_file
+from . import centroids, language, licenses, neighbours, ngram_join, packing, pieces, quality_model, repeats, sharding, similar_vectors, token_file
 from .store import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,28 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.x = d.doc_id"""
 }
 
 
+def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    """The clustering query unrolled: one pair of steps a round."""
+    steps = [
+        r"""v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS c, q FROM v ORDER BY sha256('1:' || vec_id), q LIMIT {k})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, best % {k} AS cluster, best // {k} AS distance FROM (
+      SELECT r, min(CAST(list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * {k} + c) AS best FROM v, c{i} c GROUP BY r))""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS q FROM (
+      SELECT cluster, pos, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(q) AS x, unnest(range(1, 65)) AS pos FROM a{i} JOIN v USING (r)) GROUP BY cluster, pos) GROUP BY cluster) m ON m.cluster = c.c)""")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} ON c{rounds}.c = cluster"""
+
+
+ORACLE["op11_simplex_clusters"] = _clusters_sql()
+
+
 def query(fn):
     """Register a query; its SQL, where there is one, is that of the same name in ``ORACLE``."""
 
@@ -139,3 +161,16 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    weights = quality_model.train(docs, table(spark, sf_dir, "labels").where(~language.held_out()))
+    scored = quality_model.score(docs, weights, carry=["doc_id"])
+    return scored.select("doc_id", language.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
