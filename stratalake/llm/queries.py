@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.session import scratch_path
 
-from . import centroids, language, licenses, neighbours, ngram_join, packing, pieces, quality_model, repeats, sharding, similar_vectors, token_file
+from . import centroids, language, licenses, neighbours, ngram_join, packing, pieces, prefix_trie, quality_model, repeats, sharding, similar_vectors, token_file
 from .store import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,30 @@ FROM a{rounds} JOIN v USING (r) JOIN c{rounds} ON c{rounds}.c = cluster"""
 
 ORACLE["op11_simplex_clusters"] = _clusters_sql()
 
+ORACLE["op13_prefix_trie"] = r"""WITH RECURSIVE
+src AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos,
+        coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+len AS (SELECT c, count(*) AS n FROM src GROUP BY c),
+crc(c, s, i, v) AS (SELECT c, CAST(c AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM len
+  UNION ALL SELECT c, s, i + 1, CASE WHEN (u & 1) = 1 THEN xor(u >> 1, CAST(3988292384 AS BIGINT)) ELSE u >> 1 END
+  FROM (SELECT c, s, i, CASE WHEN i % 8 = 0 THEN xor(v, CAST(ascii(s[i // 8 + 1]) AS BIGINT)) ELSE v END AS u FROM crc WHERE i < 8 * length(s))),
+head AS (SELECT c, xor(v, CAST(4294967295 AS BIGINT)) % 9 AS h FROM crc WHERE i = 8 * length(s)),
+conv AS (SELECT len.c AS c, h, len.c - len.c % 5 AS base, least(h, coalesce(b.n, 0)) AS kept FROM len JOIN head ON head.c = len.c LEFT JOIN len b ON b.c = len.c - len.c % 5),
+turns AS (SELECT conv.c AS c, s.pos AS d, s.role, s.text FROM conv JOIN src s ON s.c = base AND s.pos <= kept
+  UNION ALL SELECT conv.c, s.pos - h + kept, s.role, s.text FROM conv JOIN src s ON s.c = conv.c AND s.pos > h),
+path AS (SELECT c, d, string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS p, octet_length(encode(text)) AS size FROM turns
+  UNION ALL SELECT c, 0, '', 0 FROM conv),
+node AS (SELECT p, d, min(c) AS conv, count(*) AS n, max(size) AS size FROM path GROUP BY p, d),
+last AS (SELECT c, max(d) AS d FROM path GROUP BY c),
+ends AS (SELECT p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS e FROM path JOIN last USING (c, d) GROUP BY p),
+link AS (SELECT node.p, node.d, node.conv, n, node.size, u.p AS up FROM node LEFT JOIN path u ON u.c = node.conv AND u.d = node.d - 1),
+kids AS (SELECT up AS p, count(*) AS k FROM link WHERE up IS NOT NULL GROUP BY up),
+sub AS (SELECT a.p, sum((n - 1) * v.size) AS saved, count(*) FILTER (WHERE k IS NULL) AS leaves
+  FROM link v LEFT JOIN kids ON kids.p = v.p JOIN path a ON a.c = v.conv AND a.d <= v.d GROUP BY a.p)
+SELECT link.conv AS conv_id, link.d AS depth, parent.conv AS parent_conv_id, link.n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, coalesce(e, sha256('')) AS ends_sha256
+FROM link LEFT JOIN node parent ON parent.p = link.up LEFT JOIN kids ON kids.p = link.p JOIN sub ON sub.p = link.p LEFT JOIN ends ON ends.p = link.p"""
+
 
 def query(fn):
     """Register a query; its SQL, where there is one, is that of the same name in ``ORACLE``."""
@@ -174,3 +198,8 @@ def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality_model.train(docs, table(spark, sf_dir, "labels").where(~language.held_out()))
     scored = quality_model.score(docs, weights, carry=["doc_id"])
     return scored.select("doc_id", language.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefixes(table(spark, sf_dir, "conversations"))

@@ -22,6 +22,6 @@ def test_sql(spark, con, name):
 
 
 def test_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in queries()) == 1
     assert "pipeline" in queries() and set(oracle_sql()) <= set(queries())
