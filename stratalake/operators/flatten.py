@@ -2,17 +2,18 @@
 
 Every function takes one row per response: ``payload`` (JSON text),
 ``request_url``, ``received_at`` and the request parameters named in its
-docstring. A payload is parsed once, its elements are found by type, and each
-is converted by itself: an element of an unexpected kind costs that element and
-nothing else. Fields of the response head are repeated on each row.
+docstring. A payload is read once, for the few members of its head that each row repeats and for the text of its data
+part. That text is taken apart level by level by generators, which hand out one element after the other: an element carries its own text and the
+typed head, never the payload, so memory and work are those of the payload, however many elements it has.
+An element of an unexpected kind costs that element and nothing else.
 
 Whatever gives no row is in ``rejected``: responses that are no JSON, report an
 error, did not succeed or lack their data part, and elements that are not what
 the format has there, each with its place and its text. An empty list is a
 valid response without rows.
 
-The parser refuses objects that name a member twice, and payloads beyond its
-size limit (16 MB); both are rejected as "not json".
+Of a member that an object names twice the last counts (of the data maps, each is a row); a text that holds a JSON object itself
+counts as that object.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import cast_or_null, double_or_default, text_to_double, utc_iso
-from ..functions.payload import classify, soft_error
+from ..functions.payload import ERROR_MEMBERS, classify, soft_error
 
-# an element on its way down: where it is, the member names on the way, the value, why it is unusable
-_NODE = "struct<path:string,keys:array<string>,item:variant,reason:string>"
+_OBJECT, _LIST = "map<string,string>", "array<string>"
+_KIND = {_OBJECT: "not an object", _LIST: "not a list"}
+_UNREAD = "_unread"
 
 
 def _envelope(source: str, dataset: str | Column) -> list[Column]:
@@ -40,116 +42,120 @@ def _envelope(source: str, dataset: str | Column) -> list[Column]:
     ]
 
 
-def _get(value: Column, path: str, dtype: str = "string") -> Column:
-    return F.try_variant_get(value, path, dtype)
+def _text(name: str) -> Column:
+    """A member of the element as text."""
+    return F.col("_fields")[name]
 
 
-def _text(name: str, of: str = "item") -> Column:
-    """A member of the element (or of the response, ``b``) as text."""
-    return _get(F.col(of), f"$['{name}']")
+def _number(name: str) -> Column:
+    return text_to_double(_text(name)).alias(name)
 
 
-def _number(name: str, alias: str, of: str = "item") -> Column:
-    return text_to_double(_text(name, of)).alias(alias)
+def _with_fields(elements: DataFrame, *names: str) -> DataFrame:
+    """The named members of each element, read in one go."""
+    return elements.withColumn("_fields", F.from_json("item", ", ".join(f"`{n}` string" for n in names)))
 
 
-def _node(path: Column, keys: Column, item: Column, reason: Column | None = None) -> Column:
-    reason = F.lit(None).cast("string") if reason is None else reason
-    return F.struct(path.alias("path"), keys.alias("keys"), item.alias("item"), reason.alias("reason"))
+def _not_json(text: Column | str) -> Column:
+    return F.try_parse_json(text).isNull()
 
 
-def _root(item: Column, path: str = "$") -> Column:
-    """The data part as the only node, or NULL where the response has none."""
-    only = F.array(_node(F.lit(path), F.array().cast("array<string>"), item))
-    return F.when(item.isNotNull(), only)
+def _whole(raw: DataFrame, members: Sequence[str] = ()) -> tuple[DataFrame, Column, Column]:
+    """Responses with the members of their head (``_s``), whether the body is a list, and what error it reports."""
+    fields = [f"`{m}` string" for m in members] + [f"`{m}` variant" for m in ERROR_MEMBERS] + [f"`{_UNREAD}` string"]
+    listed = F.startswith(F.ltrim("payload"), F.lit("["))
+    body = F.from_json(F.when(~listed, F.col("payload")), ", ".join(fields), {"columnNameOfCorruptRecord": _UNREAD})
+    read = raw.withColumn("_s", body)
+    read = read.withColumn("_error", classify(lambda name: F.col(f"_s.{name}")))
+    error = F.when(F.col("_error.has_error"), F.concat(F.lit("error: "), F.coalesce("_error.message", F.lit(""))))
+    return read, listed, error
 
 
-def _member(name: str) -> Column:
-    return _root(_get(F.col("b"), f"$.{name}", "variant"), f"$.{name}")
+def _part(
+    raw: DataFrame, kind: str, parameters: Sequence[str] = (), name: str | None = None, item: Column | None = None,
+    members: Sequence[str] = (), heads: Sequence[Column] = (), failed: Column | None = None,
+) -> DataFrame:
+    """One row per response: its head, and the text of its data part (``item``) or what is wrong with it (``problem``).
 
-
-def _open(nodes: Column, expand: Callable[[Column], Column]) -> Column:
-    """Replace each sound node by what is in it."""
-    return F.flatten(
-        F.transform(nodes, lambda n: F.when(n["reason"].isNotNull(), F.array(n)).otherwise(expand(n)))
+    The part is the member ``name``, or ``item``, or the body itself.
+    """
+    read, listed, error = _whole(raw, [*members, *([name] if name else [])])
+    unread = F.col(f"_s.{_UNREAD}").isNotNull()
+    problem = F.when(F.col("payload").isNull(), "not json")
+    if name is None and item is None:
+        item = F.col("payload")
+        problem = problem.when(~listed & unread & _not_json("payload"), "not json").when(error.isNotNull(), error).when(~listed, _KIND[kind])
+    else:
+        item = F.col(f"_s.{name}") if item is None else item
+        problem = problem.when(listed | unread, F.when(_not_json("payload"), "not json").otherwise("no data")).when(error.isNotNull(), error)
+        if failed is not None:
+            problem = problem.when(failed.isNotNull(), failed)
+        # a JSON null is there, but is not what it should be
+        there = F.array_contains(F.json_object_keys("payload"), name) if name else F.lit(False)
+        problem = problem.when(item.isNull(), F.when(there, _KIND[kind]).otherwise("no data"))
+    found = read.select(*parameters, "request_url", "received_at", *heads, "payload", item.alias("item"), problem.alias("problem"))
+    broken = F.when(F.col("problem").isNotNull(), F.col("payload"))
+    return found.withColumns({"path": F.when(broken.isNotNull(), F.lit("$")), "broken": broken, "item": F.when(broken.isNull(), F.col("item"))}).drop("payload")
+
+
+def _level(nodes: DataFrame, kind: str, place: str, prefix: str = "") -> DataFrame:
+    """What is in each node, one after the other; ``place`` becomes the column of the member name or position.
+
+    A node that is no ``kind`` stays, with its problem; an empty one has nothing in it.
+    """
+    inside = nodes.withColumn("_inside", F.from_json("item", kind))
+    bad = F.col("problem").isNull() & F.col("_inside").isNull()
+    # a list that holds the whole body may also be no JSON at all
+    wrong = F.when(_not_json("item"), "not json").otherwise(_KIND[kind]) if prefix == "$" else F.lit(_KIND[kind])
+    kept = [c for c in nodes.columns if c not in ("item", "problem", "path", "broken")]
+    made = F.posexplode_outer("_inside") if kind == _LIST else F.explode_outer("_inside")
+    # all that is told about the node comes first: above the generator it would make every element carry the node's content
+    told = inside.select(
+        *kept,
+        F.when(bad, wrong).otherwise(F.col("problem")).alias("problem"),
+        F.when(bad, F.coalesce("item", F.lit("null"))).otherwise(F.col("broken")).alias("broken"),
+        F.when(bad, _path(nodes, prefix)).otherwise(F.col("path")).alias("path"),
+        F.coalesce(F.size("_inside") == 0, F.lit(False)).alias("_nothing"),
+        "_inside",
     )
+    out = told.select(*kept, "problem", "broken", "path", "_nothing", made.alias(place, "item"))
+    # with the place in it, the condition stays above the generator and the text isn't read once more for it
+    return out.where(~(F.col("_nothing") & F.col(place).isNull())).drop("_nothing")
 
 
-def _members(nodes: Column) -> Column:
-    """The members of each object."""
-
-    def expand(n: Column) -> Column:
-        found = _get(n["item"], "$", "map<string,variant>")
-        each = F.transform(
-            F.map_entries(found),
-            lambda e: _node(F.concat(n["path"], F.lit("."), e["key"]), F.array_append(n["keys"], e["key"]), e["value"]),
-        )
-        return F.when(found.isNull(), F.array(_broken(n, "not an object"))).otherwise(each)
-
-    return _open(nodes, expand)
+def _path(nodes: DataFrame, prefix: str) -> Column:
+    """Where a node is: the names and positions on the way."""
+    steps = [F.concat(F.lit("["), F.col(c).cast("string"), F.lit("]")) if c == "at" else F.concat(F.lit("."), F.col(c)) for c in nodes.columns if c in _PLACES]
+    return F.concat(F.lit(prefix), *[F.coalesce(s, F.lit("")) for s in steps])
 
 
-def _elements(nodes: Column) -> Column:
-    """The elements of each list."""
-
-    def expand(n: Column) -> Column:
-        found = _get(n["item"], "$", "array<variant>")
-        each = F.transform(
-            found,
-            lambda x, i: _node(F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")), n["keys"], x),
-        )
-        return F.when(found.isNull(), F.array(_broken(n, "not a list"))).otherwise(each)
+#: Columns that tell the way to an element.
+_PLACES = ("k1", "k2", "k3", "at")
 
-    return _open(nodes, expand)
 
+def _not_object(item: Column) -> Column:
+    return F.when(~F.startswith(F.coalesce(item, F.lit("")), F.lit("{")), "not an object")
 
-def _broken(n: Column, reason: str) -> Column:
-    return _node(n["path"], n["keys"], n["item"], F.lit(reason))
 
-
-def _is_object(item: Column) -> Column:
-    return F.when(~F.schema_of_variant(item).startswith("OBJECT"), "not an object")
-
-
-def _is_number(item: Column) -> Column:
+def _not_number(item: Column) -> Column:
     """JSON null counts as a number that is not known."""
-    unknown = F.schema_of_variant(item) == "VOID"
-    return F.when(~unknown & text_to_double(_get(item, "$")).isNull(), "not a number")
+    return F.when(item.isNotNull() & text_to_double(item).isNull(), "not a number")
 
 
-def _opened(
-    raw: DataFrame,
-    nodes: Column,
-    parameters: Sequence[str] = (),
-    check: Callable[[Column], Column] = _is_object,
-    failed: Column | None = None,
-) -> DataFrame:
-    """Every element and every unusable response, with ``problem`` (NULL for sound elements).
+def _checked(elements: DataFrame, prefix: str, check: Callable[[Column], Column] = _not_object) -> DataFrame:
+    """Elements that are not what the format has get a problem, too."""
+    found = elements.withColumn("problem", F.coalesce("problem", check(F.col("item"))))
+    new = F.col("problem").isNotNull() & F.col("broken").isNull()
+    return found.withColumns({
+        "path": F.when(new, _path(elements, prefix)).otherwise(F.col("path")),
+        "broken": F.when(new, F.coalesce("item", F.lit("null"))).otherwise(F.col("broken")),
+    })
 
-    The one-element explode makes the parsed payload ``b`` a column of its own, so
-    that no rewrite parses twice.
-    """
-    bodies = raw.select(
-        *parameters, "request_url", "received_at", "payload", F.explode(F.array(F.try_parse_json("payload"))).alias("b")
-    )
-    error = classify(F.col("b"))
-    bodies = bodies.select("*", error.alias("_error"), nodes.cast(f"array<{_NODE}>").alias("_nodes"))
-    problem = F.when(F.col("b").isNull(), "not json").when(
-        F.col("_error.has_error"), F.concat(F.lit("error: "), F.coalesce("_error.message", F.lit("")))
-    )
-    if failed is not None:
-        problem = problem.when(failed.isNotNull(), failed)
-    problem = problem.when(F.col("_nodes").isNull(), "no data")
-    found = bodies.withColumn("_problem", problem)
-    # an empty list gives neither rows nor a problem
-    whole = _node(F.lit("$"), F.array().cast("array<string>"), F.col("b"), F.col("_problem"))
-    nodes = F.when(F.col("_problem").isNotNull(), F.array(whole)).otherwise(F.col("_nodes"))
-    rows = found.select(*parameters, "request_url", "received_at", "payload", "b", F.explode(nodes).alias("n"))
-    return rows.select(
-        *parameters, "request_url", "received_at", "payload", "b",
-        F.col("n.path").alias("path"), F.col("n.keys").alias("keys"), F.col("n.item").alias("item"),
-        F.coalesce("n.reason", check(F.col("n.item"))).alias("problem"),
-    )
+
+def _list_of(raw: DataFrame, parameters: Sequence[str] = (), name: str | None = None, **options) -> DataFrame:
+    """The objects of a list: the member ``name``, or the body itself."""
+    prefix = f"$.{name}" if name else "$"
+    return _checked(_level(_part(raw, _LIST, parameters, name, **options), _LIST, "at", prefix), prefix)
 
 
 @dataclass(frozen=True)
@@ -169,9 +175,8 @@ class Flattener:
     @staticmethod
     def rejected_of(opened: DataFrame) -> DataFrame:
         """``rejected`` of what ``opened`` has found."""
-        text = F.when(F.col("path") == "$", F.col("payload")).otherwise(F.to_json("item"))
         bad = opened.where("problem IS NOT NULL")
-        return bad.select("request_url", "received_at", "path", "problem", text.alias("raw"))
+        return bad.select("request_url", "received_at", "path", "problem", F.col("broken").alias("raw"))
 
 
 def rejected(flattener: str, raw: DataFrame, **options) -> DataFrame:
@@ -180,15 +185,17 @@ def rejected(flattener: str, raw: DataFrame, **options) -> DataFrame:
 
 
 def _date_map(source: str = "alphavantage", dataset: str = "time_series_daily", missing: str = "zero") -> Flattener:
-    members = F.filter(
-        F.map_entries(_get(F.col("b"), "$", "map<string,variant>")), lambda e: e["key"].contains("Time Series")
-    )
-    series = F.get(members, F.lit(0))["value"]
+    def opened(raw: DataFrame) -> DataFrame:
+        # of the members with such a name the first counts, whatever it holds
+        named = F.filter(F.map_entries(F.from_json("payload", _OBJECT)), lambda e: e["key"].contains("Time Series"))
+        days = _level(_part(raw, _OBJECT, ["symbol"], item=F.get(F.transform(named, lambda e: F.coalesce(e["value"], F.lit("null"))), F.lit(0))), _OBJECT, "k1", "$.series")
+        return _checked(days, "$.series")
 
     def convert(days: DataFrame) -> DataFrame:
+        days = _with_fields(days, "1. open", "2. high", "3. low", "4. close", "5. volume")
         return days.select(
             "symbol",
-            F.get("keys", F.lit(0)).alias("trade_date"),
+            F.col("k1").alias("trade_date"),
             double_or_default(_text("1. open"), missing).alias("open"),
             double_or_default(_text("2. high"), missing).alias("high"),
             double_or_default(_text("3. low"), missing).alias("low"),
@@ -197,7 +204,7 @@ def _date_map(source: str = "alphavantage", dataset: str = "time_series_daily",
             *_envelope(source, dataset),
         )
 
-    return Flattener(lambda raw: _opened(raw, _members(_root(series, "$.series")), ["symbol"]), convert)
+    return Flattener(opened, convert)
 
 
 def date_map(raw: DataFrame, source: str = "alphavantage", dataset: str = "time_series_daily",
@@ -208,17 +215,18 @@ def date_map(raw: DataFrame, source: str = "alphavantage", dataset: str = "time_
 
 def _series(source: str = "alphavantage", dataset: str = "commodity_prices", missing: str = "zero") -> Flattener:
     def convert(points: DataFrame) -> DataFrame:
-        return points.select(
-            _text("name", "b").alias("commodity"),
+        return _with_fields(points, "date", "value").select(
+            F.col("name").alias("commodity"),
             "symbol",
-            _text("interval", "b").alias("interval"),
+            "interval",
             _text("date").alias("date"),
             double_or_default(_text("value"), missing).alias("value"),
-            _text("unit", "b").alias("unit"),
+            "unit",
             *_envelope(source, dataset),
         )
 
-    return Flattener(lambda raw: _opened(raw, _elements(_member("data")), ["symbol"]), convert)
+    head = ("name", "interval", "unit")
+    return Flattener(lambda raw: _list_of(raw, ["symbol"], "data", members=head, heads=[F.col("_s")[h].alias(h) for h in head]), convert)
 
 
 def series(raw: DataFrame, source: str = "alphavantage", dataset: str = "commodity_prices",
@@ -230,15 +238,20 @@ def series(raw: DataFrame, source: str = "alphavantage", dataset: str = "commodi
 def _nested_map(source: str = "imf", dataset: str = "indicators") -> Flattener:
     def convert(cells: DataFrame) -> DataFrame:
         return cells.select(
-            F.get("keys", F.lit(0)).alias("indicator"),
-            F.get("keys", F.lit(1)).alias("country"),
-            cast_or_null(F.get("keys", F.lit(2)), "int").alias("year"),
-            text_to_double(_get(F.col("item"), "$")).alias("value"),
+            F.col("k1").alias("indicator"),
+            F.col("k2").alias("country"),
+            cast_or_null("k3", "int").alias("year"),
+            text_to_double("item").alias("value"),
             *_envelope(source, dataset),
         )
 
-    cells = _members(_members(_members(_member("values"))))
-    return Flattener(lambda raw: _opened(raw, cells, check=_is_number), convert)
+    def opened(raw: DataFrame) -> DataFrame:
+        cells = _part(raw, _OBJECT, name="values")
+        for place in ("k1", "k2", "k3"):
+            cells = _level(cells, _OBJECT, place, "$.values")
+        return _checked(cells, "$.values", _not_number)
+
+    return Flattener(opened, convert)
 
 
 def nested_map(raw: DataFrame, source: str = "imf", dataset: str = "indicators") -> DataFrame:
@@ -249,17 +262,22 @@ def nested_map(raw: DataFrame, source: str = "imf", dataset: str = "indicators")
 def _rate_map(source: str = "metals_dev", dataset: str = "spot_prices") -> Flattener:
     def convert(rates: DataFrame) -> DataFrame:
         return rates.select(
-            F.get("keys", F.lit(0)).alias("metal"),
-            text_to_double(_get(F.col("item"), "$")).alias("rate"),
-            _text("currency", "b").alias("currency"),
-            _text("unit", "b").alias("unit"),
-            _get(F.col("b"), "$.timestamps.metal").alias("market_time"),
+            F.col("k1").alias("metal"),
+            text_to_double("item").alias("rate"),
+            "currency",
+            "unit",
+            "market_time",
             *_envelope(source, dataset),
         )
 
-    status = _get(F.col("b"), "$.status")
-    failed = F.when(~status.eqNullSafe("success"), F.concat(F.lit("status: "), F.coalesce(status, F.lit("none"))))
-    return Flattener(lambda raw: _opened(raw, _members(_member("metals")), check=_is_number, failed=failed), convert)
+    def opened(raw: DataFrame) -> DataFrame:
+        status = F.try_variant_get("_s.status", "$", "string")
+        failed = F.when(~status.eqNullSafe("success"), F.concat(F.lit("status: "), F.coalesce(status, F.lit("none"))))
+        heads = [F.col("_s.currency").alias("currency"), F.col("_s.unit").alias("unit"), F.get_json_object("_s.timestamps", "$.metal").alias("market_time")]
+        metals = _part(raw, _OBJECT, name="metals", members=("currency", "unit", "timestamps"), heads=heads, failed=failed)
+        return _checked(_level(metals, _OBJECT, "k1", "$.metals"), "$.metals", _not_number)
+
+    return Flattener(opened, convert)
 
 
 def rate_map(raw: DataFrame, source: str = "metals_dev", dataset: str = "spot_prices") -> DataFrame:
@@ -277,18 +295,18 @@ def rate_map_failures(raw: DataFrame) -> DataFrame:
 
 
 def _values(source: str = "twelvedata", dataset: str = "exchange_rates") -> Flattener:
-    def meta(name: str) -> Column:
-        return _get(F.col("b"), f"$.meta.{name}").alias(name)
+    head, prices = ("symbol", "interval", "currency_base", "currency_quote", "type"), ("open", "high", "low", "close")
 
     def convert(bars: DataFrame) -> DataFrame:
-        return bars.select(
-            *[meta(n) for n in ("symbol", "interval", "currency_base", "currency_quote", "type")],
+        return _with_fields(bars, "datetime", *prices).select(
+            *head,
             utc_iso(_text("datetime")).alias("market_time"),
-            *[_number(n, n) for n in ("open", "high", "low", "close")],
+            *[_number(n) for n in prices],
             *_envelope(source, dataset),
         )
 
-    return Flattener(lambda raw: _opened(raw, _elements(_member("values"))), convert)
+    heads = [F.get_json_object("_s.meta", f"$.{n}").alias(n) for n in head]
+    return Flattener(lambda raw: _list_of(raw, name="values", members=("meta",), heads=heads), convert)
 
 
 def values(raw: DataFrame, source: str = "twelvedata", dataset: str = "exchange_rates") -> DataFrame:
@@ -298,12 +316,12 @@ def values(raw: DataFrame, source: str = "twelvedata", dataset: str = "exchange_
 
 def _articles(source: str = "newsapi", dataset: str = "everything", language: bool = False) -> Flattener:
     def convert(found: DataFrame) -> DataFrame:
-        return found.select(
+        return _with_fields(found, "url", "title", "author", "source", "description", "publishedAt").select(
             _text("url").alias("article_url"),
             _text("title").alias("title"),
             _text("author").alias("author"),
-            _get(F.col("item"), "$.source.name").alias("source_news"),
-            _get(F.col("item"), "$.source.id").alias("source_id"),
+            F.get_json_object(_text("source"), "$.name").alias("source_news"),
+            F.get_json_object(_text("source"), "$.id").alias("source_id"),
             _text("description").alias("description"),
             _text("publishedAt").alias("published_at"),
             *(["language"] if language else []),
@@ -314,7 +332,7 @@ def _articles(source: str = "newsapi", dataset: str = "everything", language: bo
         )
 
     asked = ["language"] if language else []
-    return Flattener(lambda raw: _opened(raw, _elements(_member("articles")), asked), convert)
+    return Flattener(lambda raw: _list_of(raw, asked, "articles"), convert)
 
 
 def articles(raw: DataFrame, source: str = "newsapi", dataset: str = "everything", language: bool = False) -> DataFrame:
@@ -327,18 +345,24 @@ def articles(raw: DataFrame, source: str = "newsapi", dataset: str = "everything
 
 def _swings(source: str = "indian_stock_api", dataset: str = "52_week_high_low_data") -> Flattener:
     def convert(points: DataFrame) -> DataFrame:
-        swing = F.get("keys", F.lit(0))
+        points = _with_fields(points, "ticker", "company", "price", "52_week_high", "52_week_low")
+        swing = F.col("k1")
         price = F.when(swing == "high52Week", _text("52_week_high")).otherwise(_text("52_week_low"))
         return points.select(
             _text("ticker").alias("ticker"),
             _text("company").alias("company"),
-            _number("price", "price"),
+            _number("price"),
             swing.alias("swing_type"),
             text_to_double(price).alias("swing_price"),
             *_envelope(source, dataset),
         )
 
-    return Flattener(lambda raw: _opened(raw, _elements(_members(_member("NSE_52WeekHighLow")))), convert)
+    def opened(raw: DataFrame) -> DataFrame:
+        prefix = "$.NSE_52WeekHighLow"
+        swings = _level(_part(raw, _OBJECT, name="NSE_52WeekHighLow"), _OBJECT, "k1", prefix)
+        return _checked(_level(swings, _LIST, "at", prefix), prefix)
+
+    return Flattener(opened, convert)
 
 
 def swings(raw: DataFrame, source: str = "indian_stock_api", dataset: str = "52_week_high_low_data") -> DataFrame:
@@ -352,6 +376,7 @@ def swings(raw: DataFrame, source: str = "indian_stock_api", dataset: str = "52_
 def _risk_premium(countries: Sequence[str] = (), source: str = "financial_modeling_prep",
                   dataset: str = "market_risk_premium") -> Flattener:
     def convert(found: DataFrame) -> DataFrame:
+        found = _with_fields(found, "country", "continent", "countryRiskPremium", "totalEquityRiskPremium")
         if countries:
             found = found.where(_text("country").isin(list(countries)))
         return found.select(
@@ -362,7 +387,7 @@ def _risk_premium(countries: Sequence[str] = (), source: str = "financial_modeli
             *_envelope(source, dataset),
         )
 
-    return Flattener(lambda raw: _opened(raw, _elements(_root(F.col("b")))), convert)
+    return Flattener(_list_of, convert)
 
 
 def risk_premium(raw: DataFrame, countries: Sequence[str] = (), source: str = "financial_modeling_prep",
@@ -382,6 +407,7 @@ def _performance(level: str, mode: str, entities: Sequence[str] = (), source: st
         raise ValueError(f"mode must be one of {MODES}")
 
     def convert(found: DataFrame) -> DataFrame:
+        found = _with_fields(found, "date", level, "exchange", "averageChange")
         if mode == "snapshot":
             found = found.where(_text(level).isin(list(entities)))
         return found.select(
@@ -392,7 +418,7 @@ def _performance(level: str, mode: str, entities: Sequence[str] = (), source: st
             *_envelope(source, f"{level}_{mode}"),
         )
 
-    return Flattener(lambda raw: _opened(raw, _elements(_root(F.col("b")))), convert)
+    return Flattener(_list_of, convert)
 
 
 def performance(raw: DataFrame, level: str, mode: str, entities: Sequence[str],
@@ -403,6 +429,7 @@ def performance(raw: DataFrame, level: str, mode: str, entities: Sequence[str],
 
 def _locations(source: str = "indian_api") -> Flattener:
     def convert(found: DataFrame) -> DataFrame:
+        found = _with_fields(found, "city", "state", "name", "price", "change", "date")
         part = F.split("request_dataset", "_")
         historical = part[2] == "historical"
         dataset = F.when(historical, F.concat_ws("_", "request_dataset", F.lower("location"))).otherwise(
@@ -412,15 +439,15 @@ def _locations(source: str = "indian_api") -> Flattener:
         return found.select(
             part[0].alias("fuel_type"),
             part[1].alias("location_type"),
-            _number("price", "price"),
-            _number("change", "change"),
+            _number("price"),
+            _number("change"),
             place.alias("location"),
             F.when(historical, _text("date")).alias("date"),
             *_envelope(source, dataset),
         )
 
     asked = ["request_dataset", "location"]
-    return Flattener(lambda raw: _opened(raw, _elements(_root(F.col("b"))), asked), convert)
+    return Flattener(lambda raw: _list_of(raw, asked), convert)
 
 
 def locations(raw: DataFrame, source: str = "indian_api") -> DataFrame:
@@ -437,7 +464,12 @@ def _whole_payload(dataset: str, parameters: Sequence[str] = (), source: str = "
         return found.select(*parameters, F.col("payload").alias("data"), *_envelope(source, dataset))
 
     def opened(raw: DataFrame) -> DataFrame:
-        return _opened(raw, _root(F.col("b")), parameters, check=lambda item: F.lit(None).cast("string"))
+        read, listed, error = _whole(raw)
+        unsure = listed | F.col(f"_s.{_UNREAD}").isNotNull()
+        problem = F.when(F.col("payload").isNull() | (unsure & _not_json("payload")), "not json").when(error.isNotNull(), error)
+        found = read.select(*parameters, "request_url", "received_at", "payload", problem.alias("problem"))
+        bad = F.col("problem").isNotNull()
+        return found.withColumns({"path": F.when(bad, F.lit("$")), "broken": F.when(bad, F.coalesce("payload", F.lit("")))})
 
     return Flattener(opened, convert)
 

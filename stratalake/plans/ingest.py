@@ -2,7 +2,9 @@
 
 Responses that report an error, and elements that are not what the format has, are set aside with their
 request; all other elements become rows, which are stamped and written to the raw zone, or below one folder
-for each entity. The manifest names what was written and is what a run starts from.
+for each entity. Every ingestion has folders of its own, named by its dataset and time. The manifest names them and is published
+last: it alone says that the ingestion happened, and is what a run starts from. A try that ended before has left folders without a
+manifest; the next try removes them. An ingestion whose manifest is there is not done again: a replay returns what the manifest says.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from ..operators.flatten import FLATTENERS
 from ..operators.quality import GateError
 from ..session import Scratch
 from ..sources import tables
-from ..sources.bronze import write_per_entity, write_raw_zone
+from ..sources.bronze import publish_text, published_text, remove_folders, run_folders, run_name, write_per_entity, write_raw_zone
 from .jobs import Layers
 from .manifest import SUCCESS
 from .registry import DatasetSpec, checked_parameters
@@ -32,7 +34,7 @@ _REJECTED = {
 
 @dataclass(frozen=True)
 class Ingested:
-    """``manifest`` is the JSON text that ``run_manifest`` takes; ``rejected`` counts what gave no row."""
+    """``manifest`` is the JSON text that ``run_manifest`` takes; ``keys`` are folders; ``rejected`` counts what gave no row."""
 
     manifest: str
     keys: tuple[str, ...]
@@ -59,7 +61,11 @@ def ingest(
     """
     options = checked_parameters(spec, parameters or {})
     flattener = FLATTENERS[spec.flattener](**options)
-    run = f"{spec.name}@{ingested_at}"
+    run, own = f"{spec.name}@{ingested_at}", run_name(spec.name, ingested_at)
+    place = f"{base.rstrip('/')}/_manifests/{own}.json"
+    done = published_text(spark, place)
+    if done is not None:
+        return _ingested(done)
     with Scratch(spark, f"ingest-{spec.name}") as scratch:
         clean = raw.withColumn("request_url", redact_url(F.col("request_url")))
         opened = scratch.save(flattener.opened(clean))  # parsed once, for the rows and for what gives none
@@ -77,22 +83,20 @@ def ingest(
             rows = rows.withColumn("source", F.col("source_api"))
         # the folder of the zone takes the dataset of the registry
         rows = rows.withColumns({"source": F.lit(spec.source), "dataset": F.coalesce("dataset", F.lit(spec.dataset))})
+        remove_folders(spark, run_folders(spark, base, spec.source, ingested_at, own))
         if entity:
-            write_per_entity(rows, base, F.col(entity), ingested_at)
+            write_per_entity(rows, base, F.col(entity), ingested_at, run=own)
         else:
-            write_raw_zone(rows, base, ingested_at)
-    keys = _written(spark, base, spec, ingested_at)
+            write_raw_zone(rows, base, ingested_at, run=own)
+    keys = run_folders(spark, base, spec.source, ingested_at, own, bool(entity))
     told = {
         "status": SUCCESS, "lambda_exec_ts": ingested_at, "domain": spec.domain, "source": spec.source, "dataset": spec.dataset,
-        "keys": list(keys), "record_count": n, "ingested_at": ingested_at,
+        "keys": keys, "record_count": n, "ingested_at": ingested_at, "rejected": n_bad,
     }
-    return Ingested(json.dumps(told), keys, n, n_bad)
+    publish_text(spark, place, json.dumps(told))
+    return _ingested(json.dumps(told))
 
 
-def _written(spark: SparkSession, base: str, spec: DatasetSpec, ingested_at: str) -> tuple[str, ...]:
-    """The objects of one ingestion: those of its day's folder whose rows have its time."""
-    day = ingested_at[:10]
-    zone = spark.read.schema("ingested_at STRING, source STRING, dataset STRING, ingestion_date DATE").json(base)
-    own = zone.where((F.col("source") == spec.source) & (F.col("ingestion_date") == F.lit(day).cast("date")))
-    own = own.where((F.col("ingested_at") == ingested_at) & ((F.col("dataset") == spec.dataset) | F.col("dataset").startswith(f"{spec.dataset}_")))
-    return tuple(sorted(r[0] for r in own.select(F.input_file_name().alias("key")).distinct().collect()))
+def _ingested(manifest: str) -> Ingested:
+    told = json.loads(manifest)
+    return Ingested(manifest, tuple(told["keys"]), told["record_count"], told["rejected"])

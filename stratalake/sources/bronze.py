@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,8 @@ from ..functions.casting import cast_or_null
 CORRUPT = "_corrupt_record"
 MEMBERS = "_members"
 ZONE_PARTITIONS = ("source", "dataset", "ingestion_date")
+#: The folder below those of the zone that one ingestion has for itself.
+RUN = "ingest_run"
 
 
 def _text_schema(columns: Sequence[str]) -> T.StructType:
@@ -97,29 +100,40 @@ def stamp(df: DataFrame, ingested_at: str) -> DataFrame:
     )
 
 
-def write_raw_zone(df: DataFrame, base: str, ingested_at: str, max_records_per_file: int = 5_000_000) -> None:
-    """Append JSON Lines below ``base/source=/dataset=/ingestion_date=``.
+def run_name(dataset: str, ingested_at: str) -> str:
+    """What the folder of one ingestion is called: the same for every try of it."""
+    return re.sub(r"[^A-Za-z0-9_.-]", "-", f"{dataset}_{ingested_at}")
 
-    Rebalancing gathers the rows of a folder into few files and splits a folder too
-    large for one task.
-    """
+
+def _append(df: DataFrame, base: str, partitions: Sequence[str], run: str | None, max_records_per_file: int) -> None:
+    """JSON Lines below one folder per value; with ``run`` in folders of that run."""
+    if run is not None:
+        df, partitions = df.withColumn(RUN, F.lit(run)), [*ZONE_PARTITIONS, RUN, *[p for p in partitions if p not in ZONE_PARTITIONS]]
     (
-        stamp(df, ingested_at)
-        .hint("rebalance", *ZONE_PARTITIONS)
+        df.hint("rebalance", *partitions)
         .write.mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*ZONE_PARTITIONS)
+        .partitionBy(*partitions)
         .json(base)
     )
 
 
+def write_raw_zone(df: DataFrame, base: str, ingested_at: str, max_records_per_file: int = 5_000_000, run: str | None = None) -> None:
+    """Append JSON Lines below ``base/source=/dataset=/ingestion_date=``, with ``run`` one folder deeper.
+
+    Rebalancing gathers the rows of a folder into few files and splits a folder too
+    large for one task.
+    """
+    _append(stamp(df, ingested_at), base, ZONE_PARTITIONS, run, max_records_per_file)
+
+
 def entity_counts(df: DataFrame, entity: Column) -> DataFrame:
     """Records per entity, the manifest of a fan-out write."""
     return df.groupBy(entity.alias("entity")).agg(F.count(F.lit(1)).alias("record_count"))
 
 
 def write_per_entity(
-    df: DataFrame, base: str, entity: Column, ingested_at: str, max_records_per_file: int = 5_000_000
+    df: DataFrame, base: str, entity: Column, ingested_at: str, max_records_per_file: int = 5_000_000, run: str | None = None
 ) -> DataFrame:
     """Write one folder of files per entity and return the counts; a row without entity is an error.
 
@@ -130,11 +144,38 @@ def write_per_entity(
     without = named.where(F.col("entity").isNull() | (F.col("entity") == ""))
     if not without.isEmpty():
         raise ValueError("a record has no entity")
-    (
-        named.hint("rebalance", "entity")
-        .write.mode("append")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*ZONE_PARTITIONS, "entity")
-        .json(base)
-    )
+    _append(named, base, [*ZONE_PARTITIONS, "entity"], run, max_records_per_file)
     return entity_counts(named, F.col("entity"))
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def run_folders(spark: SparkSession, base: str, source: str, ingested_at: str, run: str, entities: bool = False) -> list[str]:
+    """The folders that one ingestion wrote, found by listing names alone; with ``entities`` one for each entity."""
+    files, pattern = _path(spark, f"{base}/source={source}/dataset=*/ingestion_date={ingested_at[:10]}/{RUN}={run}{'/entity=*' if entities else ''}")
+    return sorted(str(f.getPath()) for f in files.globStatus(pattern) or [])
+
+
+def remove_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        files, path = _path(spark, folder)
+        files.delete(path, True)
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all: written beside its place, then renamed."""
+    files, place = _path(spark, path)
+    _, beside = _path(spark, f"{path}.writing")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(beside, place) and not files.exists(place):
+        raise OSError(f"can't publish {path}")
+
+
+def published_text(spark: SparkSession, path: str) -> str | None:
+    files, place = _path(spark, path)
+    return spark.read.text(path, wholetext=True).first()[0] if files.exists(place) else None

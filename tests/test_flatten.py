@@ -214,3 +214,23 @@ def test_whole_payloads_reject_errors_only(spark):
 def test_articles_keep_the_language(spark):
     body = {"articles": [{"url": "u"}]}
     assert rows(flatten.articles(raw(spark, body, language="en"), language=True), "article_url", "language") == [("u", "en")]
+
+
+def test_long_payloads(spark):
+    """Many elements in one response: each carries its own text only."""
+    days = {f"{y}-{m:02}-{d:02}": BAR for y in range(2000, 2020) for m in range(1, 13) for d in range(1, 29)}
+    source = raw(spark, {"Time Series (Daily)": {**days, "bad": 5}}, symbol="A")
+    opened = flatten.FLATTENERS["date_map"]().opened(source)
+    held = opened.select(F.sum(sum(F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in opened.columns)).alias("n")).first()["n"]
+    assert opened.count() == len(days) + 1 and held < 2 * source.select(F.length("payload")).first()[0]
+    assert flatten.date_map(source).count() == len(days)
+    assert [r["path"] for r in flatten.rejected("date_map", source).collect()] == ["$.series.bad"]
+    points = raw(spark, {"name": "n", "data": [{"date": str(i), "value": i} for i in range(100_000)] + [7]}, symbol="A")
+    assert flatten.series(points).agg(F.sum("value")).first()[0] == sum(range(100_000))
+    assert [(r["path"], r["raw"]) for r in flatten.rejected("series", points).collect()] == [("$.data[100000]", "7")]
+
+
+def test_members_named_twice(spark):
+    """The last counts, as in most readers of JSON."""
+    source = raw(spark, '{"data":[{"date":"a","value":1}],"data":[{"date":"b","date":"c","value":2}]}', symbol="S")
+    assert rows(flatten.series(source), "date", "value") == [("c", 2.0)]

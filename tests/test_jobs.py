@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -365,6 +366,35 @@ def test_from_payloads_to_metrics(spark, layers, tmp_path):
         ingest(spark, spec, raw.where("payload = '{'"), base, "2024-02-02T00:00:00+00:00", layers)
 
 
+@pytest.mark.parametrize("entity", [None, "symbol"])
+def test_ingestion_can_be_tried_again(spark, layers, tmp_path, monkeypatch, entity):
+    """A replay, and a try after one that failed before its manifest, give the keys and the count of a single try."""
+    from stratalake.plans import ingest as module
+
+    spec, base = DATASETS["market_daily"], str(tmp_path / "zone")
+    day = {"1. open": "1", "5. volume": "10"}
+    raw = responses(spark, {"Time Series (Daily)": {f"2024-01-{d:02}": day for d in range(1, 21)}}, "{", symbol="AAPL")
+    at = "2024-02-01T00:00:00+00:00"
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(module, "publish_text", fail)
+        with pytest.raises(OSError):
+            ingest(spark, spec, raw, base, at, layers, entity=entity)
+    done = ingest(spark, spec, raw, base, at, layers, entity=entity)
+    assert (done.record_count, done.rejected) == (20, 1)
+    assert spark.read.text(list(done.keys)).count() == 20 == spark.read.text(base).count()
+    assert ingest(spark, spec, raw, base, at, layers, entity=entity) == done
+    # an ingestion of another dataset at the same time, whose name begins alike, is apart
+    other = ingest(spark, replace(spec, name="market_daily_2", dataset="time_series_daily_2"), raw, base, at, layers, entity=entity)
+    assert not set(other.keys) & set(done.keys) and other.record_count == 20
+    run_manifest(spark, done.manifest, "r1", "2024-02-01 06:00:00", layers, base_path=base)
+    assert spark.table(spec.table(layers.gold, "fact")).count() == 20
+    assert spark.table(f"{layers.ops}.rejected").where("dataset = 'market_daily'").count() == 1
+
+
 def test_every_dataset_can_be_ingested(spark, layers, tmp_path):
     point = {"ticker": "A", "price": 1, "52_week_high": 2}
     bodies = {

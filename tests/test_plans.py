@@ -81,9 +81,17 @@ def test_top_k_is_not_a_sort(spark):
     assert "TakeOrderedAndProject" in plan_of(article_search(pages, ["a"], page=3))
 
 
-def test_payloads_are_parsed_once(spark):
+def test_payloads_are_read_once(spark):
+    """Each level of a payload is read by one expression, and what is taken apart is not carried to its elements."""
     from stratalake.operators import flatten
 
     raw = spark.createDataFrame([("{}", "", "", "")], "payload string, request_url string, received_at string, symbol string")
-    for flat in (flatten.rate_map, flatten.series, flatten.values, flatten.articles, flatten.swings, flatten.nested_map):
-        assert plan_of(flat(raw)).count("parse_json(") + plan_of(flat(raw)).count("parseJson") <= 1
+    levels = {"date_map": 4, "series": 3, "values": 3, "articles": 3, "rate_map": 2, "swings": 4, "nested_map": 4}
+    for name, reads in levels.items():
+        plan = plan_of(getattr(flatten, name)(raw))
+        # the map of the outermost members is read besides in a date map
+        assert plan.count("from_json(") == reads + (name == "date_map"), name
+        for line in plan.splitlines():
+            if "Generate explode" in line or "Generate posexplode" in line:
+                carried = line.split("[")[1].split("]")[0]
+                assert not any(c in carried for c in ("payload", "_inside", "_s#", "item", "broken")), line

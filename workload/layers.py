@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.flatten import FLATTENERS
 from stratalake.operators.quality import (
     GateError,
     cast_failed,
@@ -24,6 +25,7 @@ from stratalake.plans.registry import ALL_DATASETS, ARTICLE_COLUMNS, DATASETS
 from stratalake.functions.casting import cast_or_null
 from stratalake.session import scratch_path
 from stratalake.sources.bronze import (
+    run_name,
     scan_bronze,
     scan_raw_zone,
     split_corrupt,
@@ -397,6 +399,39 @@ def ingested_market(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "ingest_replay",
+    f"""WITH {BARS}, n AS (SELECT count(*) AS n FROM bars) SELECT step, n AS record_count, n AS zone_rows, n AS facts, true AS same_keys
+  FROM n, (VALUES ('first'), ('replayed'), ('after a crash')) AS s(step)""",
+)
+def replayed_ingestion(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ingestion once, once more, and after a try that left rows but no manifest: the same folders, counts and facts."""
+    spec, found = DATASETS["market_daily"], None
+    raw = _date_map_raw(spark, sf)
+    for step in ("first", "replayed", "after a crash"):
+        layers = _own_layers(spark, "ingest_replay")
+        base = scratch_path(spark, "ingest_zone")
+        if step == "after a crash":
+            left = FLATTENERS[spec.flattener]().rows(raw).where("volume % 2 = 0")
+            write_raw_zone(left, base, INGESTED, run=run_name(spec.name, INGESTED))
+        done = ingest(spark, spec, raw, base, INGESTED, layers)
+        keys = [k.split("/source=")[1] for k in done.keys]
+        if step == "first":
+            first = keys
+        elif step == "replayed":
+            done = ingest(spark, spec, raw, base, INGESTED, layers)
+        run_manifest(spark, done.manifest, "run-1", "2024-02-01 06:00:00", layers, base_path=base)
+        zone = spark.read.schema("symbol STRING, source STRING, dataset STRING, ingestion_date DATE").json(base)
+        facts = spark.table(spec.table(layers.gold, "fact")).count()
+        same = keys == first and keys == [k.split("/source=")[1] for k in done.keys]
+        one = zone.agg(
+            F.lit(step).alias("step"), F.lit(done.record_count).cast("bigint").alias("record_count"), F.count(F.lit(1)).alias("zone_rows"),
+            F.lit(facts).cast("bigint").alias("facts"), F.lit(same).alias("same_keys"),
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 _ZONE_SETS = {"risk_premium": "supplier", "swings": "customer", "news_everything": "documents", "sector_historical": "customer"}
 
 
