@@ -66,6 +66,8 @@ _RUNS = {
     "run": "string",
 }
 
+_CHANGES = {"name": "string", "as_of": "timestamp", "value": "string", "run": "string"}
+
 
 @dataclass
 class Outcome:
@@ -237,7 +239,13 @@ def _metric_columns(spec: DatasetSpec) -> dict[str, str]:
     return spec.fact_columns | dict.fromkeys(own, "double")
 
 
-_ALL = "all"
+#: The last rows of entities are dealt into so many partitions by the hash of the entity.
+TAIL_BUCKETS = 64
+
+
+def _bucket(entity: str) -> Column:
+    return F.format_string("%02d", F.pmod(F.xxhash64(F.col(entity)), F.lit(TAIL_BUCKETS))).alias("part")
+
 
 
 def _stage_metrics(
@@ -245,15 +253,16 @@ def _stage_metrics(
 ) -> None:
     """Metrics of the rows that depend on changed ones; all others of their partitions are carried over.
 
-    The tail table keeps the last rows of each entity, so that a run at the end of the series
-    reads no older partition.
+    The table of tails keeps the last rows of each entity, so that a run at the end of the series
+    reads no older partition. It is dealt into buckets of entities: a run reads and replaces those of its own entities.
     """
-    rolling, name, tail_name = spec.rolling, spec.table(layers.gold, "metrics"), spec.table(layers.gold, "tail")
+    rolling, name, tail_name = spec.rolling, spec.table(layers.gold, "metrics"), spec.table(layers.gold, "tails")
     columns = _metric_columns(spec)
     stored = out.table(name, columns, spec.partition)
-    tails = out.table(tail_name, spec.fact_columns | {"part": "string"}, "part").drop("part")
-    if not know_tails or tails.isEmpty():
-        tails = None
+    held = out.table(tail_name, spec.fact_columns | {"part": "string"}, "part")
+    buckets = changed.select(_bucket(rolling.entity)).distinct()
+    own = tables.touched(held, buckets, "part").drop("part")
+    tails = own if know_tails and not held.isEmpty() else None
     metrics, ends = refresh_changed(fact, changed, rolling, tails)
     metrics = out.scratch.save(_stamped(metrics, as_of).select(*columns))
     touched = metrics.select(spec.partition).union(changed.select(spec.partition)).distinct()
@@ -265,11 +274,10 @@ def _stage_metrics(
     empty = null_safe_join(touched, rows, [spec.partition], "left_anti")
     out.replace(name, rows, spec.partition, [r[0] for r in empty.collect()])
 
-    # the entities of the batch get new tails, all others keep theirs
-    old = out.spark.table(tail_name).drop("part")
-    kept = null_safe_join(old, changed.select(rolling.entity).distinct(), [rolling.entity], "left_anti")
-    new = out.scratch.save(kept.unionByName(ends.select(*old.columns)).withColumn("part", F.lit(_ALL)))
-    out.replace(tail_name, new, "part")
+    # the entities of the batch get new tails, all others of their buckets keep theirs
+    kept = null_safe_join(own, changed.select(rolling.entity).distinct(), [rolling.entity], "left_anti")
+    new = out.scratch.save(kept.unionByName(ends.select(*own.columns)).withColumn("part", _bucket(rolling.entity)))
+    out.replace(tail_name, new, "part", [r[0] for r in null_safe_join(buckets, new, ["part"], "left_anti").collect()])
 
 
 def _stage_index(silver: DataFrame, years: DataFrame, spec: DatasetSpec, as_of: str, layers: Layers, out: Publications) -> None:
@@ -319,6 +327,8 @@ def process_batch(
                 _stage_index(silver, batch.select("year").distinct(), spec, run.as_of, layers, out)
             if found["bad"]:
                 _stage_quarantine(stored, spec, run, out)
+            if spec.style == "scd2":
+                _log_changes(spec, run, batch, out)
             out.publish()
     except GateError as refused:
         _log_run(spark, spec, run, layers, outcome, "refused", str(refused))
@@ -399,6 +409,34 @@ def _log_run(
     tables.publish_partitions(row, name, "run")
 
 
+def _log_changes(spec: DatasetSpec, run: Run, batch: DataFrame, out: Publications) -> None:
+    """The partitions of a versioned table that a run is about to replace, besides those that an earlier try of it replaced.
+
+    Written before the table itself: after a failure the log may name partitions too many, never too few.
+    """
+    spark, layers, key = out.spark, out.layers, f"{_key(spec, run)}@{run.as_of}"
+    name = f"{layers.ops}.changes"
+    earlier = out.table(name, _CHANGES, "run").where(F.col("run") == key)
+    told = batch.select(
+        F.lit(spec.table(layers.silver, "clean")).alias("name"),
+        F.lit(run.as_of).cast("timestamp").alias("as_of"),
+        F.col(spec.partition).cast("string").alias("value"),
+        F.lit(key).alias("run"),
+    )
+    tables.publish_partitions(out.scratch.save(told.unionByName(earlier).distinct()), name, "run")
+
+
+def _changed_since(spark: SparkSession, spec: DatasetSpec, at: Column, layers: Layers) -> DataFrame | None:
+    """The partitions that runs after a moment replaced; None where the log doesn't reach back so far."""
+    log = f"{layers.ops}.changes"
+    if not spark.catalog.tableExists(log):
+        return None
+    own = spark.table(log).where(F.col("name") == spec.table(layers.silver, "clean"))
+    if not own.agg((F.min("as_of") <= at).alias("reaches")).first()["reaches"]:
+        return None
+    return own.where(F.col("as_of") > at).select(F.col("value").cast(spec.silver_columns[spec.partition]).alias(spec.partition)).distinct()
+
+
 # --- repair -----------------------------------------------------------------------------------------------
 
 
@@ -425,12 +463,12 @@ def rebuild_gold(spark: SparkSession, spec: DatasetSpec, as_of: str, layers: Lay
         whole = scratch.save(_fact_of(silver, spec))
         snapshots = [(fact, whole, spec.partition)]
         if spec.rolling:
-            columns, name, tail = _metric_columns(spec), spec.table(layers.gold, "metrics"), spec.table(layers.gold, "tail")
+            columns, name, tail = _metric_columns(spec), spec.table(layers.gold, "metrics"), spec.table(layers.gold, "tails")
             out.table(name, columns, spec.partition)
             out.table(tail, spec.fact_columns | {"part": "string"}, "part")
             snapshots.append((name, scratch.save(_stamped(add_rolling(whole, spec.rolling), as_of).select(*columns)), spec.partition))
             _, ends = refresh_changed(whole, whole, spec.rolling)
-            snapshots.append((tail, scratch.save(ends.withColumn("part", F.lit(_ALL))), "part"))
+            snapshots.append((tail, scratch.save(ends.withColumn("part", _bucket(spec.rolling.entity))), "part"))
         if spec.index:
             years = silver.where("is_current").select("year").distinct()
             _stage_index(silver, years, spec, as_of, layers, out)
@@ -442,8 +480,9 @@ def rebuild_gold(spark: SparkSession, spec: DatasetSpec, as_of: str, layers: Lay
 def roll_back(spark: SparkSession, spec: DatasetSpec, moment: str, layers: Layers = Layers(), run_id: str = "roll back") -> None:
     """Put a versioned table and its gold tables back to the state after the run at ``moment``.
 
-    Only partitions with versions that were opened or closed later are read and written, and of the
-    metrics and the index what depends on them. Insert-only columns of the fact come from the first
+    The log of changes tells which partitions later runs replaced: only these are read, and those with versions opened or closed
+    later are written; of the metrics and the index what depends on them. (For a moment before the log begins, the whole table is looked
+    through.) Insert-only columns of the fact come from the first
     version of each key. ``processed_at`` of rows that change is ``moment``. The roll back is logged.
     """
     if spec.style != "scd2":
@@ -455,7 +494,9 @@ def roll_back(spark: SparkSession, spec: DatasetSpec, moment: str, layers: Layer
         out = Publications(spark, scratch, layers)
         silver = spark.table(name)
         later = (F.col("effective_from") > at) | (F.col("effective_to") > at)
-        changed = scratch.save(silver.where(later).select(*spec.keys).distinct())
+        logged = _changed_since(spark, spec, at, layers)
+        near = silver if logged is None else tables.touched(silver, logged, spec.partition)
+        changed = scratch.save(near.where(later).select(*spec.keys).distinct())
         if changed.isEmpty():
             _log_run(spark, spec, run, layers, Outcome(), "rolled back")
             return

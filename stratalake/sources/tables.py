@@ -8,8 +8,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import null_safe_join
-
 
 def create_table(
     spark: SparkSession, name: str, columns: Mapping[str, str], partition: str | None,
@@ -49,16 +47,20 @@ def append(df: DataFrame, name: str, partition: str | None = None) -> None:
 def touched(table: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
     """The rows of ``table`` in partitions that occur in ``batch``.
 
-    The smallest and largest value of the batch are literals in the filter, so the scan reads no
-    partition outside them; a semi join leaves those between that the batch doesn't have.
+    The partitions of the batch are broadcast, and the scan is pruned by them when it runs: it reads no other, however far
+    apart they lie. They are at most as many as partitions can be told by one scan. The smallest and largest value
+    are literals of the filter besides, which spares even the listing of what lies outside.
     """
     low, high, unknown = batch.agg(
         F.min(partition), F.max(partition), F.count_if(F.col(partition).isNull())
     ).first()
-    near = F.lit(False) if low is None else F.col(partition).between(low, high)
-    if unknown or low is None:
-        near = near | F.col(partition).isNull()
-    return null_safe_join(table.where(near), batch.select(partition).distinct(), [partition], "left_semi")
+    named = F.col(partition)
+    if low is None:
+        found = table.where(F.lit(False))
+    else:
+        wanted = batch.select(named.alias("_wanted")).where(F.col("_wanted").between(low, high)).distinct()
+        found = table.where(named.between(low, high)).join(F.broadcast(wanted), named == F.col("_wanted"), "left_semi")
+    return found.unionByName(table.where(named.isNull())) if unknown else found
 
 
 #: Publishing changes a setting of the session for the moment; two threads must not do so at once.

@@ -332,6 +332,46 @@ def test_roll_back_is_the_state_after_that_run(spark, layers, tmp_path, name):
     assert {k: v for k, v in again.items() if not k.endswith("clean")} == {k: v for k, v in states[1].items() if not k.endswith("clean")}
 
 
+def test_change_log_tells_what_a_roll_back_reads(spark, layers, tmp_path):
+    """Only partitions that later runs replaced; before the log begins there is no telling."""
+    from stratalake.plans.jobs import _changed_since
+
+    spec = DATASETS["market_daily"]
+    days = [bar("A", f"2024-01-0{d}", d) for d in range(1, 8)]
+    run_dataset(spark, spec, [land(tmp_path, "1", *days)], Run("r1", "2024-02-01"), layers)
+    run_dataset(spark, spec, [land(tmp_path, "2", bar("A", "2024-01-02", 9), bar("A", "2024-01-06", 9))], Run("r2", "2024-02-02"), layers)
+    run_dataset(spark, spec, [land(tmp_path, "2", bar("A", "2024-01-02", 9))], Run("r2", "2024-02-02"), layers)
+    run_dataset(spark, spec, [land(tmp_path, "3", bar("B", "2024-01-09", 1))], Run("r3", "2024-02-03"), layers)
+
+    def since(moment, layers=layers):
+        found = _changed_since(spark, spec, F.lit(moment).cast("timestamp"), layers)
+        return None if found is None else [str(r[0]) for r in found.orderBy("trade_date").collect()]
+
+    assert since("2024-02-02") == ["2024-01-09"]
+    # the second run was replayed with fewer rows: what its first try replaced stays in the log
+    assert since("2024-02-01") == ["2024-01-02", "2024-01-06", "2024-01-09"]
+    assert since("2024-01-31") is None and since("2024-02-04") == []
+    assert since("2024-02-02", replace(layers, ops=f"{layers.ops}_other")) is None
+
+
+def test_a_run_replaces_the_tails_of_its_entities_only(spark, layers, tmp_path):
+    spec = DATASETS["market_daily"]
+    name = spec.table(layers.gold, "tails")
+    many = [bar(f"S{n}", f"2024-01-0{d}", d) for n in range(40) for d in (1, 2)]
+    run_dataset(spark, spec, [land(tmp_path, "1", *many)], Run("r1", "2024-02-01"), layers)
+
+    def files():
+        return {r[0] for r in spark.table(name).select(F.input_file_name()).distinct().collect()}
+
+    before = files()
+    assert len({f.split("part=")[1].split("/")[0] for f in before}) > 10
+    run_dataset(spark, spec, [land(tmp_path, "2", bar("S7", "2024-01-03", 3))], Run("r2", "2024-02-02"), layers)
+    spark.catalog.refreshTable(name)
+    new = files() - before
+    assert len({f.split("part=")[1].split("/")[0] for f in new}) == 1 and len(before - files()) <= 1
+    assert spark.table(name).count() == 81
+
+
 def test_append_tables_cannot_be_rolled_back(spark, layers):
     with pytest.raises(ValueError, match="keeps no versions"):
         roll_back(spark, DATASETS["spot_prices"], "2024-01-01", layers)

@@ -95,3 +95,19 @@ def test_payloads_are_read_once(spark):
             if "Generate explode" in line or "Generate posexplode" in line:
                 carried = line.split("[")[1].split("]")[0]
                 assert not any(c in carried for c in ("payload", "_inside", "_s#", "item", "broken")), line
+
+
+def test_only_the_batch_s_partitions_are_read(spark, tmp_path):
+    """One row of the first and one of the last partition: nothing between them is read."""
+    spark.range(40).selectExpr("id", "id AS part").write.partitionBy("part").parquet(str(tmp_path / "t"))
+    table = spark.read.schema("id long, part long").parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(0,), (39,), (39,)], "part long")
+    part = touched(table, batch, "part")
+    assert "dynamicpruning" in plan_of(part)
+    assert sorted(r["id"] for r in part.collect()) == [0, 39]
+    final = plan_of(part)
+    reader = part.select("id", F.input_file_name().alias("f"))
+    assert {r["f"].split("part=")[1].split("/")[0] for r in reader.collect()} == {"0", "39"} and "FileScan" in final
+    odd = touched(table, spark.createDataFrame([(None,), (3,)], "part long"), "part")
+    assert [r["id"] for r in odd.collect()] == [3]
+    assert touched(table, spark.createDataFrame([], "part long"), "part").count() == 0

@@ -512,13 +512,8 @@ def gates(spark: SparkSession, sf: str) -> DataFrame:
   SELECT commodity, symbol, 'daily' AS "interval", strftime(trade_date, '%Y-%m-%d') AS trade_date,
          CASE WHEN year(trade_date) = 1998 AND month(trade_date) = 2 THEN value + 1 ELSE value END AS value,
          CASE WHEN year(trade_date) = 1998 AND month(trade_date) = 2 THEN 'EUR' ELSE unit END AS unit
-  FROM prices WHERE trade_date >= DATE '1998-01-01' AND trade_date < DATE '1998-03-01'""",
+  FROM prices WHERE trade_date < DATE '1998-03-01'""",
 )
-def rolled_back(spark: SparkSession, sf: str) -> DataFrame:
-    """The dates that the SQL names, of the whole fact that the roll back leaves."""
-    return rolled_back_fact(spark, sf).where("trade_date >= '1998-01-01' AND trade_date < '1998-03-01'")
-
-
 def rolled_back_fact(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs of the commodity job over all prices, the last rolled back: the fact is that of the second, with the first descriptions."""
     spec, layers = DATASETS["commodity_prices"], _own_layers(spark, "job_roll_back")
