@@ -373,12 +373,20 @@ def swings(raw: DataFrame, source: str = "indian_stock_api", dataset: str = "52_
     return _swings(source, dataset).rows(raw)
 
 
-def _risk_premium(countries: Sequence[str] = (), source: str = "financial_modeling_prep",
+def _allowed(rows: DataFrame, value: Column, names: Sequence[str] | DataFrame) -> DataFrame:
+    """The rows whose value is in a list, given as names or as a table with the names in its first column: a semi join, however long it is."""
+    if not isinstance(names, DataFrame):
+        names = rows.sparkSession.createDataFrame([(n,) for n in dict.fromkeys(names)], "name string")
+    listed = names.select(names[names.columns[0]].alias("_allowed"))
+    return rows.withColumn("_value", value).join(listed, F.col("_value") == F.col("_allowed"), "left_semi").drop("_value")
+
+
+def _risk_premium(countries: Sequence[str] | DataFrame = (), source: str = "financial_modeling_prep",
                   dataset: str = "market_risk_premium") -> Flattener:
     def convert(found: DataFrame) -> DataFrame:
         found = _with_fields(found, "country", "continent", "countryRiskPremium", "totalEquityRiskPremium")
-        if countries:
-            found = found.where(_text("country").isin(list(countries)))
+        if isinstance(countries, DataFrame) or countries:
+            found = _allowed(found, _text("country"), countries)
         return found.select(
             _text("country").alias("country"),
             _text("continent").alias("continent"),
@@ -390,7 +398,7 @@ def _risk_premium(countries: Sequence[str] = (), source: str = "financial_modeli
     return Flattener(_list_of, convert)
 
 
-def risk_premium(raw: DataFrame, countries: Sequence[str] = (), source: str = "financial_modeling_prep",
+def risk_premium(raw: DataFrame, countries: Sequence[str] | DataFrame = (), source: str = "financial_modeling_prep",
                  dataset: str = "market_risk_premium") -> DataFrame:
     """A list of country premiums, optionally for chosen countries; a missing premium is 0."""
     return _risk_premium(countries, source, dataset).rows(raw)
@@ -400,7 +408,7 @@ LEVELS = ("sector", "industry")
 MODES = ("snapshot", "historical")
 
 
-def _performance(level: str, mode: str, entities: Sequence[str] = (), source: str = "financial_modeling_prep") -> Flattener:
+def _performance(level: str, mode: str, entities: Sequence[str] | DataFrame = (), source: str = "financial_modeling_prep") -> Flattener:
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}")
     if mode not in MODES:
@@ -409,7 +417,7 @@ def _performance(level: str, mode: str, entities: Sequence[str] = (), source: st
     def convert(found: DataFrame) -> DataFrame:
         found = _with_fields(found, "date", level, "exchange", "averageChange")
         if mode == "snapshot":
-            found = found.where(_text(level).isin(list(entities)))
+            found = _allowed(found, _text(level), entities)
         return found.select(
             _text("date").alias("date"),
             _text(level).alias(level),
@@ -421,7 +429,7 @@ def _performance(level: str, mode: str, entities: Sequence[str] = (), source: st
     return Flattener(_list_of, convert)
 
 
-def performance(raw: DataFrame, level: str, mode: str, entities: Sequence[str],
+def performance(raw: DataFrame, level: str, mode: str, entities: Sequence[str] | DataFrame,
                 source: str = "financial_modeling_prep") -> DataFrame:
     """Sector or industry performance; snapshots are cut to the requested entities."""
     return _performance(level, mode, entities, source).rows(raw)

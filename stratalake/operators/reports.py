@@ -102,11 +102,16 @@ def article_search(
     sort_by: str = "publishedAt",
     page_size: int = 100,
     page: int = 1,
+    after: tuple[object, str] | None = None,
 ) -> DataFrame:
     """One page of the articles that contain every phrase (case-insensitive, whole text).
 
-    Sorted newest first (or by title); ties by URL, so pages do not overlap.
+    Sorted newest first (or by title); ties by URL, so pages do not overlap. Unknown times and titles come last (or first, by title).
+    With ``after``, the sort value and the URL of the last article seen, the page begins behind it: a top-k of what is left,
+    however far the reader has come, where ``page`` makes every task sort all pages before. The two exclude each other.
     """
+    if after is not None and page != 1:
+        raise ValueError("page and after exclude each other")
     if not phrases:
         raise ValueError("at least one phrase is required")
     if sort_by not in SORTS:
@@ -132,4 +137,15 @@ def article_search(
     if to_time:
         keep = keep & (F.col("published_at") <= F.lit(to_time).cast("timestamp"))
     order = [F.desc("published_at")] if sort_by == "publishedAt" else [F.asc("title")]
+    if after is not None:
+        value, url = after
+        name, newest = ("published_at", True) if sort_by == "publishedAt" else ("title", False)
+        own, seen = F.col(name), F.lit(value).cast(articles.schema[name].dataType)
+        tie = own.eqNullSafe(seen) & (F.col("article_url") > url)
+        # NULL sorts last newest first, and first by title
+        behind = (own.isNull() | (own < seen)) if newest else own > seen
+        if value is None:
+            behind = F.lit(False) if newest else own.isNotNull()
+        keep = keep & (F.coalesce(behind, F.lit(False)) | F.coalesce(tie, F.lit(False)))
+        return articles.where(keep).orderBy(*order, "article_url").limit(page_size)
     return articles.where(keep).orderBy(*order, "article_url").offset((page - 1) * page_size).limit(page_size)

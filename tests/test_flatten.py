@@ -234,3 +234,17 @@ def test_members_named_twice(spark):
     """The last counts, as in most readers of JSON."""
     source = raw(spark, '{"data":[{"date":"a","value":1}],"data":[{"date":"b","date":"c","value":2}]}', symbol="S")
     assert rows(flatten.series(source), "date", "value") == [("c", 2.0)]
+
+
+def test_long_allow_lists(spark):
+    """A list of any length, with names twice, is a semi join: no literals in the plan, no row twice; a table does as well."""
+    body = [{"country": c, "countryRiskPremium": 1} for c in ("India", "Chad", "Peru", None)]
+    names = [f"Country {n}" for n in range(50_000)] + ["India", "Peru", "India"]
+    found = flatten.risk_premium(raw(spark, body), names)
+    assert rows(found, "country") == [("India",), ("Peru",)]
+    assert len(found._jdf.queryExecution().executedPlan().toString()) < 50_000
+    table = spark.createDataFrame([(n, 1) for n in names], "name string, country int")
+    assert rows(flatten.risk_premium(raw(spark, body), table), "country") == [("India",), ("Peru",)]
+    sectors = [{"sector": "Energy", "averageChange": 1}, {"sector": "Steel"}]
+    assert rows(flatten.performance(raw(spark, sectors), "sector", "snapshot", ["Energy", *names]), "sector") == [("Energy",)]
+    assert flatten.performance(raw(spark, sectors), "sector", "snapshot", []).count() == 0

@@ -197,3 +197,19 @@ def test_ties_of_the_latest_rows(spark):
 
     df = spark.createDataFrame([("A", "d1", i) for i in range(9)], "symbol string, trade_date string, v int")
     assert [r["v"] for r in most_recent(df.repartition(5), "A", ["v"], 3).collect()] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("sort_by", ["publishedAt", "title"])
+def test_pages_by_the_last_article_seen(spark, sort_by):
+    """All pages one after another, with ties and unknown times and titles, are the whole list in order."""
+    data = [(f"https://x.org/{n:02}", None if n % 7 == 0 else f"copper {n % 4}", "copper", None if n % 5 == 0 else f"2024-01-0{n % 3 + 1}") for n in range(40)]
+    df = spark.createDataFrame(data, "article_url string, title string, description string, published_at string")
+    df = df.withColumn("published_at", F.col("published_at").cast("timestamp"))
+    whole = article_search(df, ["copper"], sort_by=sort_by, page_size=100).collect()
+    seen, after = [], None
+    while page := article_search(df, ["copper"], sort_by=sort_by, page_size=6, after=after).collect():
+        seen += page
+        after = (page[-1]["published_at" if sort_by == "publishedAt" else "title"], page[-1]["article_url"])
+    assert seen == whole and len(whole) == 40
+    with pytest.raises(ValueError):
+        article_search(df, ["copper"], page=2, after=("x", "y"))

@@ -75,9 +75,8 @@ def news(spark: SparkSession, sf: str) -> DataFrame:
     return news_list(page_articles(spark, sf).withColumnRenamed("language", "author"))
 
 
-@query(
-    "article_search",
-    f"""WITH {ARTICLES} SELECT article_url, source_news, language,
+#: The second page of a search.
+_SECOND_PAGE = f"""WITH {ARTICLES} SELECT article_url, source_news, language,
   strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at FROM articles
   WHERE (contains(lower(title), 'the') OR contains(lower(description), 'the'))
     AND (contains(lower(title), 'on the') OR contains(lower(description), 'on the'))
@@ -85,11 +84,12 @@ def news(spark: SparkSession, sf: str) -> DataFrame:
     AND published_at <= TIMESTAMP '2026-06-30 00:00:00'
     AND source_news <> 'spam-farm.example.org' AND source_news NOT LIKE '%.spam-farm.example.org'
     AND source_news <> 'example.com' AND source_news NOT LIKE '%.example.com'
-  ORDER BY articles.published_at DESC, article_url LIMIT 10 OFFSET 10""",
-)
-def search(spark: SparkSession, sf: str) -> DataFrame:
-    """One page of English articles with both phrases, in a time range, without some domains."""
-    found = article_search(
+  ORDER BY articles.published_at DESC, article_url LIMIT 10 OFFSET 10"""
+
+
+def _english(spark: SparkSession, sf: str, **page) -> DataFrame:
+    """English articles with both phrases, in a time range, without some domains."""
+    return article_search(
         page_articles(spark, sf),
         ["the", "on the"],
         language="en",
@@ -97,6 +97,19 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
         from_time="2024-03-01 00:00:00",
         to_time="2026-06-30 00:00:00",
         page_size=10,
-        page=2,
+        **page,
     )
+
+
+@query("article_search", _SECOND_PAGE)
+def search(spark: SparkSession, sf: str) -> DataFrame:
+    """The second page of a search, by its number."""
+    return _english(spark, sf, page=2).select("article_url", "source_news", "language", moment("published_at"))
+
+
+@query("article_page_after", _SECOND_PAGE)
+def search_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The same page, asked for by the last article of the first."""
+    first = _english(spark, sf).select("published_at", "article_url").collect()  # one page
+    found = _english(spark, sf, after=tuple(first[-1])) if first else _english(spark, sf, page=2)
     return found.select("article_url", "source_news", "language", moment("published_at"))
