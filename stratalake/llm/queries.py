@@ -29,7 +29,7 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM documents d LEFT JOIN done USING (doc_id)""",
     "op8_rotated_codes": r"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
       AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
-links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+links AS (SELECT DISTINCT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
           WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
 edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(x, y) AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
@@ -37,7 +37,7 @@ low AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
 n AS (SELECT x, count(*) AS n FROM edges GROUP BY x)
 SELECT t.vec_id, coalesce(n.n, 0) AS n_links, least(t.vec_id, coalesce(low.y, t.vec_id)) AS component_id,
        t.vec_id = least(t.vec_id, coalesce(low.y, t.vec_id)) AS kept
-FROM embeddings t LEFT JOIN n ON n.x = t.vec_id LEFT JOIN low ON low.x = t.vec_id""",
+FROM (SELECT DISTINCT vec_id FROM embeddings) t LEFT JOIN n ON n.x = t.vec_id LEFT JOIN low ON low.x = t.vec_id""",
     "op9_ngram_jaccard": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(words[pos:pos + 4], ' ') AS gram
       FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos FROM w WHERE len(words) > 0)),

@@ -112,9 +112,9 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.9, id_column: str = "v
     """One row per id: the id, ``n_links``, ``component_id`` and ``kept``.
 
     Two vectors are linked if their cosine is at least ``threshold``; a component is named by its smallest
-    id, which is the one kept. Vectors that are not ``usable``, or have another number of components than
-    most, are linked with nothing. Rows with equal ids count as one vector (that with the smallest
-    hash); a null id is one row without component, not kept. An empty table gives an empty result.
+    id, which is the one kept. Vectors are compared with those of the same number of components; those that are not ``usable`` are
+    linked with nothing. All vectors of one id stand under it: ``n_links`` counts the other ids that any of them is linked with, each once.
+    A null id is one row without component, not kept. An empty table gives an empty result. Other columns are not read.
     """
     with Scratch(rows.sparkSession, "vectors") as scratch:
         return stored(_near_duplicates(rows, threshold, id_column, vector, block_rows, epsilon, scratch), "vectors")
@@ -123,35 +123,43 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.9, id_column: str = "v
 def _near_duplicates(rows: DataFrame, threshold: float, id_column: str, vector: str, block_rows: int, epsilon: float, scratch: Scratch) -> DataFrame:
     all_ids = rows.select(F.col(id_column).cast("long").alias("id")).distinct()
     own = rows.where(usable(vector) & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    own = own.groupBy("id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
-    own = scratch.save(own)
-    common = own.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    if common is None:
-        return all_ids.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
-    dims, blocks = common["dims"], -(-common["count"] // block_rows)
-    turn = rotation(dims)
-    dealt = own.where(F.size("v") == dims).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    dealt = dealt.withColumn("other", other).select("id", "v", "block", F.least("block", "other").alias("gi"), F.greatest("block", "other").alias("gj"))
+    own = scratch.save(own.distinct())
+    # ids with several vectors; ``n`` distinct numbers of components need n * (n + 1) / 2 components, so they are few
+    several = own.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id", F.lit(True).alias("several"))
+    blocks = own.groupBy(F.size("v").alias("dims")).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    dealt = own.join(several, "id", "left").withColumn("several", F.coalesce("several", F.lit(False))).withColumn("dims", F.size("v")).join(F.broadcast(blocks), "dims")
+    # by id and vector, so that the vectors of one id are spread, too
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.withColumn("other", other).select("id", "v", "several", "dims", "block", F.least("block", "other").alias("gi"), F.greatest("block", "other").alias("gj"))
 
     def group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        gi, gj = key[0].as_py(), key[1].as_py()
+        dims, gi, gj = (k.as_py() for k in key)
         ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
         v = table.column("v")
         flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in v.chunks])
-        x = flat.reshape(-1, dims)
-        order = np.argsort(ids)
-        ids, block, x = ids[order], block[order], x[order]
+        x, many = flat.reshape(-1, dims), table.column("several").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids, block, x, many = ids[order], block[order], x[order], many[order].astype(bool)
         second = None if gi == gj else np.flatnonzero(block == gj)
-        a, b = links_within(ids, x, np.flatnonzero(block == gi), second, turn, threshold, epsilon)
-        n = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
+        a, b = links_within(ids, x, np.flatnonzero(block == gi), second, rotation(dims), threshold, epsilon)
         root = ids[smallest_reached(len(ids), a, b)]
-        some = n > 0
-        return pa.table({"id": ids[some], "n": n[some].astype(np.int64), "root": root[some]})
-
-    found = scratch.save(dealt.groupBy("gi", "gj").applyInArrow(group, "id long, n long, root long"))
+        # pairs of an id with several vectors may be met again elsewhere: they are named, all others counted
+        named = many[a] | many[b]
+        n = np.bincount(a[~named], minlength=len(ids)) + np.bincount(b[~named], minlength=len(ids))
+        pairs = np.stack([np.r_[ids[a[named]], ids[b[named]]], np.r_[ids[b[named]], ids[a[named]]]], axis=1)
+        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+        some = np.zeros(len(ids), dtype=bool)
+        some[a] = some[b] = True
+        none = np.zeros(len(pairs), dtype=np.int64)
+        return pa.table({
+            "id": np.r_[ids[some], pairs[:, 0]], "n": np.r_[n[some].astype(np.int64), none], "root": np.r_[root[some], pairs[:, 0]],
+            "other": pa.array(np.r_[np.zeros(some.sum(), dtype=np.int64), pairs[:, 1]], mask=np.r_[np.ones(some.sum(), dtype=bool), none.astype(bool)]),
+        })
+
+    found = scratch.save(dealt.groupBy("dims", "gi", "gj").applyInArrow(group, "id long, n long, root long, other long"))
     classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch)
-    counts = found.groupBy(F.col("id").alias("node")).agg(F.sum("n").alias("n"))
+    counts = found.groupBy(F.col("id").alias("node")).agg((F.sum("n") + F.count_distinct("other")).alias("n"))
     linked = counts.join(classes, "node").select(F.col("node").alias("id"), "n", "component")
     out = all_ids.join(linked, "id", "left")
     component = F.coalesce("component", "id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.llm import neighbours, similar_vectors
-from stratalake.llm.queries import QUERIES
+from stratalake.llm.queries import ORACLE, QUERIES
 
 from .brute import Union
 from .conftest import SMALL
@@ -150,6 +151,35 @@ def test_near_duplicates_odd_rows(spark, odd_vectors):
     assert {tuple(r) for r in similar_vectors.near_duplicates(odd_vectors.where("vec_id < 4")).collect()} == {(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)}
 
 
+def test_near_duplicates_of_repeated_ids_and_mixed_lengths(spark, tmp_path):
+    """All vectors of an id count, each number of components by itself; the query's SQL says the same."""
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 1.0]), (4, [1.0, 0.0, 0.0]), (5, [2.0, 0.0, 0.0]), (5, [1.0, 0.0]), (5, [1.0, 0.0]), (6, [3.0]), (7, [4.0]), (8, [-1.0]), (9, [])]
+    rng = np.random.default_rng(8)
+    for i in range(30, 220):
+        dims = int(rng.choice([4, 5, 9]))
+        rows.append((int(i // rng.choice([1, 2, 3])), (np.eye(dims)[rng.integers(0, dims)] + 0.25 * rng.standard_normal(dims)).tolist()))
+    pq.write_table(pa.table({"vec_id": [r[0] for r in rows], "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float64()))}), tmp_path / "embeddings.parquet")
+    own = {}
+    for i, v in rows:
+        own.setdefault(i, []).append(np.array(v))
+
+    def near(a, b):
+        return len(a) == len(b) > 0 and a @ b >= 0.9 * np.linalg.norm(a) * np.linalg.norm(b)
+
+    union, links = Union(), {i: {j for j in own if j != i and any(near(a, b) for a in own[i] for b in own[j])} for i in own}
+    for i, others in links.items():
+        union.find(i)
+        for j in others:
+            union.join(i, j)
+    expected = {(i, len(links[i]), union.find(i), union.find(i) == i) for i in own}
+    assert (1, 2, 1, True) in expected and (3, 1, 1, False) in expected and (7, 1, 6, False) in expected
+    got = similar_vectors.near_duplicates(spark.read.parquet(f"{tmp_path}/embeddings.parquet"), 0.9, block_rows=20)
+    assert {tuple(r) for r in got.collect()} == expected and got.count() == len(own)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet')")
+    assert set(con.execute(ORACLE["op8_rotated_codes"]).fetchall()) == expected
+
+
 def test_near_duplicates_query(spark):
     # lower the threshold so that the small table has links
     t = pq.read_table(f"{SMALL}/embeddings.parquet")
