@@ -90,9 +90,23 @@ SORTS = ("publishedAt", "title")
 
 
 def article_search(
+    articles: DataFrame, phrases: Sequence[str], search_in: Sequence[str] = ("title", "description"), **selection
+) -> DataFrame:
+    """One page (``article_page``) of the articles that contain every phrase (case-insensitive, whole text)."""
+    if not phrases:
+        raise ValueError("at least one phrase is required")
+    keep = F.lit(True)
+    for phrase in phrases:
+        anywhere = F.lit(False)
+        for field in search_in:
+            anywhere = anywhere | F.coalesce(F.lower(field).contains(phrase.lower()), F.lit(False))
+        keep = keep & anywhere
+    return article_page(articles, keep, **selection)
+
+
+def article_page(
     articles: DataFrame,
-    phrases: Sequence[str],
-    search_in: Sequence[str] = ("title", "description"),
+    keep: Column,
     sources: Sequence[str] = (),
     domains: Sequence[str] = (),
     exclude_domains: Sequence[str] = (),
@@ -104,7 +118,7 @@ def article_search(
     page: int = 1,
     after: tuple[object, str] | None = None,
 ) -> DataFrame:
-    """One page of the articles that contain every phrase (case-insensitive, whole text).
+    """One page of the articles that satisfy ``keep`` and the other conditions.
 
     Sorted newest first (or by title); ties by URL, so pages do not overlap. Unknown times and titles come last (or first, by title).
     With ``after``, the sort value and the URL of the last article seen, the page begins behind it: a top-k of what is left,
@@ -112,18 +126,10 @@ def article_search(
     """
     if after is not None and page != 1:
         raise ValueError("page and after exclude each other")
-    if not phrases:
-        raise ValueError("at least one phrase is required")
     if sort_by not in SORTS:
         raise ValueError(f"sort_by must be one of {SORTS}")
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size start at 1")
-    keep = F.lit(True)
-    for phrase in phrases:
-        anywhere = F.lit(False)
-        for field in search_in:
-            anywhere = anywhere | F.coalesce(F.lower(field).contains(phrase.lower()), F.lit(False))
-        keep = keep & anywhere
     if sources:
         keep = keep & F.col("source_id").isin(list(sources))
     if language:

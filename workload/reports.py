@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.article_index import ArticleIndex
 from stratalake.operators.reports import (
     article_search,
     default_rollup,
@@ -12,6 +13,7 @@ from stratalake.operators.reports import (
     price_trend,
     series_trend,
 )
+from stratalake.session import scratch_path
 
 from .derived import ARTICLES, HOURLY, PRICES, hourly, page_articles, prices
 from .registry import moment, query, rounded, table, text
@@ -87,18 +89,20 @@ _SECOND_PAGE = f"""WITH {ARTICLES} SELECT article_url, source_news, language,
   ORDER BY articles.published_at DESC, article_url LIMIT 10 OFFSET 10"""
 
 
+_PHRASES = ["the", "on the"]
+
+#: English articles in a time range, without some domains.
+_ENGLISH = {
+    "language": "en",
+    "exclude_domains": ["spam-farm.example.org", "example.com"],
+    "from_time": "2024-03-01 00:00:00",
+    "to_time": "2026-06-30 00:00:00",
+    "page_size": 10,
+}
+
+
 def _english(spark: SparkSession, sf: str, **page) -> DataFrame:
-    """English articles with both phrases, in a time range, without some domains."""
-    return article_search(
-        page_articles(spark, sf),
-        ["the", "on the"],
-        language="en",
-        exclude_domains=["spam-farm.example.org", "example.com"],
-        from_time="2024-03-01 00:00:00",
-        to_time="2026-06-30 00:00:00",
-        page_size=10,
-        **page,
-    )
+    return article_search(page_articles(spark, sf), _PHRASES, **_ENGLISH, **page)
 
 
 @query("article_search", _SECOND_PAGE)
@@ -113,3 +117,12 @@ def search_after(spark: SparkSession, sf: str) -> DataFrame:
     first = _english(spark, sf).select("published_at", "article_url").collect()  # one page
     found = _english(spark, sf, after=tuple(first[-1])) if first else _english(spark, sf, page=2)
     return found.select("article_url", "source_news", "language", moment("published_at"))
+
+
+@query("article_search_indexed", _SECOND_PAGE)
+def search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same page, by the postings of an inverted index over all pages."""
+    index = ArticleIndex(spark, scratch_path(spark, "article-index"))
+    index.add(page_articles(spark, sf), "pages")
+    found = index.search(_PHRASES, **_ENGLISH, page=2)
+    return found.select("article_url", "source_news", "language", moment("published_at"))
