@@ -107,6 +107,57 @@ def calendar_averages(df: DataFrame, spec: RollingSpec) -> DataFrame:
     return null_safe_join(dated, averages, [spec.entity, "_year", "_month"], "left").drop("_year", "_month")
 
 
+#: What a calendar average is made of: rows, those with a value, and the sum of the values.
+PARTIAL = ("n_rows", "n_values", "total")
+
+
+def month_sums(df: DataFrame, spec: RollingSpec, sign: int = 1) -> DataFrame:
+    """``PARTIAL`` by entity, ``year`` and ``month``; negative with ``sign=-1``, for rows that went."""
+    found = df.groupBy(spec.entity, F.year(spec.order).alias("year"), F.month(spec.order).alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(spec.value).alias("n_values"),
+        F.coalesce(F.sum(spec.value), F.lit(0)).alias("total"),
+    )
+    return found.select(spec.entity, "year", "month", *[(F.col(c) * sign).cast(found.schema[c].dataType).alias(c) for c in PARTIAL])
+
+
+def merge_month_sums(held: DataFrame, difference: DataFrame, spec: RollingSpec, as_of: str) -> DataFrame:
+    """The stored partial sums after a run that changes them by ``difference``.
+
+    Every row keeps the time of the run that wrote it (``run_at``) and its sums before that run, so the same run
+    a second time, after a failure at any point too, starts from those and adds nothing twice. Rows that the run doesn't name stay.
+    """
+    keys, at = [spec.entity, "year", "month"], F.lit(as_of).cast("timestamp")
+    states = [*PARTIAL, *[f"{c}_before" for c in PARTIAL]]
+    stored = held.select(*keys, *states, "run_at", F.lit(False).alias("named"), *[F.lit(0).alias(f"d_{c}") for c in PARTIAL])
+    told = difference.select(*keys, F.lit(True).alias("named"), *[F.col(c).alias(f"d_{c}") for c in PARTIAL])
+    # a month has one stored row at most
+    both = stored.unionByName(told, allowMissingColumns=True).groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in [*states, "run_at", "named"]], *[F.sum(f"d_{c}").alias(f"d_{c}") for c in PARTIAL]
+    )
+    again = F.coalesce(F.col("run_at") == at, F.lit(False))
+    changed = F.col("named") | again
+    out = {"run_at": F.when(changed, at).otherwise(F.col("run_at"))}
+    for c in PARTIAL:
+        base = F.coalesce(F.when(again, F.col(f"{c}_before")).otherwise(F.col(c)), F.lit(0))
+        out[c] = F.when(changed, base + F.col(f"d_{c}")).otherwise(F.col(c))
+        out[f"{c}_before"] = F.when(changed, base).otherwise(F.col(f"{c}_before"))
+    return both.select(*[out.get(c, F.col(c)).cast(held.schema[c].dataType).alias(c) for c in held.columns])
+
+
+def averages_of(sums: DataFrame, spec: RollingSpec) -> DataFrame:
+    """Monthly and yearly average by entity, ``year`` and ``month``, of months that have rows."""
+    year = Window.partitionBy(spec.entity, "year")  # at most twelve rows
+    return sums.where("n_rows > 0").select(
+        spec.entity,
+        "year",
+        "month",
+        "n_rows",
+        F.try_divide("total", "n_values").alias(f"monthly_avg_{spec.value}"),
+        F.try_divide(F.sum("total").over(year), F.sum("n_values").over(year)).alias(f"yearly_avg_{spec.value}"),
+    )
+
+
 def _last_rows(df: DataFrame, spec: RollingSpec, rows: int | None = None) -> DataFrame:
     back = Window.partitionBy(spec.entity).orderBy(*[F.col(c).desc() for c in spec.sort])
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from stratalake.operators.rolling import (
     rolling_in_pieces,
 )
 from stratalake.operators.standardize import standardize, with_lineage, with_month_partition
-from stratalake.session import scratch_path
+from stratalake.plans.averages import refresh_averages, stored_averages
+from stratalake.session import save_and_read, scratch_path
 from stratalake.sources.tables import append_at, overwrite_partitions_at, touched
 
 from .derived import (
@@ -230,6 +233,38 @@ def calendar_avg(spark: SparkSession, sf: str) -> DataFrame:
     return averages.select("symbol", text("trade_date"), "cents", "monthly_avg_cents", "yearly_avg_cents")
 
 
+_CENTS = RollingSpec(value="cents")
+
+
+@query(
+    "calendar_avg_incremental",
+    f"""WITH {PRICES}, c AS (SELECT symbol, year(trade_date) AS year, month(trade_date) AS month, CAST(round(value * 100) AS BIGINT) AS cents FROM prices),
+  m AS (SELECT symbol, year, month, count(*) AS n_rows, count(cents) AS n, sum(cents) AS s FROM c GROUP BY 1, 2, 3)
+  SELECT symbol, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, n_rows, CAST(s AS DOUBLE) / n AS monthly_avg_cents,
+         CAST(sum(s) OVER y AS DOUBLE) / CAST(sum(n) OVER y AS DOUBLE) AS yearly_avg_cents
+  FROM m WINDOW y AS (PARTITION BY symbol, year)""",
+)
+def calendar_avg_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages kept by two runs, the second one twice, over all prices.
+
+    The first run has the days before 1999 but for late rows, and a wrong value where the lot is 1. The second brings
+    the later days and the late rows, and the right values in place of the wrong ones.
+    """
+    day, first_lot = F.col("trade_date"), F.coalesce(F.col("unit") == "USD/1", F.lit(False))
+    every = prices(spark, sf).select("symbol", day, "unit", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    every = save_and_read(every, scratch_path(spark, "averages"))
+    old, late = F.coalesce(day < F.lit("1999-01-01").cast("date"), F.lit(False)), F.coalesce(F.col("unit") == "USD/2", F.lit(False))
+    wrong = every.where(old & first_lot).withColumn("cents", F.col("cents") + 100)
+    name = f"averages_{uuid.uuid4().hex[:12]}.by_month"
+    place = scratch_path(spark, "averages")
+    refresh_averages(spark, name, _CENTS, "1999-01-01 00:00:00", every.where(old & ~late & ~first_lot).unionByName(wrong), location=place)
+    for _ in range(2):
+        came = every.where(~old | late | first_lot)
+        refresh_averages(spark, name, _CENTS, "2002-01-01 00:00:00", came, wrong, location=place)
+    kept = stored_averages(spark, name, _CENTS)
+    return kept.select("symbol", whole("year"), whole("month"), "n_rows", "monthly_avg_cents", "yearly_avg_cents")
+
+
 @query(
     "rolling_ticks",
     """WITH returns AS (
