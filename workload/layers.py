@@ -84,6 +84,24 @@ def scan_strict(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "scan_key_gate",
+    f"""WITH {BARS} SELECT 'named' AS objects, count(*) AS n, count(DISTINCT symbol) AS symbols FROM bars
+  UNION ALL SELECT 'no object keys given', 0, 0""",
+)
+def scan_gated(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects that are named are read whole; a run that names none is refused, though its zone is full."""
+    path = scratch_path(spark, "scan_key_gate")
+    _bronze_bars(spark, sf).write.json(path)
+    counts = [F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("symbols")]
+    read = scan_bronze(spark, [path], ["symbol", "trade_date"]).agg(F.lit("named").alias("objects"), *counts)
+    try:
+        refused = scan_bronze(spark, [], ["symbol", "trade_date"], base_path=path).agg(F.lit("all").alias("objects"), *counts)
+    except ValueError as problem:
+        refused = read.select(F.lit(str(problem)).alias("objects"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("symbols"))
+    return read.unionByName(refused)
+
+
 @query(
     "scan_permissive",
     """SELECT event_type, CASE WHEN event_type = 'error' THEN 'quarantined' ELSE 'good' END AS kind, count(*) AS n
