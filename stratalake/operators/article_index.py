@@ -4,9 +4,9 @@ A token is what lies between two spaces, in lower case. A phrase is found anywhe
 its inner tokens are whole tokens, its first one ends a token, its last one begins one and the places follow each other: the
 same articles as by a scan.
 
-Three tables below one folder, each with a partition per batch, so that a batch written again replaces itself:
-``postings`` (token, field, article, place; dealt into buckets by the token's hash, sorted by token), ``words`` (the
-different tokens with their buckets) and ``articles``, written last: what a failed try left behind names no article.
+Four tables below one folder, each with a partition per batch, so that a batch written again replaces itself: ``articles``
+with a number each; ``postings``, dealt into buckets by the token's hash and sorted by token; ``words``, the different tokens with their
+buckets; and ``batches``, the commit mark. It is taken away first and written last: a batch without it isn't seen.
 """
 
 from __future__ import annotations
@@ -20,27 +20,31 @@ from pyspark.sql import functions as F
 
 from .reports import article_page
 
-KEY = "article_key"
+NUMBER = "article_number"
 BUCKETS = 64
 FIELDS = ("title", "description")
+#: A posting gathers the places of a token in so many articles (as bits of the number), and in so long a stretch of their texts (bits of the place).
+_BLOCK_BITS, _STRETCH_BITS = 10, 16
 
 
 def _bucket(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 
 
-def article_key(fields: Sequence[str] = FIELDS) -> Column:
-    """Names an article by its URL and texts; equal ones are found or not found together."""
-    return F.unhex(F.md5(F.to_json(F.struct("article_url", *fields)))).alias(KEY)
-
-
 def postings_of(articles: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
-    """(``bucket``, ``token``, ``field``, article key, ``place``) of every token of every text; a NULL text has none, an empty one has the empty token."""
+    """(``bucket``, ``token``, ``field``, ``block``, ``places``) of every token of every text of numbered articles.
+
+    ``places`` has the article within its block (high bits) and the place in its text (low 40 bits). They are gathered on the map side, so what
+    is shuffled is a token's places, not a row for each. A NULL text has no token, an empty one the empty token.
+    """
     texts = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lower(f).alias("text")) for f in fields])).alias("told")
-    placed = articles.select(article_key(fields), texts).select(
-        KEY, "told.field", F.posexplode(F.split("told.text", " ", -1)).alias("place", "token")
+    placed = articles.select(NUMBER, texts).select(
+        NUMBER, "told.field", F.posexplode(F.split("told.text", " ", -1)).alias("place", "token")
     )
-    return placed.select(_bucket(F.col("token")).alias("bucket"), "token", "field", KEY, "place")
+    within = F.shiftleft(F.col(NUMBER).bitwiseAND((1 << _BLOCK_BITS) - 1), 40).bitwiseOR(F.col("place").cast("bigint"))
+    by = ["token", "field", F.shiftright(NUMBER, _BLOCK_BITS).alias("block"), F.shiftright("place", _STRETCH_BITS).alias("stretch")]
+    gathered = placed.groupBy(*by).agg(F.collect_list(within).alias("places"))
+    return gathered.select(_bucket(F.col("token")).alias("bucket"), "token", "field", "block", "places")
 
 
 @dataclass(frozen=True)
@@ -56,19 +60,32 @@ class ArticleIndex:
         writer.partitionBy("batch", *by).parquet(f"{self.path}/{name}")
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        """A table, with batches as text."""
+        found = self.spark.read.parquet(f"{self.path}/{name}")
+        return found.withColumn("batch", F.col("batch").cast("string"))
+
+    def _forget(self, batch: str) -> None:
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batches/batch={batch}")
+        mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(mark, True)
 
     def add(self, articles: DataFrame, batch: str) -> None:
-        """Index a batch. Rebalancing splits the postings of a token that nearly every article has into many files."""
-        dealt = postings_of(articles, self.fields).hint("rebalance", "bucket")
-        self._write(dealt.sortWithinPartitions("bucket", "token", KEY, "place"), "postings", batch, "bucket")
+        """Index a batch; its name is a word. Rebalancing splits the postings of a token that nearly every article has into many files."""
+        if not batch.isidentifier():
+            raise ValueError(f"a batch is named by a word, not {batch!r}")
+        self._forget(batch)
+        self._write(articles.withColumn(NUMBER, F.monotonically_increasing_id()), "articles", batch)
+        stored = self._read("articles").where(F.col("batch") == batch)
+        dealt = postings_of(stored, self.fields).hint("rebalance", "bucket")
+        self._write(dealt.sortWithinPartitions("bucket", "token", "field", "block"), "postings", batch, "bucket")
         own = self._read("postings").where(F.col("batch") == batch)
-        self._write(own.groupBy("bucket", "token", "field").agg(F.count("*").alias("n")), "words", batch)
-        self._write(articles.withColumn(KEY, article_key(self.fields)), "articles", batch)
+        self._write(own.groupBy("bucket", "token", "field").agg(F.sum(F.size("places")).alias("n")), "words", batch)
+        self._write(self.spark.range(1).select(F.current_timestamp().alias("indexed_at")), "batches", batch)
 
     def articles(self) -> DataFrame:
-        """All articles with their keys, without the batch."""
-        return self._read("articles").drop("batch")
+        """All articles of finished batches, with batch and number."""
+        # there may be no mark left, so the schema is told
+        marks = self.spark.read.schema("indexed_at timestamp, batch string").parquet(f"{self.path}/batches")
+        return self._read("articles").join(marks.select("batch"), "batch", "left_semi")
 
     def _starts(self, part: str, place: int, last: int, search_in: Sequence[str]) -> DataFrame:
         """Where the phrase would begin, by the token at one of its places."""
@@ -79,22 +96,24 @@ class ArticleIndex:
             like = token.contains(part) if last == 0 else token.endswith(part) if place == 0 else token.startswith(part)
             words = self._read("words").where(F.col("field").isin(list(search_in)) & like).select("bucket", "token").distinct()
             found = own.join(words, ["bucket", "token"], "left_semi")
-        return found.select(KEY, "field", (F.col("place") - place).alias("start"))
+        found = found.select("batch", "field", "block", F.explode("places").alias("code"))
+        number = F.shiftleft("block", _BLOCK_BITS).bitwiseOR(F.shiftright("code", 40)).alias(NUMBER)
+        return found.select("batch", number, "field", (F.col("code").bitwiseAND((1 << 40) - 1) - place).alias("start"))
 
     def with_phrase(self, phrase: str, search_in: Sequence[str] = FIELDS) -> DataFrame:
-        """The different keys of articles that contain a phrase, by intersecting the places of its tokens."""
+        """The different (batch, number) of articles that contain a phrase, by intersecting the places of its tokens."""
         parts = phrase.lower().split(" ")
         starts = [self._starts(part, i, len(parts) - 1, search_in) for i, part in enumerate(parts)]
-        both = reduce(lambda a, b: a.join(b, [KEY, "field", "start"]), starts)
-        return both.select(KEY).distinct()
+        both = reduce(lambda a, b: a.join(b, ["batch", NUMBER, "field", "start"]), starts)
+        return both.select("batch", NUMBER).distinct()
 
     def search(self, phrases: Sequence[str], search_in: Sequence[str] = FIELDS, **selection) -> DataFrame:
-        """``article_search`` by the index: the same page, with the article key behind the columns."""
+        """``article_search`` by the index: the same page, with batch and number beside the articles' columns."""
         if not phrases:
             raise ValueError("at least one phrase is required")
         if unknown := set(search_in) - set(self.fields):
             raise ValueError(f"fields {sorted(unknown)} are not indexed")
         found = self.articles()
         for phrase in phrases:
-            found = found.join(self.with_phrase(phrase, search_in), KEY, "left_semi")
+            found = found.join(self.with_phrase(phrase, search_in), ["batch", NUMBER], "left_semi")
         return article_page(found, F.lit(True), **selection)
