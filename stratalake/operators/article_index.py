@@ -5,8 +5,8 @@ its inner tokens are whole tokens, its first one ends a token, its last one begi
 same articles as by a scan.
 
 Four tables below one folder, each with a partition per batch, so that a batch written again replaces itself: ``articles``
-with a number each; ``postings``, dealt into buckets by the token's hash and sorted by token; ``words``, the different tokens with their
-buckets; and ``batches``, the commit mark. It is taken away first and written last: a batch without it isn't seen.
+with a number each; ``postings``, in segments: each task sorts those of its own articles by token and deals them into buckets by the token's hash, so
+nothing is shuffled and no token is hot; ``words``, the different tokens with their buckets; and ``batches``, the commit mark. It is taken away first and written last: a batch without it isn't seen.
 """
 
 from __future__ import annotations
@@ -21,10 +21,8 @@ from pyspark.sql import functions as F
 from .reports import article_page
 
 NUMBER = "article_number"
-BUCKETS = 64
+BUCKETS = 16
 FIELDS = ("title", "description")
-#: A posting gathers the places of a token in so many articles (as bits of the number), and in so long a stretch of their texts (bits of the place).
-_BLOCK_BITS, _STRETCH_BITS = 10, 16
 
 
 def _bucket(token: Column) -> Column:
@@ -32,19 +30,15 @@ def _bucket(token: Column) -> Column:
 
 
 def postings_of(articles: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
-    """(``bucket``, ``token``, ``field``, ``block``, ``places``) of every token of every text of numbered articles.
+    """(``bucket``, ``token``, ``field``, article number, ``place``) of every token of every text of numbered articles.
 
-    ``places`` has the article within its block (high bits) and the place in its text (low 40 bits). They are gathered on the map side, so what
-    is shuffled is a token's places, not a row for each. A NULL text has no token, an empty one the empty token.
+    A NULL text has no token, an empty one the empty token.
     """
     texts = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lower(f).alias("text")) for f in fields])).alias("told")
     placed = articles.select(NUMBER, texts).select(
         NUMBER, "told.field", F.posexplode(F.split("told.text", " ", -1)).alias("place", "token")
     )
-    within = F.shiftleft(F.col(NUMBER).bitwiseAND((1 << _BLOCK_BITS) - 1), 40).bitwiseOR(F.col("place").cast("bigint"))
-    by = ["token", "field", F.shiftright(NUMBER, _BLOCK_BITS).alias("block"), F.shiftright("place", _STRETCH_BITS).alias("stretch")]
-    gathered = placed.groupBy(*by).agg(F.collect_list(within).alias("places"))
-    return gathered.select(_bucket(F.col("token")).alias("bucket"), "token", "field", "block", "places")
+    return placed.select(_bucket(F.col("token")).alias("bucket"), "token", "field", NUMBER, "place")
 
 
 @dataclass(frozen=True)
@@ -69,16 +63,16 @@ class ArticleIndex:
         mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(mark, True)
 
     def add(self, articles: DataFrame, batch: str) -> None:
-        """Index a batch; its name is a word. Rebalancing splits the postings of a token that nearly every article has into many files."""
+        """Index a batch; its name is a word."""
         if not batch.isidentifier():
             raise ValueError(f"a batch is named by a word, not {batch!r}")
         self._forget(batch)
         self._write(articles.withColumn(NUMBER, F.monotonically_increasing_id()), "articles", batch)
         stored = self._read("articles").where(F.col("batch") == batch)
-        dealt = postings_of(stored, self.fields).hint("rebalance", "bucket")
-        self._write(dealt.sortWithinPartitions("bucket", "token", "field", "block"), "postings", batch, "bucket")
+        segments = postings_of(stored, self.fields).sortWithinPartitions("bucket", "token", "field", NUMBER, "place")
+        self._write(segments, "postings", batch, "bucket")
         own = self._read("postings").where(F.col("batch") == batch)
-        self._write(own.groupBy("bucket", "token", "field").agg(F.sum(F.size("places")).alias("n")), "words", batch)
+        self._write(own.groupBy("bucket", "token", "field").agg(F.count(F.lit(1)).alias("n")), "words", batch)
         self._write(self.spark.range(1).select(F.current_timestamp().alias("indexed_at")), "batches", batch)
 
     def articles(self) -> DataFrame:
@@ -96,9 +90,7 @@ class ArticleIndex:
             like = token.contains(part) if last == 0 else token.endswith(part) if place == 0 else token.startswith(part)
             words = self._read("words").where(F.col("field").isin(list(search_in)) & like).select("bucket", "token").distinct()
             found = own.join(words, ["bucket", "token"], "left_semi")
-        found = found.select("batch", "field", "block", F.explode("places").alias("code"))
-        number = F.shiftleft("block", _BLOCK_BITS).bitwiseOR(F.shiftright("code", 40)).alias(NUMBER)
-        return found.select("batch", number, "field", (F.col("code").bitwiseAND((1 << 40) - 1) - place).alias("start"))
+        return found.select("batch", NUMBER, "field", (F.col("place") - place).alias("start"))
 
     def with_phrase(self, phrase: str, search_in: Sequence[str] = FIELDS) -> DataFrame:
         """The different (batch, number) of articles that contain a phrase, by intersecting the places of its tokens."""
