@@ -4,7 +4,8 @@ Codes. On a bounded sample, rotations are learned that lose least when each coor
 its sign (iterative quantisation); ``bits`` signs, from as many rotations as that takes, make
 the code. For the largest inner product, a vector first gets one more coordinate that gives all
 vectors of a range of similar lengths the same length, so that nearness of direction is nearness by inner product.
-Each range is searched for itself, so a few long vectors don't shorten the others; a range of few rows is compared whole.
+Each range is searched for itself, so a few long vectors don't shorten the others. Vectors with different numbers of
+components have no inner product: each number is searched for itself, the most common ones with learned rotations, rare ones with random ones.
 
 Search. Codes are split into eight-bit substrings, each with a table from value to (a bitmap of) rows. Within radius
 ``r`` of a query, by the pigeonhole principle, at least one substring differs in few bits:
@@ -28,12 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Bits of a code, radius of the first search, by how much it grows, how many codes per wanted row are enough; rows that the rotations are learned from, ranges of lengths between a length and its double, size of the blocks.
+#: Bits of a code, radius of the first search, by how much it grows, how many codes per wanted row are enough; rows that the rotations are learned from, for how many numbers of
+#: components; ranges of lengths between a length and its double, size of the blocks.
 BITS = 128
 RADIUS = 56
 STEP = 4
 ENOUGH = 10
 SAMPLE = 4096
+LEARNED = 16
 RANGES = 4
 ROUNDS = 20
 BLOCK_ROWS = 8192
@@ -83,6 +86,20 @@ def lengths(x: np.ndarray) -> np.ndarray:
     return top * np.sqrt(((x / top[:, None]) ** 2).sum(axis=1))
 
 
+def learned(sample: list[np.ndarray], bits: int) -> dict[int, np.ndarray]:
+    """Rotations of the numbers of components that are most common in a sample."""
+    by_size: dict[int, list[np.ndarray]] = {}
+    for v in sample:
+        by_size.setdefault(len(v), []).append(v)
+    common = sorted(by_size, key=lambda d: (-len(by_size[d]), d))[:LEARNED]
+    turns = {}
+    for dims in common:
+        x = np.array(by_size[dims])
+        length = lengths(x)
+        turns[dims] = rotations(np.concatenate([lifted(x[own], length[own]) for own in ranges(length)]), bits)
+    return turns
+
+
 def codes(vectors: np.ndarray, turn: np.ndarray) -> np.ndarray:
     """One row of bytes per vector."""
     return np.packbits(vectors @ turn >= 0, axis=1)
@@ -137,9 +154,10 @@ def search(
 ) -> DataFrame:
     """Per query its ``k`` nearest rows found, by inner product: ``query_id``, ``rank`` (from 1), the row's id, ``score``.
 
-    A row with the query's id is no candidate. Vectors that are not ``usable``, or have another number
-    of components than most of the sample, take no part, neither as row nor as query. Ties go to the
-    smaller id. Rows repeated under one id are found as often as they occur. Null ids take no part.
+    A row with the query's id is no candidate, nor is one with another number of components. Vectors that are not ``usable``
+    take no part, neither as row nor as query. Ties go to the
+    smaller id. Rows repeated under one id are found as often as they occur. Null ids take no part. Other columns, whatever
+    their names, are not read.
     """
 
     def narrow(df: DataFrame) -> DataFrame:
@@ -152,17 +170,13 @@ def search(
     result = "query_id long, rank int, " + f"`{id_column}` long, score double"
     if not told["n"] or not asked:
         return rows.sparkSession.createDataFrame([], result)
-    sizes = [len(r["v"]) for r in drawn]
-    dims = max(set(sizes), key=lambda d: (sizes.count(d), -d))
-    taken = np.array([r["v"] for r in drawn if len(r["v"]) == dims])
-    length = lengths(taken)
-    turn = rotations(np.concatenate([lifted(taken[own], length[own]) for own in ranges(length)]), bits)
+    turns = learned([np.array(r["v"]) for r in drawn], bits)
     row_blocks, query_blocks = -(-told["n"] // block_rows), -(-asked // block_queries)
-    ok = F.size("v") == dims
-    left = rows.where(ok).withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(row_blocks))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    right = queries.where(ok).withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
+    left = rows.withColumn("d", F.size("v")).withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(row_blocks))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    right = queries.withColumn("d", F.size("v")).withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
+    right = right.withColumn("rb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
 
-    def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def matrix(table: pa.Table, dims: int) -> tuple[np.ndarray, np.ndarray]:
         v = table.column("v").combine_chunks()
         v = v.flatten() if isinstance(v, pa.ListArray) else v.chunk(0).flatten()
         return table.column("id").to_numpy(), np.asarray(v, dtype=np.float64).reshape(-1, dims)
@@ -170,23 +184,24 @@ def search(
     def group(key: tuple[pa.Scalar, ...], own: pa.Table, asks: pa.Table) -> pa.Table:
         if own.num_rows == 0 or asks.num_rows == 0:
             return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        ids, x = matrix(own)
-        names, q = matrix(asks)
+        dims = key[0].as_py()
+        turn = turns[dims] if dims in turns else rotations(np.empty((0, dims + 1)), bits)
+        ids, x = matrix(own, dims)
+        names, q = matrix(asks, dims)
         zero = np.zeros((len(q), 1))
         length = lengths(x)
-        parts = [(own, Tables(codes(lifted(x[own], length[own]), turn)) if len(own) > ENOUGH * k else None) for own in ranges(length)]
+        parts = [(own, Tables(codes(lifted(x[own], length[own]), turn))) for own in ranges(length)]
         q_codes = codes(np.concatenate([q, zero], axis=1), turn)
 
-        def met_in(places: np.ndarray, tables: Tables | None, i: int) -> np.ndarray:
+        def met_in(places: np.ndarray, tables: Tables, i: int) -> np.ndarray:
             reach = radius
-            others = places[ids[places] != names[i]]
-            while tables is not None:
+            others = np.count_nonzero(ids[places] != names[i])
+            while True:
                 found = places[tables.within(q_codes[i], reach)]
                 found = found[ids[found] != names[i]]
-                if len(found) >= min(ENOUGH * k, len(others)) or reach >= bits:
+                if len(found) >= min(ENOUGH * k, others) or reach >= bits:
                     return found
                 reach = min(bits, reach + STEP) if len(found) else bits
-            return others
 
         out_q, out_i, out_s = [], [], []
         for i in range(len(q)):
@@ -205,7 +220,7 @@ def search(
             out_s.append(score[best])
         return pa.table({"query_id": np.concatenate(out_q), "id": np.concatenate(out_i), "score": np.concatenate(out_s)})
 
-    met = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInArrow(group, "query_id long, id long, score double")
+    met = left.groupBy("d", "rb", "qb").cogroup(right.groupBy("d", "rb", "qb")).applyInArrow(group, "query_id long, id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_column), "score")

@@ -92,13 +92,40 @@ def test_probes_find_every_code_within_the_radius():
 
 def test_search_odd_rows(spark, odd_vectors):
     got = by_query(neighbours.search(odd_vectors, odd_vectors, k=3))
-    assert sorted(got) == [8, 9, 10, 11, 12]  # the id that occurs twice asks twice
+    assert sorted(got) == [8, 9, 10, 11, 12]  # the id that occurs twice asks twice; nothing has as many components as 7
     assert [r["vec_id"] for r in got[8]] == [10, 9, 9]
     assert [r["vec_id"] for r in got[11]] == [10, 8, 9]
     few = by_query(neighbours.search(odd_vectors.where("vec_id in (8, 11)"), odd_vectors, k=20))
     assert [r["vec_id"] for r in few[8]] == [11] and [r["vec_id"] for r in few[10]] == [8, 11]
 
 
+def test_search_of_mixed_numbers_of_components(spark):
+    """Each number of components is searched for itself, also those for which no rotation is learned."""
+    rng = np.random.default_rng(7)
+    sizes = [3, 8, 8, 8, 40]
+    vectors = [rng.standard_normal(sizes[i % 5]).astype(np.float32).tolist() for i in range(1500)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    asked = [q for q in range(0, 1500, 50)] + [4, 54]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neighbours, "LEARNED", 2)
+        got = by_query(neighbours.search(rows, rows.where(F.col("vec_id").isin(asked)), k=10, radius=128, block_rows=400, block_queries=9))
+    assert sorted(got) == sorted(asked)
+    for q, found in got.items():
+        own = np.array([i for i in range(1500) if len(vectors[i]) == len(vectors[q])])
+        x = np.array([vectors[i] for i in own])
+        assert [(r["vec_id"], r["score"]) for r in found] == exact(x, own, (q, np.array(vectors[q])), 10)
+
+
+def test_recall_with_spread_lengths(spark):
+    """Lengths that differ continuously leave many ranges; all go through their codes."""
+    rng = np.random.default_rng(8)
+    x = (rng.standard_normal((4000, 32)) * np.exp(rng.standard_normal((4000, 1)))).astype(np.float32)
+    rows = table(spark, x)
+    got = by_query(neighbours.search(rows, rows.where("vec_id % 100 = 0"), k=20))
+    hits = sum(len({r["vec_id"] for r in found} & {i for i, _ in exact(x, np.arange(4000), (q, x[q]), 20)}) for q, found in got.items())
+    assert len(got) == 40 and hits >= 0.9 * 20 * 40
+
+
 def test_search_empty(odd_vectors):
     none = odd_vectors.limit(0)
     for rows, queries in ((none, odd_vectors), (odd_vectors, none), (none, none)):
