@@ -39,9 +39,23 @@ def scd2_merge(
     Closed rows bypass the join, hence they are never shuffled; a row whose flag is
     NULL counts as closed.
     """
-    columns = target.columns
     closed = target.where(~F.coalesce("is_current", F.lit(False)))
-    pairs = _full_join(target.where("is_current"), incoming.select(*columns), keys)
+    return closed.unionByName(scd2_step(target.where("is_current"), incoming, keys, require_newer, recency))
+
+
+def scd2_step(
+    current: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    require_newer: bool = False,
+    recency: str = "ingested_at",
+) -> DataFrame:
+    """What a merge makes of the current rows: those that stay or open, and the versions that it closes.
+
+    Versions closed before are no part of it, so its work doesn't grow with the history.
+    """
+    columns = current.columns
+    pairs = _full_join(current, incoming.select(*columns), keys)
 
     t, s = F.col("t"), F.col("s")
     keep = t["record_hash"].eqNullSafe(s["record_hash"])
@@ -65,7 +79,7 @@ def scd2_merge(
         .when(keep, F.array(t))
         .otherwise(F.array(ended, s))
     )
-    return closed.unionByName(pairs.select(F.inline(rows)))
+    return pairs.select(F.inline(rows))
 
 
 def scd2_as_of(table: DataFrame, moment: str) -> DataFrame:

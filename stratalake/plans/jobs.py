@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.composite import composite, coverage_ratio, minmax_norm, pivot_norms, weighted_channels
 from ..operators.dedup import append_then_dedup, latest_wins
 from ..operators.joins import null_safe_join
-from ..operators.merge import scd2_as_of, scd2_merge, upsert
+from ..operators.merge import scd2_as_of, scd2_step, upsert
 from ..operators.quality import GateError, enforce, history_report, interval_report, range_checks, row_report
 from ..operators.rolling import add_rolling, refresh_changed
 from ..operators.standardize import standardize, with_history_columns, with_lineage, with_month_partition
@@ -66,6 +66,10 @@ _RUNS = {
     "run": "string",
 }
 
+# Versioned tables have a second level of partitions: current rows are in one, what a run closed is in one of its own
+CLOSED_BY = "closed_by"
+CURRENT = "current"
+
 _CHANGES = {"name": "string", "as_of": "timestamp", "value": "string", "run": "string"}
 
 
@@ -85,13 +89,13 @@ class Publications:
 
     def __init__(self, spark: SparkSession, scratch: Scratch, layers: Layers):
         self.spark, self.scratch, self.layers = spark, scratch, layers
-        self.waiting: list[tuple[str, DataFrame, str, list]] = []
+        self.waiting: list[tuple[str, DataFrame, str | Sequence[str], list]] = []
 
-    def table(self, name: str, columns: dict[str, str], partition: str | None) -> DataFrame:
+    def table(self, name: str, columns: dict[str, str], partition: str | Sequence[str] | None) -> DataFrame:
         tables.create_table(self.spark, name, columns, partition, self.layers.provider, self.layers.location)
         return self.spark.table(name)
 
-    def replace(self, name: str, rows: DataFrame, partition: str, gone: list | None = None) -> None:
+    def replace(self, name: str, rows: DataFrame, partition: str | Sequence[str], gone: list | None = None) -> None:
         """``rows`` (stored) will replace their partitions of a table; partitions ``gone`` have no rows any more."""
         self.waiting.append((name, rows, partition, gone or []))
 
@@ -196,21 +200,48 @@ def _gate_bronze(found: dict, spec: DatasetSpec, run: Run) -> None:
 
 
 def _stage_silver(batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, out: Publications) -> DataFrame:
-    """The partitions of the silver table that the batch touches, as they will be."""
+    """The rows of the silver table that the batch replaces: the partitions it touches, as they will be."""
+    if spec.style == "scd2":
+        return _stage_versions(batch, spec, run, layers, out)
     name = spec.table(layers.silver, "clean")
     stored = out.table(name, spec.silver_columns, spec.partition)
+    merged = out.scratch.save(append_then_dedup(tables.touched(stored, batch, spec.partition), batch, spec.keys))
+    out.replace(name, merged, spec.partition)
+    return merged
+
+
+def _version_levels(spec: DatasetSpec) -> list[str]:
+    return [spec.partition, CLOSED_BY]
+
+
+def _stage_versions(batch: DataFrame, spec: DatasetSpec, run: Run, layers: Layers, out: Publications) -> DataFrame:
+    """The current rows of the touched partitions as they will be, and what the run closes.
+
+    What earlier runs closed is neither shuffled nor written again. It is read for the gates only: for the time of stored versions, and all
+    versions of those keys of which the run closes one. What an earlier try of the same run closed stays, unless the run closes it anew.
+    """
+    name = spec.table(layers.silver, "clean")
+    stored = out.table(name, spec.silver_columns | {CLOSED_BY: "string"}, _version_levels(spec))
     target = tables.touched(stored, batch, spec.partition)
-    if spec.style == "append":
-        merged = out.scratch.save(append_then_dedup(target, batch, spec.keys))
+    at = F.lit(run.as_of).cast("timestamp")
+    if not target.where(F.greatest("effective_from", "effective_to") > at).limit(1).isEmpty():
+        raise GateError(f"{name}: the run's time {run.as_of} is before that of a stored version")
+    own = _key(spec, run)
+    step = scd2_step(target.where(F.col(CLOSED_BY) == CURRENT).drop(CLOSED_BY), batch, spec.keys, run.require_newer)
+    step = out.scratch.save(step.withColumn(CLOSED_BY, F.when(F.col("is_current"), CURRENT).otherwise(own)))
+    ended = step.where(F.col(CLOSED_BY) == own)
+    if ended.limit(1).isEmpty():
+        merged = checked = step
     else:
-        at = F.lit(run.as_of).cast("timestamp")
-        later = target.where(F.greatest("effective_from", "effective_to") > at)
-        if not later.limit(1).isEmpty():
-            raise GateError(f"{name}: the run's time {run.as_of} is before that of a stored version")
-        merged = out.scratch.save(scd2_merge(target, batch, spec.keys, run.require_newer))
-        enforce(history_report(merged, spec.keys), name)
-        enforce(interval_report(merged, spec.keys), name)
-    out.replace(name, merged, spec.partition)
+        past = target.where(F.col(CLOSED_BY) != CURRENT)
+        version = [*spec.keys, "effective_from"]
+        before = null_safe_join(past.where(F.col(CLOSED_BY) == own), ended, version, "left_anti")
+        others = null_safe_join(past.where(F.col(CLOSED_BY) != own), ended, spec.keys, "left_semi")
+        merged = out.scratch.save(step.unionByName(before))
+        checked = merged.unionByName(others)
+    enforce(history_report(checked, spec.keys), name)
+    enforce(interval_report(checked, spec.keys), name)
+    out.replace(name, merged, _version_levels(spec))
     return merged
 
 
@@ -501,9 +532,12 @@ def roll_back(spark: SparkSession, spec: DatasetSpec, moment: str, layers: Layer
             _log_run(spark, spec, run, layers, Outcome(), "rolled back")
             return
         partitions = changed.select(spec.partition).distinct()
-        earlier = scratch.save(scd2_as_of(tables.touched(silver, changed, spec.partition), moment))
+        own = tables.touched(silver, changed, spec.partition)
+        back = scd2_as_of(own, moment).withColumn(CLOSED_BY, F.when(F.col("is_current"), CURRENT).otherwise(F.col(CLOSED_BY)))
+        # a roll back that failed half-way may have opened a version and not yet removed its closed row
+        opened = back.where("is_current").dropDuplicates([*spec.keys, "effective_from", "record_hash"])
+        earlier = scratch.save(opened.unionByName(back.where("not is_current")))
         enforce(history_report(earlier, spec.keys), name)
-        out.replace(name, earlier, spec.partition, [r[0] for r in null_safe_join(partitions, earlier, [spec.partition], "left_anti").collect()])
 
         fact_name = spec.table(layers.gold, "fact")
         stored = out.table(fact_name, spec.fact_columns, spec.partition)
@@ -518,5 +552,11 @@ def roll_back(spark: SparkSession, spec: DatasetSpec, moment: str, layers: Layer
         if spec.index:
             after = out.after(name, earlier, spec.partition, partitions)
             _stage_index(after, changed.select("year").distinct(), spec, moment, layers, out)
+        # last, since the versions tell what is to be rolled back; partitions without later versions stay as they are
+        levels = _version_levels(spec)
+        replaced = scratch.save(own.where(later | (F.col(CLOSED_BY) == CURRENT)).select(*levels).distinct())
+        past = null_safe_join(earlier.where(F.col(CLOSED_BY) != CURRENT), replaced, levels, "left_semi")
+        rows = scratch.save(earlier.where(F.col(CLOSED_BY) == CURRENT).unionByName(past))
+        out.replace(name, rows, levels, [tuple(r) for r in null_safe_join(replaced, rows, levels, "left_anti").collect()])
         out.publish()
         _log_run(spark, spec, run, layers, Outcome(batch_rows=changed.count()), "rolled back")

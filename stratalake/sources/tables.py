@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _levels(partition: str | Sequence[str]) -> list[str]:
+    return [partition] if isinstance(partition, str) else list(partition)
+
+
 def create_table(
-    spark: SparkSession, name: str, columns: Mapping[str, str], partition: str | None,
+    spark: SparkSession, name: str, columns: Mapping[str, str], partition: str | Sequence[str] | None,
     provider: str = "parquet", location: str | None = None,
 ) -> None:
     """Create the database (below ``location``, if given) and the table unless they exist."""
@@ -19,7 +23,7 @@ def create_table(
         at = f"LOCATION '{location}/{database}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {at}")
     body = ", ".join(f"`{c}` {t}" for c, t in columns.items())
-    by = f"PARTITIONED BY (`{partition}`)" if partition else ""
+    by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in _levels(partition))})" if partition else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING {provider} {by}")
 
 
@@ -79,30 +83,35 @@ def _insert(df: DataFrame, name: str, mode: str) -> None:
             spark.conf.set(key, before)
 
 
-def publish_partitions(df: DataFrame, name: str, partition: str) -> None:
+def publish_partitions(df: DataFrame, name: str, partition: str | Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df``; all others stay.
 
     Rebalancing gathers the rows of a partition into few files and splits a
     partition too large for one task.
     """
-    _insert(df.hint("rebalance", partition), name, "dynamic")
+    _insert(df.hint("rebalance", *_levels(partition)), name, "dynamic")
 
 
-def publish_snapshot(df: DataFrame, name: str, partition: str | None = None) -> None:
+def publish_snapshot(df: DataFrame, name: str, partition: str | Sequence[str] | None = None) -> None:
     """Replace the whole content of a table; ``df`` must not read from it."""
-    _insert(df.hint("rebalance", partition) if partition else df, name, "static")
+    _insert(df.hint("rebalance", *_levels(partition)) if partition else df, name, "static")
 
 
 #: Partitions that one statement names.
 _DROPPED_AT_ONCE = 500
 
 
-def drop_partitions(spark: SparkSession, name: str, partition: str, values: Sequence) -> None:
-    """Remove partitions with all their rows."""
-    told = ["NULL" if v is None else f"'{str(v).replace(chr(39), chr(92) + chr(39))}'" for v in values]
-    for i in range(0, len(told), _DROPPED_AT_ONCE):
-        named = ", ".join(f"PARTITION (`{partition}` = {v})" for v in told[i : i + _DROPPED_AT_ONCE])
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {named}")
+def drop_partitions(spark: SparkSession, name: str, partition: str | Sequence[str], values: Sequence) -> None:
+    """Remove partitions with all their rows; of a table with several levels, ``values`` are tuples that name all of them."""
+    levels = _levels(partition)
+
+    def named(value) -> str:
+        parts = [value] if isinstance(partition, str) else value
+        told = ["NULL" if v is None else f"'{str(v).replace(chr(39), chr(92) + chr(39))}'" for v in parts]
+        return f"PARTITION ({', '.join(f'`{p}` = {v}' for p, v in zip(levels, told, strict=True))})"
+
+    for i in range(0, len(values), _DROPPED_AT_ONCE):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(named, values[i : i + _DROPPED_AT_ONCE]))}")
 
 
 def overwrite_partitions_at(df: DataFrame, path: str, partition: str) -> None:

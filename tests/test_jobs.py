@@ -372,6 +372,33 @@ def test_a_run_replaces_the_tails_of_its_entities_only(spark, layers, tmp_path):
     assert spark.table(name).count() == 81
 
 
+def test_a_run_writes_no_closed_versions_of_earlier_runs(spark, layers, tmp_path):
+    """What a run closes is a partition of its own; a replay of the run doesn't lose it."""
+    spec = DATASETS["macro_indicators"]
+    name = spec.table(layers.silver, "clean")
+
+    def run(n, value):
+        cell = {"indicator": "LUR", "country": "IND", "year": 2020, "value": value}
+        run_dataset(spark, spec, [land(tmp_path, str(n), cell)], Run(f"r{n}", f"2024-02-0{n}"), layers)
+        spark.catalog.refreshTable(name)
+
+    def files():
+        closed = spark.table(name).where("closed_by <> 'current'")
+        return {r[0]: r[1] for r in closed.select("closed_by", F.input_file_name()).collect()}
+
+    run(1, 4)
+    assert files() == {}
+    run(2, 5)
+    before = files()
+    run(3, 6)
+    after = files()
+    assert sorted(after) == ["macro_indicators@r2", "macro_indicators@r3"]
+    assert after["macro_indicators@r2"] == before["macro_indicators@r2"]
+    run(3, 6)
+    assert files() == after
+    assert rows(spark.table(name), "value", "is_current") == [(4.0, False), (5.0, False), (6.0, True)]
+
+
 def test_append_tables_cannot_be_rolled_back(spark, layers):
     with pytest.raises(ValueError, match="keeps no versions"):
         roll_back(spark, DATASETS["spot_prices"], "2024-01-01", layers)
