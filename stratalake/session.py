@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +51,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/stratalake/{label}-{uuid.uuid4().hex}"
 
 
+#: Two threads must not change settings of a session at once.
+_SETTING = threading.RLock()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session for the moment; afterwards they are as before."""
+    with _SETTING:
+        before = {key: spark.conf.get(key, None) for key in values}
+        try:
+            for key, value in values.items():
+                spark.conf.set(key, value)
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
+
+
 def save_and_read(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: whatever follows starts from the files."""
     df.write.parquet(path)

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casting import cast_or_null
+from ..session import settings
 
 CORRUPT = "_corrupt_record"
 MEMBERS = "_members"
 ZONE_PARTITIONS = ("source", "dataset", "ingestion_date")
 #: The folder below those of the zone that one ingestion has for itself.
 RUN = "ingest_run"
+#: While a zone is written: rows that repeat their names are JSON of some twenty times their shuffled size, so tasks get few bytes, and
+#: a task keeps so many folders open. It streams its rows into them and sorts only those of more folders.
+_WRITING = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m", "spark.sql.maxConcurrentOutputFileWriters": "32"}
 
 
 def _text_schema(columns: Sequence[str]) -> T.StructType:
@@ -109,13 +113,14 @@ def _append(df: DataFrame, base: str, partitions: Sequence[str], run: str | None
     """JSON Lines below one folder per value; with ``run`` in folders of that run."""
     if run is not None:
         df, partitions = df.withColumn(RUN, F.lit(run)), [*ZONE_PARTITIONS, RUN, *[p for p in partitions if p not in ZONE_PARTITIONS]]
-    (
-        df.hint("rebalance", *partitions)
-        .write.mode("append")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*partitions)
-        .json(base)
-    )
+    with settings(df.sparkSession, _WRITING):
+        (
+            df.hint("rebalance", *partitions)
+            .write.mode("append")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(*partitions)
+            .json(base)
+        )
 
 
 def write_raw_zone(df: DataFrame, base: str, ingested_at: str, max_records_per_file: int = 5_000_000, run: str | None = None) -> None:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import settings
+
 
 def _levels(partition: str | Sequence[str]) -> list[str]:
     return [partition] if isinstance(partition, str) else list(partition)
@@ -67,20 +68,9 @@ def touched(table: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
     return found.unionByName(table.where(named.isNull())) if unknown else found
 
 
-#: Publishing changes a setting of the session for the moment; two threads must not do so at once.
-_PUBLISHING = threading.RLock()
-
-
 def _insert(df: DataFrame, name: str, mode: str) -> None:
-    spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _PUBLISHING:
-        before = spark.conf.get(key)
-        spark.conf.set(key, mode)
-        try:
-            _for_table(df, name).write.insertInto(name, overwrite=True)
-        finally:
-            spark.conf.set(key, before)
+    with settings(df.sparkSession, {"spark.sql.sources.partitionOverwriteMode": mode}):
+        _for_table(df, name).write.insertInto(name, overwrite=True)
 
 
 def publish_partitions(df: DataFrame, name: str, partition: str | Sequence[str]) -> None:

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from stratalake.functions.payload import payload_value
@@ -213,3 +214,22 @@ def test_pages_by_the_last_article_seen(spark, sort_by):
     assert seen == whole and len(whole) == 40
     with pytest.raises(ValueError):
         article_search(df, ["copper"], page=2, after=("x", "y"))
+
+
+def test_raw_zone_is_written_without_sorting(spark, tmp_path, monkeypatch):
+    """Rows stream into the folders of a zone, also into more than a task keeps open; the settings for that don't stay."""
+    limits = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before, during = [spark.conf.get(k) for k in limits], []
+    json = DataFrameWriter.json
+
+    def written(self, *args, **options):
+        during.extend(spark.conf.get(k) for k in limits)
+        return json(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "json", written)
+    df = spark.range(100).select("id", F.lit("s").alias("source"), F.concat(F.lit("d"), (F.col("id") % 40).cast("string")).alias("dataset"))
+    write_raw_zone(df, str(tmp_path / "zone"), "2024-02-01T00:00:00+00:00")
+    assert int(during[0]) > 0 and during[1] != before[1]
+    assert [spark.conf.get(k) for k in limits] == before
+    back = spark.read.json(str(tmp_path / "zone")).groupBy("dataset").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+    assert (back.count(), back.agg(F.sum("n"), F.sum("ids")).first()) == (40, (100, 4950))
