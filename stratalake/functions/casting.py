@@ -11,8 +11,10 @@ def _column(value: Column | str) -> Column:
 
 
 # Text that cannot be a number is told apart first: a failed conversion costs
-# far more than a match.
-_MAY_BE_NUMBER = r"(?i)[0-9]|nan|inf"
+# far more than a match. Whatever converts matches (names and hexadecimals by how they begin).
+_MAY_BE_NUMBER = (
+    r"(?i)\A[\x00-\x20]*[+-]?(?:nan|inf|0x|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[fd]?[\x00-\x20]*\z)"
+)
 _WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
 
 

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from stratalake.functions.casting import cast_or_null, double_or_default, utc_iso
+from stratalake.functions.casting import _MAY_BE_NUMBER, cast_or_null, double_or_default, text_to_double, utc_iso
 from stratalake.functions.payload import redact_url
 from stratalake.operators import flatten
 from pyspark.sql import functions as F
@@ -248,3 +248,12 @@ def test_long_allow_lists(spark):
     sectors = [{"sector": "Energy", "averageChange": 1}, {"sector": "Steel"}]
     assert rows(flatten.performance(raw(spark, sectors), "sector", "snapshot", ["Energy", *names]), "sector") == [("Energy",)]
     assert flatten.performance(raw(spark, sectors), "sector", "snapshot", []).count() == 0
+
+
+def test_text_that_holds_digits_is_told_from_numbers_before_the_cast(spark):
+    """A failed conversion costs far more than a match; whatever converts still does."""
+    texts = ["1", " -1.5e+3\t", "2d", ".5", "5.", "+NaN", "-Infinity", " inf ", "0x1.8p3", "n/a", "1,2", "2024-01-01", '{"bid":1}', "1 2", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert df.where(~text_to_double("v").eqNullSafe(F.col("v").try_cast("double"))).count() == 0
+    tried = {r[0] for r in df.where(F.col("v").rlike(_MAY_BE_NUMBER)).collect()}
+    assert tried == {"1", " -1.5e+3\t", "2d", ".5", "5.", "+NaN", "-Infinity", " inf ", "0x1.8p3"}
