@@ -10,6 +10,7 @@ from stratalake.plans import registry
 from stratalake.plans.ingest import ingest
 from stratalake.plans.jobs import Run, rebuild_gold, roll_back, run_dataset, run_manifest
 from stratalake.plans.registry import ALL_DATASETS, DATASETS, RegistryError, find, load
+from stratalake.session import Scratch
 from stratalake.sources.bronze import write_raw_zone
 from stratalake.streaming.landing import drain_landing
 
@@ -484,3 +485,15 @@ def test_every_dataset_can_be_ingested(spark, layers, tmp_path):
         assert (done.record_count, done.rejected, len(done.keys)) == (1, 0, 1), spec.name
     with pytest.raises(RegistryError, match="period must be one of"):
         ingest(spark, DATASETS["historical_data"], raw, str(tmp_path), "2024-02-01T00:00:00+00:00", layers, {"period": "2h"})
+
+
+def test_an_ingestion_stores_its_rows_once(spark, layers, tmp_path, monkeypatch):
+    """What is found in the responses is stored; the rows made of it are only written to the zone."""
+    saved, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df: saved.append(df.columns) or save(self, df))
+    day = '{"1. open": "1", "2. high": "2", "3. low": "1", "4. close": "2", "5. volume": "3"}'
+    payload = '{"Time Series (Daily)": {"2024-01-01": %s, "2024-01-02": %s, "early": [1]}}' % (day, day)
+    raw = spark.createDataFrame([("A", payload, "/q", "2024-02-01T00:00:00+00:00")], "symbol string, payload string, request_url string, received_at string")
+    done = ingest(spark, DATASETS["market_daily"], raw, str(tmp_path / "zone"), "2024-02-01T00:00:00+00:00", layers)
+    assert (done.record_count, done.rejected, len(saved)) == (2, 1, 1)
+    assert spark.read.json(str(tmp_path / "zone" / "source=alphavantage")).count() == 2
