@@ -23,7 +23,7 @@ from stratalake.plans.jobs import Layers, Run, roll_back, run_dataset, run_manif
 from stratalake.plans.manifest import manifest_gate, manifest_reconcile
 from stratalake.plans.registry import ALL_DATASETS, ARTICLE_COLUMNS, DATASETS
 from stratalake.functions.casting import cast_or_null
-from stratalake.session import scratch_path
+from stratalake.session import save_and_read, scratch_path
 from stratalake.sources.bronze import (
     run_name,
     scan_bronze,
@@ -425,7 +425,7 @@ def ingested_market(spark: SparkSession, sf: str) -> DataFrame:
 def replayed_ingestion(spark: SparkSession, sf: str) -> DataFrame:
     """The same ingestion once, once more, and after a try that left rows but no manifest: the same folders, counts and facts."""
     spec, found = DATASETS["market_daily"], None
-    raw = _date_map_raw(spark, sf)
+    raw = save_and_read(_date_map_raw(spark, sf), scratch_path(spark, "landed"))  # the responses land once
     for step in ("first", "replayed", "after a crash"):
         layers = _own_layers(spark, "ingest_replay")
         base = scratch_path(spark, "ingest_zone")
