@@ -149,10 +149,15 @@ def index_scores(current: DataFrame, index: IndexSpec) -> DataFrame:
 
 
 _RAW = "_raw_"
+#: What is told about a row, one bit each, in whole numbers of so many bits.
+_TOLD, _BITS = "_told_", 62
 
 
 def _staged_bronze(bronze: DataFrame, spec: DatasetSpec, run: Run, scratch: Scratch) -> tuple[DataFrame, dict]:
-    """Typed rows and malformed lines, stored by one pass that also counts what the gates ask for."""
+    """Typed rows and malformed lines, stored by one pass, and counts of what the gates ask for.
+
+    What takes the line itself to tell is stored beside the row, as bits of a number; the counts read that number and the keys.
+    """
     back = {new: old for old, new in spec.renames.items()}
     kept = [c for c in (CORRUPT, MEMBERS) if c in bronze.columns]
     told = {c: back[c] if back.get(c) in bronze.columns else c for c in spec.columns}
@@ -164,14 +169,19 @@ def _staged_bronze(bronze: DataFrame, spec: DatasetSpec, run: Run, scratch: Scra
     good = F.col(CORRUPT).isNull() if CORRUPT in kept else F.lit(True)
     counts = [F.count_if(good).alias("good"), F.count_if(~good).alias("bad")]
     counts += [F.count_if(good & F.col(k).isNull()).alias(f"null {k}") for k in spec.keys]
-    counts += [F.count_if(good & F.col(raw[c]).isNotNull() & F.col(c).isNull()).alias(f"failed {c}") for c in told]
+    flags = {f"failed {c}": F.col(raw[c]).isNotNull() & F.col(c).isNull() for c in told}
     required = [back.get(c, c) for c in spec.required]
     named = [c for c in required if c not in bronze.columns or c in spec.bronze_columns] if MEMBERS in kept else []
-    counts += [F.count_if(good & (F.col(MEMBERS).isNull() | F.array_contains(MEMBERS, c))).alias(f"has {c}") for c in named]
-
-    observed = Observation(f"bronze of {spec.name}")
-    stored = scratch.save(rows.observe(observed, *counts).drop(*raw.values()))
-    found = dict(observed.get)
+    flags |= {f"has {c}": F.col(MEMBERS).isNull() | F.array_contains(MEMBERS, c) for c in named}
+
+    places = {flag: (f"{_TOLD}{i // _BITS}", 1 << i % _BITS) for i, flag in enumerate(flags)}
+    words = {}
+    for flag, (word, bit) in places.items():
+        words[word] = words.get(word, F.lit(0)) + F.when(flags[flag], F.lit(bit)).otherwise(F.lit(0)).cast("bigint")
+    stored = scratch.save(rows.withColumns(words).drop(MEMBERS, *raw.values()))
+    counts += [F.count_if(good & (F.col(word).bitwiseAND(F.lit(bit)) != 0)).alias(flag) for flag, (word, bit) in places.items()]
+    found = stored.agg(*counts).first().asDict()
+    stored = stored.drop(*words)
     if MEMBERS in kept:
         # folders above the objects give columns too; their values are in the rows
         folders = [c for c in named if found[f"has {c}"] == 0 and c in METADATA and c in bronze.columns]

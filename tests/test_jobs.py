@@ -8,10 +8,10 @@ from stratalake.operators.quality import GateError
 from stratalake.operators.rolling import RollingSpec, add_rolling
 from stratalake.plans import registry
 from stratalake.plans.ingest import ingest
-from stratalake.plans.jobs import Run, rebuild_gold, roll_back, run_dataset, run_manifest
+from stratalake.plans.jobs import Run, _staged_bronze, rebuild_gold, roll_back, run_dataset, run_manifest
 from stratalake.plans.registry import ALL_DATASETS, DATASETS, RegistryError, find, load
 from stratalake.session import Scratch
-from stratalake.sources.bronze import write_raw_zone
+from stratalake.sources.bronze import scan_bronze, write_raw_zone
 from stratalake.streaming.landing import drain_landing
 
 from .conftest import rows
@@ -497,3 +497,17 @@ def test_an_ingestion_stores_its_rows_once(spark, layers, tmp_path, monkeypatch)
     done = ingest(spark, DATASETS["market_daily"], raw, str(tmp_path / "zone"), "2024-02-01T00:00:00+00:00", layers)
     assert (done.record_count, done.rejected, len(saved)) == (2, 1, 1)
     assert spark.read.json(str(tmp_path / "zone" / "source=alphavantage")).count() == 2
+
+
+def test_counts_for_the_gates_with_more_columns_than_bits(spark, tmp_path):
+    """Flags of a line are stored as bits of as many numbers as they take."""
+    columns = {f"c{i}": "int" for i in range(70)}
+    spec = replace(DATASETS["market_daily"], columns=columns, keys=("c0",), required=("c1", "c69", "gone"), month_of=None, renames={}, hash_columns=("c0",))
+    good = {f"c{i}": i for i in range(69)}
+    path = land(tmp_path, "wide", good | {"c69": None}, good | {"c0": None, "c68": "x", "c69": "7"}, good | {"c68": "y", "c5": "z"})
+    bronze = scan_bronze(spark, [path], spec.bronze_columns, "PERMISSIVE", members=True)
+    with Scratch(spark, "wide") as scratch:
+        stored, found = _staged_bronze(bronze, spec, Run("r", "2024-02-01 00:00:00"), scratch)
+        assert set(stored.columns) == {*spec.silver_columns, "_corrupt_record"} and stored.count() == 3
+    assert (found["good"], found["bad"], found["null c0"], found["failed c68"], found["failed c5"], found["failed c69"]) == (3, 0, 1, 2, 1, 0)
+    assert found["has c69"] == 2 and found["absent"] == ["gone"]

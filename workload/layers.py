@@ -346,6 +346,7 @@ def macro_job(spark: SparkSession, sf: str) -> DataFrame:
         "indicator", "country", "year", "value", F.lit("imf").alias("source"), F.lit("indicators").alias("dataset"),
         F.lit("/api").alias("request_url"), F.lit(INGESTED).alias("received_at"),
     )
+    lines = save_and_read(lines, scratch_path(spark, "lines"))  # both batches are cut from it
     run_dataset(spark, spec, [_land(lines.where("year < 1999"), "land")], Run("run-1", "1999-01-01 00:00:00"), layers)
     run_dataset(spark, spec, [_land(lines.where("NOT coalesce(year < 1999, false)"), "land")], Run("run-2", "2002-01-01 00:00:00"), layers)
     return spark.table(spec.table(layers.gold, "tvi")).select("country", whole("year"), rounded("tvi_score"))
