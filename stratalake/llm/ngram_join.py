@@ -36,11 +36,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.session import Scratch
+from stratalake.session import Scratch, settings
 
 from . import words
 from .components import components
-from .store import binaries, column, join_few, ragged, spread, stored, text_slices
+from .store import SMALL_BATCHES, binaries, column, join_few, ragged, spread, stored, text_slices
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -397,7 +397,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, n: int, thres
 
 def join(docs: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: the id, ``n_shingles`` (size of its set) and ``component_id`` (smallest id reachable by links)."""
-    with Scratch(docs.sparkSession, "ngram") as scratch:
+    with Scratch(docs.sparkSession, "ngram") as scratch, settings(docs.sparkSession, SMALL_BATCHES):
         return stored(_join(docs, n, threshold, id_column, text_column, scratch), "ngram")
 
 

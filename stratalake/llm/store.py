@@ -22,6 +22,8 @@ from stratalake.session import save_and_read, scratch_path
 
 #: Texts are handled in slices of about so many bytes, which bounds what a Python worker holds.
 SLICE_BYTES = 4 << 20
+#: And handed to Python in batches of about so many: a batch is held by Spark and by the worker, outside of the heap.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)}
 
 
 def reachable(spark: SparkSession) -> None:

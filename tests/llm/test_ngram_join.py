@@ -10,6 +10,7 @@ import pytest
 
 from stratalake.llm import components, ngram_join
 from stratalake.llm.queries import QUERIES
+from stratalake.llm.store import SLICE_BYTES
 from stratalake.session import Scratch
 
 from .brute import Union, jaccard_components, shingles
@@ -104,3 +105,14 @@ def test_components(spark, seed):
         got = components.components(spark.createDataFrame([*edges, (None, 1)], "a long, b long"), scratch)
         assert {(r["node"], r["component"]) for r in got.collect()} == {(x, union.find(x)) for e in edges for x in e}
         assert components.components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
+
+
+def test_python_gets_small_batches(spark, monkeypatch):
+    """While documents are joined, a batch of texts is bounded by its bytes; afterwards the setting is as before."""
+    key, during, join = "spark.sql.execution.arrow.maxBytesPerBatch", [], ngram_join._join
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ngram_join, "_join", lambda *a: during.append(spark.conf.get(key)) or join(*a))
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.join(docs).collect()}
+    assert (found, during) == ({1: 1, 2: 1, 3: 3}, [str(SLICE_BYTES)])
+    assert spark.conf.get(key) == before
