@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import language, ngram_join, packing, repeats
 from stratalake.llm.queries import vocabulary
-from stratalake.llm.store import reachable, stored
+from stratalake.llm.store import reachable, split_few, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the smallest id stays (with all rows of that id)."""
     reachable(spark)
-    gone = ngram_join.join(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = ngram_join.join(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    may, stay = split_few(docs.withColumn("_id", F.col("doc_id").cast("long")), gone, ["_id"])
+    return may.join(gone, "_id", "left_anti").unionByName(stay).select(*docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from stratalake.session import Scratch
 
 from . import words
-from .store import column, join_few, ragged, spread, stored, text_slices, with_columns
+from .store import column, join_few, ragged, split_few, spread, stored, text_slices, with_columns
 
 WINDOW = 50
 PHRASE = 8
@@ -100,45 +100,43 @@ def _scan(docs: DataFrame, window: int, phrase: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Of each document, the hashes and starts of the windows whose anchor is among its ``anchors``."""
+    """Of each document, the hashes of the windows whose anchor is among its ``anchors``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             found = words.words_of(column(batch, "text"))
             least, all_windows = anchors(found.hash, window, phrase), words.rolling_hashes(found.hash, window)
             wanted = column(batch, "anchors")
-            hashes, starts, counts = [], [], []
+            hashes, counts = [], []
             for i in range(batch.num_rows):
                 lo, hi = int(found.first[i]), max(int(found.first[i + 1]) - window + 1, int(found.first[i]))
                 own = words.unsigned(np.asarray(wanted[i].values, dtype=np.int64))
                 at = np.flatnonzero(np.isin(least[lo:hi], own))
                 hashes.append(all_windows[lo + at])
-                starts.append(at)
                 counts.append(len(at))
-            more = {
-                "hashes": ragged(words.signed(np.concatenate(hashes)), np.array(counts), pa.int64()),
-                "starts": ragged(np.concatenate(starts).astype(np.int32), np.array(counts), pa.int32()),
-            }
+            more = {"hashes": ragged(words.signed(np.concatenate(hashes)), np.array(counts), pa.int64())}
             yield with_columns(batch, [_KEY, _MARK, "text"], more)
 
-    return docs.select(_KEY, _MARK, "text", "anchors").mapInArrow(run, f"{_KEY} long, {_MARK} long, text string, hashes array<long>, starts array<int>")
+    return docs.select(_KEY, _MARK, "text", "anchors").mapInArrow(run, f"{_KEY} long, {_MARK} long, text string, hashes array<long>")
 
 
 def _passages(owners: DataFrame, window: int) -> DataFrame:
-    """Runs of consecutive owned windows (column ``owned``) as texts with the hashes of their windows."""
+    """Runs of consecutive owned windows (column ``owned``) as texts with the hashes of their windows.
+
+    The windows are hashed again from the text, which is less to shuffle than all that the owner had.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             found = words.words_of(column(batch, "text"))
+            all_windows = words.signed(words.rolling_hashes(found.hash, window))
             ids, begins, texts, hashes = [], [], [], []
             for i, owner in enumerate(column(batch, _KEY).to_pylist()):
-                own = np.asarray(column(batch, "hashes")[i].values, dtype=np.int64)
-                at = np.asarray(column(batch, "starts")[i].values, dtype=np.int64)
-                keep = np.isin(own, np.asarray(column(batch, "owned")[i].values, dtype=np.int64))
-                own, at = own[keep], at[keep]
+                lo, hi = int(found.first[i]), max(int(found.first[i + 1]) - window + 1, int(found.first[i]))
+                own = all_windows[lo:hi]
+                at = np.flatnonzero(np.isin(own, np.asarray(column(batch, "owned")[i].values, dtype=np.int64)))
                 cuts = np.flatnonzero(np.diff(at) != 1) + 1
-                lo = int(found.first[i])
-                for s, h in zip(np.split(at, cuts), np.split(own, cuts), strict=True):
+                for s, h in zip(np.split(at, cuts), np.split(own[at], cuts), strict=True):
                     if len(s):
                         ids.append(owner)
                         begins.append(int(s[0]))
@@ -154,7 +152,7 @@ def _passages(owners: DataFrame, window: int) -> DataFrame:
                 names=["owner", "begin", "text", "hashes"],
             )
 
-    return owners.select(_KEY, "text", "hashes", "starts", "owned").mapInArrow(run, "owner long, begin int, text string, hashes array<long>")
+    return owners.select(_KEY, "text", "owned").mapInArrow(run, "owner long, begin int, text string, hashes array<long>")
 
 
 def compile_automaton(codes: list[np.ndarray], block: int):
@@ -237,7 +235,7 @@ def _find(docs: DataFrame, window: int, phrase: int, id_column: str, text_column
     recurring = met.groupBy("anchor").agg(F.min("f1").alias("low"), F.max("f1").alias("high")).where("low <> high").select("anchor")
     leaders = scan.select(_KEY, _MARK, "f1", "f2", "n_words", "anchors").join(classes, ["f1", "f2", "n_words"]).where(F.col(_KEY) == F.col("leader"))
     own = leaders.select(_KEY, _MARK, F.explode(F.array_distinct("anchors")).alias("anchor")).join(recurring, "anchor")
-    own = own.groupBy(_KEY, _MARK).agg(F.collect_set("anchor").alias("anchors"))  # no more than the document's words
+    own = scratch.save(own.groupBy(_KEY, _MARK).agg(F.collect_set("anchor").alias("anchors")))  # no more than the document's words
     near = scratch.save(_windows(join_few(rows, own, [_KEY, _MARK]), window, phrase))
     near = near.where(F.size("hashes") > 0)
 
@@ -245,7 +243,7 @@ def _find(docs: DataFrame, window: int, phrase: int, id_column: str, text_column
     met = near.select(_KEY, F.explode("hashes").alias("hash"))
     confirmed = scratch.save(met.groupBy("hash").agg(F.min(_KEY).alias("owner"), F.max(_KEY).alias("last")).where("owner < last").select("hash", "owner"))
     owned = confirmed.groupBy(F.col("owner").alias(_KEY)).agg(F.collect_list("hash").alias("owned"))
-    passages = scratch.save(_passages(owned.join(near, _KEY), window))
+    passages = scratch.save(_passages(join_few(near.select(_KEY, "text"), owned, [_KEY]), window))
 
     buckets = max(1, -(-(near.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes))
     bucket = F.pmod(F.xxhash64(_KEY, F.lit(17)), F.lit(buckets)).cast("int").alias("bucket")
@@ -277,7 +275,8 @@ def remove(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_co
     cut = found.where("n_removed > 0").select(id_column, "text_hash", "begins", "ends").dropDuplicates([id_column, "text_hash"])
     cut = cut.withColumnsRenamed({id_column: _KEY, "text_hash": _MARK, "begins": "_begins", "ends": "_ends"})
     marked = docs.withColumn(_MARK, F.xxhash64(text_column)).withColumn(_KEY, F.col(id_column).cast("long"))
-    joined = marked.join(cut, [_KEY, _MARK], "left")
+    may, whole = split_few(marked, cut, [_KEY, _MARK])
+    joined = may.join(cut, [_KEY, _MARK], "left")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,4 +300,4 @@ def remove(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text_column else column(kept, n) for n in names], names=names)
 
     schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == text_column else f for f in docs.schema.fields])
-    return joined.select(*names, "_begins", "_ends").mapInArrow(run, schema)
+    return joined.select(*names, "_begins", "_ends").mapInArrow(run, schema).union(whole.select(*names))

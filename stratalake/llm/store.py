@@ -47,19 +47,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 BITMAP_WORDS = 1 << 17
 
 
-def join_few(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
-    """``rows`` joined (inner) with ``few`` on columns ``on``, where most rows of the wide ``rows`` have no partner.
+def split_few(rows: DataFrame, few: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have a partner in ``few`` on columns ``on``, and those that have none for sure.
 
-    A bitmap of hashes of the wanted keys, of a fixed size, goes to all tasks and keeps most other rows from being
-    shuffled. It may keep rows too many, which the join drops; with very many keys it keeps all.
+    A bitmap of hashes of the wanted keys, of a fixed size, goes to all tasks: only the first need be shuffled. It
+    may take rows too many for them; with very many keys it takes all. Columns ``on`` have the same types in both.
     """
     place = F.xxhash64(*on)
     word, bit = F.pmod(place, F.lit(BITMAP_WORDS)), F.pmod(F.shiftright(place, 40), F.lit(64)).cast("int")
     bits = few.select(word.alias("_word"), F.expr("1L").alias("_one"), bit.alias("_bit"))
     bits = bits.groupBy("_word").agg(F.bit_or(F.call_function("shiftleft", "_one", "_bit")).alias("_bits"))
-    marked = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word")  # at most BITMAP_WORDS rows
-    there = F.call_function("shiftrightunsigned", "_bits", "_bit").bitwiseAND(F.lit(1)) == 1
-    return marked.where(there).drop("_word", "_bit", "_bits").join(few, on)
+    marked = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word", "left")  # at most BITMAP_WORDS rows
+    there = F.coalesce(F.call_function("shiftrightunsigned", "_bits", "_bit").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    may, none = marked.where(there), marked.where(~there)
+    return may.drop("_word", "_bit", "_bits"), none.drop("_word", "_bit", "_bits")
+
+
+def join_few(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` joined (inner) with ``few`` on columns ``on``, where most rows of the wide ``rows`` have no partner."""
+    return split_few(rows, few, on)[0].join(few, on)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
