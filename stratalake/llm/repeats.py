@@ -34,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.session import Scratch
+from stratalake.session import Scratch, settings
 
 from . import words
-from .store import column, join_few, ragged, split_few, spread, stored, text_slices, with_columns
+from .store import FREED_SHUFFLES, SMALL_BATCHES, column, join_few, ragged, split_few, spread, stored, text_slices, with_columns
 
 WINDOW = 50
 PHRASE = 8
@@ -222,7 +222,7 @@ def find(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_column:
     """Per row: the id, ``text_hash``, ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept words joined by one space)
     and the removed ranges of words, ``begins`` (inclusive) and ``ends`` (exclusive).
     """
-    with Scratch(docs.sparkSession, "repeats") as scratch:
+    with Scratch(docs.sparkSession, "repeats") as scratch, settings(docs.sparkSession, SMALL_BATCHES | FREED_SHUFFLES):
         return stored(_find(docs, window, phrase, id_column, text_column, bucket_bytes, scratch), "repeats")
 
 

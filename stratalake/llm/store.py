@@ -24,6 +24,8 @@ from stratalake.session import save_and_read, scratch_path
 SLICE_BYTES = 4 << 20
 #: And handed to Python in batches of about so many: a batch is held by Spark and by the worker, outside of the heap.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)}
+#: What an execution shuffled goes when it ends, instead of when the driver collects garbage. For frames that are executed once.
+FREED_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def reachable(spark: SparkSession) -> None:
@@ -38,6 +40,13 @@ def reachable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """``SMALL_BATCHES`` for results that are read lazily: they stay set, unless the session has its own."""
+    for key, value in SMALL_BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     return save_and_read(df, scratch_path(df.sparkSession, label))

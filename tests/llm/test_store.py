@@ -70,3 +70,21 @@ def test_remove_shuffles_few_texts(spark):
         assert shuffled(kept) < 200
         lengths = {r["doc_id"]: len(r["text"].split()) for r in kept.collect()}
     assert lengths == {**dict.fromkeys([None, *range(580)], 80), **dict.fromkeys(range(580, 590), 40), **dict.fromkeys(range(590, 600), 1)}
+
+
+def test_stages_bound_batches(spark):
+    """Also of results that are read after the stage returned."""
+    key = next(iter(store.SMALL_BATCHES))
+    docs = spark.createDataFrame([(i, "x" * (1 << 20)) for i in range(9)], "doc_id long, text string").coalesce(1)
+    with settings(spark, {key: "64m"}):
+        spark.conf.unset(key)
+        corpus_pipeline.pack_windows(spark, docs, "")
+
+        def sizes(batches):
+            for b in batches:
+                yield b.select(["doc_id"]).slice(0, 1)
+
+        assert docs.mapInArrow(sizes, "doc_id long").count() > 1
+    with settings(spark, {key: "5m"}):
+        corpus_pipeline.pack_windows(spark, docs, "")
+        assert spark.conf.get(key) == "5m"
