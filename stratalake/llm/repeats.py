@@ -42,6 +42,7 @@ from .store import FREED_SHUFFLES, SMALL_BATCHES, column, join_few, ragged, spli
 WINDOW = 50
 PHRASE = 8
 BUCKET_BYTES = 8 << 20
+SLICE = 1 << 20  # bytes of text whose words are hashed at once: their arrays are many times as large
 _KEY, _MARK = "_id", "_mark"
 
 
@@ -78,7 +79,7 @@ def _scan(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """Per row: n_words, two hashes of its words, the sha256 of its words, its anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE):
             found = words.words_of(column(batch, "text"))
             counts = found.count()
             starts = window_starts(found.first, window)
@@ -103,7 +104,7 @@ def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """Of each document, the hashes of the windows whose anchor is among its ``anchors``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE):
             found = words.words_of(column(batch, "text"))
             least, all_windows = anchors(found.hash, window, phrase), words.rolling_hashes(found.hash, window)
             wanted = column(batch, "anchors")
@@ -127,7 +128,7 @@ def _passages(owners: DataFrame, window: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE):
             found = words.words_of(column(batch, "text"))
             all_windows = words.signed(words.rolling_hashes(found.hash, window))
             ids, begins, texts, hashes = [], [], [], []
@@ -280,7 +281,7 @@ def remove(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_co
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_column):
+        for batch in text_slices(batches, text_column, SLICE):
             found = words.words_of(column(batch, text_column))
             old, begins, ends = column(batch, text_column).to_pylist(), column(batch, "_begins").to_pylist(), column(batch, "_ends").to_pylist()
             texts, stay = [], []
